@@ -32,9 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row stages at least one partition per core.
+
+    A scan yields one task per file split; a small table stored as a single
+    row group is one task, and every JSON encode/decode after it would run on
+    one core. Only then are the rows dealt round-robin over the cluster's
+    cores (one shuffle of the narrow input); a large input already has far
+    more splits than cores and is left untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def landed(spark: SparkSession, sf_dir: str, defects: bool = False,
            replays: bool = False) -> DataFrame:
-    return landed_records(table(spark, sf_dir, "events"), defects=defects, replays=replays)
+    return landed_records(spread(table(spark, sf_dir, "events")),
+                          defects=defects, replays=replays)
 
 
 def parsed(spark: SparkSession, sf_dir: str, defects: bool = False,

@@ -162,20 +162,24 @@ def _event_struct(defects: bool, collected_delay: int = 60, public: Column | Non
     )
 
 
-def _records(events: DataFrame, defects: bool, delay: int, public: Column | None) -> DataFrame:
+def _records(events: DataFrame, defects: bool, delay: int, public: Column | None,
+             keep: tuple[str, ...] = ()) -> DataFrame:
     ev = _event_struct(defects, delay, public)
     value = F.to_json(ev)
     if defects:
         # a truncated message: the JSON text stops in the middle of the object
         value = F.when(F.col("event_id") % DEFECT_MOD == DEFECT_MALFORMED_JSON,
                        F.substring(value, 1, 40)).otherwise(value)
-    return events.select(ev["repo"]["name"].alias("key"), value.alias("value"))
+    return events.select(ev["repo"]["name"].alias("key"), value.alias("value"), *keep)
 
 
-def landed_records(events: DataFrame, defects: bool = False, replays: bool = False) -> DataFrame:
-    """``(key, value)`` JSON records for every row of ``events``."""
-    out = _records(events, defects, 60, None)
+def landed_records(events: DataFrame, defects: bool = False, replays: bool = False,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, value)`` JSON records for every row of ``events`` (plus the
+    ``keep`` columns of the input, e.g. ``ts`` to land them in time order)."""
+    out = _records(events, defects, 60, None, keep)
     if replays:
         again = events.filter(F.col("event_id") % REPLAY_MOD == REPLAY_REM)
-        out = out.unionByName(_records(again, defects, 60 + REPLAY_DELAY_SECONDS, F.lit(False)))
+        out = out.unionByName(_records(again, defects, 60 + REPLAY_DELAY_SECONDS,
+                                       F.lit(False), keep))
     return out
