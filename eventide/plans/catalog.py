@@ -7,17 +7,23 @@ timestamps are ``timestamp_ntz`` (UTC wall clock).
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import checkpoint_root
+from ..functions.timefilters import ts_lit
 from ..operators import maintenance, metrics, quality
-from ..streaming import sinks
-from . import panels, reports
+from ..sources.adapter import landed_records
+from ..sources.events import event_stream, metric_table
+from ..sources.landing import land_in_time_order
+from ..streaming import runner, sinks
+from . import panels, reports, tables
 from .pipeline import (AS_OF, KEYED_APPEND_CUT, PANEL_FROM, PANEL_TO, RETENTION_AS_OF,
-                       events, ntz, parsed)
-from ..functions.timefilters import ts_lit
+                       events, ntz, parsed, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,4 +201,49 @@ QUERIES.update({
     "keyed_append": q_keyed_append,
 })
 
+# --- end-to-end paths through written tables ----------------------------------
+
+STREAM_WATERMARK = "10 minutes"
+
+
+def _scratch(spark) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return os.path.join(checkpoint_root(spark), "eventide-runs", uuid.uuid4().hex)
+
+
+def q_stream_repository_metrics(spark, sf):
+    """The repository table as the streaming job produces it.
+
+    The events are landed as files in event-time order, then drained by the
+    streaming query (watermark, de-duplication, append mode, ``foreachBatch``
+    lake sink). Append mode emits only closed windows: those ending at or
+    before the final watermark (latest event time minus the delay).
+    """
+    root = _scratch(spark)
+    land = os.path.join(root, "landing")
+    land_in_time_order(spark, landed_records(table(spark, sf, "events"), keep=("ts",)),
+                       "ts", land, days_per_file=5)
+    lake = os.path.join(root, "lake")
+    qs = runner.run_all(spark, event_stream(spark, "parquet", land, maxFilesPerTrigger=1),
+                        lake, os.path.join(root, "ckpt"), trigger={"availableNow": True},
+                        watermark=STREAM_WATERMARK, tables=["repository_metrics"],
+                        with_rejected=False)
+    runner.await_all(spark, qs, bounded=True)
+    return ntz(metric_table(spark, lake, "repository_metrics").drop("window_date", "batch_id"))
+
+
+def q_lake_top_repositories(spark, sf):
+    """Top repositories read back from the batch-built lake tables (the
+    ``window_start`` range also prunes ``window_date`` partitions)."""
+    root = _scratch(spark)
+    tables.build_tables(spark, events(spark, sf), root, ["repository_metrics"])
+    m = metric_table(spark, root, "repository_metrics")
+    return ntz(reports.top_repositories(m, AS_OF))
+
+
+QUERIES.update({
+    "stream_repository_metrics": q_stream_repository_metrics,
+    "lake_top_repositories": q_lake_top_repositories,
+})
+
 FLAGSHIP = "top_repositories"

@@ -296,4 +296,8 @@ UNION ALL
 SELECT b.* FROM bat b WHERE NOT EXISTS (
   SELECT 1 FROM tgt t WHERE t.repo_id = b.repo_id AND t.repo_name = b.repo_name
     AND t.window_start = b.window_start AND t.window_end = b.window_end)""",
+    "stream_repository_metrics": f"""{BASE}
+SELECT * FROM ({RM_BODY}) m
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "lake_top_repositories": f"{METRICS}\n{TOP_REPOS}",
 }

@@ -127,15 +127,14 @@ def _payload(t: Column, k: Column) -> Column:
 
 
 def _event_struct(defects: bool, collected_delay: int = 60, public: Column | None = None) -> Column:
-    k = _k()
-    t = _event_type(k)
+    """The nested event; expects the ``_k`` and ``_t`` helper columns."""
+    k, t = F.col("_k"), F.col("_t")
     login = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
     repo_name = F.concat(F.lit("org/repo_"), k.cast("string"))
     created = F.date_format(F.col("ts"), ISO_MICROS_UTC)
     actor_id = F.col("user_id")
     if defects:
         d = F.col("event_id") % DEFECT_MOD
-        t = F.when(d == DEFECT_UNKNOWN_TYPE, F.lit(UNKNOWN_TYPE_NAME)).otherwise(t)
         repo_name = F.when(d == DEFECT_NO_REPO_NAME, F.lit(None)).otherwise(repo_name)
         created = F.when(d == DEFECT_BAD_CREATED_AT, F.lit("garbage")).otherwise(created)
         actor_id = F.when(d == DEFECT_NO_ACTOR_ID, F.lit(None)).otherwise(actor_id)
@@ -164,13 +163,22 @@ def _event_struct(defects: bool, collected_delay: int = 60, public: Column | Non
 
 def _records(events: DataFrame, defects: bool, delay: int, public: Column | None,
              keep: tuple[str, ...] = ()) -> DataFrame:
+    # k and the event type are computed once per row and referenced by name
+    base = events.select("event_id", "ts", "user_id", "event_type", *keep,
+                         _k().alias("_k"))
+    t = _event_type(F.col("_k"))
+    if defects:
+        t = F.when(F.col("event_id") % DEFECT_MOD == DEFECT_UNKNOWN_TYPE,
+                   F.lit(UNKNOWN_TYPE_NAME)).otherwise(t)
+    base = base.withColumn("_t", t)
     ev = _event_struct(defects, delay, public)
     value = F.to_json(ev)
     if defects:
         # a truncated message: the JSON text stops in the middle of the object
         value = F.when(F.col("event_id") % DEFECT_MOD == DEFECT_MALFORMED_JSON,
                        F.substring(value, 1, 40)).otherwise(value)
-    return events.select(ev["repo"]["name"].alias("key"), value.alias("value"), *keep)
+    repo_name = ev.getField("repo").getField("name")
+    return base.select(repo_name.alias("key"), value.alias("value"), *keep)
 
 
 def landed_records(events: DataFrame, defects: bool = False, replays: bool = False,

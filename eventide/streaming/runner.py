@@ -86,7 +86,7 @@ TABLE_BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
             checkpoint_root: str | None = None, trigger: dict | None = None,
             watermark: str = DEFAULT_WATERMARK, tables: list[str] | None = None,
-            dedup: bool = True) -> list[StreamingQuery]:
+            dedup: bool = True, with_rejected: bool = True) -> list[StreamingQuery]:
     """Start one query per served table plus ``rejected_events``.
 
     Tables land under ``lake_root/<table>``; checkpoints under
@@ -101,6 +101,8 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
         out = TABLE_BUILDERS[name](ev)
         sink = sinks.lake_batch_writer(os.path.join(lake_root, name), name)
         started.append(start_query(out, name, sink, ckpt, "append", trigger))
+    if not with_rejected:
+        return started
     ckpt = (os.path.join(checkpoint_root, "rejected_events") if checkpoint_root
             else stream_checkpoint(spark, "rejected_events"))
     started.append(start_query(
