@@ -7,8 +7,9 @@ and checkpoint directory so a restart resumes exactly where it stopped, and
 each writing through an idempotent ``foreachBatch`` sink.
 
 Append mode emits a window once the watermark passes its end, i.e. about
-``size + delay`` after its first event; events later than the watermark
-are dropped (``numRowsDroppedByWatermark`` in the query progress).
+``size + delay`` after its first event. Rows older than the watermark of the
+previous micro-batch are dropped (``numRowsDroppedByWatermark`` in the query
+progress); the batch path keeps them, so a backfill restores them.
 """
 
 from __future__ import annotations

@@ -106,14 +106,17 @@ def lake_batch_writer(path: str, table: str | None = None,
 
 def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
                       key: Sequence[str] | None = None,
-                      writer: Callable[[DataFrame], None] | None = None
+                      writer: Callable[[DataFrame], None] | None = None,
+                      reader: Callable[[], DataFrame] | None = None
                       ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending each micro-batch to a JDBC table.
 
     With ``key``, rows already present in the table (by key) are skipped, so a
-    replayed batch inserts nothing twice. Write errors propagate and fail the
-    batch (it is retried), they are never swallowed. ``writer`` replaces the
-    JDBC write (tests).
+    replayed batch inserts nothing twice. Only the slice of the table inside
+    the batch's time range is read back (the range predicate is pushed into
+    the database query), not the whole table. Write errors propagate and fail
+    the batch (it is retried), they are never swallowed. ``writer`` /
+    ``reader`` replace the JDBC write / read (tests).
     """
     def default_writer(df: DataFrame) -> None:
         df.write.jdbc(url=url, table=table, mode="append", properties=properties)
@@ -127,7 +130,12 @@ def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
                 return
             out = shaped
             if key:
-                existing = batch_df.sparkSession.read.jdbc(url, table, properties=properties)
+                existing = (reader() if reader else
+                            batch_df.sparkSession.read.jdbc(url, table, properties=properties))
+                ts = "window_start" if "window_start" in shaped.columns else "created_at"
+                if ts in shaped.columns and ts in existing.columns:
+                    lo, hi = shaped.agg(F.min(ts), F.max(ts)).first()
+                    existing = existing.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
                 out = keyed_append(shaped, existing, key)
             write_fn(out)
         finally:

@@ -135,3 +135,15 @@ def test_jdbc_writer_shapes_and_propagates(spark):
         raise AssertionError("error was swallowed")
     except RuntimeError as e:
         assert "database down" in str(e)
+
+
+def test_jdbc_writer_skips_existing_keys(spark):
+    have = _rm(spark, [(1, "a", "2024-01-30 10:00:00", 1, 0), (9, "z", "2024-01-01 10:00:00", 1, 0)])
+    seen = []
+    write = sinks.jdbc_batch_writer(
+        "repository_metrics", "jdbc:none", {}, key=sinks.TABLE_KEYS["repository_metrics"],
+        writer=lambda df: seen.append(sorted(r.repo_id for r in df.collect())),
+        reader=lambda: have)
+    batch = _rm(spark, [(1, "a", "2024-01-30 10:00:00", 5, 0), (2, "b", "2024-01-30 10:15:00", 1, 0)])
+    write(batch, 3)
+    assert seen == [[2]]

@@ -70,3 +70,52 @@ def test_stream_matches_batch_on_closed_windows(spark, scratch):
         closed = batch.filter(F.col("window_end") <= F.lit(watermark))
         assert streamed.exceptAll(batch).count() == 0, name
         assert closed.exceptAll(streamed).count() == 0, name
+
+
+def test_late_event_dropped_on_stream_kept_in_batch(spark, scratch):
+    import json
+    import time
+    from conftest import event
+    from eventide.operators import metrics
+
+    land = os.path.join(scratch, "land")
+    os.makedirs(land)
+    # Spark filters late rows with the watermark of the previous batch, so the
+    # late event arrives two files after the one that moved the watermark
+    batches = [
+        [event(id="1", created_at="2024-01-02T10:00:00Z"),
+         event(id="2", created_at="2024-01-02T12:00:00Z")],
+        [event(id="4", created_at="2024-01-02T12:05:00Z"),
+         event(id="2", created_at="2024-01-02T12:00:00Z")],         # a re-sent copy
+        [event(id="3", created_at="2024-01-02T09:00:00Z"),          # older than the watermark
+         event(id="5", created_at="2024-01-02T15:00:00Z", type="BrandNewEvent")],
+    ]
+    now = time.time() - 100
+    for i, evs in enumerate(batches):
+        f = os.path.join(land, f"part_{i}.json")
+        with open(f, "w") as fh:
+            for e in evs:
+                fh.write(json.dumps(e) + "\n")
+        os.utime(f, (now + 10 * i, now + 10 * i))
+    lake, ckpt = os.path.join(scratch, "lake"), os.path.join(scratch, "ckpt")
+    qs = runner.run_all(spark, event_stream(spark, "text", land, maxFilesPerTrigger=1), lake, ckpt,
+                        trigger={"availableNow": True}, tables=["events", "repository_metrics"])
+    runner.await_all(spark, qs, bounded=True)
+    raw = sorted(r.id for r in _table(spark, lake, "events").collect())
+    assert raw == ["1", "2", "4", "5"]          # late "3" and the copy of "2" dropped
+    streamed = _table(spark, lake, "repository_metrics")
+    assert streamed.filter("window_start < '2024-01-02 09:00:00'").count() == 0
+    progress = [p for q in qs if q.name == "repository_metrics" for p in q.recentProgress]
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in progress for op in p.get("stateOperators", []))
+    assert dropped >= 1
+    seen = [p["observedMetrics"]["event_quality"] for q in qs if q.name == "events"
+            for p in q.recentProgress if "event_quality" in p.get("observedMetrics", {})]
+    assert sum(m["unknown_types"] for m in seen) == 1
+
+    # the same events in batch keep the late one
+    from conftest import parsed
+    from eventide.operators import quality
+    batch = quality.dedup(parsed(spark, [e for b in batches for e in b]))
+    assert batch.count() == 5
+    assert metrics.repository_metrics(batch).filter("window_start <= '2024-01-02 09:00:00'").count() == 4
