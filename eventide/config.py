@@ -26,14 +26,16 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for streaming checkpoints and lineage cuts.
 
-    Read from the session (``spark.sql.streaming.checkpointLocation`` first,
-    then ``spark.checkpoint.dir``); never a machine-local default.
+    Read from the session (``spark.checkpoint.dir``, the cluster's shared
+    folder, then ``spark.sql.streaming.checkpointLocation``); never a
+    machine-local default.
     """
-    for key in ("spark.sql.streaming.checkpointLocation", "spark.checkpoint.dir"):
+    for key in ("spark.checkpoint.dir", "spark.sql.streaming.checkpointLocation"):
         v = spark.conf.get(key, None)
         if v:
             return v
-    v = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    v = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+         or spark.sparkContext.getCheckpointDir())
     if v:
         return v
     raise RuntimeError(

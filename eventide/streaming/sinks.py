@@ -165,3 +165,27 @@ def drop_expired_partitions(spark, path: str, date_col: str, cutoff_date: str) -
             fs.delete(status.getPath(), True)
             dropped.append(name)
     return sorted(dropped)
+
+
+def expire_landed_files(spark, path: str, max_age_hours: float, now_ms: int | None = None) -> int:
+    """Time-based retention of a landing directory (the message bus's
+    ``retention.ms``): delete landed files older than ``max_age_hours`` by
+    modification time, whether or not a stream has read them. Returns the
+    number of files deleted. (A file stream can instead remove what it has
+    processed with its own ``cleanSource`` option.)
+    """
+    import time as _time
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    now_ms = int(_time.time() * 1000) if now_ms is None else now_ms
+    cutoff = now_ms - int(max_age_hours * 3_600_000)
+    deleted = 0
+    for st in fs.listStatus(root):
+        if st.isFile() and st.getModificationTime() < cutoff \
+                and not st.getPath().getName().startswith(("_", ".")):
+            fs.delete(st.getPath(), False)
+            deleted += 1
+    return deleted

@@ -119,3 +119,32 @@ def test_late_event_dropped_on_stream_kept_in_batch(spark, scratch):
     batch = quality.dedup(parsed(spark, [e for b in batches for e in b]))
     assert batch.count() == 5
     assert metrics.repository_metrics(batch).filter("window_start <= '2024-01-02 09:00:00'").count() == 4
+
+
+def test_sql_over_registered_stream_and_landing_retention(spark, scratch):
+    import json
+    import time
+    from conftest import STAR_EVENT
+    from eventide.streaming import sinks
+
+    land = os.path.join(scratch, "land")
+    os.makedirs(land)
+    for i in range(3):
+        f = os.path.join(land, f"e{i}.json")
+        with open(f, "w") as fh:
+            fh.write(json.dumps({**STAR_EVENT, "id": str(i)}) + "\n")
+        age = 48 * 3600 if i == 0 else 0
+        os.utime(f, (time.time() - age, time.time() - age))
+    ev, _ = runner.prepare(event_stream(spark, "text", land))
+    runner.register(ev, "github_events_test")
+    q = spark.sql("SELECT type, count(*) AS n FROM github_events_test GROUP BY type")
+    assert q.isStreaming
+    out = os.path.join(scratch, "counts")
+    sink = lambda df, _id: df.write.mode("overwrite").parquet(out)
+    query = (q.writeStream.outputMode("complete").foreachBatch(sink)
+              .option("checkpointLocation", os.path.join(scratch, "ck"))
+              .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert [(r.type, r.n) for r in spark.read.parquet(out).collect()] == [("WatchEvent", 3)]
+    assert sinks.expire_landed_files(spark, land, 24) == 1
+    assert sorted(os.listdir(land)) == ["e1.json", "e2.json"]
