@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import EVENT
+from ..schema import EVENT, EVENT_SLIM
 
 
 def decode(records: DataFrame) -> DataFrame:
@@ -24,20 +24,24 @@ def to_ts(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
-def parse_events(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def parse_events(records: DataFrame, processed_at: Column | None = None,
+                 payload: str = "slim") -> DataFrame:
     """JSON records -> one typed row per event.
 
     Malformed JSON yields a row whose fields are all null (rejected later by
     ``quality.validate``); unknown JSON fields are dropped. ``processed_at``
     defaults to the batch time and can be pinned for reproducible output.
+    ``payload="slim"`` keeps only the payload keys the pipeline reads (a
+    struct); ``"map"`` keeps every key (``map<string,string>``).
     """
+    schema = {"slim": EVENT_SLIM, "map": EVENT}[payload]
     rec = decode(records)
     # ``inline`` of the one-element array turns the struct into columns as a
     # generator: filters on the parsed fields (validation) stay above it
     # instead of being rewritten into a second from_json per record.
     parsed = rec.select(
         F.col("key").alias("event_key"),
-        F.inline(F.array(F.from_json(F.col("value"), EVENT))),
+        F.inline(F.array(F.from_json(F.col("value"), schema))),
     )
     return parsed.withColumns({
         "created_at": to_ts(F.col("created_at")),

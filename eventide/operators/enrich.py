@@ -1,8 +1,10 @@
-"""Derived event fields (E3-E5), as column expressions over the payload map.
+"""Derived event fields (E3-E5), as column expressions over the payload.
 
-``payload`` is ``map<string,string>``: nested JSON values arrive as text and
-are decoded here with a second, narrow ``from_json`` / ``get_json_object``.
-Bad nested JSON decodes to null and contributes nothing.
+``payload`` is either the full ``map<string,string>`` or the narrow struct of
+the keys read here (``schema.PAYLOAD_SLIM``); ``payload[key]`` works on both.
+Nested JSON values arrive as text and are decoded with a second, narrow
+``from_json`` / ``get_json_object``. Bad nested JSON decodes to null and
+contributes nothing.
 """
 
 from __future__ import annotations

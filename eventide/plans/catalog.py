@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- ingest and quality ------------------------------------------------------
 
 def q_parse_events(spark, sf):
-    return ntz(parsed(spark, sf).select(
+    return ntz(parsed(spark, sf, payload="map").select(
         "event_key", "id", "type",
         F.col("actor.id").alias("actor_id"), F.col("actor.login").alias("actor_login"),
         F.col("actor.url").alias("actor_url"),

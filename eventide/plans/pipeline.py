@@ -54,9 +54,10 @@ def landed(spark: SparkSession, sf_dir: str, defects: bool = False,
 
 
 def parsed(spark: SparkSession, sf_dir: str, defects: bool = False,
-           replays: bool = False) -> DataFrame:
+           replays: bool = False, payload: str = "slim") -> DataFrame:
     """Parsed events; ``processed_at`` pinned to AS_OF for reproducible output."""
-    return parse_events(landed(spark, sf_dir, defects, replays), processed_at=ts_lit(AS_OF))
+    return parse_events(landed(spark, sf_dir, defects, replays), processed_at=ts_lit(AS_OF),
+                        payload=payload)
 
 
 def clean(df: DataFrame, dedup: bool = True) -> DataFrame:

@@ -68,6 +68,17 @@ EVENT = T.StructType([
     T.StructField("repository_metrics", REPOSITORY_METRICS),
 ])
 
+# --- fixed values: the payload keys the pipeline reads -----------------------
+PAYLOAD_FIELDS = ("action", "commits", "language", "ref_type", "repository")
+
+# The same event with a narrow payload: only the keys enrichment reads, each
+# as JSON text. Keys not named here are skipped by the parser, not copied
+# into a map; large bodies (pull requests, issues, comments) cost a scan,
+# not a string per field.
+PAYLOAD_SLIM = T.StructType([T.StructField(f, T.StringType()) for f in PAYLOAD_FIELDS])
+EVENT_SLIM = T.StructType([
+    T.StructField(f.name, PAYLOAD_SLIM) if f.name == "payload" else f for f in EVENT.fields])
+
 # Transport record: what a message bus (or a landed file) carries.
 RECORD = T.StructType([
     T.StructField("key", T.StringType()),

@@ -18,7 +18,9 @@ def test_parse_star_event(spark):
     r = parsed(spark, [STAR_EVENT]).collect()[0]
     assert r.id == "12345" and r.type == "WatchEvent"
     assert r.actor.id == 123 and r.repo.id == 456 and r.repo.name == "testorg/testrepo"
-    assert r.payload == {"action": "started"}
+    assert r.payload.action == "started" and r.payload.commits is None
+    full = parse_events(records(spark, [STAR_EVENT]), payload="map").collect()[0]
+    assert full.payload == {"action": "started"}
     assert str(r.created_at) == "2024-01-02 10:07:00.123456"
     assert r.public is True
 
@@ -39,6 +41,14 @@ def test_malformed_and_bad_timestamp_do_not_fail(spark):
     assert rows[1].id == "12345" and rows[1].created_at is None
 
 
+def test_slim_payload_keeps_nested_values_as_text(spark):
+    big = event(PUSH_EVENT, payload={"commits": [{"languages": ["Go"]}], "pull_request": {"x": [1, 2]}})
+    slim = parsed(spark, [big]).collect()[0].payload
+    assert slim.commits == '[{"languages":["Go"]}]'
+    full = parse_events(records(spark, [big]), payload="map").collect()[0].payload
+    assert set(full) == {"commits", "pull_request"} and full["pull_request"] == '{"x":[1,2]}'
+
+
 def test_large_actor_id_kept(spark):
     r = parsed(spark, [event(actor__id=5_000_000_000)]).collect()[0]
     assert r.actor.id == 5_000_000_000
