@@ -27,15 +27,13 @@ def event_window(size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE) -> Column:
 
 
 def flatten_window(df: DataFrame, name: str = "window") -> DataFrame:
-    """``window`` struct -> ``window_start`` / ``window_end`` columns."""
-    out = df.withColumns({
-        "window_start": F.col(f"{name}.start"),
-        "window_end": F.col(f"{name}.end"),
-    }).drop(name)
-    cols = [c for c in out.columns if c not in ("window_start", "window_end")]
-    keys = [c for c in cols if c in _LEADING]
-    rest = [c for c in cols if c not in _LEADING]
-    return out.select(*keys, "window_start", "window_end", *rest)
+    """``window`` struct -> ``window_start`` / ``window_end`` columns, placed
+    after the entity keys."""
+    cols = [c for c in df.columns if c != name]
+    keys = [F.col(c) for c in cols if c in _LEADING]
+    rest = [F.col(c) for c in cols if c not in _LEADING]
+    return df.select(*keys, F.col(f"{name}.start").alias("window_start"),
+                     F.col(f"{name}.end").alias("window_end"), *rest)
 
 
 _LEADING = ("repo_id", "repo_name", "event_type", "user_id", "username", "language")

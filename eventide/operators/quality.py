@@ -41,14 +41,14 @@ def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``rejected`` is a report: id and type (``"unknown"`` when absent), the
     comma-joined list of missing fields, and the transport key.
     """
-    checked = with_errors(df)
-    valid = checked.filter(F.size("errors") == 0).drop("errors")
-    rejected = checked.filter(F.size("errors") > 0).select(
+    errors = error_list()
+    valid = df.filter(F.size(errors) == 0)
+    rejected = df.select(
         F.coalesce(F.col("id"), F.lit("unknown")).alias("id"),
         F.coalesce(F.col("type"), F.lit("unknown")).alias("type"),
-        F.array_join("errors", ",").alias("errors"),
+        F.array_join(errors, ",").alias("errors"),
         F.col("event_key"),
-    )
+    ).filter(F.col("errors") != "")
     return valid, rejected
 
 

@@ -24,7 +24,7 @@ a collector that re-polls a page does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values of the adapter --------------------------------------------
@@ -65,113 +65,98 @@ REPLAY_REM = 3
 REPLAY_DELAY_SECONDS = 300
 
 
-def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("bigint")
+# The event is written as one Spark SQL expression (parsed on the JVM in a
+# single call) over the helper columns ``_k`` (props.k) and ``_t`` (type).
 
-
-def _event_type(k: Column) -> Column:
-    t = F.when(F.lit(False), F.lit(None).cast("string"))
-    for src, dst in EVENT_TYPE_MAP.items():
-        t = t.when(F.col("event_type") == src, F.lit(dst))
-    return (t.when((F.col("event_type") == "signup") & (k % 2 == 0), F.lit(SIGNUP_EVEN_K))
-             .when(F.col("event_type") == "signup", F.lit(SIGNUP_ODD_K))
-             .otherwise(F.col("event_type")))
-
-
-def _commit(seq: int, langs) -> Column:
-    fields = [
-        F.concat(F.lit("c"), F.col("event_id").cast("string"), F.lit(f"_{seq}")).alias("sha"),
-        F.concat(F.lit("commit "), F.lit(str(seq))).alias("message"),
-    ]
-    if langs is None:
-        fields.append(F.lit(None).cast("array<string>").alias("languages"))
-    else:
-        fields.append(F.array(*[F.lit(x) for x in langs]).cast("array<string>").alias("languages"))
-    return F.struct(*fields)
+def _lit(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
 _COMMIT_TYPE = "array<struct<sha:string,message:string,languages:array<string>>>"
 
 
-def _commits(k: Column) -> Column:
-    c = F.when(F.lit(False), F.lit(None).cast(_COMMIT_TYPE))
-    for rem, commits in PUSH_COMMIT_LANGUAGES.items():
-        arr = F.array(*[_commit(i + 1, langs) for i, langs in enumerate(commits)])
-        c = c.when(k % 5 == rem, arr.cast(_COMMIT_TYPE))
-    return c
-
-
-def _payload(t: Column, k: Column) -> Column:
-    is_issue_or_pr = t.isin("IssuesEvent", "PullRequestEvent")
-    create_lang = F.element_at(
-        F.array(*[F.lit(x) for x in CREATE_LANGUAGES] + [F.lit(None).cast("string")]),
-        (F.floor(k / 4) % 5 + 1).cast("int"))
-    return F.struct(
-        F.when(t == "WatchEvent",
-               F.when(k % 10 == 9, F.lit("stopped")).otherwise(F.lit("started")))
-         .when(is_issue_or_pr, F.lit("opened")).alias("action"),
-        F.when(t == "PushEvent", _commits(k)).alias("commits"),
-        F.when(is_issue_or_pr & (k % 3 != 0), F.struct(
-            (k * 10).alias("stargazers_count"),
-            k.alias("forks_count"),
-            (k * 10 + 1).alias("watchers_count"),
-            (k % 7).alias("open_issues_count"))).alias("repository"),
-        F.when(t == "ForkEvent", F.struct(
-            F.col("event_id").alias("id"),
-            F.concat(F.lit("user_"), F.col("user_id").cast("string"),
-                     F.lit("/repo_"), k.cast("string")).alias("full_name"))).alias("forkee"),
-        F.when(t == "CreateEvent",
-               F.when(k % 4 == 1, F.lit("repository")).otherwise(F.lit("branch"))).alias("ref_type"),
-        F.when(t == "CreateEvent", create_lang).alias("language"),
-    )
-
-
-def _event_struct(defects: bool, collected_delay: int = 60, public: Column | None = None) -> Column:
-    """The nested event; expects the ``_k`` and ``_t`` helper columns."""
-    k, t = F.col("_k"), F.col("_t")
-    login = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
-    repo_name = F.concat(F.lit("org/repo_"), k.cast("string"))
-    created = F.date_format(F.col("ts"), ISO_MICROS_UTC)
-    actor_id = F.col("user_id")
+def _commit_sql(seq: int, langs) -> str:
+    languages = ("CAST(NULL AS array<string>)" if langs is None
+                 else "CAST(array(" + ", ".join(_lit(x) for x in langs) + ") AS array<string>)")
+    return (f"named_struct('sha', concat('c', CAST(event_id AS STRING), '_{seq}'), "
+            f"'message', 'commit {seq}', 'languages', {languages})")
+
+
+def _commits_sql() -> str:
+    branches = " ".join(
+        f"WHEN {rem} THEN CAST(array({', '.join(_commit_sql(i + 1, l) for i, l in enumerate(cs))})"
+        f" AS {_COMMIT_TYPE})"
+        for rem, cs in PUSH_COMMIT_LANGUAGES.items())
+    return f"CASE _k % 5 {branches} END"
+
+
+def _type_sql() -> str:
+    branches = " ".join(f"WHEN event_type = {_lit(a)} THEN {_lit(b)}"
+                        for a, b in EVENT_TYPE_MAP.items())
+    return (f"CASE {branches} "
+            f"WHEN event_type = 'signup' AND _k % 2 = 0 THEN {_lit(SIGNUP_EVEN_K)} "
+            f"WHEN event_type = 'signup' THEN {_lit(SIGNUP_ODD_K)} "
+            f"ELSE event_type END")
+
+
+def _payload_sql() -> str:
+    issue_or_pr = "_t IN ('IssuesEvent', 'PullRequestEvent')"
+    create_langs = ", ".join(_lit(x) for x in CREATE_LANGUAGES + [None])
+    return f"""named_struct(
+      'action', CASE WHEN _t = 'WatchEvent'
+                     THEN CASE WHEN _k % 10 = 9 THEN 'stopped' ELSE 'started' END
+                     WHEN {issue_or_pr} THEN 'opened' END,
+      'commits', CASE WHEN _t = 'PushEvent' THEN {_commits_sql()} END,
+      'repository', CASE WHEN {issue_or_pr} AND _k % 3 != 0 THEN named_struct(
+          'stargazers_count', _k * 10, 'forks_count', _k,
+          'watchers_count', _k * 10 + 1, 'open_issues_count', _k % 7) END,
+      'forkee', CASE WHEN _t = 'ForkEvent' THEN named_struct(
+          'id', event_id,
+          'full_name', concat('user_', CAST(user_id AS STRING), '/repo_', CAST(_k AS STRING))) END,
+      'ref_type', CASE WHEN _t = 'CreateEvent'
+                       THEN CASE WHEN _k % 4 = 1 THEN 'repository' ELSE 'branch' END END,
+      'language', CASE WHEN _t = 'CreateEvent'
+                       THEN element_at(array({create_langs}), CAST(floor(_k / 4) % 5 + 1 AS INT)) END)"""
+
+
+def _event_sql(defects: bool, collected_delay: int, public: str) -> str:
+    login = "concat('user_', CAST(user_id AS STRING))"
+    repo_name = "concat('org/repo_', CAST(_k AS STRING))"
+    created = f"date_format(ts, \"{ISO_MICROS_UTC}\")"
+    actor_id = "user_id"
     if defects:
-        d = F.col("event_id") % DEFECT_MOD
-        repo_name = F.when(d == DEFECT_NO_REPO_NAME, F.lit(None)).otherwise(repo_name)
-        created = F.when(d == DEFECT_BAD_CREATED_AT, F.lit("garbage")).otherwise(created)
-        actor_id = F.when(d == DEFECT_NO_ACTOR_ID, F.lit(None)).otherwise(actor_id)
-    return F.struct(
-        F.col("event_id").cast("string").alias("id"),
-        t.alias("type"),
-        F.struct(
-            actor_id.alias("id"),
-            login.alias("login"),
-            login.alias("display_login"),
-            F.concat(F.lit("https://api.example.invalid/users/"), login).alias("url"),
-            F.concat(F.lit("https://avatars.example.invalid/u/"),
-                     F.col("user_id").cast("string")).alias("avatar_url")).alias("actor"),
-        F.struct(
-            k.alias("id"),
-            repo_name.alias("name"),
-            F.concat(F.lit("https://api.example.invalid/repos/org/repo_"),
-                     k.cast("string")).alias("url")).alias("repo"),
-        _payload(t, k).alias("payload"),
-        (public if public is not None else F.lit(True)).alias("public"),
-        created.alias("created_at"),
-        F.date_format(F.col("ts") + F.make_interval(secs=F.lit(collected_delay)),
-                      ISO_MICROS_UTC).alias("collected_at"),
-    )
-
-
-def _records(events: DataFrame, defects: bool, delay: int, public: Column | None,
+        d = f"event_id % {DEFECT_MOD}"
+        repo_name = f"CASE WHEN {d} = {DEFECT_NO_REPO_NAME} THEN NULL ELSE {repo_name} END"
+        created = f"CASE WHEN {d} = {DEFECT_BAD_CREATED_AT} THEN 'garbage' ELSE {created} END"
+        actor_id = f"CASE WHEN {d} = {DEFECT_NO_ACTOR_ID} THEN NULL ELSE user_id END"
+    return f"""named_struct(
+      'id', CAST(event_id AS STRING),
+      'type', _t,
+      'actor', named_struct(
+          'id', {actor_id}, 'login', {login}, 'display_login', {login},
+          'url', concat('https://api.example.invalid/users/', {login}),
+          'avatar_url', concat('https://avatars.example.invalid/u/', CAST(user_id AS STRING))),
+      'repo', named_struct(
+          'id', _k, 'name', {repo_name},
+          'url', concat('https://api.example.invalid/repos/org/repo_', CAST(_k AS STRING))),
+      'payload', {_payload_sql()},
+      'public', {public},
+      'created_at', {created},
+      'collected_at', date_format(ts + make_interval(0, 0, 0, 0, 0, 0, {collected_delay}),
+                                  \"{ISO_MICROS_UTC}\"))"""
+
+
+def _records(events: DataFrame, defects: bool, delay: int, public: str,
              keep: tuple[str, ...] = ()) -> DataFrame:
     # k and the event type are computed once per row and referenced by name
-    base = events.select("event_id", "ts", "user_id", "event_type", *keep,
-                         _k().alias("_k"))
-    t = _event_type(F.col("_k"))
+    t = _type_sql()
     if defects:
-        t = F.when(F.col("event_id") % DEFECT_MOD == DEFECT_UNKNOWN_TYPE,
-                   F.lit(UNKNOWN_TYPE_NAME)).otherwise(t)
-    base = base.withColumn("_t", t)
-    ev = _event_struct(defects, delay, public)
+        t = (f"CASE WHEN event_id % {DEFECT_MOD} = {DEFECT_UNKNOWN_TYPE} "
+             f"THEN {_lit(UNKNOWN_TYPE_NAME)} ELSE {t} END")
+    base = (events.select("event_id", "ts", "user_id", "event_type", *keep,
+                          F.get_json_object("props", "$.k").cast("bigint").alias("_k"))
+                  .withColumn("_t", F.expr(t)))
+    ev = F.expr(_event_sql(defects, delay, public))
     value = F.to_json(ev)
     if defects:
         # a truncated message: the JSON text stops in the middle of the object
@@ -185,9 +170,9 @@ def landed_records(events: DataFrame, defects: bool = False, replays: bool = Fal
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """``(key, value)`` JSON records for every row of ``events`` (plus the
     ``keep`` columns of the input, e.g. ``ts`` to land them in time order)."""
-    out = _records(events, defects, 60, None, keep)
+    out = _records(events, defects, 60, "true", keep)
     if replays:
         again = events.filter(F.col("event_id") % REPLAY_MOD == REPLAY_REM)
         out = out.unionByName(_records(again, defects, 60 + REPLAY_DELAY_SECONDS,
-                                       F.lit(False), keep))
+                                       "false", keep))
     return out
