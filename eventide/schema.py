@@ -85,6 +85,23 @@ RECORD = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# Clean events between the ingest query and the table queries: only the
+# fields the served tables read, partitioned by event date.
+CLEAN_EVENT = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("actor", T.StructType([T.StructField("id", T.LongType()),
+                                         T.StructField("login", T.StringType())])),
+    T.StructField("repo", T.StructType([T.StructField("id", T.LongType()),
+                                        T.StructField("name", T.StringType())])),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("collected_at", T.TimestampType()),
+    T.StructField("processed_at", T.TimestampType()),
+    T.StructField("public", T.BooleanType()),
+    T.StructField("languages", T.ArrayType(T.StringType())),
+    T.StructField("event_date", T.DateType()),
+])
+
 # --- served tables (the sink contract) --------------------------------------
 RAW_EVENTS = T.StructType([
     T.StructField("id", T.StringType()),

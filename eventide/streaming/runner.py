@@ -1,10 +1,19 @@
 """Structured Streaming jobs: one named query per served table.
 
 ``prepare`` turns a record stream into clean events: parse -> validate ->
-watermark -> de-duplicate -> enrich. ``run_all`` starts the raw-event query,
-the four metric queries and the rejected-event query, each with its own name
-and checkpoint directory so a restart resumes exactly where it stopped, and
-each writing through an idempotent ``foreachBatch`` sink.
+watermark -> de-duplicate -> enrich. ``run_all`` starts, each with its own
+name and checkpoint directory so a restart resumes exactly where it stopped:
+
+* ``clean_events`` (ingest): the only query that parses the JSON source;
+  it writes the clean events' needed columns through Spark's exactly-once
+  file sink (Parquet, partitioned by event date);
+* the raw-event and four metric queries, streaming from that columnar table
+  (pruned columns, no JSON), each writing through an idempotent
+  ``foreachBatch`` sink;
+* ``rejected_events``: the validation report, from the source.
+
+(``staged=False`` instead runs every table query straight off the source,
+which parses the JSON once per query.)
 
 Append mode emits a window once the watermark passes its end, i.e. about
 ``size + delay`` after its first event. Rows older than the watermark of the
@@ -25,7 +34,7 @@ from ..config import stream_checkpoint
 from ..functions.parse import parse_events
 from ..operators import enrich as enrich_ops
 from ..operators import metrics, quality
-from ..schema import KNOWN_EVENT_TYPES
+from ..schema import CLEAN_EVENT, KNOWN_EVENT_TYPES
 from . import sinks
 
 DEFAULT_WATERMARK = "10 minutes"
@@ -84,32 +93,77 @@ TABLE_BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def clean_columns(ev: DataFrame) -> DataFrame:
+    """The clean-event columns the served tables read (``schema.CLEAN_EVENT``)."""
+    return ev.select(
+        "id", "type",
+        F.struct(F.col("actor.id").alias("id"), F.col("actor.login").alias("login")).alias("actor"),
+        F.struct(F.col("repo.id").alias("id"), F.col("repo.name").alias("name")).alias("repo"),
+        "created_at", "collected_at", "processed_at", "public", "languages",
+        F.to_date("created_at").alias("event_date"))
+
+
+def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
+                 trigger: dict | None = None, watermark: str = DEFAULT_WATERMARK,
+                 dedup: bool = True) -> StreamingQuery:
+    """Parse once: clean events -> Parquet file sink (exactly-once via its
+    metadata log; a downstream file source reads only committed files)."""
+    ev, _ = prepare(records, watermark, dedup)
+    w = (clean_columns(ev).writeStream.queryName("clean_events").outputMode("append")
+         .format("parquet").option("path", clean_path)
+         .option("checkpointLocation", checkpoint).partitionBy("event_date"))
+    return _trigger(w, trigger).start()
+
+
+def clean_stream(spark: SparkSession, clean_path: str,
+                 watermark: str = DEFAULT_WATERMARK, **options) -> DataFrame:
+    """The clean-event table as a stream, watermarked on ``created_at``."""
+    return (spark.readStream.schema(CLEAN_EVENT).options(**options).parquet(clean_path)
+            .drop("event_date").withWatermark("created_at", watermark))
+
+
 def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
             checkpoint_root: str | None = None, trigger: dict | None = None,
             watermark: str = DEFAULT_WATERMARK, tables: list[str] | None = None,
-            dedup: bool = True, with_rejected: bool = True) -> list[StreamingQuery]:
-    """Start one query per served table plus ``rejected_events``.
-
-    Tables land under ``lake_root/<table>``; checkpoints under
-    ``checkpoint_root/<table>`` (default: the session's checkpoint folder).
+            dedup: bool = True, with_rejected: bool = True,
+            staged: bool = True) -> list[StreamingQuery]:
+    """Start the ingest query, one query per served table, and ``rejected_events``.
+
+    Tables land under ``lake_root/<table>`` (clean events under
+    ``lake_root/_clean_events``); checkpoints under ``checkpoint_root/<name>``
+    (default: the session's checkpoint folder). With a bounded trigger
+    (``availableNow``) the ingest query is drained before the table queries
+    start, so they see all of its output.
     """
-    ev, rejected = prepare(records, watermark, dedup)
-    register(ev)
+    def ckpt_for(name: str) -> str:
+        return (os.path.join(checkpoint_root, name) if checkpoint_root
+                else stream_checkpoint(spark, name))
+
     started = []
+    if staged:
+        clean_path = os.path.join(lake_root, "_clean_events")
+        ingest = start_ingest(records, clean_path, ckpt_for("clean_events"), trigger,
+                              watermark, dedup)
+        started.append(ingest)
+        if trigger and trigger.get("availableNow"):
+            ingest.awaitTermination()
+            if ingest.exception() is not None:
+                raise ingest.exception()
+        ev = clean_stream(spark, clean_path, watermark)
+    else:
+        ev, _ = prepare(records, watermark, dedup)
+    register(ev)
     for name in tables or list(TABLE_BUILDERS):
-        ckpt = (os.path.join(checkpoint_root, name) if checkpoint_root
-                else stream_checkpoint(spark, name))
         out = TABLE_BUILDERS[name](ev)
         sink = sinks.lake_batch_writer(os.path.join(lake_root, name), name)
-        started.append(start_query(out, name, sink, ckpt, "append", trigger))
+        started.append(start_query(out, name, sink, ckpt_for(name), "append", trigger))
     if not with_rejected:
         return started
-    ckpt = (os.path.join(checkpoint_root, "rejected_events") if checkpoint_root
-            else stream_checkpoint(spark, "rejected_events"))
+    _, rejected = quality.validate(parse_events(records))
     started.append(start_query(
         rejected.withColumn("created_at", F.current_timestamp()), "rejected_events",
         sinks.lake_batch_writer(os.path.join(lake_root, "rejected_events")),
-        ckpt, "append", trigger))
+        ckpt_for("rejected_events"), "append", trigger))
     return started
 
 
