@@ -41,10 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (one shuffle of the narrow input); a large input already has far
     more splits than cores and is left untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as scanned
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def landed(spark: SparkSession, sf_dir: str, defects: bool = False,
