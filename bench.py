@@ -4,9 +4,12 @@ Runs each headline query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 on ``local[$BENCH_CPUS]`` and prints ONE JSON line:
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
 
-Each query is timed end to end (plan + full execution into the ``noop``
-sink, which computes every row without collecting to the driver), after one
-untimed warm-up query that pays JVM start-up and class loading.
+Each query is timed end to end (DataFrame construction, planning and full
+execution into the ``noop`` sink, which computes every row without
+collecting to the driver). After one untimed warm-up query (JVM start-up,
+class loading), each query runs ``$BENCH_REPEAT`` times (default 3):
+``queries`` holds the median, ``cold`` the first run (which also pays code
+generation and JIT for that plan shape).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -52,11 +56,17 @@ def main() -> None:
 
     QUERIES["flow_check"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times: dict[str, float] = {}
+    cold: dict[str, float] = {}
     for name in (only or HEADLINE):
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        cold[name] = round(runs[0], 3)
+        times[name] = round(statistics.median(runs), 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -64,6 +74,9 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "cold": cold,
+        "cold_total": round(sum(cold.values()), 3),
+        "repeat": repeat,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }))

@@ -27,9 +27,20 @@ RETENTION_AS_OF = "2024-02-15 00:00:00"
 KEYED_APPEND_CUT = "2024-01-16 00:00:00"
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, resolved once per session (file listing and Parquet
+    footers are read on first use; DataFrames are immutable, so the relation
+    is shared by every query of the session, like a catalog table)."""
     ensure_session(spark)
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
