@@ -1,7 +1,7 @@
 """Command line: run the streaming job, a batch backfill, or retention.
 
     python -m eventide stream --source kafka --option kafka.bootstrap.servers=host:9092 \\
-        --option subscribe=github-events --lake s3://bucket/lake --trigger "60 seconds"
+        --option subscribe=activity-events --lake s3://bucket/lake --trigger "60 seconds"
     python -m eventide stream --source parquet --path /landing --lake /lake --available-now
     python -m eventide build --source json --path /landed/events --lake /lake
     python -m eventide retain --lake /lake --days 30 --as-of 2024-02-15

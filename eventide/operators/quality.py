@@ -31,10 +31,6 @@ def error_list() -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def with_errors(df: DataFrame) -> DataFrame:
-    return df.withColumn("errors", error_list())
-
-
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split parsed events into ``(valid, rejected)``.
 

@@ -38,7 +38,7 @@ from ..schema import CLEAN_EVENT, KNOWN_EVENT_TYPES
 from . import sinks
 
 DEFAULT_WATERMARK = "10 minutes"
-EVENTS_VIEW = "github_events"
+EVENTS_VIEW = "activity_events"
 
 
 def register(df: DataFrame, name: str = EVENTS_VIEW) -> DataFrame:

@@ -144,8 +144,8 @@ def test_sql_over_registered_stream_and_landing_retention(spark, scratch):
         age = 48 * 3600 if i == 0 else 0
         os.utime(f, (time.time() - age, time.time() - age))
     ev, _ = runner.prepare(event_stream(spark, "text", land))
-    runner.register(ev, "github_events_test")
-    q = spark.sql("SELECT type, count(*) AS n FROM github_events_test GROUP BY type")
+    runner.register(ev, "activity_events_test")
+    q = spark.sql("SELECT type, count(*) AS n FROM activity_events_test GROUP BY type")
     assert q.isStreaming
     out = os.path.join(scratch, "counts")
     sink = lambda df, _id: df.write.mode("overwrite").parquet(out)
