@@ -27,12 +27,20 @@ CLEAN = "_clean_events"
 BUILDERS = {"events": metrics.raw_events, **metrics.METRIC_TABLES}
 
 
-def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite",
+                date_clustered: bool = False) -> None:
+    """Write one served table partitioned by ``window_date``.
+
+    Aggregated tables come out of a hash exchange, so every task holds rows
+    of every date: they are range-partitioned on (date, entity) first, so each
+    task writes whole, sorted runs of few dates (large files, tight min/max
+    statistics). ``date_clustered`` input (read from the date-partitioned
+    clean table, one date per scan split) skips that shuffle.
+    """
     out = with_window_date(shape_for_table(df))
     cluster = TABLE_CLUSTER.get(table)
-    # range-partition on (date, entity): each task writes whole, sorted runs of
-    # few dates, so files stay large and their min/max statistics are tight
-    out = out.repartitionByRange("window_date", cluster) if cluster else out
+    if cluster and not date_clustered:
+        out = out.repartitionByRange("window_date", cluster)
     out = out.sortWithinPartitions("window_date", *([cluster] if cluster else []))
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date").parquet(path))
@@ -42,13 +50,18 @@ def build_tables(spark: SparkSession, clean_events: DataFrame, lake_root: str,
                  tables: list[str] | None = None) -> dict[str, str]:
     """Write the clean events, then every served table; returns their paths."""
     clean_path = os.path.join(lake_root, CLEAN)
+    # out of the de-duplication exchange (hash on id) every task holds every
+    # date; rebalancing on the date (AQE splits big dates, merges small ones)
+    # writes a few large files per date instead of one per task and date
     (clean_events.withColumn("event_date", F.to_date("created_at"))
+        .hint("rebalance", "event_date")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date").parquet(clean_path))
     clean = spark.read.parquet(clean_path).drop("event_date")
     paths = {}
     for name in tables or list(BUILDERS):
         path = os.path.join(lake_root, name)
-        write_table(BUILDERS[name](clean), path, name)
+        # the raw table is a projection of the date-partitioned clean table
+        write_table(BUILDERS[name](clean), path, name, date_clustered=(name == "events"))
         paths[name] = path
     return paths

@@ -93,9 +93,12 @@ def lake_batch_writer(path: str, table: str | None = None,
             if shaped.isEmpty():
                 return
             out = shaped.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            # few, sorted files per date and batch: micro-batches run without
+            # AQE (a rebalance hint would be dropped), so range-partition the
+            # cached batch on (date, entity); a large date still spans tasks
             cluster = TABLE_CLUSTER.get(table or "", None)
-            if cluster and cluster in out.columns:
-                out = out.sortWithinPartitions("window_date", cluster)
+            keys = ["window_date"] + ([cluster] if cluster and cluster in out.columns else [])
+            out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
             (out.write.format(fmt).mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("window_date", "batch_id").save(path))

@@ -156,3 +156,21 @@ def test_sql_over_registered_stream_and_landing_retention(spark, scratch):
     assert [(r.type, r.n) for r in spark.read.parquet(out).collect()] == [("WatchEvent", 3)]
     assert sinks.expire_landed_files(spark, land, 24) == 1
     assert sorted(os.listdir(land)) == ["e1.json", "e2.json"]
+
+
+def test_direct_topology_matches_staged(spark, scratch):
+    ev = pipeline.table(spark, SF_SMALL, "events")
+    land = os.path.join(scratch, "land")
+    land_in_time_order(spark, landed_records(ev, keep=("ts",)), "ts", land, days_per_file=10)
+    out = {}
+    for staged in (True, False):
+        lake = os.path.join(scratch, f"lake_{staged}")
+        qs = runner.run_all(spark, event_stream(spark, "parquet", land, maxFilesPerTrigger=1),
+                            lake, os.path.join(scratch, f"ck_{staged}"),
+                            trigger={"availableNow": True}, tables=["repository_metrics"],
+                            with_rejected=False, staged=staged)
+        runner.await_all(spark, qs, bounded=True)
+        out[staged] = _table(spark, lake, "repository_metrics")
+    assert out[True].count() > 3900
+    assert out[True].exceptAll(out[False]).count() == 0
+    assert out[False].exceptAll(out[True]).count() == 0
