@@ -58,4 +58,6 @@ def builder(master: str = "local[*]", shuffle_partitions: int = 8):
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state."
                 "RocksDBStateStoreProvider")
+        # commit a changelog per micro-batch, snapshot in the background
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
