@@ -9,12 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefilters import strictly_between, time_filter
+from ..functions.timefilters import strictly_between, time_filter, ts_lit
 from . import reports
 
 TOP_SERIES = 10
 
 
+def _dates(df: DataFrame, frm, to, lo_shift: str | None = None,
+           hi_shift: str | None = None) -> DataFrame:
+    """On a lake table, add the ``window_date`` bounds implied by a time
+    range so whole date partitions are pruned (exact: the date is derived
+    from ``window_start``); the shifts widen the bounds by an interval."""
+    if "window_date" not in df.columns:
+        return df
+    lo, hi = ts_lit(frm), ts_lit(to)
+    if lo_shift:
+        lo = lo - F.expr(f"INTERVAL {lo_shift}")
+    if hi_shift:
+        hi = hi + F.expr(f"INTERVAL {hi_shift}")
+    return df.filter(F.col("window_date").between(F.to_date(lo), F.to_date(hi)))
+
+
 def repository_activity(m: DataFrame, frm, to, as_of=None, k: int = TOP_SERIES) -> DataFrame:
     """(window_start as time, event_count) of the top-k repositories in range.
 
@@ -22,7 +37,7 @@ def repository_activity(m: DataFrame, frm, to, as_of=None, k: int = TOP_SERIES)
     because k bounds its size; no shuffle of the metric table.
     """
     top = reports.top_repositories(m, as_of).select("repo_id").limit(k)
-    return (m.filter(time_filter("window_start", frm, to))
+    return (_dates(m, frm, to).filter(time_filter("window_start", frm, to))
              .join(F.broadcast(top), "repo_id", "left_semi")
              .select(F.col("window_start").alias("time"), "event_count")
              .orderBy("time", "event_count"))
@@ -36,7 +51,7 @@ def series_stats(df: DataFrame, c: str = "event_count") -> DataFrame:
 
 def event_types(e: DataFrame, frm, to) -> DataFrame:
     """Events per type in range, largest first, with the pie's share in percent."""
-    grouped = (e.filter(time_filter("window_start", frm, to))
+    grouped = (_dates(e, frm, to).filter(time_filter("window_start", frm, to))
                 .groupBy("event_type")
                 .agg(F.sum("event_count").cast("bigint").alias("count")))
     return reports.with_share(grouped, "count").orderBy(
@@ -44,7 +59,7 @@ def event_types(e: DataFrame, frm, to) -> DataFrame:
 
 
 def top_languages(lt: DataFrame, frm, to, k: int = TOP_SERIES) -> DataFrame:
-    return (lt.filter(time_filter("window_start", frm, to))
+    return (_dates(lt, frm, to).filter(time_filter("window_start", frm, to))
               .groupBy("language")
               .agg(F.sum("event_count").cast("bigint").alias("count"))
               .orderBy(F.col("count").desc(), "language")
@@ -63,7 +78,8 @@ def top_users(u: DataFrame, as_of=None, k: int = TOP_SERIES) -> DataFrame:
 
 
 def overall_trends(m: DataFrame, frm, to) -> DataFrame:
-    return (reports.aggregated_metrics(m)
+    # hour = start of the hour of window_start, so window_start < to + 1 hour
+    return (reports.aggregated_metrics(_dates(m, frm, to, hi_shift="1 HOUR"))
             .filter(time_filter("hour", frm, to))
             .select(F.col("hour").alias("time"), "total_events", "total_stars",
                     "total_forks", "total_prs", "total_issues")
@@ -72,6 +88,8 @@ def overall_trends(m: DataFrame, frm, to) -> DataFrame:
 
 def repository_stars(m: DataFrame, frm, to) -> DataFrame:
     """Stars per repository and window end, strictly inside the range."""
-    return (m.filter(strictly_between("window_end", frm, to))
+    # window_end > frm means window_start > frm - (window size); one day
+    # covers every width the tables hold (hourly sliding, daily rollups)
+    return (_dates(m, frm, to, lo_shift="1 DAY").filter(strictly_between("window_end", frm, to))
              .select("repo_name", F.col("window_end").alias("time"), "stars")
              .orderBy("time", "repo_name"))

@@ -27,3 +27,21 @@ def test_build_tables_and_pruned_reports(spark, scratch):
     plan = lake_top._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan and "window_date#" in plan
     assert "PushedFilters: [IsNotNull(window_start), GreaterThanOrEqual(window_start" in plan
+
+
+def test_panels_over_lake_prune_dates(spark, scratch):
+    from pyspark.sql import functions as F
+    from eventide.plans import panels
+    ev = pipeline.events(spark, SF_SMALL)
+    tables.build_tables(spark, ev, scratch, ["repository_metrics"])
+    m = metric_table(spark, scratch, "repository_metrics")
+    direct = metrics.repository_metrics(ev)
+    frm, to = pipeline.PANEL_FROM, pipeline.PANEL_TO
+    for fn in (lambda t: panels.overall_trends(t, frm, to),
+               lambda t: panels.repository_stars(t, frm, to),
+               lambda t: panels.repository_activity(t, frm, to, pipeline.AS_OF)):
+        lake = fn(m)
+        assert sorted(lake.collect()) == sorted(fn(direct).collect())
+        assert "PartitionFilters: [isnotnull(window_date" in \
+            lake._jdf.queryExecution().executedPlan().toString()
+    assert m.filter(F.col("window_date") < "2024-01-28").count() > 0
