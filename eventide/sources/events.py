@@ -24,7 +24,10 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     """Streaming ``(key, value)`` records.
 
     * ``fmt="kafka"``: pass ``kafka.bootstrap.servers`` and ``subscribe``;
-      defaults ``startingOffsets=latest``, ``failOnDataLoss=false``. Needs the
+      defaults ``startingOffsets=latest``, ``failOnDataLoss=false``, and
+      ``minPartitions`` = the cluster's parallelism: records are keyed by
+      repository, so a hot repository fills one topic partition, and this
+      splits its offset range over several tasks instead of one. Needs the
       Kafka connector on the classpath.
     * ``fmt="parquet"/"json"/"orc"``: landed ``(key, value)`` records under
       ``path``; ``maxFilesPerTrigger`` etc. pass through.
@@ -32,7 +35,8 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     """
     ensure_session(spark)
     if fmt == "kafka":
-        opts = {"startingOffsets": "latest", "failOnDataLoss": "false", **options}
+        opts = {"startingOffsets": "latest", "failOnDataLoss": "false",
+                "minPartitions": str(spark.sparkContext.defaultParallelism), **options}
         return (spark.readStream.format("kafka").options(**opts).load()
                 .select("key", "value"))
     reader = spark.readStream.options(**options)
@@ -48,7 +52,8 @@ def event_batch(spark: SparkSession, fmt: str, path: str, **options) -> DataFram
     """The same records read as a bounded batch (backfills, replays)."""
     ensure_session(spark)
     if fmt == "kafka":
-        opts = {"startingOffsets": "earliest", "failOnDataLoss": "false", **options}
+        opts = {"startingOffsets": "earliest", "failOnDataLoss": "false",
+                "minPartitions": str(spark.sparkContext.defaultParallelism), **options}
         return spark.read.format("kafka").options(**opts).load().select("key", "value")
     reader = spark.read.options(**options)
     if fmt == "text":
