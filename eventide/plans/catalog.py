@@ -215,9 +215,11 @@ def q_stream_repository_metrics(spark, sf):
     """The repository table as the streaming job produces it.
 
     The events are landed as files in event-time order, then drained by the
-    streaming query (watermark, de-duplication, append mode, ``foreachBatch``
-    lake sink). Append mode emits only closed windows: those ending at or
-    before the final watermark (latest event time minus the delay).
+    streaming job: the ingest query (parse, validation, watermarked
+    de-duplication, enrichment -> clean Parquet table) and the repository
+    query streaming from it (append mode, ``foreachBatch`` lake sink). Append
+    mode emits only closed windows: those ending at or before the final
+    watermark (latest event time minus the delay).
     """
     root = _scratch(spark)
     land = os.path.join(root, "landing")

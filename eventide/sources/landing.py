@@ -51,6 +51,8 @@ def land_in_time_order(spark: SparkSession, records: DataFrame, ts: DataFrame |
             if not name.endswith(".parquet"):
                 continue
             dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"span_{sp:08d}_{j:04d}.parquet")
+            if fs.exists(dst):      # landed by an earlier, interrupted run
+                continue
             fs.rename(st.getPath(), dst)
             fs.setTimes(dst, base_ms + i * 10_000, -1)
             landed.append(dst.toString())
