@@ -31,3 +31,20 @@ def test_stream_build_retain(spark, scratch):
           "--tables", "repository_metrics"])
     left = metric_table(spark, lake_b, "repository_metrics")
     assert left.agg({"window_date": "min"}).collect()[0][0].isoformat() == "2024-01-21"
+
+
+def test_build_from_json_lines(spark, scratch):
+    from pyspark.sql import functions as F
+    from eventide.operators import metrics
+
+    land = os.path.join(scratch, "jsonl")
+    recs = landed_records(pipeline.table(spark, SF_SMALL, "events"))
+    recs.select("value").write.text(land)          # one JSON event per line, no key
+    lake = os.path.join(scratch, "lake")
+    main(["build", "--source", "text", "--path", land, "--lake", lake,
+          "--tables", "events", "language_trends"])
+    assert metric_table(spark, lake, "events").count() == 1000
+    built = metric_table(spark, lake, "language_trends").drop("window_date")
+    direct = metrics.language_trends(pipeline.events(spark, SF_SMALL))
+    assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
+    assert built.agg(F.sum("event_count")).collect()[0][0] > 0
