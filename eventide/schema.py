@@ -86,7 +86,7 @@ RECORD = T.StructType([
 ])
 
 # Clean events between the ingest query and the table queries: only the
-# fields the served tables read, partitioned by event date.
+# fields the served tables read.
 CLEAN_EVENT = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("type", T.StringType()),
@@ -99,7 +99,6 @@ CLEAN_EVENT = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
     T.StructField("public", T.BooleanType()),
     T.StructField("languages", T.ArrayType(T.StringType())),
-    T.StructField("event_date", T.DateType()),
 ])
 
 # --- served tables (the sink contract) --------------------------------------

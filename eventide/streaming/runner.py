@@ -6,7 +6,9 @@ name and checkpoint directory so a restart resumes exactly where it stopped:
 
 * ``clean_events`` (ingest): the only query that parses the JSON source;
   it writes the clean events' needed columns through Spark's exactly-once
-  file sink (Parquet, partitioned by event date);
+  file sink (Parquet; each micro-batch's files hold a narrow time range, so
+  min/max statistics on ``created_at`` prune batch reads, and files expire by
+  age: the sink's ``retention`` option plus ``sinks.expire_landed_files``);
 * the raw-event and four metric queries, streaming from that columnar table
   (pruned columns, no JSON), each writing through an idempotent
   ``foreachBatch`` sink;
@@ -99,19 +101,22 @@ def clean_columns(ev: DataFrame) -> DataFrame:
         "id", "type",
         F.struct(F.col("actor.id").alias("id"), F.col("actor.login").alias("login")).alias("actor"),
         F.struct(F.col("repo.id").alias("id"), F.col("repo.name").alias("name")).alias("repo"),
-        "created_at", "collected_at", "processed_at", "public", "languages",
-        F.to_date("created_at").alias("event_date"))
+        "created_at", "collected_at", "processed_at", "public", "languages")
 
 
 def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
                  trigger: dict | None = None, watermark: str = DEFAULT_WATERMARK,
-                 dedup: bool = True) -> StreamingQuery:
+                 dedup: bool = True, retention: str | None = None) -> StreamingQuery:
     """Parse once: clean events -> Parquet file sink (exactly-once via its
-    metadata log; a downstream file source reads only committed files)."""
+    metadata log; a downstream file source reads only committed files).
+    ``retention`` (e.g. ``"7d"``) drops old entries from that log so expired
+    files can be deleted."""
     ev, _ = prepare(records, watermark, dedup)
     w = (clean_columns(ev).writeStream.queryName("clean_events").outputMode("append")
          .format("parquet").option("path", clean_path)
-         .option("checkpointLocation", checkpoint).partitionBy("event_date"))
+         .option("checkpointLocation", checkpoint))
+    if retention:
+        w = w.option("retention", retention)
     return _trigger(w, trigger).start()
 
 
@@ -119,7 +124,7 @@ def clean_stream(spark: SparkSession, clean_path: str,
                  watermark: str = DEFAULT_WATERMARK, **options) -> DataFrame:
     """The clean-event table as a stream, watermarked on ``created_at``."""
     return (spark.readStream.schema(CLEAN_EVENT).options(**options).parquet(clean_path)
-            .drop("event_date").withWatermark("created_at", watermark))
+            .withWatermark("created_at", watermark))
 
 
 def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
