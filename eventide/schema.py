@@ -99,6 +99,9 @@ CLEAN_EVENT = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
     T.StructField("public", T.BooleanType()),
     T.StructField("languages", T.ArrayType(T.StringType())),
+    # rejected records travel in the same table: errors lists what is missing
+    T.StructField("errors", T.StringType()),
+    T.StructField("event_key", T.StringType()),
 ])
 
 # --- served tables (the sink contract) --------------------------------------

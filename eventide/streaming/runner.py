@@ -12,7 +12,8 @@ name and checkpoint directory so a restart resumes exactly where it stopped:
 * the raw-event and four metric queries, streaming from that columnar table
   (pruned columns, no JSON), each writing through an idempotent
   ``foreachBatch`` sink;
-* ``rejected_events``: the validation report, from the source.
+* ``rejected_events``: the validation report, from the rejected records the
+  ingest query also writes to the clean table.
 
 (``staged=False`` instead runs every table query straight off the source,
 which parses the JSON once per query.)
@@ -95,13 +96,17 @@ TABLE_BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def clean_columns(ev: DataFrame) -> DataFrame:
+def clean_columns(ev: DataFrame, errors=None) -> DataFrame:
     """The clean-event columns the served tables read (``schema.CLEAN_EVENT``)."""
     return ev.select(
         "id", "type",
         F.struct(F.col("actor.id").alias("id"), F.col("actor.login").alias("login")).alias("actor"),
         F.struct(F.col("repo.id").alias("id"), F.col("repo.name").alias("name")).alias("repo"),
-        "created_at", "collected_at", "processed_at", "public", "languages")
+        "created_at", "collected_at", "processed_at", "public",
+        (F.col("languages") if errors is None
+         else F.lit(None).cast("array<string>")).alias("languages"),
+        (F.lit(None).cast("string") if errors is None else errors).alias("errors"),
+        "event_key")
 
 
 def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
@@ -109,10 +114,24 @@ def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
                  dedup: bool = True, retention: str | None = None) -> StreamingQuery:
     """Parse once: clean events -> Parquet file sink (exactly-once via its
     metadata log; a downstream file source reads only committed files).
-    ``retention`` (e.g. ``"7d"``) drops old entries from that log so expired
-    files can be deleted."""
-    ev, _ = prepare(records, watermark, dedup)
-    w = (clean_columns(ev).writeStream.queryName("clean_events").outputMode("append")
+
+    Valid events go through watermark, de-duplication and enrichment;
+    rejected records (non-empty ``errors``) are unioned in unchanged, so the
+    rejected-event report needs no second parse of the source. A null
+    ``created_at`` of a rejected record never moves the watermark (it is the
+    maximum event time that counts). ``retention`` (e.g. ``"7d"``) drops old
+    entries from the sink's log so expired files can be deleted."""
+    parsed = parse_events(records)
+    errors = quality.error_list()
+    ev = parsed.filter(F.size(errors) == 0).withWatermark("created_at", watermark)
+    if dedup:
+        ev = quality.dedup_stream(ev)
+    ev = enrich_ops.enrich(ev).observe(
+        "event_quality", F.count(F.lit(1)).alias("events"),
+        F.count_if(~F.col("type").isin(*KNOWN_EVENT_TYPES)).alias("unknown_types"))
+    bad = parsed.filter(F.size(errors) > 0)
+    out = clean_columns(ev).unionByName(clean_columns(bad, F.array_join(errors, ",")))
+    w = (out.writeStream.queryName("clean_events").outputMode("append")
          .format("parquet").option("path", clean_path)
          .option("checkpointLocation", checkpoint))
     if retention:
@@ -122,11 +141,23 @@ def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
 
 def clean_stream(spark: SparkSession, clean_path: str,
                  watermark: str = DEFAULT_WATERMARK, **options) -> DataFrame:
-    """The clean-event table as a stream, watermarked on ``created_at``."""
+    """The valid events of the clean table as a stream, watermarked on
+    ``created_at``."""
     return (spark.readStream.schema(CLEAN_EVENT).options(**options).parquet(clean_path)
+            .filter(F.col("errors").isNull()).drop("errors")
             .withWatermark("created_at", watermark))
 
 
+def rejected_stream(spark: SparkSession, clean_path: str, **options) -> DataFrame:
+    """The rejected records of the clean table: the validation report, dated
+    by their ingest time."""
+    return (spark.readStream.schema(CLEAN_EVENT).options(**options).parquet(clean_path)
+            .filter(F.col("errors").isNotNull())
+            .select(F.coalesce("id", F.lit("unknown")).alias("id"),
+                    F.coalesce("type", F.lit("unknown")).alias("type"),
+                    "errors", "event_key", F.col("processed_at").alias("created_at")))
+
+
 def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
             checkpoint_root: str | None = None, trigger: dict | None = None,
             watermark: str = DEFAULT_WATERMARK, tables: list[str] | None = None,
@@ -164,9 +195,13 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
         started.append(start_query(out, name, sink, ckpt_for(name), "append", trigger))
     if not with_rejected:
         return started
-    _, rejected = quality.validate(parse_events(records))
+    if staged:
+        rejected = rejected_stream(spark, clean_path)
+    else:
+        _, rejected = quality.validate(parse_events(records))
+        rejected = rejected.withColumn("created_at", F.current_timestamp())
     started.append(start_query(
-        rejected.withColumn("created_at", F.current_timestamp()), "rejected_events",
+        rejected, "rejected_events",
         sinks.lake_batch_writer(os.path.join(lake_root, "rejected_events")),
         ckpt_for("rejected_events"), "append", trigger))
     return started

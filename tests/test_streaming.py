@@ -92,7 +92,8 @@ def test_late_event_dropped_on_stream_kept_in_batch(spark, scratch):
         [event(id="1", created_at="2024-01-02T10:00:00Z"),
          event(id="2", created_at="2024-01-02T12:00:00Z")],
         [event(id="4", created_at="2024-01-02T12:05:00Z"),
-         event(id="2", created_at="2024-01-02T12:00:00Z")],         # a re-sent copy
+         event(id="2", created_at="2024-01-02T12:00:00Z"),          # a re-sent copy
+         event(id="6", created_at="garbage")],                      # rejected
         [event(id="3", created_at="2024-01-02T09:00:00Z"),          # older than the watermark
          event(id="5", created_at="2024-01-02T15:00:00Z", type="BrandNewEvent")],
     ]
@@ -109,6 +110,8 @@ def test_late_event_dropped_on_stream_kept_in_batch(spark, scratch):
     runner.await_all(spark, qs, bounded=True)
     raw = sorted(r.id for r in _table(spark, lake, "events").collect())
     assert raw == ["1", "2", "4", "5"]          # late "3" and the copy of "2" dropped
+    rej = [(r.id, r.errors) for r in metric_table(spark, lake, "rejected_events").collect()]
+    assert rej == [("6", "created_at")]
     streamed = _table(spark, lake, "repository_metrics")
     assert streamed.filter("window_start < '2024-01-02 09:00:00'").count() == 0
     # the ingest query drops it (its de-duplication state is watermarked), so
@@ -124,7 +127,7 @@ def test_late_event_dropped_on_stream_kept_in_batch(spark, scratch):
     # the same events in batch keep the late one
     from conftest import parsed
     from eventide.operators import quality
-    batch = quality.dedup(parsed(spark, [e for b in batches for e in b]))
+    batch = quality.dedup(quality.validate(parsed(spark, [e for b in batches for e in b]))[0])
     assert batch.count() == 5
     assert metrics.repository_metrics(batch).filter("window_start <= '2024-01-02 09:00:00'").count() == 4
 
