@@ -7,17 +7,37 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: rows per Arrow batch; texts average some KB, so a batch stays at a few MB
-ARROW_ROWS = 1000
+#: rows and bytes per Arrow batch, so that neither long texts nor packed blocks pile up
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session options the operators rely on (small Arrow batches, UTC)."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size that the plan estimates for df; only to choose numbers of buckets."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """df written once in the shared folder, bucketed by key: later joins and
+    groups on the key read it in place, without a shuffle."""
+    spark = df.sparkSession
+    table = f"eventide_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/eventide-llm/{table}"
+    (df.write.format("parquet").option("compression", "uncompressed").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    stored = spark.table(table).select("*")
+    spark.sql(f"DROP TABLE {table}")       # the name only; the files are external
+    _delete_on_exit(spark, path)
+    return stored
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,17 +67,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_root(spark)}/eventide-llm/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hpath.getParent())
+    _delete_on_exit(spark, path.rsplit("/", 1)[0])
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Remove the files behind a table made by ``written`` once nothing reads it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        hpath = jvm.org.apache.hadoop.fs.Path(folder)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)

@@ -4,9 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, sharding, topk, toxicity
+import public_tokenizers
+
+from . import (bpe, html_cut, licences, ngram_join, packing, quality_rules, quotes, sharding,
+               topk, toxicity)
 from .common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.similar_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
 
 def op3_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"), 40)
@@ -21,21 +35,121 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "labels"))
 
 
+def op6_reply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op7_min_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"),
                                     table(spark, sf_dir, "labels"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_balanced_shards, op4_exact_topk, op5_quality_rules, op9_toxicity)}
+    op1_ngram_jaccard_join, op2_bpe_round_trip, op3_balanced_shards, op4_exact_topk,
+    op5_quality_rules, op6_reply_ordered, op7_min_slack_packing, op8_main_text, op9_toxicity,
+    op10_licence_scan)}
 
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+          SELECT doc_id, list_distinct(CASE
+              WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2),
+                                                   lambda i: array_to_string(w[i:i + 3], ' '))
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+              ELSE [] END) AS s FROM w),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        pairs AS (
+          SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n
+          HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+        reach AS (
+          SELECT doc_id, doc_id AS root FROM sets
+          UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.root)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.root) AS component_id
+        FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s""",
+    "op6_reply_ordered": r"""
+        WITH RECURSIVE m AS (
+          SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS raw FROM conversations),
+        k AS (SELECT *, md5(concat_ws(chr(10), role, raw)) AS key,
+                     str_split(raw, chr(10)) AS ls FROM m),
+        l AS (SELECT conv_id, turn, role, key, unnest(ls) AS line,
+                     generate_subscripts(ls, 1) AS pos FROM k),
+        q AS (SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+'),
+                                              '[^>]', '', 'g')) AS level,
+                     regexp_replace(line, '^[ \t]*(?:>[ \t]*)+', '') AS rest FROM l),
+        b AS (SELECT conv_id, turn, role, key,
+                     trim(regexp_replace(coalesce(string_agg(rest, chr(10) ORDER BY pos)
+                       FILTER (WHERE level = 0), ''), '\n{3,}', chr(10) || chr(10), 'g'), ' ') AS body,
+                     count(*) FILTER (WHERE level > 0) AS quoted_lines,
+                     max(level) AS quote_levels
+              FROM q GROUP BY ALL),
+        units AS (
+          SELECT DISTINCT conv_id, turn,
+            md5(trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS hash,
+            length(trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS size
+          FROM (SELECT conv_id, turn, unnest(list_concat([body],
+                  regexp_split_to_array(body, '\n[ \t]*\n'), str_split(body, chr(10)))) AS u
+                FROM b)),
+        runs AS (
+          SELECT *, pos - row_number() OVER (PARTITION BY conv_id, turn, key, level ORDER BY pos) AS run
+          FROM q WHERE level > 0),
+        texts AS (
+          SELECT conv_id, turn, key, level, run, 0 AS priority,
+                 string_agg(rest, ' ' ORDER BY pos) AS t FROM runs GROUP BY ALL
+          UNION ALL SELECT conv_id, turn, key, level, run, 1, rest FROM runs),
+        probes AS (
+          SELECT conv_id, turn, key, level, run, priority,
+            length(trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS size,
+            md5(trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS hash
+          FROM texts),
+        found AS (
+          SELECT p.conv_id, p.turn, p.key, p.level, p.run, p.priority, p.size, max(u.turn) AS source
+          FROM probes p JOIN units u ON p.conv_id = u.conv_id AND p.hash = u.hash
+            AND u.turn < p.turn AND p.size > 0
+          GROUP BY ALL),
+        best AS (
+          SELECT * FROM found QUALIFY row_number() OVER (
+            PARTITION BY conv_id, turn, key, level, run
+            ORDER BY priority, size DESC, source DESC) = 1),
+        levels AS (
+          SELECT conv_id, turn, key, level, max(source) AS source FROM best GROUP BY ALL),
+        links AS (
+          SELECT conv_id, turn, key, source AS answers FROM levels
+          QUALIFY row_number() OVER (PARTITION BY conv_id, turn, key ORDER BY level) = 1),
+        ups AS (SELECT conv_id, turn, max(answers) AS up FROM links GROUP BY ALL),
+        climb AS (
+          SELECT conv_id, turn, up FROM ups
+          UNION SELECT c.conv_id, c.turn, u.up FROM climb c
+          JOIN ups u ON u.conv_id = c.conv_id AND u.turn = c.up),
+        roots AS (SELECT conv_id, turn, min(up) AS thread_turn FROM climb GROUP BY ALL)
+        SELECT b.conv_id, b.turn, b.role, b.body, b.quoted_lines::BIGINT AS quoted_lines,
+               b.quote_levels::BIGINT AS quote_levels, k.answers,
+               coalesce(r.thread_turn, b.turn) AS thread_turn
+        FROM b LEFT JOIN links k ON k.conv_id = b.conv_id AND k.turn = b.turn AND k.key = b.key
+        LEFT JOIN roots r ON r.conv_id = b.conv_id AND r.turn = b.turn""",
     "op4_exact_topk": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
           FROM embeddings
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
           SELECT q.vec_id AS query_id, c.vec_id,
                  list_dot_product(q.v, c.v)::BIGINT AS score

@@ -151,5 +151,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """The documents not predicted toxic, with all their columns."""
-    score = scorer(docs.sparkSession, train(docs, labels, None, id_col, text_col))
+    score = scorer(docs.sparkSession, train(docs, labels, ~held_out("id"), id_col, text_col))
     return docs.where(score(F.col(text_col)) < 0.5)
