@@ -86,8 +86,7 @@ def main() -> None:
         events = table(spark, sf_dir, "events")
         n = events.count()
         land = os.path.join(root, "landing")
-        land_in_time_order(spark, landed_records(events, keep=("ts",)), "ts", land,
-                           days_per_file=5)
+        land_in_time_order(spark, landed_records(events, keep=("ts",)), "ts", land, files=6)
         t0 = time.perf_counter()
         qs = runner.run_all(spark, event_stream(spark, "parquet", land),
                             os.path.join(root, "lake"), os.path.join(root, "ckpt"),

@@ -1,10 +1,13 @@
-"""Command line: run the streaming job, a batch backfill, or retention.
+"""Command line: run the streaming job, a batch backfill, or upkeep.
 
     python -m eventide stream --source kafka --option kafka.bootstrap.servers=host:9092 \\
         --option subscribe=activity-events --lake s3://bucket/lake --trigger "60 seconds"
     python -m eventide stream --source parquet --path /landing --lake /lake --available-now
     python -m eventide build --source json --path /landed/events --lake /lake
-    python -m eventide retain --lake /lake --days 30 --as-of 2024-02-15
+    python -m eventide stream ... --sink jdbc --sink-option url=jdbc:... --sink-option user=...
+    python -m eventide stream ... --mode update --clean-retention 7d
+    python -m eventide retain --lake /lake --tier "1 hour=30" --tier "1 day=90" --raw-days 7
+    python -m eventide compact --lake /lake --before 2024-02-15
 
 The session comes from ``spark-submit`` (master, packages, memory); this
 module only sets the UTC session time zone and reads the checkpoint folder
@@ -18,12 +21,17 @@ import datetime as dt
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from . import lake
 from .config import ensure_session
 from .functions.parse import parse_events
+from .functions.timefilters import days_before
+from .operators import maintenance, quality
+from .operators.metrics import METRIC_TABLES
 from .plans import pipeline, tables
 from .sources.events import event_batch, event_stream
-from .streaming import runner, sinks
+from .streaming import runner
 
 LAKE_TABLES = ("events", "repository_metrics", "event_type_distribution",
                "user_activity", "language_trends", "rejected_events")
@@ -49,23 +57,43 @@ def cmd_stream(spark: SparkSession, args) -> None:
     records = event_stream(spark, args.source, args.path, **_options(args.option))
     trig = _trigger(args)
     qs = runner.run_all(spark, records, args.lake, args.checkpoints, trig,
-                        watermark=args.watermark, tables=args.tables or None)
+                        watermark=args.watermark, tables=args.tables or None,
+                        sink=args.sink, sink_options=_options(args.sink_option),
+                        mode=args.mode, retention=args.clean_retention)
     runner.await_all(spark, qs, bounded=bool(args.available_now))
 
 
 def cmd_build(spark: SparkSession, args) -> None:
     records = event_batch(spark, args.source, args.path, **_options(args.option))
-    clean = pipeline.clean(parse_events(records), dedup=not args.no_dedup)
-    tables.build_tables(spark, clean, args.lake, args.tables or None)
+    parsed = parse_events(records)
+    clean = pipeline.clean(parsed, dedup=not args.no_dedup)
+    tables.build_tables(spark, clean, args.lake, args.tables or None,
+                        quality.validate(parsed)[1])
+
+
+def _as_of(args) -> dt.date:
+    return dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
 
 
 def cmd_retain(spark: SparkSession, args) -> None:
-    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
-    cutoff = (as_of - dt.timedelta(days=args.days)).isoformat()
+    as_of = _as_of(args)
+    tiers = {w: int(n) for w, n in _options(args.tier).items()} or maintenance.DEFAULT_TIERS
     for name in args.tables or LAKE_TABLES:
         path = os.path.join(args.lake, name)
-        dropped = sinks.drop_expired_partitions(spark, path, "window_date", cutoff)
-        print(f"{name}: dropped {len(dropped)} partitions before {cutoff}")
+        if name in METRIC_TABLES:
+            rule, least = maintenance.tier_expired(tiers, as_of.isoformat()), min(tiers.values())
+        else:
+            least = args.raw_days
+            rule = F.col("created_at") < days_before(as_of.isoformat(), least)
+        gone, part = lake.expire(spark, path, name, rule, as_of - dt.timedelta(days=least))
+        print(f"{name}: {gone} folders deleted, {part} rewritten")
+
+
+def cmd_compact(spark: SparkSession, args) -> None:
+    before = dt.date.fromisoformat(args.before) if args.before else dt.date.today()
+    for name in args.tables or LAKE_TABLES:
+        n = lake.compact(spark, os.path.join(args.lake, name), name, before)
+        print(f"{name}: {n} dates compacted")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -85,15 +113,26 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     s.add_argument("--watermark", default=runner.DEFAULT_WATERMARK)
     sub.choices["build"].add_argument("--no-dedup", action="store_true")
+    s.add_argument("--sink", default="lake", choices=("lake", "jdbc", "json"))
+    s.add_argument("--sink-option", action="append", help="sink option key=value")
+    s.add_argument("--mode", default="append", choices=("append", "update"),
+                   help="update keeps open windows visible (keyed upsert)")
+    s.add_argument("--clean-retention", help='age of the clean events to keep, e.g. "7d"')
     r = sub.add_parser("retain")
     r.add_argument("--lake", required=True)
-    r.add_argument("--days", type=int, required=True)
+    r.add_argument("--tier", action="append", help='window width and days, e.g. "1 hour=30"')
+    r.add_argument("--raw-days", type=int, default=maintenance.RAW_EVENT_DAYS)
     r.add_argument("--as-of", help="YYYY-MM-DD (default: today)")
     r.add_argument("--tables", nargs="*")
+    c = sub.add_parser("compact")
+    c.add_argument("--lake", required=True)
+    c.add_argument("--before", help="YYYY-MM-DD (default: today)")
+    c.add_argument("--tables", nargs="*")
     args = ap.parse_args(argv)
 
     spark = ensure_session(SparkSession.builder.appName(f"eventide-{args.cmd}").getOrCreate())
-    {"stream": cmd_stream, "build": cmd_build, "retain": cmd_retain}[args.cmd](spark, args)
+    {"stream": cmd_stream, "build": cmd_build, "retain": cmd_retain,
+     "compact": cmd_compact}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

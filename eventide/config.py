@@ -8,6 +8,7 @@ of them are independent of the driver's local zone.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,15 @@ def checkpoint_root(spark: SparkSession) -> str:
         "no checkpoint folder: set spark.checkpoint.dir to a shared path")
 
 
+def scratch_dir(spark: SparkSession, owner: str) -> str:
+    """A fresh folder in the shared checkpoint folder, removed when the
+    driver ends."""
+    path = os.path.join(checkpoint_root(spark), "eventide-runs", f"{owner}-{uuid.uuid4().hex}")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
 def stream_checkpoint(spark: SparkSession, query_name: str) -> str:
     """Per-query checkpoint directory (named, so a restart resumes)."""
     return os.path.join(checkpoint_root(spark), "streams", query_name)

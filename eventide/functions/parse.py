@@ -30,7 +30,9 @@ def parse_events(records: DataFrame, processed_at: Column | None = None,
 
     Malformed JSON yields a row whose fields are all null (rejected later by
     ``quality.validate``); unknown JSON fields are dropped. ``processed_at``
-    defaults to the batch time and can be pinned for reproducible output.
+    defaults to the batch time and can be pinned for reproducible output; an
+    absent ``collected_at`` takes the same time, an unreadable one stays null
+    (and is rejected). ``record_hash`` identifies the record's text.
     ``payload="slim"`` keeps only the payload keys the pipeline reads (a
     struct); ``"map"`` keeps every key (``map<string,string>``).
     """
@@ -41,10 +43,13 @@ def parse_events(records: DataFrame, processed_at: Column | None = None,
     # instead of being rewritten into a second from_json per record.
     parsed = rec.select(
         F.col("key").alias("event_key"),
+        F.xxhash64("value").alias("record_hash"),
         F.inline(F.array(F.from_json(F.col("value"), schema))),
     )
+    now = processed_at if processed_at is not None else F.current_timestamp()
     return parsed.withColumns({
         "created_at": to_ts(F.col("created_at")),
-        "collected_at": F.coalesce(to_ts(F.col("collected_at")), F.current_timestamp()),
-        "processed_at": processed_at if processed_at is not None else F.current_timestamp(),
+        "collected_at": F.when(F.col("collected_at").isNull(), now)
+                         .otherwise(to_ts(F.col("collected_at"))),
+        "processed_at": now,
     })

@@ -1,13 +1,13 @@
 """Health check and retention (M1-M3).
 
-Retention is a keep-filter. On a lake table partitioned by date, the rows to
-drop are mostly whole date partitions (dropped as directories); only the
-boundary day is rewritten — see ``streaming.sinks.retain_table``.
+Retention is a keep-filter. On a lake table the same rule deletes the folders
+whose rows are all expired and rewrites those that hold both kinds, see
+``lake.expire``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefilters import days_before, window_width_is
@@ -31,12 +31,16 @@ DEFAULT_TIERS = {"1 hour": 30, "1 day": 90}
 RAW_EVENT_DAYS = 7
 
 
-def retain_tiered(m: DataFrame, tiers: dict[str, int] | None = None, as_of=None) -> DataFrame:
-    """Metric rows to keep: a row whose window width has a tier is dropped
-    once ``window_end`` is older than that tier; other widths are kept."""
-    tiers = DEFAULT_TIERS if tiers is None else tiers
+def tier_expired(tiers: dict[str, int] | None = None, as_of=None) -> Column:
+    """Whether a metric row's window width has a tier that ended before it."""
     drop = F.lit(False)
-    for width, days in tiers.items():
+    for width, days in (DEFAULT_TIERS if tiers is None else tiers).items():
         drop = drop | (window_width_is("window_start", "window_end", width)
                        & (F.col("window_end") < days_before(as_of, days)))
-    return m.filter(~drop)
+    return drop
+
+
+def retain_tiered(m: DataFrame, tiers: dict[str, int] | None = None, as_of=None) -> DataFrame:
+    """Metric rows to keep: a row whose window width has a tier is dropped
+    once ``window_end`` is older than that tier; other widths are kept."""
+    return m.filter(~tier_expired(tiers, as_of))

@@ -92,7 +92,7 @@ def _type_counts_text(pairs: Column) -> Column:
 
 
 def user_activity(df: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
-                  event_types_form: str = "list") -> DataFrame:
+                  event_types_form: str = "counts") -> DataFrame:
     """Per user (id, login) and window: events, distinct repositories, types.
 
     Exact and streaming-legal without ``count(DISTINCT)`` or ``collect_list``
@@ -102,10 +102,10 @@ def user_activity(df: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SL
     counts, counts repo rows (= distinct non-null repo ids) and gathers the
     (type, count) pairs, whose number is bounded by the distinct types.
 
-    ``event_types`` is the comma-joined list of the user's event types with
-    duplicates, sorted (``event_types_form="list"``, the table contract), or
-    ``Type:count`` pairs (``"counts"``), whose size stays bounded however many
-    events a user sends.
+    ``event_types`` holds sorted ``Type:count`` pairs, whose size stays bounded
+    however many events a user sends. ``event_types_form="list"`` spells them
+    out, each type repeated by its count: as long as the user's events are many,
+    for reports over ordinary users.
     """
     base = df.select(
         F.col("actor.id").alias("user_id"),

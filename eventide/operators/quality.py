@@ -6,7 +6,7 @@ fields it lacks; rows with an empty list are valid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ REQUIRED_FIELDS = (
     "actor.id", "actor.login", "actor.url", "actor.avatar_url",
     "repo.id", "repo.name", "repo.url",
     "public", "created_at", "payload",
+    "collected_at",          # null only where the record has an unreadable one
 )
 # when ``org`` is present these of its fields are required
 REQUIRED_ORG_FIELDS = ("org.id", "org.login", "org.url", "org.avatar_url")
@@ -61,23 +62,21 @@ def unknown_type_counts(df: DataFrame) -> DataFrame:
 
 
 def dedup(df: DataFrame, key: str = "id", order: str = "collected_at") -> DataFrame:
-    """One row per ``key``: the copy collected first.
-
-    Expressed as an aggregate, not a window: ``min_by`` combines map-side, so a
-    key with billions of copies collapses before the shuffle instead of being
-    sorted inside one task, and each column is its own aggregate, so columns
-    unused downstream are pruned. Copies collected at the same instant are
-    ordered by the column's own value (maps by their JSON text), which keeps the
-    result deterministic.
+    """One row per ``key``: the copy collected first, whole.
+
+    Copies collected at the same instant are ordered by type and then by the
+    hash of the record's text, so the kept row is always one that was sent.
+    ``row_number() = 1`` is a group limit in the plan: each task keeps one row
+    per key before the shuffle, so a key with billions of copies collapses
+    there, every column crosses the network once, and unused columns are pruned.
     """
-    def tie(c: str) -> Column:
-        if isinstance(df.schema[c].dataType, T.MapType):
-            return F.to_json(F.col(c))
-        return F.col(c)
-
-    aggs = [F.min_by(F.col(c), F.struct(F.col(order).alias("o"), tie(c).alias("v"))).alias(c)
-            for c in df.columns if c != key]
-    return df.groupBy(key).agg(*aggs).select(*df.columns)
+    tie = ([c for c in ("type", "record_hash") if c in df.columns and c != key]
+           if "record_hash" in df.columns else
+           [F.xxhash64(*[F.to_json(F.col(f.name)) if isinstance(f.dataType, T.MapType)
+                         else F.col(f.name) for f in df.schema.fields])])
+    first = Window.partitionBy(key).orderBy(order, *tie)
+    return (df.withColumn("_copy", F.row_number().over(first))
+            .filter(F.col("_copy") == 1).drop("_copy"))
 
 
 def dedup_stream(df: DataFrame, key: str = "id") -> DataFrame:

@@ -7,21 +7,22 @@ timestamps are ``timestamp_ntz`` (UTC wall clock).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import checkpoint_root
-from ..functions.timefilters import ts_lit
+from .. import lake
+from ..config import scratch_dir
+from ..functions.timefilters import days_before, hours_before, resolve_range, ts_lit
 from ..operators import maintenance, metrics, quality
 from ..sources.adapter import landed_records
 from ..sources.events import event_stream, metric_table
 from ..sources.landing import land_in_time_order
 from ..streaming import runner, sinks
-from . import panels, reports, tables
+from . import panels, reports, tables, views
 from .pipeline import (AS_OF, KEYED_APPEND_CUT, PANEL_FROM, PANEL_TO, RETENTION_AS_OF,
                        events, ntz, parsed, table)
 
@@ -88,27 +89,55 @@ def q_enrich(spark, sf):
 
 # --- metric tables -------------------------------------------------------------
 
-def _metric(name: str) -> Query:
+def _metric(name: str, **kw) -> Query:
     def q(spark, sf):
-        return ntz(metrics.METRIC_TABLES[name](events(spark, sf)))
+        return ntz(metrics.METRIC_TABLES[name](events(spark, sf), **kw))
     q.__name__ = f"q_{name}"
     return q
 
 
-def _rm(spark, sf):
-    return metrics.repository_metrics(events(spark, sf))
+# Reports over a time range read the events that can lie in its windows only:
+# ``created_at`` from the first window's start to the last window's end.
 
+def _rm(spark, sf, since=None, before=None):
+    return metrics.repository_metrics(events(spark, sf, since=since, before=before))
 
-def _et(spark, sf):
-    return metrics.event_type_distribution(events(spark, sf))
 
+def _et(spark, sf, since=None, before=None):
+    return metrics.event_type_distribution(events(spark, sf, since=since, before=before))
 
-def _ua(spark, sf):
-    return metrics.user_activity(events(spark, sf))
 
+def _ua(spark, sf, since=None, before=None):
+    return metrics.user_activity(events(spark, sf, since=since, before=before))
 
-def _lt(spark, sf):
-    return metrics.language_trends(events(spark, sf))
+
+def _lt(spark, sf, since=None, before=None):
+    return metrics.language_trends(events(spark, sf, since=since, before=before))
+
+
+def _day():
+    """Lower bound of the trailing-24 h reports."""
+    return hours_before(AS_OF, 24)
+
+
+def _plus(ts: str, hours: int):
+    return ts_lit(ts) + F.make_interval(hours=F.lit(hours))
+
+
+def _stored(spark, df: DataFrame, owner: str) -> DataFrame:
+    """``df`` computed once into the shared folder and read back: for queries
+    that use it more than once."""
+    path = scratch_dir(spark, owner)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _activity(spark, sf):
+    m = _stored(spark, _rm(spark, sf, since=F.least(ts_lit(PANEL_FROM), _day())), "activity")
+    return panels.repository_activity(m, PANEL_FROM, PANEL_TO, AS_OF)
+
+
+WEEK = resolve_range("now-7d", dt.datetime.fromisoformat(AS_OF))
 
 
 # --- reports and panels ----------------------------------------------------------
@@ -125,27 +154,31 @@ QUERIES: dict[str, Query] = {
     "enrich": q_enrich,
     "repository_metrics": _metric("repository_metrics"),
     "event_type_distribution": _metric("event_type_distribution"),
-    "user_activity": _metric("user_activity"),
+    "user_activity": _metric("user_activity", event_types_form="list"),
+    "user_activity_counts": _metric("user_activity"),
     "language_trends": _metric("language_trends"),
     "aggregated_metrics": lambda s, d: ntz(reports.aggregated_metrics(_rm(s, d))),
-    "top_repositories": lambda s, d: ntz(reports.top_repositories(_rm(s, d), AS_OF)),
+    "top_repositories": lambda s, d: ntz(reports.top_repositories(_rm(s, d, _day()), AS_OF)),
     "top_repositories_tiled": lambda s, d: ntz(
-        reports.top_repositories(_rm(s, d), AS_OF, overlap="tile")),
-    "top_users": lambda s, d: ntz(reports.top_users(_ua(s, d), AS_OF)),
-    "top_languages": lambda s, d: ntz(reports.top_languages(_lt(s, d), AS_OF)),
-    "event_type_summary": lambda s, d: ntz(reports.event_type_summary(_et(s, d), AS_OF)),
-    "panel_repository_activity": lambda s, d: ntz(
-        panels.repository_activity(_rm(s, d), PANEL_FROM, PANEL_TO, AS_OF)),
-    "panel_series_stats": lambda s, d: panels.series_stats(
-        panels.repository_activity(_rm(s, d), PANEL_FROM, PANEL_TO, AS_OF)),
-    "panel_event_types": lambda s, d: panels.event_types(_et(s, d), PANEL_FROM, PANEL_TO),
-    "panel_top_languages": lambda s, d: panels.top_languages(_lt(s, d), PANEL_FROM, PANEL_TO),
-    "panel_top_repositories": lambda s, d: panels.top_repositories(_rm(s, d), AS_OF),
-    "panel_top_users": lambda s, d: panels.top_users(_ua(s, d), AS_OF),
-    "panel_overall_trends": lambda s, d: ntz(
-        panels.overall_trends(_rm(s, d), PANEL_FROM, PANEL_TO)),
-    "panel_repository_stars": lambda s, d: ntz(
-        panels.repository_stars(_rm(s, d), PANEL_FROM, PANEL_TO)),
+        reports.top_repositories(_rm(s, d, _day()), AS_OF, overlap="tile")),
+    "top_users": lambda s, d: ntz(reports.top_users(_ua(s, d, _day()), AS_OF)),
+    "top_languages": lambda s, d: ntz(reports.top_languages(_lt(s, d, _day()), AS_OF)),
+    "event_type_summary": lambda s, d: ntz(
+        reports.event_type_summary(_et(s, d, _day()), AS_OF)),
+    "panel_repository_activity": lambda s, d: ntz(_activity(s, d)),
+    "panel_series_stats": lambda s, d: panels.series_stats(_activity(s, d)),
+    "panel_event_types": lambda s, d: panels.event_types(
+        _et(s, d, PANEL_FROM, _plus(PANEL_TO, 1)), PANEL_FROM, PANEL_TO),
+    "panel_event_types_7d": lambda s, d: panels.event_types(
+        _et(s, d, WEEK[0], _plus(AS_OF, 1)), *WEEK),
+    "panel_top_languages": lambda s, d: panels.top_languages(
+        _lt(s, d, PANEL_FROM, _plus(PANEL_TO, 1)), PANEL_FROM, PANEL_TO),
+    "panel_top_repositories": lambda s, d: panels.top_repositories(_rm(s, d, _day()), AS_OF),
+    "panel_top_users": lambda s, d: panels.top_users(_ua(s, d, _day()), AS_OF),
+    "panel_overall_trends": lambda s, d: ntz(panels.overall_trends(
+        _rm(s, d, PANEL_FROM, _plus(PANEL_TO, 2)), PANEL_FROM, PANEL_TO)),
+    "panel_repository_stars": lambda s, d: ntz(panels.repository_stars(
+        _rm(s, d, _plus(PANEL_FROM, -1), PANEL_TO), PANEL_FROM, PANEL_TO)),
 }
 
 
@@ -156,14 +189,23 @@ def q_flow_check(spark, sf):
 
 
 def q_retain_events(spark, sf):
-    return ntz(maintenance.retain(metrics.raw_events(events(spark, sf)), "created_at",
-                                  maintenance.RAW_EVENT_DAYS, AS_OF))
+    since = days_before(AS_OF, maintenance.RAW_EVENT_DAYS)
+    return ntz(maintenance.retain(metrics.raw_events(events(spark, sf, since=since)),
+                                  "created_at", maintenance.RAW_EVENT_DAYS, AS_OF))
+
+
+def _counted_events(spark, sf, owner):
+    """The columns that the repository table reads, stored once."""
+    return _stored(spark, events(spark, sf).select("id", "type", "repo", "created_at"), owner)
+
+
+def _hourly_daily(spark, sf):
+    ev = _counted_events(spark, sf, "tiers")
+    return metrics.repository_metrics(ev), metrics.repository_metrics(ev, "1 day", "1 day")
 
 
 def q_retain_tiered(spark, sf):
-    ev = events(spark, sf)
-    hourly = metrics.repository_metrics(ev)
-    daily = metrics.repository_metrics(ev, "1 day", "1 day")
+    hourly, daily = _hourly_daily(spark, sf)
     return ntz(maintenance.retain_tiered(hourly.unionByName(daily), as_of=RETENTION_AS_OF))
 
 
@@ -185,7 +227,7 @@ def q_keyed_json(spark, sf):
 def q_keyed_append(spark, sf):
     """A metric batch appended to a table that already holds the first half of
     the month: rows whose key exists are skipped (insert-if-absent)."""
-    ev = events(spark, sf)
+    ev = _counted_events(spark, sf, "append")
     target = metrics.repository_metrics(ev.filter(F.col("created_at") < ts_lit(KEYED_APPEND_CUT)))
     batch = metrics.repository_metrics(ev)
     key = list(sinks.TABLE_KEYS["repository_metrics"])
@@ -204,48 +246,123 @@ QUERIES.update({
 # --- end-to-end paths through written tables ----------------------------------
 
 STREAM_WATERMARK = "10 minutes"
+STREAM_FILES = 6
+
+
+def _land(spark, sf, root: str, before: str | None = None) -> str:
+    ev = table(spark, sf, "events")
+    if before:
+        ev = ev.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    land = os.path.join(root, "landing")
+    land_in_time_order(spark, landed_records(ev, keep=("ts",)), "ts", land, STREAM_FILES)
+    return land
+
+
+def _drain(spark, land: str, root: str, tables_: list[str], **kw) -> str:
+    lake_root = os.path.join(root, "lake")
+    qs = runner.run_all(spark, event_stream(spark, "parquet", land, maxFilesPerTrigger=1),
+                        lake_root, os.path.join(root, "ckpt"), trigger={"availableNow": True},
+                        watermark=STREAM_WATERMARK, tables=tables_, with_rejected=False, **kw)
+    runner.await_all(spark, qs, bounded=True)
+    return lake_root
 
 
-def _scratch(spark) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), "eventide-runs", uuid.uuid4().hex)
+def _served(spark, lake_root: str, name: str) -> DataFrame:
+    return ntz(metric_table(spark, lake_root, name).drop(*lake.LAYOUT.names))
 
 
 def q_stream_repository_metrics(spark, sf):
     """The repository table as the streaming job produces it.
 
     The events are landed as files in event-time order, then drained by the
-    streaming job: the ingest query (parse, validation, watermarked
-    de-duplication, enrichment -> clean Parquet table) and the repository
-    query streaming from it (append mode, ``foreachBatch`` lake sink). Append
-    mode emits only closed windows: those ending at or before the final
+    streaming job: the ingest query (parse, validation, enrichment -> clean
+    Parquet table) and the repository query streaming from it (append mode).
+    Append mode emits only closed windows: those ending at or before the final
     watermark (latest event time minus the delay).
     """
-    root = _scratch(spark)
+    root = scratch_dir(spark, "stream")
+    lake_root = _drain(spark, _land(spark, sf, root), root, ["repository_metrics"])
+    return _served(spark, lake_root, "repository_metrics")
+
+
+def q_stream_repository_metrics_update(spark, sf):
+    """The same in update mode: open windows are upserted too, so no window of
+    a drained backlog is missing."""
+    root = scratch_dir(spark, "stream")
+    lake_root = _drain(spark, _land(spark, sf, root), root, ["repository_metrics"],
+                       mode="update")
+    return _served(spark, lake_root, "repository_metrics")
+
+
+def q_stream_raw_events(spark, sf):
+    """The raw table of a stream that holds replayed records and records up to
+    three days late: every event once."""
+    root = scratch_dir(spark, "stream")
+    recs = landed_records(table(spark, sf, "events"), replays=True, keep=("ts",))
+    late = F.make_dt_interval(days=F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
     land = os.path.join(root, "landing")
-    land_in_time_order(spark, landed_records(table(spark, sf, "events"), keep=("ts",)),
-                       "ts", land, days_per_file=5)
-    lake = os.path.join(root, "lake")
-    qs = runner.run_all(spark, event_stream(spark, "parquet", land, maxFilesPerTrigger=1),
-                        lake, os.path.join(root, "ckpt"), trigger={"availableNow": True},
-                        watermark=STREAM_WATERMARK, tables=["repository_metrics"],
-                        with_rejected=False)
-    runner.await_all(spark, qs, bounded=True)
-    return ntz(metric_table(spark, lake, "repository_metrics").drop("window_date", "batch_id"))
+    land_in_time_order(spark, recs.withColumn("sent", F.col("ts") + late), "sent", land,
+                       STREAM_FILES)
+    lake_root = _drain(spark, land, root, ["events"])
+    return _served(spark, lake_root, "events").select("id", "repo_id", "repo_name", "created_at")
+
+
+def q_stream_then_build(spark, sf):
+    """Half the month streamed, then everything built into the same lake."""
+    root = scratch_dir(spark, "stream")
+    land = _land(spark, sf, root, before=KEYED_APPEND_CUT)
+    lake_root = _drain(spark, land, root, ["events", "repository_metrics"])
+    tables.build_tables(spark, events(spark, sf), lake_root, ["events", "repository_metrics"])
+    return _served(spark, lake_root, "repository_metrics")
 
 
 def q_lake_top_repositories(spark, sf):
     """Top repositories read back from the batch-built lake tables (the
     ``window_start`` range also prunes ``window_date`` partitions)."""
-    root = _scratch(spark)
-    tables.build_tables(spark, events(spark, sf), root, ["repository_metrics"])
-    m = metric_table(spark, root, "repository_metrics")
-    return ntz(reports.top_repositories(m, AS_OF))
-
-
-QUERIES.update({
-    "stream_repository_metrics": q_stream_repository_metrics,
-    "lake_top_repositories": q_lake_top_repositories,
-})
+    root = scratch_dir(spark, "lake")
+    tables.build_tables(spark, events(spark, sf, since=_day()), root, ["repository_metrics"])
+    return ntz(reports.top_repositories(metric_table(spark, root, "repository_metrics"), AS_OF))
+
+
+def q_view_event_type_summary(spark, sf):
+    """A report selected by name from a lake's registered relations."""
+    root = scratch_dir(spark, "lake")
+    tables.build_tables(spark, events(spark, sf, since=_day()), root,
+                        ["event_type_distribution"])
+    views.register(spark, root, AS_OF, prefix="served_")
+    return ntz(spark.sql("SELECT * FROM served_event_type_summary"))
+
+
+def q_lake_retain(spark, sf):
+    """Raw events written, expired on disk after 7 days, read back."""
+    root = scratch_dir(spark, "lake")
+    tables.build_tables(spark, events(spark, sf), root, ["events"])
+    path = os.path.join(root, "events")
+    as_of = dt.date.fromisoformat(AS_OF[:10])
+    lake.expire(spark, path, "events",
+                F.col("created_at") < days_before(AS_OF, maintenance.RAW_EVENT_DAYS),
+                as_of - dt.timedelta(days=maintenance.RAW_EVENT_DAYS))
+    return _served(spark, root, "events")
+
+
+def q_lake_retain_tiered(spark, sf):
+    """Hourly and daily metric rows written to one table, expired on disk by
+    their own tiers, read back."""
+    root = scratch_dir(spark, "lake")
+    path = os.path.join(root, "repository_metrics")
+    hourly, daily = _hourly_daily(spark, sf)
+    lake.append(hourly, path, "repository_metrics", "hourly")
+    lake.append(daily, path, "repository_metrics", "daily")
+    as_of = dt.date.fromisoformat(RETENTION_AS_OF[:10])
+    lake.expire(spark, path, "repository_metrics",
+                maintenance.tier_expired(as_of=RETENTION_AS_OF),
+                as_of - dt.timedelta(days=min(maintenance.DEFAULT_TIERS.values())))
+    return _served(spark, root, "repository_metrics")
+
+
+QUERIES.update({f.__name__[2:]: f for f in (
+    q_stream_repository_metrics, q_stream_repository_metrics_update, q_stream_raw_events,
+    q_stream_then_build, q_lake_top_repositories, q_view_event_type_summary, q_lake_retain,
+    q_lake_retain_tiered)})
 
 FLAGSHIP = "top_repositories"

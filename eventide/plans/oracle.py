@@ -159,7 +159,7 @@ FROM ev""",
     "validate_valid": f"""{BASE}
 SELECT id, CASE WHEN event_id % {D} = 29 THEN 'SponsorshipTierEvent' ELSE type END AS type,
        actor_id, actor_login, repo_id, repo_name, created_at, collected_at, processed_at, public
-FROM ev WHERE event_id % {D} NOT IN (7, 13, 21, 33)""",
+FROM ev WHERE event_id % {D} NOT IN (7, 13, 21, 33, 41)""",
 
     "validate_rejected": f"""{BASE}
 SELECT CASE WHEN event_id % {D} = 21 THEN 'unknown' ELSE id END AS id,
@@ -168,16 +168,24 @@ SELECT CASE WHEN event_id % {D} = 21 THEN 'unknown' ELSE id END AS id,
          WHEN 7 THEN 'repo.name'
          WHEN 13 THEN 'created_at'
          WHEN 33 THEN 'actor.id'
+         WHEN 41 THEN 'collected_at'
          ELSE 'id,type,actor.id,actor.login,actor.url,actor.avatar_url,repo.id,repo.name,'
               || 'repo.url,public,created_at,payload' END AS errors,
        CASE WHEN event_id % {D} = 7 THEN NULL ELSE repo_name END AS event_key
-FROM ev WHERE event_id % {D} IN (7, 13, 21, 33)""",
+FROM ev WHERE event_id % {D} IN (7, 13, 21, 33, 41)""",
 
     "unknown_types": f"""{BASE}
 SELECT 'SponsorshipTierEvent' AS event_type, COUNT(*) AS event_count
 FROM ev WHERE event_id % {D} = 29 HAVING COUNT(*) > 0""",
 
-    "dedup_events": f"{BASE}\nSELECT {RAW_COLS} FROM ev",
+    "dedup_events": f"""{BASE}
+SELECT id, CASE WHEN event_id % 10 = 4 THEN 'CommitCommentEvent' ELSE type END AS type,
+       CASE WHEN event_id % 10 = 4 THEN actor_id + 1000000 ELSE actor_id END AS actor_id,
+       CASE WHEN event_id % 10 = 4 THEN 'user_' || (actor_id + 1000000)
+            ELSE actor_login END AS actor_login,
+       repo_id, repo_name, created_at,
+       CASE WHEN event_id % 10 = 5 THEN processed_at ELSE collected_at END AS collected_at,
+       processed_at, event_id % 10 <> 4 AS public FROM ev""",
 
     "enrich_languages": f"""{BASE}
 SELECT id, type, array_to_string(languages, ',') AS languages,
@@ -193,6 +201,16 @@ SELECT id, type, array_to_string(languages, ',') AS languages, repo_id, repo_nam
     "repository_metrics": f"{BASE}\n{RM_BODY}",
     "event_type_distribution": f"{BASE}\n{ET_BODY}",
     "user_activity": f"{BASE}\n{UA_BODY}",
+    "user_activity_counts": f"""{BASE}
+SELECT user_id, username, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+       CAST(SUM(n) AS BIGINT) AS event_count, MAX(repos) AS repos_contributed,
+       string_agg(type || ':' || n, ',' ORDER BY type) AS event_types
+FROM (SELECT actor_id AS user_id, actor_login AS username, window_start, type, COUNT(*) AS n
+      FROM {wins()} w GROUP BY 1, 2, 3, 4) t
+JOIN (SELECT actor_id AS user_id, actor_login AS username, window_start,
+             COUNT(DISTINCT repo_id) AS repos
+      FROM {wins()} w GROUP BY 1, 2, 3) r USING (user_id, username, window_start)
+GROUP BY user_id, username, window_start""",
     "language_trends": f"{BASE}\n{LT_BODY}",
 
     "aggregated_metrics": f"{METRICS}\n{AGG_METRICS}",
@@ -232,6 +250,11 @@ SELECT AVG(event_count) AS mean, MAX(event_count) AS max, CAST(SUM(event_count)
 SELECT event_type, CAST(SUM(event_count) AS BIGINT) AS count,
        {_share('SUM(event_count)')} AS percentage
 FROM et WHERE window_start {IN_RANGE} GROUP BY event_type""",
+    "panel_event_types_7d": f"""{METRICS}
+SELECT event_type, CAST(SUM(event_count) AS BIGINT) AS count,
+       {_share('SUM(event_count)')} AS percentage
+FROM et WHERE window_start BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND TIMESTAMP '{AS_OF}'
+GROUP BY event_type""",
     "panel_top_languages": f"""{METRICS}
 SELECT language, CAST(SUM(event_count) AS BIGINT) AS count
 FROM lt WHERE window_start {IN_RANGE} GROUP BY language
@@ -300,4 +323,10 @@ SELECT b.* FROM bat b WHERE NOT EXISTS (
 SELECT * FROM ({RM_BODY}) m
 WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""",
     "lake_top_repositories": f"{METRICS}\n{TOP_REPOS}",
+    "stream_repository_metrics_update": f"{BASE}\n{RM_BODY}",
+    "stream_raw_events": f"{BASE}\nSELECT id, repo_id, repo_name, created_at FROM ev",
+    "stream_then_build": f"{BASE}\n{RM_BODY}",
 }
+SQL["view_event_type_summary"] = SQL["event_type_summary"]
+SQL["lake_retain"] = SQL["retain_events"]
+SQL["lake_retain_tiered"] = SQL["retain_tiered"]

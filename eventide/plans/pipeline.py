@@ -27,43 +27,15 @@ RETENTION_AS_OF = "2024-02-15 00:00:00"
 KEYED_APPEND_CUT = "2024-01-16 00:00:00"
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, resolved once per session (file listing and Parquet
-    footers are read on first use; DataFrames are immutable, so the relation
-    is shared by every query of the session, like a catalog table)."""
+    """A driver table."""
     ensure_session(spark)
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _RELATIONS[key] = spark.read.parquet(path)
-    return df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row stages at least one partition per core.
-
-    A scan yields one task per file split; a small table stored as a single
-    row group is one task, and every JSON encode/decode after it would run on
-    one core. Only then are the rows dealt round-robin over the cluster's
-    cores (one shuffle of the narrow input); a large input already has far
-    more splits than cores and is left untouched.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as scanned
-        return df
-    return df.repartition(cores) if splits < cores else df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def landed(spark: SparkSession, sf_dir: str, defects: bool = False,
            replays: bool = False) -> DataFrame:
-    return landed_records(spread(table(spark, sf_dir, "events")),
-                          defects=defects, replays=replays)
+    return landed_records(table(spark, sf_dir, "events"), defects=defects, replays=replays)
 
 
 def parsed(spark: SparkSession, sf_dir: str, defects: bool = False,
@@ -81,8 +53,17 @@ def clean(df: DataFrame, dedup: bool = True) -> DataFrame:
     return enrich_ops.enrich(valid)
 
 
-def events(spark: SparkSession, sf_dir: str, dedup: bool = True, **kw) -> DataFrame:
-    return clean(parsed(spark, sf_dir, **kw), dedup=dedup)
+def events(spark: SparkSession, sf_dir: str, dedup: bool = True, since=None, before=None,
+           **kw) -> DataFrame:
+    """Clean events; ``since`` / ``before`` bound ``created_at`` right after the
+    parse, below de-duplication (copies of an id share their ``created_at``), so
+    a report over a day does not shuffle the whole history."""
+    df = parsed(spark, sf_dir, **kw)
+    if since is not None:
+        df = df.filter(F.col("created_at") >= ts_lit(since))
+    if before is not None:
+        df = df.filter(F.col("created_at") < ts_lit(before))
+    return clean(df, dedup=dedup)
 
 
 def ntz(df: DataFrame) -> DataFrame:

@@ -1,67 +1,57 @@
 """Batch build of the served tables (backfill / reprocessing).
 
-At scale the expensive steps are the JSON parse and the de-duplication
-shuffle. They run once: clean, enriched events are written as a Parquet table
-partitioned by event date (a lineage cut in the shared folder, so a lost
-executor recomputes from that table, not from the raw JSON), and the raw-event
-and four metric tables are then aggregated from its pruned columns.
-
-Every served table is partitioned by ``window_date`` (event date for raw
-events) and clustered by its entity column inside each partition; readers'
-``window_start`` predicates plus the derived ``window_date`` bound prune whole
-directories and row groups.
+At scale the expensive steps are the JSON parse and the de-duplication shuffle.
+They run once: clean, enriched events are written as a Parquet table partitioned
+by event date (a lineage cut in the shared folder, private to the build), and
+the raw-event and four metric tables are then aggregated from its pruned columns.
+
+A build replaces whole dates of the lake tables, those its events fall on, in
+the layout that the streams use too (``lake``); windows that begin on the day
+before its first event are inserted where absent. Rejected records go to
+``rejected_events``.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import lake
+from ..config import scratch_dir
 from ..operators import metrics
-from ..schema import TABLE_CLUSTER
-from ..streaming.sinks import shape_for_table, with_window_date
+from ..streaming.sinks import shape_for_table
 
-CLEAN = "_clean_events"
 BUILDERS = {"events": metrics.raw_events, **metrics.METRIC_TABLES}
 
 
-def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite",
-                date_clustered: bool = False) -> None:
-    """Write one served table partitioned by ``window_date``.
-
-    Aggregated tables come out of a hash exchange, so every task holds rows
-    of every date: they are range-partitioned on (date, entity) first, so each
-    task writes whole, sorted runs of few dates (large files, tight min/max
-    statistics). ``date_clustered`` input (read from the date-partitioned
-    clean table, one date per scan split) skips that shuffle.
-    """
-    out = with_window_date(shape_for_table(df))
-    cluster = TABLE_CLUSTER.get(table)
-    if cluster and not date_clustered:
-        out = out.repartitionByRange("window_date", cluster)
-    out = out.sortWithinPartitions("window_date", *([cluster] if cluster else []))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date").parquet(path))
-
-
 def build_tables(spark: SparkSession, clean_events: DataFrame, lake_root: str,
-                 tables: list[str] | None = None) -> dict[str, str]:
-    """Write the clean events, then every served table; returns their paths."""
-    clean_path = os.path.join(lake_root, CLEAN)
+                 tables: list[str] | None = None,
+                 rejected: DataFrame | None = None) -> dict[str, str]:
+    """Write every served table (and ``rejected_events``); returns their paths."""
+    staged = scratch_dir(spark, "build")
     # out of the de-duplication exchange (hash on id) every task holds every
     # date; rebalancing on the date (AQE splits big dates, merges small ones)
     # writes a few large files per date instead of one per task and date
     (clean_events.withColumn("event_date", F.to_date("created_at"))
         .hint("rebalance", "event_date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date").parquet(clean_path))
-    clean = spark.read.parquet(clean_path).drop("event_date")
+        .write.partitionBy("event_date").parquet(staged))
+    stored = spark.read.schema(T.StructType(
+        clean_events.schema.fields + [T.StructField("event_date", T.DateType())])).parquet(staged)
+    dates = sorted(r[0] for r in stored.select("event_date").distinct().collect())  # days
+    clean = stored.drop("event_date")
+    batch_id = f"build-{uuid.uuid4().hex}"
     paths = {}
     for name in tables or list(BUILDERS):
-        path = os.path.join(lake_root, name)
-        # the raw table is a projection of the date-partitioned clean table
-        write_table(BUILDERS[name](clean), path, name, date_clustered=(name == "events"))
-        paths[name] = path
+        paths[name] = os.path.join(lake_root, name)
+        lake.replace_dates(shape_for_table(BUILDERS[name](clean)), paths[name], name,
+                           batch_id, dates)
+    if rejected is not None:
+        paths["rejected_events"] = os.path.join(lake_root, "rejected_events")
+        dated = rejected.withColumn("created_at", F.current_timestamp())
+        lake.append(dated, paths["rejected_events"], "rejected_events", batch_id)
+    lake.delete(spark, staged)
     return paths

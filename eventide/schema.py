@@ -142,6 +142,19 @@ LANGUAGE_TRENDS_TABLE = T.StructType(
     [T.StructField("language", T.StringType())] + _W
     + [T.StructField("event_count", T.LongType())])
 
+REJECTED_EVENTS_TABLE = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("id", "type", "errors", "event_key")]
+    + [T.StructField("created_at", T.TimestampType())])
+
+TABLE_SCHEMAS = {
+    "events": RAW_EVENTS,
+    "repository_metrics": REPOSITORY_METRICS_TABLE,
+    "event_type_distribution": EVENT_TYPE_DISTRIBUTION_TABLE,
+    "user_activity": USER_ACTIVITY_TABLE,
+    "language_trends": LANGUAGE_TRENDS_TABLE,
+    "rejected_events": REJECTED_EVENTS_TABLE,
+}
+
 # Unique key of each served table (the repository and user tables also key on
 # the name, because the aggregation groups by it: a rename inside one window
 # yields two rows).

@@ -19,7 +19,8 @@ Mapping of a row ``(event_id, ts, user_id, event_type, value, props)`` with
 Two opt-in variants exercise the quality stages (they keep every input row):
 ``defects=True`` damages some records in a fixed, id-derived way and
 ``replays=True`` sends some records a second time, later and altered, the way
-a collector that re-polls a page does.
+a collector that re-polls a page does; some copies share their collection time
+or carry none, and differ in several fields.
 """
 
 from __future__ import annotations
@@ -57,12 +58,22 @@ DEFECT_BAD_CREATED_AT = 13
 DEFECT_MALFORMED_JSON = 21
 DEFECT_UNKNOWN_TYPE = 29
 DEFECT_NO_ACTOR_ID = 33
+DEFECT_BAD_COLLECTED_AT = 41
 UNKNOWN_TYPE_NAME = "SponsorshipTierEvent"
 
 # replayed records: event_id % 10 = 3, sent again 5 minutes later, not public
 REPLAY_MOD = 10
 REPLAY_REM = 3
 REPLAY_DELAY_SECONDS = 300
+# event_id % 10 = 4: a copy collected at the same instant, of another type, by
+# another actor and not public; its type sorts first
+TIE_REM = 4
+TIE_TYPE = "CommitCommentEvent"
+# event_id % 10 = 5: neither the record nor its copy says when it was
+# collected; the copy's type sorts last
+UNDATED_REM = 5
+UNDATED_TYPE = "ZoneEvent"
+OTHER_ACTOR = 1_000_000
 
 
 # The event is written as one Spark SQL expression (parsed on the JVM in a
@@ -119,8 +130,12 @@ def _payload_sql() -> str:
                        THEN element_at(array({create_langs}), CAST(floor(_k / 4) % 5 + 1 AS INT)) END)"""
 
 
-def _event_sql(defects: bool, collected_delay: int, public: str) -> str:
+def _event_sql(defects: bool, collected_delay: int, public: str, undated: bool) -> str:
     login = "concat('user_', CAST(user_id AS STRING))"
+    collected = (f"date_format(ts + make_interval(0, 0, 0, 0, 0, 0, {collected_delay}), "
+                 f"\"{ISO_MICROS_UTC}\")")
+    if undated:
+        collected = f"CASE WHEN event_id % {REPLAY_MOD} != {UNDATED_REM} THEN {collected} END"
     repo_name = "concat('org/repo_', CAST(_k AS STRING))"
     created = f"date_format(ts, \"{ISO_MICROS_UTC}\")"
     actor_id = "user_id"
@@ -129,6 +144,7 @@ def _event_sql(defects: bool, collected_delay: int, public: str) -> str:
         repo_name = f"CASE WHEN {d} = {DEFECT_NO_REPO_NAME} THEN NULL ELSE {repo_name} END"
         created = f"CASE WHEN {d} = {DEFECT_BAD_CREATED_AT} THEN 'garbage' ELSE {created} END"
         actor_id = f"CASE WHEN {d} = {DEFECT_NO_ACTOR_ID} THEN NULL ELSE user_id END"
+        collected = f"CASE WHEN {d} = {DEFECT_BAD_COLLECTED_AT} THEN 'garbage' ELSE {collected} END"
     return f"""named_struct(
       'id', CAST(event_id AS STRING),
       'type', _t,
@@ -142,21 +158,21 @@ def _event_sql(defects: bool, collected_delay: int, public: str) -> str:
       'payload', {_payload_sql()},
       'public', {public},
       'created_at', {created},
-      'collected_at', date_format(ts + make_interval(0, 0, 0, 0, 0, 0, {collected_delay}),
-                                  \"{ISO_MICROS_UTC}\"))"""
+      'collected_at', {collected})"""
 
 
 def _records(events: DataFrame, defects: bool, delay: int, public: str,
-             keep: tuple[str, ...] = ()) -> DataFrame:
+             keep: tuple[str, ...] = (), undated: bool = False,
+             as_type: str | None = None) -> DataFrame:
     # k and the event type are computed once per row and referenced by name
-    t = _type_sql()
+    t = _lit(as_type) if as_type else _type_sql()
     if defects:
         t = (f"CASE WHEN event_id % {DEFECT_MOD} = {DEFECT_UNKNOWN_TYPE} "
              f"THEN {_lit(UNKNOWN_TYPE_NAME)} ELSE {t} END")
     base = (events.select("event_id", "ts", "user_id", "event_type", *keep,
                           F.get_json_object("props", "$.k").cast("bigint").alias("_k"))
                   .withColumn("_t", F.expr(t)))
-    ev = F.expr(_event_sql(defects, delay, public))
+    ev = F.expr(_event_sql(defects, delay, public, undated))
     value = F.to_json(ev)
     if defects:
         # a truncated message: the JSON text stops in the middle of the object
@@ -170,9 +186,14 @@ def landed_records(events: DataFrame, defects: bool = False, replays: bool = Fal
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """``(key, value)`` JSON records for every row of ``events`` (plus the
     ``keep`` columns of the input, e.g. ``ts`` to land them in time order)."""
-    out = _records(events, defects, 60, "true", keep)
+    out = _records(events, defects, 60, "true", keep, undated=replays)
     if replays:
-        again = events.filter(F.col("event_id") % REPLAY_MOD == REPLAY_REM)
-        out = out.unionByName(_records(again, defects, 60 + REPLAY_DELAY_SECONDS,
-                                       "false", keep))
+        rem = F.col("event_id") % REPLAY_MOD
+        again = events.filter(rem == REPLAY_REM)
+        other = events.withColumn("user_id", F.col("user_id") + OTHER_ACTOR)
+        out = (out.unionByName(_records(again, defects, 60 + REPLAY_DELAY_SECONDS, "false", keep))
+               .unionByName(_records(other.filter(rem == TIE_REM), defects, 60, "false", keep,
+                                     as_type=TIE_TYPE))
+               .unionByName(_records(other.filter(rem == UNDATED_REM), defects, 60, "false", keep,
+                                     undated=True, as_type=UNDATED_TYPE)))
     return out

@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import lake
 from ..config import ensure_session
 from ..schema import RECORD
 
@@ -62,15 +63,14 @@ def event_batch(spark: SparkSession, fmt: str, path: str, **options) -> DataFram
     return reader.schema(RECORD).format(fmt).load(path)
 
 
-def metric_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A served table written by ``streaming.sinks.lake_batch_writer``.
+def metric_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A served table with its declared schema (0 rows before its first write).
 
     The ``window_date`` partition column is kept, so report predicates on
     ``window_start`` (which add the matching ``window_date`` bound) prune
     whole date directories before any file is opened.
     """
-    ensure_session(spark)
-    return spark.read.format(fmt).load(os.path.join(root, name))
+    return lake.read(spark, os.path.join(root, name), name)
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict[str, str],

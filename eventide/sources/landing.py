@@ -12,7 +12,6 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -21,39 +20,33 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def land_in_time_order(spark: SparkSession, records: DataFrame, ts: DataFrame | str,
-                       path: str, days_per_file: int = 5) -> list[str]:
+def land_in_time_order(spark: SparkSession, records: DataFrame, ts: str, path: str,
+                       files: int | None = None) -> list[str]:
     """Write ``records`` (``key, value`` plus an event-time column ``ts``) to
-    ``path`` as one directory of Parquet files per ``days_per_file`` span,
-    then stamp the files with increasing modification times.
+    ``path`` as ``files`` Parquet files (default: the session's shuffle
+    partitions), each holding one range of event times, stamped with increasing
+    modification times in range order.
 
-    Spark writes every span in parallel (one ``partitionBy`` job); the driver
-    only lists the span directories and sets their file times.
+    One range-partitioned job writes all files in parallel; the driver lists
+    them once and sets their names and times.
     """
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = path.rstrip("/") + "_staged"
-    span = F.floor((F.unix_seconds(F.col(ts).cast("timestamp"))) / (86400 * days_per_file))
-    (records.withColumn("span", span.cast("bigint"))
-            .repartition("span")
-            .select("span", "key", "value")
-            .write.mode("overwrite").partitionBy("span").parquet(staged))
+    (records.repartitionByRange(files, ts).select("key", "value")
+            .write.mode("overwrite").parquet(staged))
     src_root, fs = _fs(spark, staged)
     dst_root, _ = _fs(spark, path)
     fs.mkdirs(dst_root)
     jvm = spark.sparkContext._jvm
-    spans = sorted((int(s.getPath().getName().split("=")[1]), s.getPath())
-                   for s in fs.listStatus(src_root)
-                   if s.isDirectory() and s.getPath().getName().startswith("span="))
-    base_ms = int(time.time() * 1000) - 10_000 * (len(spans) + 1)
+    # part numbers are range numbers
+    parts = sorted((s.getPath().getName(), s.getPath()) for s in fs.listStatus(src_root)
+                   if s.getPath().getName().endswith(".parquet"))
+    base_ms = int(time.time() * 1000) - 10_000 * (len(parts) + 1)
     landed = []
-    for i, (sp, sp_path) in enumerate(spans):
-        for j, st in enumerate(fs.listStatus(sp_path)):
-            name = st.getPath().getName()
-            if not name.endswith(".parquet"):
-                continue
-            dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"span_{sp:08d}_{j:04d}.parquet")
-            if fs.exists(dst):      # landed by an earlier, interrupted run
-                continue
-            fs.rename(st.getPath(), dst)
-            fs.setTimes(dst, base_ms + i * 10_000, -1)
-            landed.append(dst.toString())
+    for i, (name, part) in enumerate(parts):
+        dst = jvm.org.apache.hadoop.fs.Path(dst_root, name)
+        fs.rename(part, dst)
+        fs.setTimes(dst, base_ms + i * 10_000, -1)
+        landed.append(dst.toString())
+    fs.delete(src_root, True)
     return landed

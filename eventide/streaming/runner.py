@@ -1,32 +1,31 @@
 """Structured Streaming jobs: one named query per served table.
 
-``prepare`` turns a record stream into clean events: parse -> validate ->
-watermark -> de-duplicate -> enrich. ``run_all`` starts, each with its own
-name and checkpoint directory so a restart resumes exactly where it stopped:
-
-* ``clean_events`` (ingest): the only query that parses the JSON source;
-  it writes the clean events' needed columns through Spark's exactly-once
-  file sink (Parquet; each micro-batch's files hold a narrow time range, so
-  min/max statistics on ``created_at`` prune batch reads, and files expire by
-  age: the sink's ``retention`` option plus ``sinks.expire_landed_files``);
-* the raw-event and four metric queries, streaming from that columnar table
-  (pruned columns, no JSON), each writing through an idempotent
-  ``foreachBatch`` sink;
-* ``rejected_events``: the validation report, from the rejected records the
-  ingest query also writes to the clean table.
-
-(``staged=False`` instead runs every table query straight off the source,
-which parses the JSON once per query.)
-
-Append mode emits a window once the watermark passes its end, i.e. about
-``size + delay`` after its first event. Rows older than the watermark of the
-previous micro-batch are dropped (``numRowsDroppedByWatermark`` in the query
-progress); the batch path keeps them, so a backfill restores them.
+``run_all`` starts, each with its own name and checkpoint directory so a restart
+resumes exactly where it stopped:
+
+* ``clean_events`` (ingest): the only query that parses the JSON source. It is
+  stateless and writes *every* record, valid or rejected, through Spark's
+  exactly-once file sink (Parquet; each micro-batch's files hold a narrow time
+  range, so statistics on ``created_at`` prune reads, and files expire by age:
+  the sink's ``retention`` option plus ``sinks.expire_landed_files``);
+* ``events``: the raw table, every valid event once however late it is (unique
+  by id against the stored dates of the batch);
+* the metric queries: watermark, de-duplication within it, windowed aggregate.
+  ``append`` emits a window once the watermark passes its end, about ``size +
+  delay`` after its first event; ``update`` upserts open windows by key at each
+  trigger. Events older than the watermark are not in the metric tables
+  (``numRowsDroppedByWatermark`` in the progress) but are in the raw table, from
+  which ``plans.tables.build_tables`` rebuilds the dates concerned;
+* ``rejected_events``: the validation report.
+
+(``staged=False`` runs every table query straight off the source instead, which
+parses the JSON once per query.)
 """
 
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,23 +109,16 @@ def clean_columns(ev: DataFrame, errors=None) -> DataFrame:
 
 
 def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
-                 trigger: dict | None = None, watermark: str = DEFAULT_WATERMARK,
-                 dedup: bool = True, retention: str | None = None) -> StreamingQuery:
-    """Parse once: clean events -> Parquet file sink (exactly-once via its
-    metadata log; a downstream file source reads only committed files).
-
-    Valid events go through watermark, de-duplication and enrichment;
-    rejected records (non-empty ``errors``) are unioned in unchanged, so the
-    rejected-event report needs no second parse of the source. A null
-    ``created_at`` of a rejected record never moves the watermark (it is the
-    maximum event time that counts). ``retention`` (e.g. ``"7d"``) drops old
-    entries from the sink's log so expired files can be deleted."""
+                 trigger: dict | None = None, retention: str | None = None) -> StreamingQuery:
+    """Parse once: all events -> Parquet file sink (exactly-once via its metadata
+    log; a downstream file source reads only committed files).
+
+    Rejected records (non-empty ``errors``) travel in the same table, so their
+    report needs no second parse of the source. ``retention`` (e.g. ``"7d"``)
+    drops old entries from the sink's log so expired files can be deleted."""
     parsed = parse_events(records)
     errors = quality.error_list()
-    ev = parsed.filter(F.size(errors) == 0).withWatermark("created_at", watermark)
-    if dedup:
-        ev = quality.dedup_stream(ev)
-    ev = enrich_ops.enrich(ev).observe(
+    ev = enrich_ops.enrich(parsed.filter(F.size(errors) == 0)).observe(
         "event_quality", F.count(F.lit(1)).alias("events"),
         F.count_if(~F.col("type").isin(*KNOWN_EVENT_TYPES)).alias("unknown_types"))
     bad = parsed.filter(F.size(errors) > 0)
@@ -139,13 +131,16 @@ def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def clean_stream(spark: SparkSession, clean_path: str,
-                 watermark: str = DEFAULT_WATERMARK, **options) -> DataFrame:
-    """The valid events of the clean table as a stream, watermarked on
-    ``created_at``."""
+def clean_stream(spark: SparkSession, clean_path: str, **options) -> DataFrame:
+    """The valid events of the clean table as a stream."""
     return (spark.readStream.schema(CLEAN_EVENT).options(**options).parquet(clean_path)
-            .filter(F.col("errors").isNull()).drop("errors")
-            .withWatermark("created_at", watermark))
+            .filter(F.col("errors").isNull()).drop("errors"))
+
+
+def watermarked(ev: DataFrame, watermark: str, dedup: bool = True) -> DataFrame:
+    """Events in front of a windowed aggregate: watermark, copies removed."""
+    ev = ev.withWatermark("created_at", watermark)
+    return quality.dedup_stream(ev) if dedup else ev
 
 
 def rejected_stream(spark: SparkSession, clean_path: str, **options) -> DataFrame:
@@ -158,63 +153,92 @@ def rejected_stream(spark: SparkSession, clean_path: str, **options) -> DataFram
                     "errors", "event_key", F.col("processed_at").alias("created_at")))
 
 
+def _enriched(spark: SparkSession, ev: DataFrame) -> DataFrame:
+    """The enriched event as published: flat keys, languages."""
+    return ev.select("id", "type", F.col("actor.id").alias("actor_id"),
+                     F.col("actor.login").alias("actor_login"), F.col("repo.id").alias("repo_id"),
+                     F.col("repo.name").alias("repo_name"), "created_at", "languages")
+
+
 def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
             checkpoint_root: str | None = None, trigger: dict | None = None,
             watermark: str = DEFAULT_WATERMARK, tables: list[str] | None = None,
-            dedup: bool = True, with_rejected: bool = True,
-            staged: bool = True) -> list[StreamingQuery]:
+            dedup: bool = True, with_rejected: bool = True, staged: bool = True,
+            sink: str = "lake", sink_options: dict | None = None, mode: str = "append",
+            retention: str | None = None) -> list[StreamingQuery]:
     """Start the ingest query, one query per served table, and ``rejected_events``.
 
-    Tables land under ``lake_root/<table>`` (clean events under
-    ``lake_root/_clean_events``); checkpoints under ``checkpoint_root/<name>``
-    (default: the session's checkpoint folder). With a bounded trigger
-    (``availableNow``) the ingest query is drained before the table queries
-    start, so they see all of its output.
+    ``sink``: ``lake`` (tables under ``lake_root/<table>``), ``jdbc`` or ``json``
+    with ``sink_options`` (see ``sinks.batch_writer``); ``tables`` may also name
+    ``enriched_events``, the enriched stream for publishing. ``mode="update"``
+    (lake sink) keeps open windows visible. Clean events lie in
+    ``lake_root/_clean_events`` for ``retention``; checkpoints under
+    ``checkpoint_root/<name>`` (default: the session's checkpoint folder). With a
+    bounded trigger (``availableNow``) the ingest query is drained before the
+    table queries start, so they see all of its output.
     """
+    if mode == "update" and sink != "lake":
+        raise ValueError("update mode needs the keyed upsert of the lake sink")
+
     def ckpt_for(name: str) -> str:
         return (os.path.join(checkpoint_root, name) if checkpoint_root
                 else stream_checkpoint(spark, name))
 
-    started = []
+    def start(df: DataFrame, name: str, out_mode: str = "append") -> None:
+        writer = sinks.batch_writer(sink, name, ckpt_for(name), lake_root, out_mode,
+                                    **(sink_options or {}))
+        started.append(start_query(df, name, writer, ckpt_for(name), out_mode, trigger))
+
+    started: list[StreamingQuery] = []
     if staged:
         clean_path = os.path.join(lake_root, "_clean_events")
-        ingest = start_ingest(records, clean_path, ckpt_for("clean_events"), trigger,
-                              watermark, dedup)
+        ingest = start_ingest(records, clean_path, ckpt_for("clean_events"), trigger, retention)
         started.append(ingest)
         if trigger and trigger.get("availableNow"):
             ingest.awaitTermination()
             if ingest.exception() is not None:
                 raise ingest.exception()
-        ev = clean_stream(spark, clean_path, watermark)
+        ev = clean_stream(spark, clean_path)
     else:
-        ev, _ = prepare(records, watermark, dedup)
-    register(ev)
+        valid, _ = quality.validate(parse_events(records))
+        ev = enrich_ops.enrich(valid)
+    timed = watermarked(ev, watermark, dedup)
+    register(timed)
     for name in tables or list(TABLE_BUILDERS):
-        out = TABLE_BUILDERS[name](ev)
-        sink = sinks.lake_batch_writer(os.path.join(lake_root, name), name)
-        started.append(start_query(out, name, sink, ckpt_for(name), "append", trigger))
-    if not with_rejected:
-        return started
-    if staged:
-        rejected = rejected_stream(spark, clean_path)
-    else:
-        _, rejected = quality.validate(parse_events(records))
-        rejected = rejected.withColumn("created_at", F.current_timestamp())
-    started.append(start_query(
-        rejected, "rejected_events",
-        sinks.lake_batch_writer(os.path.join(lake_root, "rejected_events")),
-        ckpt_for("rejected_events"), "append", trigger))
+        if name == "enriched_events":
+            start(_enriched(spark, ev), name)
+        elif name == "events":
+            start(metrics.raw_events(ev), name)      # keyed by id, nothing is late
+        else:
+            start(TABLE_BUILDERS[name](timed), name, mode)
+    if with_rejected:
+        if staged:
+            rejected = rejected_stream(spark, clean_path)
+        else:
+            _, rejected = quality.validate(parse_events(records))
+            rejected = rejected.withColumn("created_at", F.current_timestamp())
+        start(rejected, "rejected_events")
     return started
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], bounded: bool,
               timeout: float | None = None) -> None:
     """Bounded triggers (``availableNow``): wait for every query to drain.
-    Unbounded: return when the first query ends, re-raising its error."""
+    Unbounded: when the first query ends, stop the others and re-raise its error."""
     if bounded:
         for q in queries:
             q.awaitTermination(timeout)
             if q.exception() is not None:
                 raise q.exception()
         return
-    spark.streams.awaitAnyTermination(timeout)
+    end = None if timeout is None else time.monotonic() + timeout
+    while all(q.isActive for q in queries) and (end is None or time.monotonic() < end):
+        time.sleep(0.5)
+    ended = [q for q in queries if not q.isActive]
+    if ended:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        for q in ended:
+            if q.exception() is not None:
+                raise q.exception()

@@ -1,22 +1,23 @@
-"""Sinks: keyed JSON records, replay-safe lake tables, keyed append, JDBC (K2-K6).
+"""Sinks: lake tables, JDBC, keyed JSON records (K2-K6).
 
-Delivery is at-least-once (a failed write fails the batch and it is
-replayed), and every sink here is idempotent, which together gives
-effectively-once tables:
-
-* ``lake_batch_writer`` overwrites the partition ``batch_id=N`` of its batch;
-* ``keyed_append`` inserts only rows whose unique key is not yet present.
+Delivery is at-least-once: a failed write fails the batch and it is replayed.
+The lake sinks are keyed and replace only what their own batch wrote before
+(see ``lake``); the JDBC sink inserts only absent keys. Keyed JSON to a topic
+stays at-least-once, as a message bus is.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import TABLE_CLUSTER, TABLE_KEYS  # noqa: F401  (re-exported)
+from .. import lake
+from ..schema import TABLE_KEYS
 
 
 def arrays_to_text(df: DataFrame, sep: str = ",") -> DataFrame:
@@ -62,51 +63,60 @@ def keyed_append(batch: DataFrame, target: DataFrame, key: Sequence[str]) -> Dat
     """Rows of ``batch`` whose ``key`` is absent from ``target`` (insert-if-absent).
 
     A left-anti join; when both sides carry the ``window_date`` partition
-    column it joins on it too, so dynamic partition pruning reads only the
-    target dates present in the batch.
+    column it joins on it too.
     """
-    on = list(key)
-    if "window_date" in batch.columns and "window_date" in target.columns:
-        on.append("window_date")
-    return batch.join(target.select(*on), on=on, how="left_anti")
+    return lake.absent(batch, target, list(key))
 
 
-def with_window_date(df: DataFrame) -> DataFrame:
-    ts = "window_start" if "window_start" in df.columns else "created_at"
-    return df.withColumn("window_date", F.to_date(F.col(ts)))
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The streaming query's own id: it lives and dies with its checkpoint."""
+    line = spark.read.text(os.path.join(checkpoint, "metadata")).first()[0]
+    return json.loads(line)["id"]
 
 
-def lake_batch_writer(path: str, table: str | None = None,
-                      fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function writing each micro-batch to ``path``.
+def lake_batch_writer(path: str, table: str | None = None, checkpoint: str | None = None,
+                      mode: str = "append") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function writing each micro-batch to a lake table.
 
-    Layout: ``window_date=D/batch_id=N`` partitions, rows clustered by the
-    table's entity column so file min/max statistics prune like an index.
-    Re-running batch N replaces exactly its own partitions (dynamic
-    partition overwrite), so a replay after a failure writes no duplicates.
-    Empty batches are skipped; the batch is persisted so the emptiness check
-    and the write do not compute it twice.
+    A batch is identified by the query (by its checkpoint's id) and its number.
+    ``append`` inserts rows with absent keys, ``update`` replaces rows by key.
+    Empty batches are skipped.
     """
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        shaped = with_window_date(shape_for_table(batch_df)).persist()
-        try:
-            if shaped.isEmpty():
-                return
-            out = shaped.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            # few, sorted files per date and batch: micro-batches run without
-            # AQE (a rebalance hint would be dropped), so range-partition the
-            # cached batch on (date, entity); a large date still spans tasks
-            cluster = TABLE_CLUSTER.get(table or "", None)
-            keys = ["window_date"] + ([cluster] if cluster and cluster in out.columns else [])
-            out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            (out.write.format(fmt).mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("window_date", "batch_id").save(path))
-        finally:
-            shaped.unpersist()
+        spark = batch_df.sparkSession
+        owner = query_id(spark, checkpoint) if checkpoint else "direct"
+        put = lake.upsert if mode == "update" else lake.append
+        put(shape_for_table(batch_df), path, table, f"{owner}-{batch_id}")
     return write
 
 
+def json_batch_writer(table: str, checkpoint: str, path: str | None = None,
+                      servers: str | None = None, topic: str | None = None,
+                      key_col: str = "repo_name") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function publishing keyed JSON: to a topic, or as files
+    of records under ``path/table/batch=...`` (a replay replaces its own)."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        if batch_df.isEmpty():
+            return
+        shaped = batch_df if table == "enriched_events" else shape_for_table(batch_df)
+        records = to_keyed_json(shaped, key_col if key_col in shaped.columns else shaped.columns[0])
+        if servers:
+            write_kafka(records, servers, topic or table)
+        else:
+            owner = query_id(batch_df.sparkSession, checkpoint)
+            records.write.mode("overwrite").parquet(
+                os.path.join(path, table, f"batch={owner}-{batch_id}"))
+    return write
+
+
+def _time_ranges(ts: str, lo, hi, parts: int = 8) -> list[str]:
+    """Predicates that split ``[lo, hi]`` evenly: parallel JDBC range reads."""
+    step = (hi - lo) / parts
+    ends = [lo + step * k for k in range(parts)] + [hi]
+    return [f"{ts} >= '{a}' AND {ts} {'<=' if k == parts - 1 else '<'} '{b}'"
+            for k, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
+
+
 def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
                       key: Sequence[str] | None = None,
                       writer: Callable[[DataFrame], None] | None = None,
@@ -116,8 +126,7 @@ def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
 
     With ``key``, rows already present in the table (by key) are skipped, so a
     replayed batch inserts nothing twice. Only the slice of the table inside
-    the batch's time range is read back (the range predicate is pushed into
-    the database query), not the whole table. Write errors propagate and fail
+    the batch's time range is read back, split into parallel range queries. Write errors propagate and fail
     the batch (it is retried), they are never swallowed. ``writer`` /
     ``reader`` replace the JDBC write / read (tests).
     """
@@ -133,12 +142,11 @@ def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
                 return
             out = shaped
             if key:
-                existing = (reader() if reader else
-                            batch_df.sparkSession.read.jdbc(url, table, properties=properties))
                 ts = "window_start" if "window_start" in shaped.columns else "created_at"
-                if ts in shaped.columns and ts in existing.columns:
-                    lo, hi = shaped.agg(F.min(ts), F.max(ts)).first()
-                    existing = existing.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
+                lo, hi = shaped.agg(F.min(ts), F.max(ts)).first()
+                existing = (reader() if reader else batch_df.sparkSession.read.jdbc(
+                    url, table, predicates=_time_ranges(ts, lo, hi), properties=properties))
+                existing = existing.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
                 out = keyed_append(shaped, existing, key)
             write_fn(out)
         finally:
@@ -146,28 +154,21 @@ def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
     return write
 
 
-def drop_expired_partitions(spark, path: str, date_col: str, cutoff_date: str) -> list[str]:
-    """Retention on a date-partitioned lake table: delete the partition
-    directories of days entirely before ``cutoff_date`` (``YYYY-MM-DD``).
-
-    A metadata operation on the shared file system (one listing of the date
-    directories, no data read); rows of the boundary day stay and are removed
-    at read time by ``maintenance.retain``. Returns the deleted directories.
-    """
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(hconf)
-    if not fs.exists(root):
-        return []
-    dropped = []
-    prefix = f"{date_col}="
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):] < cutoff_date:
-            fs.delete(status.getPath(), True)
-            dropped.append(name)
-    return sorted(dropped)
+def batch_writer(kind: str, table: str, checkpoint: str, lake_root: str, mode: str = "append",
+                 **options) -> Callable[[DataFrame, int], None]:
+    """The sink of a served table: ``lake``, ``jdbc`` (url, properties, or writer
+    and reader in tests) or ``json`` (path, or servers and topic)."""
+    if kind == "lake":
+        return lake_batch_writer(os.path.join(lake_root, table), table, checkpoint, mode)
+    if kind == "jdbc":
+        known = {k: options.pop(k) for k in ("url", "writer", "reader") if k in options}
+        return jdbc_batch_writer(table, known.get("url", ""), options, TABLE_KEYS.get(table),
+                                 known.get("writer") and (lambda df: known["writer"](table, df)),
+                                 known.get("reader") and (lambda: known["reader"](table)))
+    if kind == "json":
+        return json_batch_writer(table, checkpoint, **{"path": os.path.join(lake_root, "_json"),
+                                                       **options})
+    raise ValueError(f"unknown sink {kind!r}")
 
 
 def expire_landed_files(spark, path: str, max_age_hours: float, now_ms: int | None = None) -> int:

@@ -15,7 +15,7 @@ from eventide.sources.landing import land_in_time_order
 def test_stream_build_retain(spark, scratch):
     land = os.path.join(scratch, "land")
     land_in_time_order(spark, landed_records(pipeline.table(spark, SF_SMALL, "events"), keep=("ts",)),
-                       "ts", land, days_per_file=10)
+                       "ts", land, files=3)
     lake_s, lake_b = os.path.join(scratch, "lake_s"), os.path.join(scratch, "lake_b")
     main(["stream", "--source", "parquet", "--path", land, "--option", "maxFilesPerTrigger=1",
           "--lake", lake_s, "--checkpoints", os.path.join(scratch, "ck"), "--available-now",
@@ -23,14 +23,36 @@ def test_stream_build_retain(spark, scratch):
     main(["build", "--source", "parquet", "--path", land, "--lake", lake_b,
           "--tables", "repository_metrics"])
     streamed = metric_table(spark, lake_s, "repository_metrics").drop("window_date", "batch_id")
-    built = metric_table(spark, lake_b, "repository_metrics").drop("window_date")
-    assert streamed.count() > 0 and streamed.exceptAll(built).count() == 0
+    built = metric_table(spark, lake_b, "repository_metrics").drop("window_date", "batch_id")
+    streamed_count = streamed.count()
+    assert streamed_count > 0 and streamed.exceptAll(built).count() == 0
     assert built.count() == 3970
 
-    main(["retain", "--lake", lake_b, "--days", "10", "--as-of", "2024-01-31",
+    main(["retain", "--lake", lake_b, "--tier", "1 hour=10", "--as-of", "2024-01-31",
           "--tables", "repository_metrics"])
     left = metric_table(spark, lake_b, "repository_metrics")
-    assert left.agg({"window_date": "min"}).collect()[0][0].isoformat() == "2024-01-21"
+    # by window_end: windows begun the evening before and ended after the cut stay
+    assert str(left.agg({"window_end": "min"}).collect()[0][0]) >= "2024-01-21 00:00:00"
+    assert left.count() == built_after(spark, land, "2024-01-21 00:00:00")
+    main(["compact", "--lake", lake_s, "--tables", "repository_metrics"])
+    assert metric_table(spark, lake_s, "repository_metrics").count() == streamed_count
+
+
+def built_after(spark, land, ts):
+    from eventide.functions.parse import parse_events
+    from eventide.operators import metrics
+    from eventide.sources.events import event_batch
+    ev = pipeline.clean(parse_events(event_batch(spark, "parquet", land)))
+    return metrics.repository_metrics(ev).filter(f"window_end >= '{ts}'").count()
+
+
+def test_build_writes_rejected(spark, scratch):
+    land, lake = os.path.join(scratch, "jsonl"), os.path.join(scratch, "lake")
+    landed_records(pipeline.table(spark, SF_SMALL, "events"), defects=True).select(
+        "value").write.text(land)
+    main(["build", "--source", "text", "--path", land, "--lake", lake, "--tables", "events"])
+    assert metric_table(spark, lake, "rejected_events").count() == 100
+    assert metric_table(spark, lake, "events").count() == 900
 
 
 def test_build_from_json_lines(spark, scratch):
@@ -44,7 +66,7 @@ def test_build_from_json_lines(spark, scratch):
     main(["build", "--source", "text", "--path", land, "--lake", lake,
           "--tables", "events", "language_trends"])
     assert metric_table(spark, lake, "events").count() == 1000
-    built = metric_table(spark, lake, "language_trends").drop("window_date")
+    built = metric_table(spark, lake, "language_trends").drop("window_date", "batch_id")
     direct = metrics.language_trends(pipeline.events(spark, SF_SMALL))
     assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
     assert built.agg(F.sum("event_count")).collect()[0][0] > 0

@@ -9,7 +9,7 @@ def _langs(spark, evs):
 
 
 def test_push_languages(spark):
-    assert _langs(spark, [PUSH_EVENT]) == [["JavaScript", "Python"]]
+    assert _langs(spark, [PUSH_EVENT]) == [["Elixir", "Kotlin"]]
 
 
 def test_push_language_edge_cases(spark):
@@ -31,7 +31,7 @@ def test_create_event_languages(spark):
 
 
 def test_existing_languages_win(spark):
-    assert _langs(spark, [event(languages=["Kotlin"])]) == [["Kotlin"]]
+    assert _langs(spark, [event(languages=["Haskell"])]) == [["Haskell"]]
 
 
 def _rm(spark, evs):
@@ -40,7 +40,7 @@ def _rm(spark, evs):
 
 def test_repository_metrics_fixture(spark):
     m = _rm(spark, [STAR_EVENT])[0]
-    assert (m.repo_id, m.repo_name, m.stars, m.forks) == (456, "testorg/testrepo", 1, None)
+    assert (m.repo_id, m.repo_name, m.stars, m.forks) == (8802, "fjord/lantern", 1, None)
 
 
 def test_repository_metrics_cases(spark):
@@ -71,11 +71,11 @@ def test_repository_metrics_counts_and_rename(spark):
     evs = [event(id="1", created_at=_at("10:01:00")),
            event(id="2", type="ForkEvent", created_at=_at("10:02:00")),
            event(id="3", type="IssuesEvent", created_at=_at("10:03:00")),
-           event(id="4", repo__name="testorg/renamed", created_at=_at("10:04:00"))]
+           event(id="4", repo__name="fjord/beacon", created_at=_at("10:04:00"))]
     df = metrics.repository_metrics(parsed(spark, evs)).filter("window_start = '2024-01-02 10:00:00'")
     rows = {r.repo_name: r for r in df.collect()}
-    assert set(rows) == {"testorg/testrepo", "testorg/renamed"}
-    r = rows["testorg/testrepo"]
+    assert set(rows) == {"fjord/lantern", "fjord/beacon"}
+    r = rows["fjord/lantern"]
     assert (r.event_count, r.stars, r.forks, r.pull_requests, r.issues) == (3, 1, 1, 0, 1)
 
 
@@ -84,12 +84,12 @@ def test_user_activity_distinct_repos_and_types(spark):
            event(id="2", created_at=_at("10:02:00"), type="PushEvent"),
            event(id="3", created_at=_at("10:03:00"), repo__id=999, type="PushEvent"),
            event(id="4", created_at=_at("10:04:00"), repo__id=None)]
-    df = metrics.user_activity(parsed(spark, evs)).filter("window_start = '2024-01-02 10:00:00'")
+    df = metrics.user_activity(parsed(spark, evs), event_types_form="list").filter("window_start = '2024-01-02 10:00:00'")
     r = df.collect()[0]
     assert r.event_count == 4
     assert r.repos_contributed == 2          # null repo id is not counted
     assert r.event_types == "PushEvent,PushEvent,WatchEvent,WatchEvent"
-    counts = metrics.user_activity(parsed(spark, evs), event_types_form="counts")
+    counts = metrics.user_activity(parsed(spark, evs))
     assert counts.filter("window_start = '2024-01-02 10:00:00'").collect()[0].event_types == \
         "PushEvent:2,WatchEvent:2"
 
@@ -98,7 +98,7 @@ def test_language_trends_skip_empty(spark):
     evs = [enrich.enrich(parsed(spark, [PUSH_EVENT, STAR_EVENT]))]
     df = metrics.language_trends(evs[0])
     langs = {r.language for r in df.collect()}
-    assert langs == {"JavaScript", "Python"}
+    assert langs == {"Elixir", "Kotlin"}
     assert df.count() == 8
 
 

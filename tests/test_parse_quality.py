@@ -16,8 +16,8 @@ def test_event_schema_has_declared_fields():
 
 def test_parse_star_event(spark):
     r = parsed(spark, [STAR_EVENT]).collect()[0]
-    assert r.id == "12345" and r.type == "WatchEvent"
-    assert r.actor.id == 123 and r.repo.id == 456 and r.repo.name == "testorg/testrepo"
+    assert r.id == "91001" and r.type == "WatchEvent"
+    assert r.actor.id == 7001 and r.repo.id == 8802 and r.repo.name == "fjord/lantern"
     assert r.payload.action == "started" and r.payload.commits is None
     full = parse_events(records(spark, [STAR_EVENT]), payload="map").collect()[0]
     assert full.payload == {"action": "started"}
@@ -29,7 +29,7 @@ def test_binary_records_decode(spark):
     df = records(spark, [STAR_EVENT]).select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
     assert decode(df).schema["value"].dataType.simpleString() == "string"
-    assert parse_events(df).collect()[0].id == "12345"
+    assert parse_events(df).collect()[0].id == "91001"
 
 
 def test_malformed_and_bad_timestamp_do_not_fail(spark):
@@ -38,7 +38,7 @@ def test_malformed_and_bad_timestamp_do_not_fail(spark):
     rows = df.collect()
     assert len(rows) == 2
     assert rows[0].id is None and rows[0].actor is None
-    assert rows[1].id == "12345" and rows[1].created_at is None
+    assert rows[1].id == "91001" and rows[1].created_at is None
 
 
 def test_slim_payload_keeps_nested_values_as_text(spark):
@@ -59,12 +59,12 @@ def test_validate_lists_missing_fields(spark):
            event(created_at="garbage"), "{nope",
            event(org={"id": 1, "login": "o", "url": "u"})]
     valid, rejected = quality.validate(parsed(spark, evs))
-    assert [r.id for r in valid.collect()] == ["12345"]
+    assert [r.id for r in valid.collect()] == ["91001"]
     errs = sorted((r.id, r.errors) for r in rejected.collect())
-    assert ("12345", "actor.id") in errs
-    assert ("12345", "repo.name,created_at") in errs
-    assert ("12345", "created_at") in errs
-    assert ("12345", "org.avatar_url") in errs
+    assert ("91001", "actor.id") in errs
+    assert ("91001", "repo.name,created_at") in errs
+    assert ("91001", "created_at") in errs
+    assert ("91001", "org.avatar_url") in errs
     unknown = [e for i, e in errs if i == "unknown"]
     assert unknown and unknown[0].startswith("id,type,actor.id")
 
@@ -84,13 +84,34 @@ def test_dedup_keeps_first_collected_copy(spark):
     out = quality.dedup(parsed(spark, [again, first, other, again]))
     rows = {r.id: r for r in out.collect()}
     assert len(rows) == 2
-    assert rows["12345"].public is True
-    assert str(rows["12345"].collected_at) == "2024-01-02 10:08:00"
+    assert rows["91001"].public is True
+    assert str(rows["91001"].collected_at) == "2024-01-02 10:08:00"
 
 
 def test_dedup_hot_key_collapses(spark):
-    # one id holding most rows: still one output row, all columns from one copy
     evs = [event(collected_at=f"2024-01-02T10:{m:02d}:00Z") for m in range(10, 60)]
     out = quality.dedup(parsed(spark, evs + [PUSH_EVENT]))
     rows = {r.id: r for r in out.collect()}
-    assert len(rows) == 2 and str(rows["12345"].collected_at) == "2024-01-02 10:10:00"
+    assert len(rows) == 2 and str(rows["91001"].collected_at) == "2024-01-02 10:10:00"
+
+
+def test_dedup_ties_keep_one_sent_row(spark):
+    # copies collected at the same instant, or at none, that differ in several fields
+    same = [event(id="a"), event(id="a", type="ForkEvent", actor__id=2, repo__id=9, public=False),
+            event(id="a", actor__id=3, created_at="2024-01-02T10:09:00Z")]
+    none = [event(id="b", collected_at=None, type=t, actor__id=k)
+            for k, t in enumerate(("PushEvent", "WatchEvent", "ForkEvent"))]
+    sent = parsed(spark, same + none)
+    kept = quality.dedup(sent)
+    assert kept.count() == 2
+    assert kept.exceptAll(sent).count() == 0           # each row is one that was sent
+    by_id = {r.id: r for r in kept.collect()}
+    assert (by_id["a"].type, by_id["a"].actor.id, by_id["a"].public) == ("ForkEvent", 2, False)
+    assert (by_id["b"].type, by_id["b"].actor.id) == ("ForkEvent", 2)
+
+
+def test_collected_at_absent_defaults_unreadable_rejects(spark):
+    evs = [event(id="1", collected_at=None), event(id="2", collected_at="soon")]
+    valid, rejected = quality.validate(parsed(spark, evs))
+    assert [(r.id, str(r.collected_at)) for r in valid.collect()] == [("1", "2024-01-31 00:00:00")]
+    assert [(r.id, r.errors) for r in rejected.collect()] == [("2", "collected_at")]

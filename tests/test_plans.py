@@ -23,8 +23,8 @@ def _plan(df) -> str:
 def test_no_python_and_single_parse(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert not any(n in plan for n in PYTHON_NODES)
-    if name != "panel_repository_activity":      # two branches, each parsed once
-        assert plan.count("from_json(StructField(id") == 1
+    stored = name == "panel_repository_activity"      # parsed once, before
+    assert plan.count("from_json(StructField(id") == (0 if stored else 1)
 
 
 def test_every_shuffle_of_an_aggregate_is_pre_aggregated(spark):
@@ -34,7 +34,8 @@ def test_every_shuffle_of_an_aggregate_is_pre_aggregated(spark):
         if "Exchange hashpartitioning" in line and i + 1 < len(lines):
             below = lines[i + 1]
             assert ("partial_" in below or "Project" in below or "Filter" in below
-                    or "merge_" in below or "functions=[]" in below), below
+                    or "merge_" in below or "functions=[]" in below
+                    or "WindowGroupLimit" in below), below
 
 
 def test_top_k_is_take_ordered(spark):
@@ -50,10 +51,40 @@ def test_semi_join_broadcasts_only_the_top_list(spark):
     assert "TakeOrderedAndProject(limit=10" in build
 
 
-def test_dedup_combines_map_side(spark):
+def test_dedup_limits_each_id_before_and_after_the_shuffle(spark):
     plan = _plan(QUERIES["dedup_events"](spark, SF_SMALL))
-    assert "partial_min_by" in plan
-    assert "row_number" not in plan
+    assert plan.count("WindowGroupLimit") == 2
+    assert "min_by" not in plan
+
+
+@pytest.mark.parametrize("name", ["top_repositories", "top_users", "top_languages",
+                                  "event_type_summary", "panel_event_types",
+                                  "panel_top_languages", "panel_overall_trends",
+                                  "panel_repository_stars", "retain_events"])
+def test_time_range_is_below_the_first_shuffle(spark, name):
+    lines = _plan(QUERIES[name](spark, SF_SMALL)).split("\n")
+    last_exchange = max(i for i, x in enumerate(lines) if "Exchange hashpartitioning(id" in x)
+    below = "\n".join(lines[last_exchange:])      # printed below = runs before
+    assert re.search(r"Filter .*try_to_timestamp\(created_at.* >= ", below) or \
+        re.search(r"Filter .*created_at#\d+ >= |Filter .*>= 2024-01", below), below[:2000]
+
+
+def _shape(df):
+    plan = re.sub(r"#\d+L?|plan_id=\d+|\d+", "", _plan(df))
+    return [x.split("[")[0].split("(")[0].strip(" +-:*") for x in plan.split("\n")]
+
+
+@pytest.mark.parametrize("name", ["repository_metrics", "dedup_events", "top_users"])
+def test_same_plan_at_either_size(spark, name):
+    small, large = (QUERIES[name](spark, f"/root/testdata/{sf}") for sf in ("sf0.001", "sf0.1"))
+    assert _shape(small) == _shape(large)
+
+
+@pytest.mark.parametrize("name", ["panel_repository_activity", "panel_series_stats",
+                                  "keyed_append", "retain_tiered"])
+def test_stored_intermediates_are_parsed_once(spark, name):
+    # the stored copy is read; no branch parses the records again
+    assert "from_json" not in _plan(QUERIES[name](spark, SF_SMALL))
 
 
 def test_validation_filter_stays_above_the_parse(spark):

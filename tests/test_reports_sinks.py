@@ -111,12 +111,19 @@ def test_lake_writer_replay_same_batch(spark, scratch):
     write(m, 0)
     write(m, 0)          # replay of batch 0 after a failure
     write(m.limit(0), 1)  # empty batch: nothing written
+    write(m, 2)          # the same rows in another batch: keys are present
     out = spark.read.parquet(path)
     assert out.count() == 2
     assert sorted(r.window_date.isoformat() for r in out.collect()) == ["2024-01-30", "2024-01-31"]
-    dropped = sinks.drop_expired_partitions(spark, path, "window_date", "2024-01-31")
-    assert dropped == ["window_date=2024-01-30"]
-    assert spark.read.parquet(path).count() == 1
+
+
+def test_time_ranges_cover_the_span_once():
+    lo, hi = _ts("2024-01-30 00:00:00"), _ts("2024-01-30 08:00:00")
+    parts = sinks._time_ranges("window_start", lo, hi)
+    assert len(parts) == 8
+    assert parts[0].startswith("window_start >= '2024-01-30 00:00:00'")
+    assert parts[-1].endswith("<= '2024-01-30 08:00:00'")
+    assert all("< '" in p for p in parts[:-1])
 
 
 def test_jdbc_writer_shapes_and_propagates(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from eventide.plans import pipeline, reports, tables
 from eventide.operators import metrics
@@ -18,7 +20,7 @@ def test_build_tables_and_pruned_reports(spark, scratch):
     assert any(d.startswith("window_date=") for d in os.listdir(paths["repository_metrics"]))
 
     m = metric_table(spark, scratch, "repository_metrics")
-    assert m.drop("window_date").exceptAll(metrics.repository_metrics(ev)).count() == 0
+    assert m.drop("window_date", "batch_id").exceptAll(metrics.repository_metrics(ev)).count() == 0
     assert metric_table(spark, scratch, "events").count() == ev.count()
 
     lake_top = reports.top_repositories(m, pipeline.AS_OF)
@@ -30,7 +32,6 @@ def test_build_tables_and_pruned_reports(spark, scratch):
 
 
 def test_panels_over_lake_prune_dates(spark, scratch):
-    from pyspark.sql import functions as F
     from eventide.plans import panels
     ev = pipeline.events(spark, SF_SMALL)
     tables.build_tables(spark, ev, scratch, ["repository_metrics"])
@@ -45,3 +46,86 @@ def test_panels_over_lake_prune_dates(spark, scratch):
         assert "PartitionFilters: [isnotnull(window_date" in \
             lake._jdf.queryExecution().executedPlan().toString()
     assert m.filter(F.col("window_date") < "2024-01-28").count() > 0
+
+
+def _rows(spark, root, name):
+    return metric_table(spark, root, name).drop("window_date", "batch_id")
+
+
+def test_stream_and_build_share_a_lake(spark, scratch):
+    from conftest import event, parsed
+    from eventide import lake
+    path = os.path.join(scratch, "events")
+    days = [event(id=f"{d}{k}", created_at=f"2024-01-0{d}T23:50:00Z") for d in (2, 3, 4) for k in "ab"]
+    ev = metrics.raw_events(parsed(spark, days[:4]))
+    lake.append(ev, path, "events", "query-0")
+    built = pipeline.clean(parsed(spark, [event(id="x", created_at="2024-01-03T10:00:00Z"), *days[4:]]))
+    tables.build_tables(spark, built, scratch, ["events", "repository_metrics"])
+    # whole dates are replaced (the 3rd and 4th), the 2nd stays; dates mix writers
+    assert sorted(r.id for r in _rows(spark, scratch, "events").collect()) == ["2a", "2b", "4a", "4b", "x"]
+    lake.append(metrics.raw_events(parsed(spark, days)), path, "events", "query-1")
+    assert _rows(spark, scratch, "events").count() == 7
+    # windows begun the day before the first event are there, once
+    m = _rows(spark, scratch, "repository_metrics")
+    assert m.count() == 8 and m.filter("window_start < '2024-01-03'").count() == 0
+
+
+def test_empty_table_reads_as_no_rows(spark, scratch):
+    from eventide.plans import views
+    made = views.register(spark, scratch, pipeline.AS_OF, prefix="empty_")
+    assert all(df.count() == 0 for df in made.values())
+    assert spark.sql("SELECT * FROM empty_top_repositories").columns[0] == "repo_id"
+
+
+def test_compact_keeps_rows_and_keys(spark, scratch):
+    import datetime as dt
+    from eventide import lake
+    from eventide.schema import REPOSITORY_METRICS_TABLE
+    path = os.path.join(scratch, "repository_metrics")
+    at = dt.datetime(2024, 1, 30, 10)
+    for k in range(3):
+        rows = [(k, f"r{k}", at, at + dt.timedelta(hours=1), 1, 0, 0, 0, 0)]
+        lake.append(spark.createDataFrame(rows, REPOSITORY_METRICS_TABLE), path,
+                    "repository_metrics", f"q-{k}")
+    day = at.date()
+    assert len(lake.leaves(spark, path, [day])) == 3
+    assert lake.compact(spark, path, "repository_metrics", dt.date(2024, 1, 31)) == 1
+    assert len(lake.leaves(spark, path, [day])) == 1
+    assert _rows(spark, scratch, "repository_metrics").count() == 3
+    lake.append(spark.createDataFrame(rows, REPOSITORY_METRICS_TABLE), path,
+                "repository_metrics", "q-2")            # a replay after the compaction
+    assert _rows(spark, scratch, "repository_metrics").count() == 3
+
+
+def test_expire_by_window_end_and_width(spark, scratch):
+    import datetime as dt
+    from eventide import lake
+    from eventide.operators import maintenance
+    from eventide.schema import REPOSITORY_METRICS_TABLE
+    path = os.path.join(scratch, "repository_metrics")
+    hour, day = dt.timedelta(hours=1), dt.timedelta(days=1)
+
+    def rows(starts, width):
+        return spark.createDataFrame(
+            [(k, "r", s, s + width, 1, 0, 0, 0, 0) for k, s in enumerate(starts)],
+            REPOSITORY_METRICS_TABLE)
+    cut = dt.datetime(2024, 1, 16)
+    # on either side of the cut, and begun before midnight but ended after it
+    hourly = rows([cut - day, cut - dt.timedelta(minutes=15), cut - hour, cut + hour], hour)
+    daily = rows([cut - 3 * day, cut - dt.timedelta(days=80), cut - dt.timedelta(days=61)], day)
+    lake.append(hourly, path, "repository_metrics", "hourly")
+    lake.append(daily, path, "repository_metrics", "daily")
+    as_of = "2024-02-15 00:00:00"
+    gone, part = lake.expire(spark, path, "repository_metrics",
+                             maintenance.tier_expired(as_of=as_of), dt.date(2024, 1, 16))
+    left = _rows(spark, scratch, "repository_metrics")
+    want = maintenance.retain_tiered(hourly.unionByName(daily), as_of=as_of)
+    assert left.exceptAll(want).count() == 0 and want.exceptAll(left).count() == 0
+    assert left.count() == 5 and (gone, part) == (2, 0)
+    more = rows([cut - hour - dt.timedelta(minutes=1), cut - hour], hour)
+    lake.append(more.filter("repo_id = 0").withColumn("repo_name", F.lit("s")).unionByName(
+        more.filter("repo_id = 1").withColumn("repo_name", F.lit("s"))), path,
+        "repository_metrics", "mixed")
+    assert lake.expire(spark, path, "repository_metrics", maintenance.tier_expired(as_of=as_of),
+                       dt.date(2024, 1, 16)) == (0, 1)      # one row of the leaf goes
+    assert _rows(spark, scratch, "repository_metrics").filter("repo_name = 's'").count() == 1
