@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: rows and bytes per Arrow batch, so that neither long texts nor packed blocks pile up
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -16,12 +20,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    # workers look for this package where the driver found it, too
+    env = spark.sparkContext.environment
+    if HOME not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [HOME, env.get("PYTHONPATH")]))
     return spark
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size that the plan estimates for df; only to choose numbers of buckets."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def buckets_for(df: DataFrame, bucket_bytes: int, least: int = 48) -> int:
+    """How many buckets to write from df, by the size that its plan estimates;
+    an unknown size (a local or checkpointed table) counts as small. Never fewer
+    than the shuffle partitions: Spark would shuffle the buckets anew."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, min(1 << 16, size // bucket_bytes)) if size < 1 << 60 else least
 
 
 def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
@@ -71,6 +83,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_ids(ids: DataFrame, bound: int) -> DataFrame:
+    """The ``bound`` rows with the smallest hashes of column ``id`` (distinct ids).
+
+    Where there are far more, a first cut on the hash leaves about twice the
+    bound, so no task gathers more than that however many partitions there are.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    n = ids.count()
+    if n > 4 * bound:
+        ids = ids.where(spot < (1 << 41) * bound // n)
+    return ids.orderBy(spot, "id").limit(bound)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Remove the folder of a table made by ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now: it
+    does so when the driver collects the objects that stand for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)

@@ -18,11 +18,13 @@ which demands correspondingly more shared elements, up to the whole set. Pairs
 are looked for on the lower of the two documents' levels.
 
 *Verification without pairs of a group.* Equal sets are one class from the
-start. Classes that keep the same element form a bucket. In each star round
+start. Classes that keep the same element form a bucket; an element kept once is done. In each star round
 every bucket checks one member per component against one centre (linear work)
 and verified links merge components. What is left then, members of different
 components in a bucket, is checked pair by pair, so no link between components
-is lost, while the pairs inside a component are never formed.
+is lost, while the pairs inside a component are never formed. A pair is looked
+at only where the shared element's places in both prefixes leave room for the
+overlap; members for which no size in the bucket leaves room drop out first.
 
 Sets to verify are written once, bucketed by class, and read in place. Shuffles
 carry prefix elements (about a fifth of the n-grams, 16 bytes each), the texts
@@ -42,11 +44,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import wordbytes as wb
-from .common import bucketed, input_bytes, written
+from .common import bucketed, buckets_for, drop_written, release, written
 
 LEVELS = (0.05, 0.3, 1.0)    # shared prefix elements demanded, as a share of the set
 MAX_COST = 64                # candidates (with repeats) a document's prefix may meet
@@ -78,6 +81,13 @@ def _ceil_percent(n: Column, percent: int) -> Column:
     return F.floor((percent * n + 99) / 100).cast("long")
 
 
+def _prefix_length(n: Column, percent: int, share: float) -> Column:
+    if share >= 1:
+        return n
+    full = _ceil_percent(n, percent)
+    return n - full + F.least(full, 1 + F.floor(share * n).cast("long"))
+
+
 def demanded(n: Column, percent: int, share: float) -> Column:
     """``matches`` of the smallest partner of a set: what any partner must share."""
     least = _ceil_percent(n, percent)
@@ -116,33 +126,41 @@ def _print(own: np.ndarray) -> bytes:
 
 
 def _prefixes(size: int, percent: int):
+    """Every row's set size and print; the prefix at a task's first row of a print."""
     def run(batches):
+        uid, seen, none = TaskContext.get().partitionId() << 33, set(), np.zeros(0, np.int64)
         for batch in batches:
             sets = list(shingle_sets(batch.column(2), size))
+            prints, prefixes = [_print(s) for s in sets], []
+            for own, name, doc_id in zip(sets, prints, batch.column(0).to_pylist()):
+                new = doc_id is not None and name not in seen
+                prefixes.append(own[:prefix_length(len(own), percent, LEVELS[0])]
+                                if new and len(own) else none)
+                if new:
+                    seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_print(s) for s in sets], pa.binary()),
-                 _lists([s[:prefix_length(len(s), percent, LEVELS[0])] for s in sets])],
-                names=["doc_id", "text_md5", "n", "print", "prefix"])
+                [batch.column(0), batch.column(1), pa.array(range(uid, uid + len(sets)), pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(prints, pa.binary()), _lists(prefixes)],
+                names=["doc_id", "text_md5", "uid", "n", "print", "prefix"])
+            uid += len(sets)
     return run
 
 
 def _whole_sets(size: int):
     def run(batches):
         for batch in batches:
-            sets = list(shingle_sets(batch.column(2), size))
-            right = np.array([_print(s) == p for s, p in zip(sets, batch.column(1).to_pylist())],
-                             bool)
-            keep = np.flatnonzero(right)
+            sets = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep)),
-                 pa.array([len(sets[k]) for k in keep], pa.int64()),
-                 _lists([sets[k] for k in keep])], names=["cls", "n", "elements"])
+                [batch.column(0), pa.array([_print(s) for s in sets], pa.binary()),
+                 pa.array([len(s) for s in sets], pa.int64()), _lists(sets)],
+                names=["doc_id", "print", "n", "elements"])
     return run
 
 
-def _bitmap_filter(docs: DataFrame, ids: DataFrame, col: str) -> DataFrame:
-    """Rows of docs whose id may be among ids: a fixed-size bitmap, no exact answer."""
+def _may_be_in(ids: DataFrame, col: str) -> Column:
+    """Whether a row's id may be one of ids (column ``col`` in both): a bitmap of
+    fixed size, broadcast; never false for an id that is there."""
     bit = F.pmod(F.xxhash64(F.col(col)), F.lit(BITMAP))
     rows = (ids.select(bit.alias("b"))
             .groupBy(F.floor(F.col("b") / 64).alias("at"))
@@ -150,68 +168,92 @@ def _bitmap_filter(docs: DataFrame, ids: DataFrame, col: str) -> DataFrame:
     words = np.zeros(BITMAP // 64, np.int64)            # BITMAP / 64 rows at most
     for r in rows:
         words[r["at"]] = r["bits"]
-    held = docs.sparkSession.sparkContext.broadcast(np.unpackbits(
-        words.view(np.uint8), bitorder="little"))
+    held = ids.sparkSession.sparkContext.broadcast(words.view(np.uint8))
 
     def may(column: pa.Array) -> pa.Array:
-        return pa.array(held.value[column.to_numpy(zero_copy_only=False)] == 1, pa.bool_())
+        at = column.to_numpy(zero_copy_only=False)
+        return pa.array(held.value[at >> 3] >> (at & 7) & 1 == 1, pa.bool_())
 
-    return docs.where(F.arrow_udf(may, "boolean")(bit))
+    return F.arrow_udf(may, "boolean")(bit)
 
 
 # ---- levels ---------------------------------------------------------------------
 
-def _kept(postings: DataFrame, percent: int, share: float) -> DataFrame:
-    """(cls, n, element, df): elements by which partners on this level must meet."""
+def _kept(postings: DataFrame, percent: int, share: float,
+          classes: DataFrame | None = None) -> DataFrame:
+    """(cls, n, element, members, size, pos): elements by which partners on this level
+    must meet; pos is the element's place in the prefix (of ``size`` elements)
+    ordered by frequency, the rarest first; members counts the classes that keep
+    the element (one alone has no partner there). With ``classes``, postings of
+    other copies of a class only count into frequencies."""
     df = (postings.groupBy("element").agg(F.count("*").alias("df")).where(F.col("df") > 1))
     own = Window.partitionBy("cls")
-    common = (postings.join(df, "element")
-              .withColumn("common", F.count("*").over(own))
+    shared = postings.join(df, "element")
+    if classes is not None:
+        # one row per class; a semi join would be moved below the explode and
+        # shuffle whole prefixes
+        shared = shared.join(classes.select("cls"), "cls")
+    common = (shared.withColumn("common", F.count("*").over(own))
               .where(F.col("common") >= demanded(F.col("n"), percent, share)))
-    return (common.withColumn("rank", F.row_number().over(own.orderBy("df", "element")))
+    kept = (common.withColumn("rank", F.row_number().over(own.orderBy("df", "element")))
             .where(F.col("rank") <= F.col("common") - demanded(F.col("n"), percent, share) + 1)
-            .select("cls", "n", "element", "df"))
-
-
-def _candidates(classes: DataFrame, docs: DataFrame, size: int, percent: int,
-                buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Buckets (level, element, cls, n, settled) of all levels; sets of their classes."""
-    postings = classes.select("cls", "n", F.explode("prefix").alias("element"))
-    kept = written(_kept(postings, percent, LEVELS[0]), "kept")
+            .select("cls", "n", "element",
+                    _prefix_length(F.col("n"), percent, share).alias("size"),
+                    (_prefix_length(F.col("n"), percent, share) - F.col("common")
+                     + F.col("rank")).alias("pos")))
+    kept = written(kept, "kept")
+    met = kept.groupBy("element").agg(F.count("*").alias("members")).where("members > 1")
+    return written(kept.join(met, "element"), "kept")
+
+
+def _candidates(prefixes: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
+                percent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Buckets (level, element, cls, n, size, pos, settled) of all levels; sets of
+    their classes."""
+    spark = docs.sparkSession
+    postings = prefixes.select(F.col("uid").alias("cls"), "n", F.explode("prefix").alias("element"))
+    kept = _kept(postings, percent, LEVELS[0], classes)
+    drop_written(prefixes)
+    release(spark)
     alive = classes.select("cls", "doc_id", "print").join(
         kept.select("cls").distinct(), "cls", "left_semi")
     alive = written(alive, "alive")
-    texts = _bitmap_filter(docs, alive.select("doc_id"), "doc_id")
-    sets = (texts.join(alive, "doc_id").select("cls", "print", "text")
-            .mapInArrow(_whole_sets(size), "cls long, n long, elements array<long>")
+    texts = docs.where(_may_be_in(alive.select("doc_id"), "doc_id"))
+    sets = (texts.mapInArrow(_whole_sets(size),
+                             "doc_id long, print binary, n long, elements array<long>")
+            .join(alive, ["doc_id", "print"]).repartition(buckets, "cls")
             .groupBy("cls").agg(F.first("n").alias("n"), F.first("elements").alias("elements")))
-    sets = bucketed(sets.repartition(buckets, "cls"), "cls", buckets, "sets")
+    sets = bucketed(sets, "cls", buckets, "sets")
+    release(spark)
 
     found = []
     for level, share in enumerate(LEVELS):
         last = level == len(LEVELS) - 1
-        cost = kept.groupBy("cls").agg(F.sum(F.col("df") - 1).alias("cost"))
+        cost = kept.groupBy("cls").agg(F.sum(F.col("members") - 1).alias("cost"))
         dear = (cost.where(F.col("cost") > MAX_COST).select("cls", F.lit(False).alias("settled"))
                 if not last else cost.limit(0).select("cls", F.lit(False).alias("settled")))
         marked = kept.join(dear, "cls", "left").select(
-            F.lit(level).alias("level"), "element", "cls", "n",
+            F.lit(level).alias("level"), "element", "cls", "n", "size", "pos",
             F.coalesce("settled", F.lit(True)).alias("settled"))
         found.append(marked)
         if last:
             break
         longer = LEVELS[level + 1]
-        n = F.col("n")
-        length = n if longer >= 1 else F.least(n, (
-            n - _ceil_percent(n, percent)
-            + F.least(_ceil_percent(n, percent), 1 + F.floor(longer * n).cast("long"))))
+        length = _prefix_length(F.col("n"), percent, longer)
         more = sets.join(dear.select("cls"), "cls", "left_semi").select(
             "cls", "n", F.explode(F.slice("elements", F.lit(1), length.cast("int")))
             .alias("element"))
-        kept = written(_kept(more, percent, longer), "kept")
+        kept = _kept(more, percent, longer)
+        release(spark)
     everything = found[0]
     for more in found[1:]:
         everything = everything.unionByName(more)
-    return written(everything, "buckets"), sets
+    # two members that both go on to the next level meet there
+    key = ["level", "element"]
+    live = (everything.groupBy(*key).agg(F.max("settled").alias("settled"),
+                                         F.count("*").alias("members"))
+            .where("settled and members > 1"))
+    return written(everything.join(live, key, "left_semi"), "buckets"), sets
 
 
 # ---- verification and components ------------------------------------------------
@@ -292,8 +334,17 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
                    .select("cls", F.coalesce("root", "comp").alias("comp")), "comps")
 
 
-def _near(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether a shared element at its place can be the first one of a linked pair.
+
+    The overlap must reach ``percent / (100 + percent)`` of both sizes together;
+    what lies outside the shorter prefix may be shared too, and from the first
+    shared element on, no more than the rest of either prefix can be.
+    """
+    na, nb, sa, sb, pa_, pb = (F.col(f"{x}.{c}") for c in ("n", "size", "pos") for x in (a, b))
+    overlap = F.ceil(percent * (na + nb) / (100 + percent))
+    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            & (1 + F.least(sa - pa_, sb - pb) >= overlap - F.greatest(na - sa, nb - sb)))
 
 
 def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -302,38 +353,46 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     "comps")
     key = ["level", "element"]
     for turn in range(STAR_ROUNDS):
-        spot = F.xxhash64(F.col("cls"), F.lit(turn))
-        reps = (buckets.join(comps, "cls").groupBy(*key, "comp")
-                .agg(F.min(F.struct(spot.alias("spot"), "cls", "n")).alias("r"))
+        # the first centres are the members with the fewest rare elements, the
+        # likeliest originals of a group; later ones are drawn by hash
+        spot = F.col("pos") if turn == 0 else F.xxhash64(F.col("cls"), F.lit(turn))
+        whole = F.struct(spot.alias("spot"), "cls", "n", "size", "pos")
+        reps = (buckets.join(comps, "cls").groupBy(*key, "comp").agg(F.min(whole).alias("r"))
                 .select(*key, "comp", "r.*"))
-        centres = (reps.groupBy(*key).agg(
-            F.min(F.struct("spot", "cls", "n")).alias("c"), F.count("*").alias("members"))
-            .where("members > 1")
-            .select(*key, F.col("c.cls").alias("a"), F.col("c.n").alias("na")))
-        pairs = written(reps.join(centres, key).where(F.col("cls") != F.col("a"))
-                        .where(_near(F.col("n"), F.col("na"), percent))
-                        .select("a", F.col("cls").alias("b")).distinct(), "pairs")
+        centres = (reps.groupBy(*key).agg(F.min(F.struct(
+            "spot", "cls", "n", "size", "pos")).alias("c"), F.count("*").alias("members"))
+            .where("members > 1").select(*key, "c.*"))
+        pairs = written(
+            reps.alias("x").join(centres.alias("c"), key)
+            .where((F.col("x.cls") != F.col("c.cls")) & _possible("x", "c", percent))
+            .select(F.col("c.cls").alias("a"), F.col("x.cls").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
             break
         comps = _merged(comps, _verify(pairs, sets, percent))
 
-    # the rest, exactly: members outside a bucket's largest component meet all others
+    # the rest, exactly: members outside a bucket's largest component meet all
+    # others, as far as some partner of another component is possible at all
     placed = buckets.join(comps, "cls")
-    sizes = placed.groupBy(*key, "comp").agg(F.count("*").alias("size"))
-    split = (sizes.groupBy(*key).agg(F.max(F.struct("size", "comp")).alias("m"),
+    parts = placed.groupBy(*key, "comp").agg(F.count("*").alias("members"))
+    split = (parts.groupBy(*key).agg(F.max(F.struct("members", "comp")).alias("m"),
                                      F.count("*").alias("parts"))
              .where("parts > 1").select(*key, F.col("m.comp").alias("main")))
     placed = written(placed.join(split, key), "split")
-    left = placed.where(F.col("comp") != F.col("main")).select(
-        *key, F.col("cls").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"),
-        F.col("settled").alias("sa"))
-    right = placed.select(*key, F.col("cls").alias("b"), F.col("n").alias("nb"),
-                          F.col("comp").alias("cb"), F.col("settled").alias("sb"))
-    pairs = written(left.join(right, key).where((F.col("ca") != F.col("cb"))
-                                                & (F.col("sa") | F.col("sb"))
-                                                & _near(F.col("na"), F.col("nb"), percent))
-                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                    .distinct(), "pairs")
+    shapes = placed.groupBy(*key, "n", "size").agg(     # one row per set size of a bucket
+        F.min("pos").alias("pos"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.max("settled").alias("settled"))
+    met = written(placed.alias("x").join(shapes.alias("y"), (
+        (F.col("x.level") == F.col("y.level")) & (F.col("x.element") == F.col("y.element"))
+        & ((F.col("y.low") != F.col("x.comp")) | (F.col("y.high") != F.col("x.comp")))
+        & (F.col("x.settled") | F.col("y.settled")) & _possible("x", "y", percent)),
+        "left_semi"), "met")
+    pairs = written(
+        met.where("comp <> main").alias("x").join(met.alias("y"), (
+            (F.col("x.level") == F.col("y.level")) & (F.col("x.element") == F.col("y.element"))
+            & (F.col("x.comp") != F.col("y.comp"))
+            & (F.col("x.settled") | F.col("y.settled")) & _possible("x", "y", percent)))
+        .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
+        .distinct(), "pairs")
     if pairs.isEmpty():
         return comps
     return _merged(comps, _verify(pairs, sets, percent))
@@ -345,18 +404,17 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: st
     doc_id), text_md5, first (whether the text is its component's first, by id)."""
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    buckets = max(48, min(1 << 16, input_bytes(docs) // SET_BUCKET_BYTES))
+    buckets = buckets_for(docs, SET_BUCKET_BYTES)
     prefixes = written(
         text.select("doc_id", F.md5("text").alias("text_md5"), "text").mapInArrow(
-            _prefixes(size, percent), "doc_id long, text_md5 string, n long, print binary, "
-                                      "prefix array<long>"), "prefixes")
+            _prefixes(size, percent), "doc_id long, text_md5 string, uid long, n long, "
+                                      "print binary, prefix array<long>"), "prefixes")
+    members = written(prefixes.drop("uid", "prefix"), "members")
     classes = written(
         prefixes.where("n > 0 and doc_id is not null").groupBy("print").agg(
-            F.min(F.struct("doc_id", "text_md5")).alias("first"), F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"))
-        .select("print", "first", "first.doc_id", "n", "prefix",
-                F.monotonically_increasing_id().alias("cls")), "classes")
-    found, sets = _candidates(classes, text, size, percent, buckets)
+            F.min(F.struct("doc_id", "text_md5")).alias("first"), F.min("uid").alias("cls"))
+        .select("print", "first", "first.doc_id", "cls"), "classes")
+    found, sets = _candidates(prefixes, classes, text, size, percent, buckets)
     comps = _links(found, sets, percent)
     member = classes.select("print", "cls", "first").join(comps, "cls", "left").select(
         "print", "first", F.coalesce("comp", "cls").alias("comp"))
@@ -364,7 +422,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: st
     named = member.drop("first").join(firsts, "comp").select("print", "first")
     # one print may belong to a third of all rows: the class side is a row per print
     own = F.struct("doc_id", "text_md5")
-    return (prefixes.select("doc_id", "text_md5", "n", "print").join(named, "print", "left")
+    return (members.join(named, "print", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(),
                            F.coalesce("first.doc_id", "doc_id")).alias("component_id"),
@@ -377,13 +435,17 @@ def one_per_group(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
 
     Documents without words stay; so do rows without an id. Equal rows are one.
     """
-    groups = similar_groups(docs, size, percent, id_col, text_col)
-    first = (groups.where(F.col("first") & F.col("doc_id").isNotNull())
-             .select(F.col("doc_id").alias("eventide_id"), F.col("text_md5").alias("eventide_md5"))
-             .distinct())
-    keyed = docs.withColumns({
-        "eventide_id": F.col(id_col).cast("long"),
-        "eventide_md5": F.md5(F.coalesce(F.col(text_col), F.lit("")))})
     key = ["eventide_id", "eventide_md5"]
-    kept = keyed.join(first, key, "left_semi").dropDuplicates(key)
-    return keyed.where("eventide_id is null").unionByName(kept).drop(*key)
+    groups = written(
+        similar_groups(docs, size, percent, id_col, text_col)
+        .select(F.col("doc_id").alias(key[0]), F.col("text_md5").alias(key[1]), "first")
+        .groupBy(*key).agg(F.min("first").alias("first"), F.count("*").alias("rows")), "groups")
+    keyed = docs.withColumns({
+        key[0]: F.col(id_col).cast("long"),
+        key[1]: F.md5(F.coalesce(F.col(text_col), F.lit("")))})
+    # only texts that may go, or stand there twice, are shuffled
+    doubt = groups.where("eventide_id is not null and (not first or rows > 1)").select(key[0])
+    unsure = F.col(key[0]).isNotNull() & _may_be_in(doubt, key[0])
+    exact = (keyed.where(unsure).join(groups.where("first").select(*key), key, "left_semi")
+             .dropDuplicates(key))
+    return keyed.where(~unsure).unionByName(exact).drop(*key)
