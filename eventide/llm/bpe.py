@@ -32,12 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, input_bytes
+from .common import bucketed, buckets_for
 from .pretokens import WordEncoder, WordSplitter, spread, text_blocks
+from .wordbytes import give_back
 
 BLOCK_CHARS = 8 << 20
 BUCKET_BYTES = 16 << 20      # input bytes per word bucket and per group of blocks
-MIN_BUCKETS = 48
 
 _PACKED = "block long, bucket int, docs array<long>, sizes array<int>, data binary"
 
@@ -142,6 +142,8 @@ def _split(path: str, buckets: int):
                     seq, held = seq + 1, _Block(held.split)
         if held.docs:
             yield _rows(held.rows((part << 32) + seq, buckets))
+        del held
+        give_back()
     return run
 
 
@@ -200,7 +202,7 @@ def _assemble(positions: pa.Table, found: pa.Table) -> pa.Table:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every document; ``path`` names the tokenizer file."""
-    n = max(MIN_BUCKETS, min(1 << 16, input_bytes(docs) // BUCKET_BYTES))
+    n = buckets_for(docs, BUCKET_BYTES)
     packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
                          ).mapInArrow(_split(path, n), _PACKED)
     # positions stay where they are written: the files are bucketed by block

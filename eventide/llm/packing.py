@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from .bpe import encoder, splitter
 from .common import written
 from .pretokens import spread, text_blocks
+from .wordbytes import give_back
 
 WINDOW = 2048
 END_ID = 1
-KNOWN_WORDS = 400_000        # words whose ids a worker remembers
+KNOWN_WORDS = 100_000        # words whose ids a worker remembers
 
 _PIECES = ("doc_id long, start long, length int, ids_crc32 long, doc_tokens long, "
            "part int, place long")
@@ -102,6 +103,8 @@ def _cut(path: str, window: int, end_id: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                     names=[c.split()[0] for c in _PIECES.split(", ")])
+        encode.known.clear()
+        give_back()
     return run
 
 

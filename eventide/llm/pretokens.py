@@ -15,9 +15,9 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-from .wordbytes import mix
+from .wordbytes import give_back, mix
 
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 19
 _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
@@ -157,6 +157,7 @@ def text_blocks(texts: list[str], limit: int = BLOCK_CHARS):
             stop += 1
         yield row, texts[row:stop]
         row = stop
+    give_back()
 
 
 def spread(flat: np.ndarray, at: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
