@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_ids
+
 MAX_FIT = 2000
 SHRINK, STEPS = 20.0, 200
 NEXT, SAME_PARENT = 0.6, 0.9         # smoothness: adjacent blocks, same container
@@ -323,9 +325,11 @@ def main_text(page: str, weights: np.ndarray) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    sample = (pages.where(F.col(html_col).isNotNull())
-              .orderBy(F.xxhash64(F.col(id_col)), F.xxhash64(F.col(html_col)))
-              .limit(MAX_FIT).select(F.col(html_col).alias("html")))
+    known = pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    chosen = bounded_ids(known.select("id").distinct(), MAX_FIT)
+    sample = (known.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("html").alias("html"))
+              .select("html"))
     fitted = sample.coalesce(1).mapInArrow(_fit, "weights array<double>").collect()
     weights = np.array(fitted[0].weights) if fitted else PRIOR
 

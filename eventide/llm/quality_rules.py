@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbytes as wb
+from .common import bounded_ids
 
 BUCKETS = 1 << 14
 MAX_LABELLED = 20_000
@@ -148,10 +149,10 @@ def choose_threshold(good: np.ndarray, bad: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> RatioModel:
     """Counts of all documents, target counts and threshold of the sample."""
-    chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-              .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("good"))
-              .groupBy("id").agg(F.min("good").cast("int").alias("good"))
-              .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
+    chosen = bounded_ids(
+        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+        .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("good"))
+        .groupBy("id").agg(F.min("good").cast("int").alias("good")), max_labelled)
     ids = F.broadcast(chosen)
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = (text.join(ids, "id", "left").select("text", "good")

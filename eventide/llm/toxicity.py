@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbytes as wb
+from .common import bounded_ids
 
 BITS = 20
 MAX_TRAIN = 12_000
@@ -81,8 +82,10 @@ def _train(bits: int):
                 n0 += g * g
         w = np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z)
                      / ((BETA + np.sqrt(n)) / ALPHA + L2))
-        at = np.flatnonzero(w)
-        if len(docs):
+        at, known = np.flatnonzero(w), len(docs)
+        del docs
+        wb.give_back()
+        if known:
             yield pa.RecordBatch.from_pydict({
                 "slot": pa.array(np.concatenate([[-1], at]), pa.int64()),
                 "weight": pa.array(np.concatenate([[bias], w[at]]), pa.float64())})
@@ -98,8 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None,
                     F.col(label_col).cast("int").alias("y")))
     if learnable is not None:
         seen = seen.where(learnable)
-    chosen = (seen.groupBy("id").agg(F.max("y").alias("y"))
-              .orderBy(F.xxhash64("id"), "id").limit(max_train))
+    chosen = bounded_ids(seen.groupBy("id").agg(F.max("y").alias("y")), max_train)
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # at most max_train ids are broadcast; a repeated document counts once
     sample = (text.join(F.broadcast(chosen), "id")
@@ -127,7 +129,8 @@ def scorer(spark, weights: dict[int, float], bits: int = BITS):
             if len(hit):
                 pair = np.unique(row[hit] * (1 << bits) + slot[hit])
                 np.add.at(out, first + (pair >> bits), dense[pair & ((1 << bits) - 1)])
-        return pa.array(1 / (1 + np.exp(-np.clip(out, -700, 700))), pa.float64())
+        with np.errstate(over="ignore"):
+            return pa.array(1 / (1 + np.exp(-out)), pa.float64())
 
     return F.arrow_udf(score, "double")
 
