@@ -136,7 +136,7 @@ def reply_ordered(chat: DataFrame, conv: str = "conv_id", turn: str = "turn",
                   role: str = "role", text: str = "text") -> DataFrame:
     """One row per message: conv_id, turn, role, body, quoted_lines, quote_levels,
     answers, thread_turn."""
-    said = messages(chat, conv, turn, role, text)
+    said = written(messages(chat, conv, turn, role, text), "messages")
     links = written(_links(said), "links")
     roots = _roots(links)
     return (said.join(links, ["conv_id", "turn", "key"], "left")
