@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import ngram_join, packing, quality_rules, toxicity
-from eventide.llm.common import table, written
+from eventide.llm.common import prepare, table, written
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -31,11 +31,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8)."""
+    prepare(spark)
     return ngram_join.one_per_group(docs, size=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents in token sequences."""
+    prepare(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
