@@ -7,15 +7,16 @@ fixed threshold decides, with no random choice, so a document's verdict
 depends on its text only. Tokens are runs of letters and digits (lower-cased)
 and runs of other non-white characters, so markup debris is visible.
 
-Counts of the raw corpus cover every whole text: tasks add up their own
-``BUCKETS`` counters and one small aggregate adds the tasks. The target and
-the threshold come from a bounded sample of labelled rows (``max_labelled``
-ids with the smallest hashes), whose ids alone are broadcast.
+Counts of both cover every whole text: an ordinary join by id brings the label
+to the text, tasks add up their own ``BUCKETS`` counters and one small
+aggregate adds the tasks.
 
-Threshold: the value that best separates sampled good from sampled bad texts
-which pass the base rules, but never above the ``KEEP`` quantile of the good
-ones less ``MARGIN`` times their spread. Without good or bad sampled texts
-nothing is rejected by the ratio.
+Threshold: the value that best separates good from bad texts which pass the
+base rules, but never above the ``KEEP`` quantile of the good ones less
+``MARGIN`` times their spread. It is read from one histogram of the scores of
+all labelled rows (``BINS`` bins over the range of the ratios), so its
+resolution is one bin and no row is left out. Without good or bad texts nothing
+is rejected by the ratio.
 
 Defined cases: a null or empty text has no words, ratio 0, and fails the base
 rule; several label rows of an id count once (bad if any says so); repeated
@@ -33,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbytes as wb
-from .common import bounded_ids
+from .common import written
 
 BUCKETS = 1 << 14
-MAX_LABELLED = 20_000
+BINS = 1 << 16
 KEEP, MARGIN = 0.001, 0.25
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
@@ -132,31 +133,43 @@ class RatioModel:
         return F.arrow_udf(lambda c: pa.array(_means(c, held.value), pa.float64()), "double")
 
 
-def choose_threshold(good: np.ndarray, bad: np.ndarray) -> float:
-    if not len(good) or not len(bad):
+def choose_threshold(value: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Threshold from how many good and bad texts have each of the rising values."""
+    n_good, n_bad = good.sum(), bad.sum()
+    if not n_good or not n_bad:
         return -np.inf
-    good, bad = np.sort(good), np.sort(bad)
     # bad texts at or above a value, plus good ones below it, weighed by group
-    tries = np.unique(np.concatenate([good, bad]))
-    tries = np.concatenate([[-np.inf], (tries[1:] + tries[:-1]) / 2])
-    lost = np.searchsorted(good, tries) / len(good)
-    passed = 1 - np.searchsorted(bad, tries) / len(bad)
+    tries = np.concatenate([[-np.inf], (value[1:] + value[:-1]) / 2])
+    lost = (np.cumsum(good) - good) / n_good
+    passed = 1 - (np.cumsum(bad) - bad) / n_bad
     best = tries[np.argmin(10 * lost + passed)]
-    floor = np.quantile(good, KEEP) - MARGIN * good.std()
-    return float(min(best, floor))
+    rank = KEEP * (n_good - 1)
+    low, high = (value[np.searchsorted(np.cumsum(good), k, "right")]
+                 for k in (int(rank), min(int(rank) + 1, n_good - 1)))
+    mean = (good * value).sum() / n_good
+    spread = np.sqrt((good * (value - mean) ** 2).sum() / n_good)
+    return float(min(best, low + (rank - int(rank)) * (high - low) - MARGIN * spread))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> RatioModel:
-    """Counts of all documents, target counts and threshold of the sample."""
-    chosen = bounded_ids(
-        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-        .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("good"))
-        .groupBy("id").agg(F.min("good").cast("int").alias("good")), max_labelled)
-    ids = F.broadcast(chosen)
+def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, good): one row per labelled id."""
+    return (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+            .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("good"))
+            .groupBy("id").agg(F.min("good").cast("int").alias("good")))
+
+
+def _ratios(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
+            label_col: str) -> RatioModel:
+    """Log ratios from the counts of all documents and of all good ones."""
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counts = (text.join(ids, "id", "left").select("text", "good")
-              .mapInArrow(_count, "bucket int, raw long, target long")
+    # labels grow with the documents: one plan at every size, no broadcast; rows without
+    # an id match no label and would meet in one task of the join
+    joined = (text.where("id is not null")
+              .join(_labelled(labels, id_col, label_col).hint("merge"), "id", "left")
+              .select("text", "good")
+              .unionByName(text.where("id is null")
+                           .select("text", F.lit(None).cast("int").alias("good"))))
+    counts = (joined.mapInArrow(_count, "bucket int, raw long, target long")
               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts.collect():           # BUCKETS rows
@@ -167,15 +180,40 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     p_raw = (raw + 1) / (raw.sum() + BUCKETS)
     prior = 0.01 * target.sum()
     p_target = (target + prior * p_raw) / (target.sum() + prior)
-    model = RatioModel(np.log(p_target) - np.log(p_raw), -np.inf)
-
-    score = model.score(docs.sparkSession)
-    base = base_udf()
-    sample = (text.join(ids, "id").groupBy("id", "good").agg(F.min("text").alias("text"))
-              .select("good", base("text").alias("b"), score("text").alias("s"))
-              .where(~failed(F.col("b"))).select("good", "s").toPandas())     # max_labelled rows at most
-    by = [sample.s[sample.good == g].to_numpy() for g in (1, 0)]
-    model.threshold = choose_threshold(*by)
+    return RatioModel(np.log(p_target) - np.log(p_raw), -np.inf)
+
+
+def _scored(docs: DataFrame, model: RatioModel, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, b, mean_log_ratio) of every document."""
+    return docs.select(F.col(id_col).alias("doc_id"), base_udf()(F.col(text_col)).alias("b"),
+                       model.score(docs.sparkSession)(F.col(text_col)).alias("mean_log_ratio"))
+
+
+def _threshold(scored: DataFrame, model: RatioModel, labels: DataFrame, id_col: str,
+               label_col: str) -> float:
+    """Threshold from the scores of all labelled rows that pass the base rules."""
+    low, high = float(model.ratio.min()), float(model.ratio.max())
+    if low == high:
+        return -np.inf
+    step = (high - low) / BINS
+    rows = (scored.where(F.col("doc_id").isNotNull() & ~failed(F.col("b")))
+            .groupBy(F.col("doc_id").cast("long").alias("id"),
+                     F.floor((F.col("mean_log_ratio") - low) / step).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .join(_labelled(labels, id_col, label_col), "id").groupBy("bin")
+            .agg(F.sum(F.when(F.col("good") == 1, F.col("n")).otherwise(0)).alias("good"),
+                 F.sum(F.when(F.col("good") == 0, F.col("n")).otherwise(0)).alias("bad"))
+            .orderBy("bin").collect())                  # about BINS rows at most
+    at, good, bad = (np.array([r[k] for r in rows], np.int64) for k in ("bin", "good", "bad"))
+    return choose_threshold(low + (at + 0.5) * step, good, bad)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "quality") -> RatioModel:
+    """Counts of all documents, target counts and threshold of all labelled ones."""
+    model = _ratios(docs, labels, id_col, text_col, label_col)
+    scored = _scored(docs, model, id_col, text_col)
+    model.threshold = _threshold(scored, model, labels, id_col, label_col)
     return model
 
 
@@ -199,13 +237,13 @@ def failed(base: Column) -> Column:
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per document: its base statistics, base_failed, kept, mean_log_ratio."""
-    model = fit(docs, labels, id_col, text_col)
-    base, score = base_udf(), model.score(docs.sparkSession)
-    return (docs.select(F.col(id_col).alias("doc_id"), base(F.col(text_col)).alias("b"),
-                        score(F.col(text_col)).alias("mean_log_ratio"))
-            .select("doc_id", "b.*", failed(F.col("b")).alias("base_failed"),
-                    (~failed(F.col("b")) & (F.col("mean_log_ratio") >= model.threshold)).alias("kept"),
-                    "mean_log_ratio"))
+    model = _ratios(docs, labels, id_col, text_col, "quality")
+    scored = written(_scored(docs, model, id_col, text_col), "scored")
+    model.threshold = _threshold(scored, model, labels, id_col, "quality")
+    return scored.select(
+        "doc_id", "b.*", failed(F.col("b")).alias("base_failed"),
+        (~failed(F.col("b")) & (F.col("mean_log_ratio") >= model.threshold)).alias("kept"),
+        "mean_log_ratio")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",

@@ -86,3 +86,24 @@ def test_without_labels_and_empty(spark):
     kept = qr.kept_documents(d, none)
     assert kept.columns == d.columns and [r.doc_id for r in kept.collect()] == [21]
     assert qr.quality(d.limit(0), none).count() == 0
+
+
+def test_every_labelled_row_counts(spark):
+    rows = [(k, prose(k, 80)) for k in range(40)] + [
+        (100 + k, " ".join(w + "***" for w in prose(50 + k, 80).split())) for k in range(20)]
+    good = labels(spark, [(k, 1, 0) for k in range(40)] + [(100 + k, 0, 0) for k in range(20)])
+    more = good.unionByName(spark.range(1000, 101000).selectExpr(
+        "id as doc_id", "1 as quality", "0 as toxic"))       # labels of no document here
+    want, got = qr.fit(docs(spark, rows), good), qr.fit(docs(spark, rows), more)
+    assert (got.ratio == want.ratio).all() and got.threshold == want.threshold > -np.inf
+
+
+def test_threshold_of_counts_matches_plain_values():
+    r = np.random.default_rng(3)
+    value = np.sort(r.normal(size=400))
+    good, bad = r.integers(0, 9, 400) * (value > -0.5), r.integers(0, 9, 400) * (value < 0.3)
+    plain, other = np.repeat(value, good), np.repeat(value, bad)
+    floor = np.quantile(plain, qr.KEEP) - qr.MARGIN * plain.std()
+    tries = np.concatenate([[-np.inf], (value[1:] + value[:-1]) / 2])
+    cost = [10 * (plain < x).mean() + (other >= x).mean() for x in tries]
+    assert abs(qr.choose_threshold(value, good, bad) - min(floor, tries[np.argmin(cost)])) < 1e-9
