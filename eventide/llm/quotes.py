@@ -1,13 +1,15 @@
 """Quotation linking: reply-ordered conversations without quotes.
 
 A line's quote level is the number of ``>`` marks before it. Successive lines
-of one level form a passage. Passages, and their single lines, are normalised
-(lower case, runs of anything but letters and digits become one space) and
-hashed; so are every message's own body, paragraphs and lines. A passage links
-to the latest earlier message of its conversation that holds the same hash,
-whole passages before single lines, longer lines before shorter ones. A
+of one level form a passage. Passages, and their paragraphs (parted by blank
+quoted lines), lines and sentences, are normalised (lower case, runs of anything
+but letters and digits become one space) and hashed; so are every message's own
+body, paragraphs, lines and sentences. A passage links to the latest earlier
+message of its conversation that holds the same hash, whole passages before
+paragraphs before lines and sentences, longer ones before shorter ones. A
 message answers the latest message linked by its lowest level of quotes;
-following the answers up gives its thread.
+following the answers up gives its thread. Words out of the middle of a sentence
+link to nothing.
 
 Built-in functions only. "Latest earlier" is an as-of join in two steps, inside
 spans of ``SPAN`` turns and over the spans' maxima, so a line that a huge
@@ -33,6 +35,9 @@ from .common import written
 
 SPAN = 4096
 _MARKS = r"^[ \t]*(?:>[ \t]*)+"
+_BLANK = r"\n[ \t]*\n"
+# white space after an end mark and its closing quotes; full-width marks need none
+_STOP = "(?<=[.!?\u2026][\"')\\]\u201d\u2019]{0,2})\\s+|(?<=[\u3002\uff01\uff1f])"
 
 
 def _normal(text: Column) -> Column:
@@ -47,6 +52,10 @@ def _lines(text: Column) -> Column:
         F.regexp_replace(line, _MARKS, "").alias("line")))
 
 
+def _sentences(texts: Column) -> Column:
+    return F.flatten(F.transform(texts, lambda x: F.split(x, _STOP)))
+
+
 def messages(chat: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """Distinct messages with a key, lines, and the body without quotes."""
     rows = chat.select(
@@ -68,11 +77,14 @@ def _passages(said: DataFrame) -> DataFrame:
         Window.partitionBy("conv_id", "turn", "key", "level").orderBy("at"))
     whole = (quoted.withColumn("run", run).groupBy("conv_id", "turn", "key", "level", "run")
              .agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("part")))
-    probes = F.flatten(F.array(
-        F.array(F.struct(F.lit(0).alias("priority"), _normal(F.array_join(
-            F.transform("part", lambda x: x["line"]), " ")).alias("text"))),
-        F.transform("part", lambda x: F.struct(
-            F.lit(1).alias("priority"), _normal(x["line"]).alias("text")))))
+    lines = F.transform("part", lambda x: x["line"])
+    run_text = F.array_join(lines, "\n")
+    paragraphs = F.split(run_text, _BLANK)
+    small = F.concat(lines, _sentences(paragraphs), _sentences(lines))
+    probes = F.concat(*(
+        F.transform(F.array_distinct(F.transform(units, _normal)), lambda x, rank=rank: F.struct(
+            F.lit(rank).alias("priority"), x.alias("text")))
+        for rank, units in enumerate((F.array(run_text), paragraphs, small))))
     return (whole.select("conv_id", "turn", "key", "level", "run", F.explode(probes).alias("p"))
             .where(F.length("p.text") > 0)
             .select("conv_id", "turn", "key", "level", "run", "p.priority",
@@ -81,7 +93,8 @@ def _passages(said: DataFrame) -> DataFrame:
 
 def _sources(said: DataFrame) -> DataFrame:
     """(conv_id, hash, turn) of what messages say themselves."""
-    units = F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
+    paragraphs, lines = F.split("body", _BLANK), F.split("body", "\n")
+    units = F.concat(F.array("body"), paragraphs, lines, _sentences(paragraphs), _sentences(lines))
     return (said.select("conv_id", "turn", F.explode(F.array_distinct(
         F.transform(units, _normal))).alias("text"))
         .where(F.length("text") > 0)

@@ -68,3 +68,27 @@ def test_built_in_functions_only(spark):
     df = quotes.reply_ordered(chat(spark, [(1, 0, "user", "a"), (1, 1, "user", "> a\nb")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_quoted_sentences_and_paragraphs_link(spark):
+    got = out(chat(spark, [
+        (1, 0, "user", "I went there. It was \"shut.\" Should I go again? Tell me."),
+        (1, 1, "a", "> Should I go\n> again?\nYes."),
+        (1, 2, "user", "> It was \"shut.\" Should I leave?\nOne of two sentences is known."),
+        (2, 0, "user", "The first paragraph,\nin two lines\n\nThe second one\n\nAnd the third"),
+        (2, 1, "a", "no quote"),
+        (2, 2, "user", "> The first\n> paragraph, in two lines\n>\n> The\n> second one\nSo it is."),
+        (3, 0, "user", "你好。你在哪里？谢谢。"), (3, 1, "a", "> 你在哪里？\nx"),
+        (4, 0, "user", "A sentence over\ntwo lines. Then more"), (4, 1, "a", "> A sentence over two lines.\nx")]))
+    assert {k: r.answers for k, r in got.items() if r.quoted_lines} == {
+        (1, 1): 0, (1, 2): 0, (2, 2): 0, (3, 1): 0, (4, 1): 0}
+    assert got[2, 2].thread_turn == 0 and got[1, 1].body == "Yes."
+
+
+def test_whole_passages_and_longer_units_come_first(spark):
+    got = out(chat(spark, [
+        (1, 0, "user", "It rains. Stay in."), (1, 1, "a", "It rains."), (1, 2, "b", "Stay in."),
+        (1, 3, "user", "> It rains. Stay in.\nx"),
+        (1, 4, "user", "> It rains. Stay in. Now.\nx"),
+        (1, 5, "user", "> It rains.\n>\n> Stay in, all of you.\nx")]))
+    assert [got[1, t].answers for t in (3, 4, 5)] == [0, 1, 1]
