@@ -10,8 +10,10 @@ labelling of the page, and the source side is its main text.
 The classifier is logistic: fixed priors for what the markup says (elements,
 roles, class and id words), plus weights of text features learnt here from a
 bounded sample of pages (``MAX_FIT`` smallest id hashes) whose markup marks
-blocks as article or as page furniture, shrunk towards ``PRIOR``. A page is
-handled within one task; Spark spreads the pages.
+blocks as article or as page furniture, shrunk towards ``PRIOR``. Elements and
+roles are a verdict; words of classes and ids are evidence, which adds up over
+nested elements and which prose can outweigh. A page is handled within one task;
+Spark spreads the pages.
 
 Rules of the text: character references are decoded, white space (a line break
 element included) inside a block becomes one space, blocks are trimmed, empty
@@ -63,6 +65,9 @@ FURNITURE_WORDS = frozenset("""
     replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe
     subscription tags toolbar topbar widget widgets""".split())
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
+# has-sidebar, no-sidebar, header-fixed: they say something of the page, not of the element
+BEFORE = frozenset("has have no not with without hide show is".split())
+AFTER = frozenset("fixed sticky none off on hidden disabled enabled".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -73,6 +78,28 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 FURNITURE, ARTICLE, MAYBE = -8.0, 5.0, 1.5     # log odds that the markup gives
+# of a class or id word; at most, of nested ones; more where the page has its article elsewhere
+WORDS, MOST_WORDS, ELSEWHERE = -2.5, -6.0, -2.0
+
+
+def _class_words(value: str, inside_article: bool) -> float | None:
+    """Log odds that a class or id attribute gives."""
+    found = None
+    for name in value.split():
+        words = [x.lower() for x in _WORD.findall(name)]
+        if words and ARTICLE_WORDS.issuperset(words):
+            return MAYBE
+        for k, word in enumerate(words):
+            if word in FURNITURE_WORDS:
+                if not (words[k - 1:k] and words[k - 1] in BEFORE
+                        or words[k + 1:] and words[k + 1] in AFTER
+                        or word == "header" and inside_article):
+                    found = WORDS
+                break
+        else:
+            if found is None and ARTICLE_WORDS.intersection(words):
+                found = MAYBE
+    return found
 
 
 def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
@@ -86,11 +113,12 @@ def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), a or b or c
             if name in ("class", "id"):
-                names = {x.lower() for x in _WORD.findall(value)}
-                if names & FURNITURE_WORDS and tag not in ("article", "main", "body", "html"):
-                    return FURNITURE
-                if names & ARTICLE_WORDS and found is None:
+                says = _class_words(value, inside_article)
+                if says == MAYBE and found is None:
                     found = MAYBE
+                elif says == WORDS and tag not in ("article", "main", "body", "html") \
+                        and found != MAYBE:
+                    found = WORDS
             elif name == "role":
                 if value.lower() in FURNITURE_ROLES:
                     return FURNITURE
@@ -105,10 +133,11 @@ def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "prior", "parent")
+    __slots__ = ("text", "linked", "tag", "prior", "parent", "inside")
 
-    def __init__(self, text: str, linked: int, tag: str, prior: float, parent: int):
+    def __init__(self, text: str, linked: int, tag: str, prior: float, parent: int, inside: bool):
         self.text, self.linked, self.tag, self.prior, self.parent = text, linked, tag, prior, parent
+        self.inside = inside
 
 
 def page_blocks(page: str) -> list[Block]:
@@ -130,7 +159,7 @@ def page_blocks(page: str) -> list[Block]:
             tag = stack[k][0]
             # paragraphs, headings and items hang on their container
             parent = stack[k - 1][1] if k and tag in _LEAVES else stack[k][1]
-            blocks.append(Block(text, min(linked, len(text)), tag, stack[-1][2], parent))
+            blocks.append(Block(text, min(linked, len(text)), tag, stack[-1][2], parent, articles > 0))
         parts, linked = [], 0
 
     def close(k: int) -> None:
@@ -188,12 +217,22 @@ def page_blocks(page: str) -> list[Block]:
         serial += 1
         own = _markup(tag, attributes, articles > 0)
         force = stack[-1][2]
-        if own is not None and not (force == FURNITURE and own == MAYBE):
+        if own == WORDS:
+            force = force if force == FURNITURE else max(min(force, 0.0) + own, MOST_WORDS)
+        elif own == MAYBE and force < 0:
+            force = force if force == FURNITURE else force + own
+        elif own is not None:
             force = own
         links += tag == "a"
         articles += tag in ("article", "main")
         stack.append((tag, serial, force))
     flush()
+    article = sum(len(b.text) for b in blocks if b.prior == ARTICLE)
+    doubted = [b for b in blocks if FURNITURE < b.prior < 0]
+    much = article > sum(len(b.text) for b in doubted if b.inside)
+    for b in doubted:
+        if article and (much or not b.inside):
+            b.prior = max(b.prior + ELSEWHERE, MOST_WORDS)
     return blocks
 
 

@@ -90,3 +90,40 @@ def test_given_pages_give_their_article(spark):
         blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split())
                   for b in re.split(r"</?(?:p|h1)>", body))
         assert out[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+PARA = "This is a longer paragraph of the story, with sentences. It has commas, and ends."
+
+
+def test_class_words_of_a_wrapper_do_not_drop_the_article():
+    links = "".join(f'<li><a href="/{k}">link {k}</a></li>' for k in range(6))
+    want = "\n".join(["A headline of five words"] + [PARA] * 3)
+    for marks in ('class="content has-sidebar"', 'id="no-sidebar"', 'class="header-fixed"',
+                  'class="sidebar content"', 'class="hasSidebar"'):
+        for inner in ('', 'class="entry-content"'):
+            page = (f"<body><ul>{links}</ul><div {marks}><div {inner}><h2>A headline of five words</h2>"
+                    + f"<p>{PARA}</p>" * 3 + f'</div></div><div class="sidebar"><ul>{links}</ul></div></body>')
+            assert text(page) == want, (marks, inner)
+
+    head = "A headline of as many words as usual"
+    for page in ("<body><div class=widget-layout>%s</div></body>",
+                 "<article><div class=share-layout>%s</div></article>"):
+        story = f"<h2>{head}</h2>" + f"<p>{PARA} {PARA}</p>" * 3
+        assert text(page % story) == "\n".join([head] + [f"{PARA} {PARA}"] * 3)
+
+
+def test_header_class_inside_an_article_keeps_the_headline():
+    page = f"""<article><header class="entry-header"><h1>Title</h1></header><p>{PARA}</p>
+      <div class="share"><a href="/s">Share this</a></div></article>"""
+    assert text(page) == f"Title\n{PARA}"
+    page = f"""<main><div class="page-header"><h1><a href="/">Title</a></h1></div><p>{PARA}</p></main>"""
+    assert text(page) == f"Title\n{PARA}"
+
+
+def test_comments_beside_an_article_stay_out():
+    page = f"""<article><h1>Title</h1><p>{PARA}</p></article><div id="comments"><p>{PARA}</p><p>{PARA} {PARA}
+      </p></div>"""
+    assert text(page) == f"Title\n{PARA}"
+    page = f"""<div class="post"><h1>Title</h1><p>{PARA}</p></div><div id="comments"><div class="comment">
+      <div class="comment-content"><p>{PARA}</p></div></div></div>"""
+    assert text(page) == f"Title\n{PARA}"
