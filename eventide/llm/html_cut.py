@@ -252,7 +252,7 @@ def features(blocks: list[Block]) -> np.ndarray:
         marks = b.text.count(". ") + b.text.count(", ") + (b.text[-1] in ".!?")
         out[k] = (1, np.log1p(words), b.linked / n, min(marks, 5) / 5, b.tag[:1] == "h" and b.tag[1:].isdigit(),
                   b.tag == "p", b.tag in ("li", "dt", "dd", "td", "th"),
-                  sum(map(str.isalpha, b.text[:200])) / min(n, 200), words < 5)
+                  sum(map(str.isalpha, b.text)) / n, words < 5)
     return out
 
 

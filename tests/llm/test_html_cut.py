@@ -127,3 +127,8 @@ def test_comments_beside_an_article_stay_out():
     page = f"""<div class="post"><h1>Title</h1><p>{PARA}</p></div><div id="comments"><div class="comment">
       <div class="comment-content"><p>{PARA}</p></div></div></div>"""
     assert text(page) == f"Title\n{PARA}"
+
+
+def test_letters_are_counted_over_the_whole_block():
+    mixed, = hc.features(hc.page_blocks("<p>" + "1" * 200 + "a" * 600 + "</p>"))
+    assert mixed[hc.FEATURES.index("letters")] == 0.75
