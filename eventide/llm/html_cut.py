@@ -18,8 +18,10 @@ Spark spreads the pages.
 Rules of the text: character references are decoded, white space (a line break
 element included) inside a block becomes one space, blocks are trimmed, empty
 ones dropped, and the kept ones joined by a newline. Scripts, styles, comments,
-markup and form controls are never text. A page cut off in a tag keeps the text
-before it.
+markup, form controls, drawings and embedded media are never text; formulas are.
+An embedded element that is never closed ends with its parent, and what follows
+its start counts as the parent's. A page cut off in a tag keeps the text before
+it.
 
 Defined cases: null or empty html gives the empty text; repeated pages get
 equal texts; long pages are read whole; an empty table gives no rows; other
@@ -50,9 +52,11 @@ BLOCK_TAGS = frozenset("""
     tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("""
     area base br col embed hr img input link meta param source track wbr""".split())
-RAW_TAGS = frozenset("""
-    script style noscript template textarea title svg math iframe object select button
-    canvas audio video""".split())
+RAW_TAGS = frozenset("script style textarea title".split())       # no markup up to the end tag
+MUTE_TAGS = frozenset("""
+    noscript template svg iframe object select button canvas audio video annotation
+    annotation-xml""".split())
+CONTROL_TAGS = frozenset("button select option".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 FURNITURE_ROLES = frozenset("""
     navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar
@@ -145,6 +149,7 @@ def page_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     # open elements: tag, serial number, log odds in force
     stack: list[tuple[str, int, float]] = [("", 0, 0.0)]
+    before: dict[int, tuple[int, list[str], int]] = {}     # state at the start of mute elements
     parts: list[str] = []
     linked = serial = links = articles = 0
     at, end = 0, len(page)
@@ -159,7 +164,8 @@ def page_blocks(page: str) -> list[Block]:
             tag = stack[k][0]
             # paragraphs, headings and items hang on their container
             parent = stack[k - 1][1] if k and tag in _LEAVES else stack[k][1]
-            blocks.append(Block(text, min(linked, len(text)), tag, stack[-1][2], parent, articles > 0))
+            prior = FURNITURE if tag in CONTROL_TAGS else stack[-1][2]
+            blocks.append(Block(text, min(linked, len(text)), tag, prior, parent, articles > 0))
         parts, linked = [], 0
 
     def close(k: int) -> None:
@@ -194,9 +200,12 @@ def page_blocks(page: str) -> list[Block]:
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
+                    if tag in MUTE_TAGS:
+                        kept, parts, linked = before[stack[k][1]]
+                        del blocks[kept:]
                     close(k)
                     break
-                if tag not in BLOCK_TAGS and stack[k][0] in BLOCK_TAGS:
+                if tag not in BLOCK_TAGS and tag not in MUTE_TAGS and stack[k][0] in BLOCK_TAGS:
                     break          # a stray inline end tag does not close blocks
             continue
         if tag in RAW_TAGS:
@@ -212,9 +221,11 @@ def page_blocks(page: str) -> list[Block]:
                 if open_tag == "p" or (open_tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th")):
                     close(k)
                     break
-                if open_tag in BLOCK_TAGS:
+                if open_tag in BLOCK_TAGS or open_tag in MUTE_TAGS:
                     break
         serial += 1
+        if tag in MUTE_TAGS:
+            before[serial] = len(blocks), parts[:], linked
         own = _markup(tag, attributes, articles > 0)
         force = stack[-1][2]
         if own == WORDS:

@@ -132,3 +132,17 @@ def test_comments_beside_an_article_stay_out():
 def test_letters_are_counted_over_the_whole_block():
     mixed, = hc.features(hc.page_blocks("<p>" + "1" * 200 + "a" * 600 + "</p>"))
     assert mixed[hc.FEATURES.index("letters")] == 0.75
+
+
+def test_embedded_elements_end_with_their_parent_and_formulas_stay():
+    for tag in "button select svg object iframe canvas audio video noscript template".split():
+        article = f"<article><p>{PARA}</p>%s<p>{PARA}</p></article>"
+        for inner in ("", "words", "<p>words", "<p>words</p>", "<b>a</b><i/>"):
+            assert text(article % f"<{tag} a=b>{inner}</{tag}>") == f"{PARA}\n{PARA}", (tag, inner)
+        assert text(article % f"<div><{tag}></div>") == f"{PARA}\n{PARA}"
+        assert text(article % f"<{tag}>") == f"{PARA}\n{PARA}"
+        assert text(f"<article><p>one, <{tag}><p>{PARA}</p></article><p>x").endswith(PARA)
+    assert text(f"<article><button>Share<p>{PARA}</p><button>Like</button></article>") == PARA
+    assert text("<article><p>As <svg><text>no</text></svg>is, two.</p></article>") == "As is, two."
+    assert text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
+                " holds, always.</p></article>") == "So x=1 holds, always."
