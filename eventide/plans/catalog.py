@@ -320,15 +320,15 @@ def q_lake_top_repositories(spark, sf):
     """Top repositories read back from the batch-built lake tables (the
     ``window_start`` range also prunes ``window_date`` partitions)."""
     root = scratch_dir(spark, "lake")
-    tables.build_tables(spark, events(spark, sf, since=_day()), root, ["repository_metrics"])
+    tables.build_tables(spark, events(spark, sf), root, ["repository_metrics"])
     return ntz(reports.top_repositories(metric_table(spark, root, "repository_metrics"), AS_OF))
 
 
 def q_view_event_type_summary(spark, sf):
-    """A report selected by name from a lake's registered relations."""
+    """A report selected by name from a lake's registered relations; all of
+    the served tables are built, from all events."""
     root = scratch_dir(spark, "lake")
-    tables.build_tables(spark, events(spark, sf, since=_day()), root,
-                        ["event_type_distribution"])
+    tables.build_tables(spark, events(spark, sf), root)
     views.register(spark, root, AS_OF, prefix="served_")
     return ntz(spark.sql("SELECT * FROM served_event_type_summary"))
 

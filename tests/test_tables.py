@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from eventide.plans import pipeline, reports, tables
+from eventide.plans import catalog, pipeline, reports, tables
 from eventide.operators import metrics
 from eventide.sources.events import metric_table
 
@@ -129,3 +129,18 @@ def test_expire_by_window_end_and_width(spark, scratch):
     assert lake.expire(spark, path, "repository_metrics", maintenance.tier_expired(as_of=as_of),
                        dt.date(2024, 1, 16)) == (0, 1)      # one row of the leaf goes
     assert _rows(spark, scratch, "repository_metrics").filter("repo_name = 's'").count() == 1
+
+
+def test_lake_queries_build_all_dates_and_tables(spark, scratch, monkeypatch):
+    ev = pipeline.events(spark, SF_SMALL)
+    days = {str(r[0]) for r in ev.select(F.to_date("created_at")).distinct().collect()}
+    served = ["events", "repository_metrics", "event_type_distribution", "user_activity",
+              "language_trends"]
+    for query, want in ((catalog.q_lake_top_repositories, ["repository_metrics"]),
+                        (catalog.q_view_event_type_summary, served)):
+        root = os.path.join(scratch, query.__name__)
+        monkeypatch.setattr(catalog, "scratch_dir", lambda spark, owner, root=root: root)
+        query(spark, SF_SMALL)
+        for name in want:
+            built = {d.split("=")[1] for d in os.listdir(os.path.join(root, name)) if "=" in d}
+            assert len(days) > 2 and days <= built, name
