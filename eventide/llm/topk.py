@@ -18,7 +18,8 @@ Defined cases: a null vector, or one holding a null or non-finite component,
 takes no part; missing trailing components count as 0 and an empty vector as
 all zeros; a null id takes no part; a row is never a candidate of a query with
 its own id; a repeated row is a candidate of its own, repeated query rows ask
-once; equal scores rank by id; an empty table gives no rows; other columns are
+once; where a query id stands on rows with different vectors, all of them ask
+and a candidate row counts with its best score; equal scores rank by id; an empty table gives no rows; other columns are
 not read.
 """
 
@@ -102,19 +103,22 @@ class BestOfBlock:
 
     def __init__(self, ids: np.ndarray, mat: np.ndarray, k: int):
         self.ids, self.mat, self.k = ids, mat, k
-        self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
+        # candidate id, score, candidate row
+        self.best = [(np.zeros(0, np.int64),) * 3 for _ in ids]
 
-    def _exact(self, q: int, ids: np.ndarray, mat: np.ndarray, at: np.ndarray, safe: bool) -> None:
+    def _exact(self, q: int, ids: np.ndarray, mat: np.ndarray, at: np.ndarray, safe: bool,
+               block: int) -> None:
         if safe:      # every product and sum is an integer below 2 ** 53
             score = (mat[at] @ self._queries[q]).astype(np.int64)
         else:
             score = mat[at].astype(np.int64) @ self._queries[q].astype(np.int64)
         vec = np.concatenate([self.best[q][0], ids[at]])
         score = np.concatenate([self.best[q][1], score])
+        row = np.concatenate([self.best[q][2], block * ROW_BLOCK + at])
         top = np.lexsort((vec, -score))[:self.k]
-        self.best[q] = vec[top], score[top]
+        self.best[q] = vec[top], score[top], row[top]
 
-    def offer(self, ids: np.ndarray, mat: np.ndarray) -> None:
+    def offer(self, block: int, ids: np.ndarray, mat: np.ndarray) -> None:
         dim = max(mat.shape[1], self.mat.shape[1])
         self._queries, rows = _padded(self.mat, dim), _padded(mat, dim)
         high = np.abs(rows).max(initial=0) * np.abs(self._queries).max(initial=0) * rows.shape[1]
@@ -127,7 +131,7 @@ class BestOfBlock:
                 seeds = (np.argpartition(-bound, SEEDS)[:SEEDS] if len(bound) > SEEDS
                          else np.arange(len(bound)))
                 seeds = seeds[bound[seeds] > -np.inf]
-                self._exact(q, ids, rows, seeds, safe)
+                self._exact(q, ids, rows, seeds, safe, block)
                 bound[seeds] = -np.inf
             bar = self.best[q][1][-1] if len(self.best[q][0]) == self.k else -np.inf
             left = np.flatnonzero((bound >= bar) & (bound > -np.inf))
@@ -135,7 +139,7 @@ class BestOfBlock:
                 if len(left):
                     left = left[theirs[left] @ mine[q] + slack >= bar]
             if len(left):
-                self._exact(q, ids, rows, left, safe)
+                self._exact(q, ids, rows, left, safe, block)
 
 
 def _matrix(ids: bytes, vectors: bytes, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +157,15 @@ def _search(k: int):
                     held[row["block"]] = BestOfBlock(
                         *_matrix(row["ids"], row["vectors"], row["n"], row["dim"]), k)
                 held[row["block"]].offer(
+                    row["c_block"],
                     *_matrix(row["c_ids"], row["c_vectors"], row["c_n"], row["c_dim"]))
         for best in held.values():
-            query = np.repeat(best.ids, [len(v) for v, _ in best.best])
+            query = np.repeat(best.ids, [len(x[0]) for x in best.best])
             if len(query):
                 yield pa.RecordBatch.from_pydict({
                     "query_id": pa.array(query, pa.int64()),
-                    "vec_id": pa.array(np.concatenate([v for v, _ in best.best]), pa.int64()),
-                    "score": pa.array(np.concatenate([s for _, s in best.best]), pa.int64())})
+                    **{name: pa.array(np.concatenate([x[c] for x in best.best]), pa.int64())
+                       for c, name in enumerate(("vec_id", "score", "row"))}})
     return run
 
 
@@ -169,7 +174,7 @@ def exact_topk(embeddings: DataFrame, k: int = 5, every: int = 50, id_col: str =
     """(query_id, rank, vec_id, score): the k highest integer inner products."""
     vectors = integer_vectors(embeddings, id_col, vec_col, scale)
     rows = written(vectors.mapInArrow(_pack(ROW_BLOCK), _BLOCK), "rows")
-    asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
     queries = written(asked.mapInArrow(_pack(QUERY_BLOCK), _BLOCK), "queries")
 
     # every query block meets every candidate block; slices spread one query
@@ -178,12 +183,14 @@ def exact_topk(embeddings: DataFrame, k: int = 5, every: int = 50, id_col: str =
     sliced = queries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
     names = queries.select(F.col("block").alias("q_block"))
     per_slice = names.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    offered = (rows.select(slice_of.alias("slice"), F.col("n").alias("c_n"),
+    offered = (rows.select(slice_of.alias("slice"), F.col("block").alias("c_block"),
+                           F.col("n").alias("c_n"),
                            F.col("dim").alias("c_dim"), F.col("ids").alias("c_ids"),
                            F.col("vectors").alias("c_vectors"))
                .join(per_slice, "slice").withColumnRenamed("q_block", "block"))
     pairs = offered.join(sliced, ["block", "slice"]).drop("slice")
-    found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = (pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long, row long")
+             .groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score")))
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

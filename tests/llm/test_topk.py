@@ -67,3 +67,17 @@ def test_given_table(spark):
     e = table(spark, SF_SMALL, "embeddings")
     rows = [(r.vec_id, r.embedding) for r in e.collect()]
     assert got(topk.exact_topk(e)) == brute(rows, 5, 50)
+
+
+def test_all_vectors_of_a_query_id_ask(spark):
+    r = np.random.default_rng(8)
+    rows = [(k, [float(np.float32(x)) for x in r.normal(size=24)]) for k in range(1, 300)]
+    mine = [[float(np.float32(x)) for x in r.normal(size=24)] for _ in range(3)]
+    rows += [(0, v) for v in mine] + [(0, mine[1])] + rows[7:9] * 6
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    asks = [v for i, v in whole if i == 0]
+    best = sorted((-max(sum(a * b for a, b in zip(q, v)) for q in asks), i)
+                  for i, v in whole if i)
+    want = [(0, n + 1, i, -s) for n, (s, i) in enumerate(best[:9])]
+    assert got(topk.exact_topk(frame(spark, rows), 9, 1000)) == want
+    assert got(topk.exact_topk(frame(spark, rows[::-1]), 9, 1000)) == want
