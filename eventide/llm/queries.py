@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from . import (bpe, html_cut, licences, ngram_join, packing, quality_rules, quotes, sharding,
-               topk, toxicity)
+               topk, toxicity, url_filter)
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
+             ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+             ("block", "net", "/fr/")]
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +59,15 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_filter.verdicts(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_bpe_round_trip, op3_balanced_shards, op4_exact_topk,
     op5_quality_rules, op6_reply_ordered, op7_min_slack_packing, op8_main_text, op9_toxicity,
-    op10_licence_scan)}
+    op10_licence_scan, op13_url_cascade)}
 
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": r"""
@@ -158,4 +166,24 @@ SQL: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
           FROM scored)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_url_cascade": r"""
+        WITH u AS (
+          SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                               THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest
+          FROM pages),
+        p AS (
+          SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        rules(verdict, rh, rp) AS (
+          VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+                 ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'),
+                 ('block', 'net', '/fr/')),
+        r AS (
+          SELECT p.*, (SELECT max_by({'rule': rh || rp, 'verdict': verdict}, length(rh || rp))
+                       FROM rules WHERE (p.host = rh OR ends_with(p.host, '.' || rh))
+                                    AND starts_with(p.path, rp)) AS won
+          FROM p)
+        SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS verdict
+        FROM r""",
 }
