@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import (bpe, html_cut, licences, ngram_join, packing, quality_rules, quotes, sharding,
-               topk, toxicity, url_filter)
+from . import (bpe, conv_repair, hard_negatives, html_cut, licences, ngram_join, packing, quality_rules,
+               quotes, sharding, topk, toxicity, url_filter)
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,6 +60,15 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seventh = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), seventh)
+
+
 def op13_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return url_filter.verdicts(table(spark, sf_dir, "pages"), rules)
@@ -67,7 +77,7 @@ def op13_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_bpe_round_trip, op3_balanced_shards, op4_exact_topk,
     op5_quality_rules, op6_reply_ordered, op7_min_slack_packing, op8_main_text, op9_toxicity,
-    op10_licence_scan, op13_url_cascade)}
+    op10_licence_scan, op11_conversation_repair, op12_hard_negatives, op13_url_cascade)}
 
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": r"""
@@ -166,6 +176,119 @@ SQL: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
           FROM scored)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE k AS (
+          SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn,
+                 coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS key
+          FROM conversations),
+        kinds AS (          -- CRC-32: a byte is followed by eight shifts
+          SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+              string_split(key, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+              lambda a, e: CASE WHEN e >= 0 THEN xor(a, e)
+                                ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 20 AS kind
+          FROM k),
+        d AS (
+          SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
+          FROM kinds WHERE kind <> 0),
+        o AS (
+          SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
+                 row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) AS seen,
+                 rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS shown
+          FROM d),
+        f AS (
+          SELECT *, left(role, 1) AS x,
+                 CASE WHEN shown = '' THEN 'b' WHEN seen > 1 THEN 'd'
+                      WHEN right(shown, 1) IN ('.', '!', '?') THEN '' ELSE 't' END AS fault,
+                 lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before
+          FROM o),
+        stats AS (
+          SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                 count(*) FILTER (fault = 't') AS truncated,
+                 count(*) FILTER (before IS NOT NULL
+                                  AND before || x NOT IN ('su', 'ua', 'au')) AS illegal,
+                 max(i) AS n
+          FROM f GROUP BY c),
+        -- per row from the end: (cost, initial, edits, repaired rows) for the grammar's states
+        -- 0 nothing yet, 1 after the system row, 2 after a user, 3 after an assistant
+        best AS (
+          SELECT c, n + 1 AS i, {'c': 0::BIGINT, 'e': '', 'a': '', 'r': []::VARCHAR[]} AS s0,
+                 {'c': 4::BIGINT, 'e': 'I', 'a': 'II', 'r': ['user:', 'assistant:']} AS s1,
+                 {'c': 2::BIGINT, 'e': 'I', 'a': 'I', 'r': ['assistant:']} AS s2,
+                 {'c': 0::BIGINT, 'e': '', 'a': '', 'r': []::VARCHAR[]} AS s3
+          FROM stats
+          UNION ALL
+          SELECT c, i,
+            list_min([b0, {'c': 2 + b2.c, 'e': 'I', 'a': 'I' || b2.a,
+                           'r': list_prepend('user:', b2.r)}]),
+            list_min([b1, {'c': 2 + b2.c, 'e': 'I', 'a': 'I' || b2.a,
+                           'r': list_prepend('user:', b2.r)}]), b2, b3
+          FROM (
+            SELECT c, i, n0 AS b0, n1 AS b1,
+              list_min([n2, {'c': 2 + n3.c, 'e': 'I', 'a': 'I' || n3.a,
+                             'r': list_prepend('assistant:', n3.r)}]) AS b2,
+              list_min([n3, {'c': 2 + n2.c, 'e': 'I', 'a': 'I' || n2.a,
+                             'r': list_prepend('user:', n2.r)}]) AS b3
+            FROM (
+              SELECT c, i,
+                list_min([{'c': 3 + s0.c, 'e': 'D', 'a': 'D' || s0.a, 'r': s0.r},
+                  CASE WHEN stays AND x = 's' THEN {'c': t + s1.c, 'e': 'K', 'a': 'K' || s1.a,
+                                                    'r': list_prepend(own, s1.r)}
+                       WHEN stays AND x = 'u' THEN {'c': t + s2.c, 'e': 'K', 'a': 'K' || s2.a,
+                                                    'r': list_prepend(own, s2.r)} END,
+                  CASE WHEN stays THEN {'c': 2 + t + s2.c, 'e': 'R', 'a': 'R' || s2.a,
+                                        'r': list_prepend('user:' || text, s2.r)} END]) AS n0,
+                list_min([{'c': 3 + s1.c, 'e': 'D', 'a': 'D' || s1.a, 'r': s1.r},
+                  CASE WHEN stays AND x = 'u' THEN {'c': t + s2.c, 'e': 'K', 'a': 'K' || s2.a,
+                                                    'r': list_prepend(own, s2.r)} END,
+                  CASE WHEN stays THEN {'c': 2 + t + s2.c, 'e': 'R', 'a': 'R' || s2.a,
+                                        'r': list_prepend('user:' || text, s2.r)} END]) AS n1,
+                list_min([{'c': 3 + s2.c, 'e': 'D', 'a': 'D' || s2.a, 'r': s2.r},
+                  CASE WHEN stays AND x = 'a' THEN {'c': t + s3.c, 'e': 'K', 'a': 'K' || s3.a,
+                                                    'r': list_prepend(own, s3.r)} END,
+                  CASE WHEN stays THEN {'c': 2 + t + s3.c, 'e': 'R', 'a': 'R' || s3.a,
+                                        'r': list_prepend('assistant:' || text, s3.r)} END]) AS n2,
+                list_min([{'c': 3 + s3.c, 'e': 'D', 'a': 'D' || s3.a, 'r': s3.r},
+                  CASE WHEN stays AND x = 'u' THEN {'c': t + s2.c, 'e': 'K', 'a': 'K' || s2.a,
+                                                    'r': list_prepend(own, s2.r)} END,
+                  CASE WHEN stays THEN {'c': 2 + t + s2.c, 'e': 'R', 'a': 'R' || s2.a,
+                                        'r': list_prepend('user:' || text, s2.r)} END]) AS n3
+              FROM (
+                SELECT f.c, f.i, f.x, f.text, role || ':' || f.text AS own, s0, s1, s2, s3,
+                       fault NOT IN ('b', 'd') AS stays, CASE fault WHEN 't' THEN 1 ELSE 0 END AS t
+                FROM best JOIN f ON f.c = best.c AND f.i = best.i - 1)))),
+        found AS (SELECT c, s0 FROM best WHERE i = 1)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+               coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0) AS cost,
+               coalesce(s0.a, '') AS audit,
+               sha256(coalesce(array_to_string(s0.r, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT c, conv_id FROM k) LEFT JOIN stats USING (c) LEFT JOIN found USING (c)""",
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                 list_dot_product(a.v, c.v)::BIGINT AS score
+          FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        ranked AS (
+          SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id
+                                    ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+          FROM positives p JOIN scored s USING (anchor_id)
+          WHERE NOT s.same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE rank <= 10""",
     "op13_url_cascade": r"""
         WITH u AS (
           SELECT page_id, CASE WHEN strpos(url, '://') > 0

@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import duckdb
+from conftest import SF_SMALL
+
+from eventide.llm import conv_repair as cr
+from eventide.llm import queries
+from eventide.llm.common import table
+
+SCHEMA = ("conv_id long, turn long, role string, text string, kind int, at long, sig string, "
+          "block int, sym string, mark string")
+EXTRA = (1, 2, "g", 3, "y", "m")
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, *EXTRA) for r in rows], SCHEMA)
+
+
+def after_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        shown = [" " if x is None else str(x) for x in (conv, turn)]
+        kind = zlib.crc32(":".join(shown).encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (kind and (2 if kind == 3 else 1))
+    return out
+
+
+def faults(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        said = text.rstrip(" \t\n\v\f\r")
+        out.append("b" if not said else "d" if (role, text) in seen
+                   else "" if said[-1] in ".!?" else "t")
+        seen.add((role, text))
+    return out
+
+
+def plain(rows):
+    """Cheapest edits of (role, text) rows by a table over (row, state) that compares
+    whole strings."""
+    fault, n = faults(rows), len(rows)
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    best = {}
+    for i in range(n, -1, -1):
+        for q in range(4):
+            best[i, q] = (0, "", ()) if i == n and q in (0, 3) else (10 ** 9, "~", ())
+        for _ in range(6):
+            for q in range(4):
+                ways = [best[i, q]]
+                for role in "ua":
+                    if (q, role) in step:
+                        c, e, r = best[i, step[q, role]]
+                        ways.append((c + 2, "I" + e, (("user" if role == "u" else "assistant") + ":", *r)))
+                if i < n:
+                    role, text = rows[i]
+                    c, e, r = best[i + 1, q]
+                    ways.append((c + 3, "D" + e, r))
+                    if fault[i] not in ("b", "d"):
+                        cut = fault[i] == "t"
+                        if (q, role[:1]) in step:
+                            c, e, r = best[i + 1, step[q, role[:1]]]
+                            ways.append((c + cut, "K" + e, (f"{role}:{text}", *r)))
+                        for new in ("user", "assistant"):
+                            if (q, new[0]) in step:
+                                c, e, r = best[i + 1, step[q, new[0]]]
+                                ways.append((c + cut + 2, "R" + e, (f"{new}:{text}", *r)))
+                best[i, q] = min(ways, key=lambda w: w[:2])
+    return best[0, 0]
+
+
+def brute(rows):
+    damaged, out = after_damage(rows), []
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r[1:] for r in damaged if r[0] == conv),
+                      key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        said = [r[1:] for r in mine]
+        turns = [r[0] for r in mine if r[0] is not None]
+        fault = faults(said)
+        pairs = [a[0][:1] + b[0][:1] for a, b in itertools.pairwise(said)]
+        cost, audit, left = plain(said)
+        out.append((conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+                    fault.count("b"), fault.count("d"), fault.count("t"),
+                    sum(p not in ("su", "ua", "au") for p in pairs), cost, audit,
+                    hashlib.sha256("\n".join(left).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def random_rows(seed, convs, longest):
+    r = random.Random(seed)
+    rows = []
+    for conv in range(convs):
+        for turn in range(r.randrange(longest)):
+            rows.append((conv, r.choice([turn, turn, turn, None, turn + r.randrange(3)]),
+                         r.choice(["system", "user", "assistant", "user", "assistant", "tool", "", None]),
+                         r.choice(["Yes.", "No", "", " \n", None, "Why?", f"So {turn}!", f"it {turn}"])))
+    return rows
+
+
+def test_edits_are_the_least_of_all_strings():
+    """Every signature of up to four rows against every edit string."""
+    def cheapest(word):
+        best = (99, "")
+        for edits in itertools.product(["", "I", "II"], repeat=len(word) + 1):
+            for ways in itertools.product("KDR", repeat=len(word)):
+                cost, states, audit = 0, {""}, ""
+                for k, gap in enumerate(edits):
+                    cost += 2 * len(gap)
+                    audit += gap
+                    states = {s + "".join(x) for s in states
+                              for x in itertools.product("ua", repeat=len(gap))}
+                    if k < len(word):
+                        w, c = ways[k], word[k]
+                        if c == "d" and w != "D":
+                            states = set()
+                        cost += {"K": 0, "D": 3, "R": 2}[w] + (w != "D" and c.isupper())
+                        audit += w
+                        states = (states if w == "D" else {s + c.lower() for s in states} if w == "K"
+                                  else {s + x for s in states for x in "ua"})
+                if any(GRAMMAR.fullmatch(s) for s in states):
+                    best = min(best, (cost, audit))
+        return best
+
+    words = sorted(("".join(w) for k in range(3) for w in itertools.product("suaxSUAXd", repeat=k)),
+                   key=lambda w: w[::-1])
+    for _, word, node in cr.automaton(("", w) for w in words):
+        assert (node.cost[0], node.edits[0]) == cheapest(word), word
+
+
+def test_suffixes_are_computed_once(monkeypatch):
+    made = []
+    grown = cr.grown
+    monkeypatch.setattr(cr, "grown", lambda s, rest: made.append(s) or grown(s, rest))
+    r = random.Random(3)
+    words = {"".join(r.choice("uaSd") for _ in range(r.randrange(12))) for _ in range(500)}
+    list(cr.automaton(("", w) for w in sorted(words, key=lambda w: w[::-1])))
+    assert len(made) == len({w[k:] for w in words for k in range(len(w))})
+
+
+def test_matches_brute_force(spark):
+    rows = random_rows(7, 120, 14) + [(None, 1, "user", "a?"), (None, None, "assistant", "b."),
+                                      (500, None, None, None), (501, 0, "user", "x" * 300000)]
+    rows += [(600, 5, "user", "same.")] * 40 + rows[:30]
+    assert got(cr.damaged_and_repaired(frame(spark, rows))) == brute(rows)
+
+
+def test_long_conversations_in_blocks(spark):
+    rows = random_rows(8, 6, 90) + [(k % 3 and 50, k, ("user", "assistant")[k % 2], f"w{k}.")
+                                    for k in range(300)]
+    want = brute(rows)
+    for block in (2, 8, 512):
+        assert got(cr.damaged_and_repaired(frame(spark, rows), block_rows=block)) == want
+
+
+def test_empty_table_and_dropped_rows(spark):
+    assert got(cr.damaged_and_repaired(frame(spark, []))) == []
+    gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
+    assert got(cr.damaged_and_repaired(frame(spark, [(gone, 0, "user", "Hi.")]))) == [
+        (gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
+
+
+def test_given_table_and_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SF_SMALL}/conversations.parquet'")
+    sql = sorted(con.sql(queries.SQL["op11_conversation_repair"]).fetchall(), key=str)
+    assert got(queries.op11_conversation_repair(spark, SF_SMALL)) == sql
+    rows = [tuple(r) for r in table(spark, SF_SMALL, "conversations").collect()]
+    assert sql == brute(rows)
+    odd = random_rows(9, 60, 9) + [(None, 3, "user", "q."), (None, None, None, None)]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", odd)
+    assert sorted(con.sql(queries.SQL["op11_conversation_repair"]).fetchall(), key=str) == brute(odd)
