@@ -68,7 +68,7 @@ def cmd_build(spark: SparkSession, args) -> None:
     parsed = parse_events(records)
     clean = pipeline.clean(parsed, dedup=not args.no_dedup)
     tables.build_tables(spark, clean, args.lake, args.tables or None,
-                        quality.validate(parsed)[1])
+                        quality.rejected_records(parsed), args.replace)
 
 
 def _as_of(args) -> dt.date:
@@ -113,6 +113,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     s.add_argument("--watermark", default=runner.DEFAULT_WATERMARK)
     sub.choices["build"].add_argument("--no-dedup", action="store_true")
+    sub.choices["build"].add_argument("--replace", action="store_true",
+                                      help="the input's dates replace the lake's as a whole")
     s.add_argument("--sink", default="lake", choices=("lake", "jdbc", "json"))
     s.add_argument("--sink-option", action="append", help="sink option key=value")
     s.add_argument("--mode", default="append", choices=("append", "update"),

@@ -32,7 +32,8 @@ def parse_events(records: DataFrame, processed_at: Column | None = None,
     ``quality.validate``); unknown JSON fields are dropped. ``processed_at``
     defaults to the batch time and can be pinned for reproducible output; an
     absent ``collected_at`` takes the same time, an unreadable one stays null
-    (and is rejected). ``record_hash`` identifies the record's text.
+    (and is rejected). ``record_hash`` orders copies; ``record_id`` (the SHA-256
+    of the record's text) names a rejected record, which may have no id.
     ``payload="slim"`` keeps only the payload keys the pipeline reads (a
     struct); ``"map"`` keeps every key (``map<string,string>``).
     """
@@ -44,6 +45,7 @@ def parse_events(records: DataFrame, processed_at: Column | None = None,
     parsed = rec.select(
         F.col("key").alias("event_key"),
         F.xxhash64("value").alias("record_hash"),
+        F.sha2(F.coalesce("value", F.lit("")), 256).alias("record_id"),
         F.inline(F.array(F.from_json(F.col("value"), schema))),
     )
     now = processed_at if processed_at is not None else F.current_timestamp()

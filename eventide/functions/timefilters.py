@@ -59,7 +59,7 @@ def resolve_range(name: str, as_of: dt.datetime) -> tuple[dt.datetime, dt.dateti
 
 def window_width_is(start: str, end: str, width: str) -> Column:
     """``end - start = INTERVAL width`` (e.g. ``'1 hour'``, ``'1 day'``)."""
-    return (F.unix_micros(F.col(end)) - F.unix_micros(F.col(start))) == _micros(width)
+    return (F.unix_micros(F.col(end)) - F.unix_micros(F.col(start))) == width_micros(width)
 
 
 _UNIT_MICROS = {
@@ -68,11 +68,12 @@ _UNIT_MICROS = {
 }
 
 
-def _micros(width: str) -> int:
+def width_micros(width: str) -> int:
+    """A width such as ``'15 minutes'`` in microseconds."""
     n, unit = width.split()
     return int(n) * _UNIT_MICROS[unit.rstrip("s")]
 
 
 def aligned_to(c: str, width: str) -> Column:
     """Window starts that fall on a multiple of ``width`` since the epoch."""
-    return F.unix_micros(F.col(c)) % _micros(width) == 0
+    return F.unix_micros(F.col(c)) % width_micros(width) == 0

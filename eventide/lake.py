@@ -8,7 +8,9 @@ so they can share a table.
 
 Every write is idempotent. A writer replaces only its own leaves, each as a
 whole, and adds only rows whose unique key no other leaf holds, so a replayed
-batch, a new checkpoint or a second build writes nothing twice.
+batch, a new checkpoint or a second build writes nothing twice. What replaces
+rows of other writers says so: ``upsert`` (by key), ``replace_windows`` (metric
+windows recomputed from the raw table) and ``replace_dates``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 
 from .config import ensure_session, scratch_dir
 from .operators import quality
-from .schema import TABLE_CLUSTER, TABLE_KEYS, TABLE_SCHEMAS
+from .schema import TABLE_CLUSTER, TABLE_EXTRA, TABLE_KEYS, TABLE_SCHEMAS
 
 LAYOUT = T.StructType([T.StructField("window_date", T.DateType()),
                        T.StructField("batch_id", T.StringType())])
@@ -45,14 +47,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """A table with its declared schema plus the layout columns; a table that
-    has no rows yet reads as 0 rows."""
+def read(spark: SparkSession, path: str, table: str | None = None,
+         extra: bool = False) -> DataFrame:
+    """A table with its declared schema plus the layout columns (and, with
+    ``extra``, what is stored beside the contract); a table that has no rows yet
+    reads as 0 rows."""
     ensure_session(spark)
-    declared = TABLE_SCHEMAS.get(table or os.path.basename(path.rstrip("/")))
+    name = table or os.path.basename(path.rstrip("/"))
+    declared = TABLE_SCHEMAS.get(name)
     if declared is None:
         return spark.read.parquet(path)
-    full = T.StructType(declared.fields + LAYOUT.fields)
+    more = TABLE_EXTRA[name].fields if extra and name in TABLE_EXTRA else []
+    full = T.StructType(declared.fields + more + LAYOUT.fields)
     if not exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
@@ -63,10 +69,11 @@ def dated(df: DataFrame) -> DataFrame:
     return df.withColumn("window_date", F.to_date(F.col(ts)))
 
 
-def absent(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
+def absent(batch: DataFrame, target: DataFrame, key: list[str],
+           same_date: bool = True) -> DataFrame:
     """Rows of ``batch`` whose ``key`` the target lacks (null-safe)."""
     on = list(key)
-    if "window_date" in batch.columns and "window_date" in target.columns:
+    if same_date and "window_date" in batch.columns and "window_date" in target.columns:
         on.append("window_date")
     held = target.select(*[F.col(c).alias(f"_held_{c}") for c in on])
     same = F.lit(True)
@@ -76,7 +83,10 @@ def absent(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, table: str | None) -> DataFrame:
-    """Copies of an event inside one batch: the first collected stays."""
+    """Copies inside one batch: of an event, the first collected stays; of a
+    rejected record, one."""
+    if table == "rejected_events":
+        return df.dropDuplicates(list(TABLE_KEYS[table]))
     return quality.dedup(df) if table == "events" else df
 
 
@@ -100,24 +110,31 @@ def clustered(df: DataFrame, table: str | None, rows: int | None = None) -> Data
     return df.sortWithinPartitions(*keys)
 
 
-def append(df: DataFrame, path: str, table: str | None, batch_id: str) -> None:
-    """Insert if absent: the rows (in table shape) whose key no other leaf holds."""
+def append(df: DataFrame, path: str, table: str | None, batch_id: str,
+           stored: bool = False, any_date: bool = False) -> None:
+    """Insert if absent: the rows (in table shape) whose key no other leaf holds.
+
+    Only leaves of the batch's own dates are compared, however far apart they
+    are; ``any_date`` compares all leaves, for keys whose date can change. A
+    ``stored`` batch is a table of distinct keys that can be read again."""
     spark = df.sparkSession
-    batch = one_per_key(dated(df), table).persist()
+    batch = dated(df) if stored else one_per_key(dated(df), table).persist()
     try:
-        lo, hi, n = batch.agg(F.min("window_date"), F.max("window_date"), F.count("*")).first()
-        if lo is None:
+        days = batch.groupBy("window_date").count().collect()        # a row per date
+        dates = sorted(r[0] for r in days if r[0] is not None)
+        if not dates:
             return
         key = TABLE_KEYS.get(table or "")
         new = batch
         if key and exists(spark, path):
-            others = read(spark, path, table).filter(
-                F.col("window_date").between(F.lit(lo), F.lit(hi))
-                & (F.col("batch_id") != batch_id))
-            new = absent(batch, others, list(key))
-        write(clustered(new, table, n), path, table, batch_id)
+            others = read(spark, path, table).filter(F.col("batch_id") != batch_id)
+            if not any_date:
+                others = others.filter(F.col("window_date").isin(dates))
+            new = absent(batch, others, list(key), same_date=not any_date)
+        write(clustered(new, table, sum(r[1] for r in days)), path, table, batch_id)
     finally:
-        batch.unpersist()
+        if not stored:
+            batch.unpersist()
 
 
 def leaves(spark: SparkSession, path: str, dates: list[dt.date]) -> list[tuple[dt.date, str]]:
@@ -131,7 +148,7 @@ def leaves(spark: SparkSession, path: str, dates: list[dt.date]) -> list[tuple[d
     return out
 
 
-def _drop(spark: SparkSession, path: str, gone: list[tuple[dt.date, str]]) -> None:
+def drop_leaves(spark: SparkSession, path: str, gone: list[tuple[dt.date, str]]) -> None:
     for date, batch_id in gone:
         delete(spark, os.path.join(path, f"window_date={date.isoformat()}", f"batch_id={batch_id}"))
 
@@ -149,7 +166,7 @@ def upsert(df: DataFrame, path: str, table: str, batch_id: str) -> None:
         out = batch
         if exists(spark, path):
             key = list(TABLE_KEYS[table])
-            stored = read(spark, path, table).filter(F.col("window_date").isin(dates))
+            stored = read(spark, path, table, True).filter(F.col("window_date").isin(dates))
             own = (F.col("batch_id") == batch_id).desc()
             rest = (absent(stored, batch, key)
                     .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(own)))
@@ -159,13 +176,35 @@ def upsert(df: DataFrame, path: str, table: str, batch_id: str) -> None:
             out = spark.read.schema(batch.schema).parquet(staged)
         old = leaves(spark, path, dates)
         write(clustered(out, table), path, table, batch_id)
-        _drop(spark, path, [x for x in old if x[1] != batch_id])
+        drop_leaves(spark, path, [x for x in old if x[1] != batch_id])
         if out is not batch:
             delete(spark, staged)
     finally:
         batch.unpersist()
 
 
+def replace_windows(df: DataFrame, path: str, table: str, batch_id: str, dates: list[dt.date],
+                    stays: Column | None = None) -> None:
+    """Recomputed rows of whole window dates replace the table's; stored rows for
+    which ``stays`` holds (windows of another width) are carried over. Run again
+    after a failure, it finds its own copy and writes the same rows."""
+    if not dates:
+        return
+    spark = df.sparkSession
+    inside = F.col("window_date").isin(dates)
+    out = dated(df).filter(inside)
+    old, staged = leaves(spark, path, dates), None
+    if stays is not None and old:
+        staged = scratch_dir(spark, "windows")        # a leaf is read and replaced
+        (read(spark, path, table).filter(inside & stays).drop("batch_id")
+         .dropDuplicates(list(TABLE_KEYS[table])).write.parquet(staged))
+        out = out.unionByName(spark.read.schema(out.schema).parquet(staged))
+    write(clustered(out, table), path, table, batch_id)
+    drop_leaves(spark, path, [x for x in old if x[1] != batch_id])
+    if staged:
+        delete(spark, staged)
+
+
 def replace_dates(df: DataFrame, path: str, table: str, batch_id: str,
                   dates: list[dt.date]) -> None:
     """Rows of these dates replace what the table holds on them; rows of other
@@ -175,7 +214,7 @@ def replace_dates(df: DataFrame, path: str, table: str, batch_id: str,
     inside = F.col("window_date").isin(dates) if dates else F.lit(False)
     old = leaves(spark, path, dates)
     write(clustered(rows.filter(inside), table), path, table, batch_id)
-    _drop(spark, path, [x for x in old if x[1] != batch_id])
+    drop_leaves(spark, path, [x for x in old if x[1] != batch_id])
     append(rows.filter(~inside).drop("window_date"), path, table, batch_id)
 
 
@@ -183,10 +222,13 @@ def expire(spark: SparkSession, path: str, table: str, expired: Column,
            horizon: dt.date) -> tuple[int, int]:
     """Retention: delete the leaves whose rows are all expired, rewrite those
     that hold both kinds. No row dated after ``horizon`` may be expired, so
-    later leaves are not read. Returns (deleted, rewritten)."""
+    later leaves are not read. Returns (deleted, rewritten). The horizon of the
+    raw table is noted in its folder: up to it, events may be missing."""
     if not exists(spark, path):
         return 0, 0
-    old = read(spark, path, table).filter(F.col("window_date") <= F.lit(horizon))
+    if table == "events":
+        _note_horizon(spark, path, horizon)
+    old = read(spark, path, table, True).filter(F.col("window_date") <= F.lit(horizon))
     seen = (old.groupBy("window_date", "batch_id")
             .agg(F.count("*").alias("n"), F.count_if(expired).alias("gone"))
             .filter("gone > 0").collect())            # a row per old leaf
@@ -201,10 +243,26 @@ def expire(spark: SparkSession, path: str, table: str, expired: Column,
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("window_date", "batch_id").parquet(path))
         delete(spark, staged)
-    _drop(spark, path, whole)
+    drop_leaves(spark, path, whole)
     return len(whole), len(part)
 
 
+def horizon_of(spark: SparkSession, path: str) -> dt.date | None:
+    """The last date up to which retention may have taken rows of this table."""
+    note = os.path.join(path, "_horizon")
+    if not exists(spark, note):
+        return None
+    days = spark.read.text(note).collect()               # one line per note
+    return max((dt.date.fromisoformat(r[0]) for r in days if r[0]), default=None)
+
+
+def _note_horizon(spark: SparkSession, path: str, horizon: dt.date) -> None:
+    known = horizon_of(spark, path)
+    if known is None or known < horizon:
+        spark.createDataFrame([(horizon.isoformat(),)], "value string").coalesce(1).write.mode(
+            "append").text(os.path.join(path, "_horizon"))
+
+
 def compact(spark: SparkSession, path: str, table: str, before: dt.date) -> int:
     """Merge the leaves of each date before ``before`` into one; returns how many
     dates changed. Rows and keys stay, so later replays still insert nothing."""
@@ -221,7 +279,7 @@ def compact(spark: SparkSession, path: str, table: str, before: dt.date) -> int:
     if not many:
         return 0
     batch_id = f"compact-{uuid.uuid4().hex}"
-    rows = read(spark, path, table).filter(F.col("window_date").isin(many)).drop("batch_id")
+    rows = read(spark, path, table, True).filter(F.col("window_date").isin(many)).drop("batch_id")
     write(clustered(rows, table), path, table, batch_id)
-    _drop(spark, path, [x for x in old if x[0] in set(many)])
+    drop_leaves(spark, path, [x for x in old if x[0] in set(many)])
     return len(many)

@@ -39,18 +39,33 @@ def flatten_window(df: DataFrame, name: str = "window") -> DataFrame:
 _LEADING = ("repo_id", "repo_name", "event_type", "user_id", "username", "language")
 
 
-def raw_events(df: DataFrame) -> DataFrame:
-    """The flat raw-event table (one row per event)."""
+def raw_events(df: DataFrame, *more: str) -> DataFrame:
+    """The flat raw-event table (one row per event), with ``more`` of its columns."""
     return df.select(
         "id", "type",
         F.col("actor.id").alias("actor_id"),
         F.col("actor.login").alias("actor_login"),
         F.col("repo.id").alias("repo_id"),
         F.col("repo.name").alias("repo_name"),
-        "created_at", "collected_at", "processed_at", "public",
+        "created_at", "collected_at", "processed_at", "public", *more,
     )
 
 
+def stored_events(df: DataFrame) -> DataFrame:
+    """The raw-event table as the lake stores it: with the languages, so that
+    every metric table can be rebuilt from it."""
+    return raw_events(df, "languages")
+
+
+def from_stored(raw: DataFrame) -> DataFrame:
+    """Stored raw events in the shape that the metric tables read."""
+    return raw.select(
+        "id", "type", F.struct(F.col("actor_id").alias("id"),
+                               F.col("actor_login").alias("login")).alias("actor"),
+        F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
+        "created_at", F.coalesce("languages", F.array().cast("array<string>")).alias("languages"))
+
+
 def _count_type(name: str) -> Column:
     return F.count_if(F.col("type") == name)
 

@@ -38,15 +38,18 @@ def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``rejected`` is a report: id and type (``"unknown"`` when absent), the
     comma-joined list of missing fields, and the transport key.
     """
-    errors = error_list()
-    valid = df.filter(F.size(errors) == 0)
-    rejected = df.select(
+    valid = df.filter(F.size(error_list()) == 0)
+    return valid, rejected_records(df).drop("record_id")
+
+
+def rejected_records(df: DataFrame) -> DataFrame:
+    """The report of ``validate`` with ``record_id``, the key of its table."""
+    return df.select(
         F.coalesce(F.col("id"), F.lit("unknown")).alias("id"),
         F.coalesce(F.col("type"), F.lit("unknown")).alias("type"),
-        F.array_join(errors, ",").alias("errors"),
-        F.col("event_key"),
+        F.array_join(error_list(), ",").alias("errors"),
+        "event_key", "record_id",
     ).filter(F.col("errors") != "")
-    return valid, rejected
 
 
 def flag_unknown_type(df: DataFrame) -> DataFrame:

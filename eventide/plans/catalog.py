@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from .. import lake
 from ..config import scratch_dir
 from ..functions.timefilters import days_before, hours_before, resolve_range, ts_lit
-from ..operators import maintenance, metrics, quality
+from ..operators import (compare, distinct, maintenance, metrics, quality, sessions, temporal,
+                         trends)
 from ..sources.adapter import landed_records
 from ..sources.events import event_stream, metric_table
 from ..sources.landing import land_in_time_order
 from ..streaming import runner, sinks
-from . import panels, reports, tables, views
+from . import panels, repair, reports, tables, views
 from .pipeline import (AS_OF, KEYED_APPEND_CUT, PANEL_FROM, PANEL_TO, RETENTION_AS_OF,
                        events, ntz, parsed, table)
 
@@ -365,4 +366,155 @@ QUERIES.update({f.__name__[2:]: f for f in (
     q_stream_then_build, q_lake_top_repositories, q_view_event_type_summary, q_lake_retain,
     q_lake_retain_tiered)})
 
+# --- sessions, joins by time, trends -----------------------------------------------
+
+def q_session_activity(spark, sf):
+    return ntz(sessions.session_activity(events(spark, sf)))
+
+
+def q_push_then_star(spark, sf):
+    return ntz(temporal.push_then_star(_seen(spark, sf, "followed")))
+
+
+def _seen(spark, sf, owner):
+    """Types, repositories and times of the events, stored once for both sides."""
+    return _stored(spark, events(spark, sf).select("id", "type", "repo", "created_at",
+                                                   "repository_metrics"), owner)
+
+
+def q_asof_repository_counters(spark, sf):
+    """Every star with the repository's last reported counters before it."""
+    ev = _seen(spark, sf, "asof").select("id", "type", F.col("repo.id").alias("repo_id"),
+                                         "created_at", "repository_metrics")
+    reports_ = ev.where(F.col("type").isin("IssuesEvent", "PullRequestEvent")).select(
+        "repo_id", F.col("created_at").alias("reported_at"), F.col("id").alias("report_id"),
+        *[F.col(f"repository_metrics.{c}").alias(c) for c in ("stars", "forks", "open_issues")]
+    ).where("stars IS NOT NULL")
+    stars = ev.where("type = 'WatchEvent'").select("id", "repo_id", "created_at")
+    return ntz(temporal.as_of_join(stars, reports_, ["repo_id"], "created_at", "reported_at",
+                                   ["stars", "forks", "open_issues"], tie="report_id"))
+
+
+def q_events_in_incidents(spark, sf):
+    """Events inside incidents ``[from, to)``: some issues open one each, which lasts
+    from ten minutes to over five hours."""
+    ev = _seen(spark, sf, "incidents").select("id", "type", F.col("repo.id").alias("repo_id"),
+                                              "created_at")
+    minutes = 10 + F.col("repo_id") % 7 * 50
+    incidents = ev.where("type = 'IssuesEvent' AND repo_id % 20 = 3").select(
+        F.col("id").alias("incident_id"), F.col("created_at").alias("began_at"),
+        (F.col("created_at") + F.make_interval(mins=minutes.cast("int"))).alias("ended_at"))
+    hits = temporal.interval_join(ev, incidents, "created_at", "began_at", "ended_at")
+    return ntz(hits.select("incident_id", "id", "type", "repo_id", "created_at"))
+
+
+def q_user_distinct_repositories(spark, sf):
+    return distinct.exact_repositories(events(spark, sf))
+
+
+def q_user_sketched_repositories(spark, sf):
+    """Hourly sketches stored, united at read: whether each user's estimate is
+    within the stated error of the exact number."""
+    ev = _stored(spark, events(spark, sf).select("actor", "repo", "created_at"), "sketches")
+    stored = _stored(spark, distinct.user_repository_sketches(ev), "sketches")
+    about = distinct.sketched_repositories(stored).withColumnRenamed("distinct_repos", "about")
+    exact = distinct.exact_repositories(ev)
+    return (about.drop("total_events").join(exact, list(distinct.USER)).select(
+        *distinct.USER, "total_events", (F.abs(F.col("about") - F.col("distinct_repos"))
+                                         <= 0.5 + distinct.SKETCH_ERROR * F.col("distinct_repos"))
+        .alias("within_error")))
+
+
+def q_repository_trend(spark, sf):
+    return ntz(trends.repository_trend(events(spark, sf)))
+
+
+def q_type_language_rollup(spark, sf):
+    return ntz(trends.type_language_rollup(events(spark, sf)))
+
+
+def q_stream_sessions(spark, sf):
+    """Sessions as the streaming job serves them: those that the final watermark
+    has closed."""
+    root = scratch_dir(spark, "stream")
+    lake_root = _drain(spark, _land(spark, sf, root), root, ["session_activity"])
+    return _served(spark, lake_root, "session_activity")
+
+
+def q_stream_push_then_star(spark, sf):
+    """The same pairs as two joined streams, with the pushes that got no star in
+    their hour, once each."""
+    root = scratch_dir(spark, "stream")
+    lake_root = _drain(spark, _land(spark, sf, root), root, ["push_then_star"])
+    return _served(spark, lake_root, "push_then_star")
+
+
+# --- builds in parts, comparison, repair -------------------------------------------
+
+def _all_served(spark, lake_root: str) -> DataFrame:
+    """One row per row of every served table: its table, entity, time and count."""
+    def rows(name: str, entity: str, time: str, n: str) -> DataFrame:
+        return metric_table(spark, lake_root, name).select(
+            F.lit(name).alias("table_name"), F.expr(entity).cast("string").alias("entity"),
+            F.expr(time).cast("timestamp_ntz").alias("at"), F.expr(n).cast("long").alias("n"))
+    return (rows("events", "id", "created_at", "1")
+            .unionByName(rows("repository_metrics", "repo_name", "window_start", "event_count"))
+            .unionByName(rows("event_type_distribution", "event_type", "window_start", "event_count"))
+            .unionByName(rows("user_activity", "username", "window_start",
+                              "event_count * 1000 + repos_contributed"))
+            .unionByName(rows("language_trends", "language", "window_start", "event_count"))
+            .unionByName(rows("rejected_events", "errors", "TIMESTAMP_NTZ '2024-01-01 00:00:00'", "1")
+                         .groupBy("table_name", "entity", "at").agg(F.sum("n").alias("n"))))
+
+
+def q_build_in_parts(spark, sf):
+    """The month built in unequal, overlapping parts (half of all ids, the first
+    half, the second), one of them twice, with the rejected records each time."""
+    root = scratch_dir(spark, "parts")
+    ev = _stored(spark, events(spark, sf).select(
+        "id", "type", "actor", "repo", "created_at", "collected_at", "processed_at", "public",
+        "languages"), "parts")
+    bad = _stored(spark, quality.rejected_records(parsed(spark, sf, defects=True)), "parts")
+    first = ev.where(F.col("created_at") < ts_lit("2024-01-16 12:00:00"))
+    for part in (ev.where("id % 2 = 0"), first, ev.where(
+            F.col("created_at") >= ts_lit("2024-01-12 07:30:00")), first):
+        tables.build_tables(spark, part, root, rejected=bad)
+    return _all_served(spark, root)
+
+
+def q_compare_lakes(spark, sf):
+    """A streamed lake's raw table against a built one in which some events are
+    missing and some have another type."""
+    streamed, built = scratch_dir(spark, "stream"), scratch_dir(spark, "built")
+    _drain(spark, _land(spark, sf, streamed), streamed, ["events"])
+    ev = events(spark, sf).where("id % 487 <> 3").withColumn(
+        "type", F.when(F.expr("id % 499 = 5"), F.lit("GollumEvent")).otherwise(F.col("type")))
+    tables.build_tables(spark, ev, built, ["events"])
+    cols = ["id", "type", "actor_id", "repo_id", "created_at"]
+    return ntz(compare.differences(
+        metric_table(spark, os.path.join(streamed, "lake"), "events"),
+        metric_table(spark, built, "events"), F.col("window_date"), cols))
+
+
+def q_stream_repair(spark, sf):
+    """A stream whose records come up to three days late: windows that closed
+    without them are marked and recomputed."""
+    root = scratch_dir(spark, "stream")
+    recs = landed_records(table(spark, sf, "events"), keep=("ts",))
+    late = F.make_dt_interval(days=F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
+    land = os.path.join(root, "landing")
+    land_in_time_order(spark, recs.withColumn("sent", F.col("ts") + late), "sent", land,
+                       STREAM_FILES)
+    lake_root = _drain(spark, land, root, ["events", "repository_metrics"], mode="update",
+                       staged=False, marks=True)
+    repair.repair(spark, lake_root, ["repository_metrics"])
+    return _served(spark, lake_root, "repository_metrics")
+
+
+QUERIES.update({f.__name__[2:]: f for f in (
+    q_session_activity, q_push_then_star, q_asof_repository_counters, q_events_in_incidents,
+    q_user_distinct_repositories, q_user_sketched_repositories, q_repository_trend,
+    q_type_language_rollup, q_stream_sessions, q_stream_push_then_star, q_build_in_parts,
+    q_compare_lakes, q_stream_repair)})
+
 FLAGSHIP = "top_repositories"

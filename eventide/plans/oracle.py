@@ -330,3 +330,115 @@ WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""",
 SQL["view_event_type_summary"] = SQL["event_type_summary"]
 SQL["lake_retain"] = SQL["retain_events"]
 SQL["lake_retain_tiered"] = SQL["retain_tiered"]
+
+# --- sessions, joins by time, trends ------------------------------------------------
+
+SESSIONS = """gaps AS (
+  SELECT *, CASE WHEN created_at - lag(created_at) OVER (
+                        PARTITION BY actor_id, actor_login ORDER BY created_at)
+                      <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM enr),
+numbered AS (
+  SELECT *, SUM(fresh) OVER (PARTITION BY actor_id, actor_login ORDER BY created_at, fresh DESC
+                             ROWS UNBOUNDED PRECEDING) AS nth FROM gaps),
+sess AS (
+  SELECT actor_id AS user_id, actor_login AS username, MIN(created_at) AS window_start,
+         MAX(created_at) + INTERVAL 30 MINUTE AS window_end, COUNT(*) AS event_count,
+         COUNT(*) FILTER (WHERE type = 'PushEvent') AS pushes,
+         COUNT(*) FILTER (WHERE type = 'WatchEvent') AS stars,
+         COUNT(*) FILTER (WHERE type = 'ForkEvent') AS forks,
+         COUNT(*) FILTER (WHERE type = 'PullRequestEvent') AS pull_requests,
+         COUNT(*) FILTER (WHERE type = 'IssuesEvent') AS issues,
+         MAX(created_at) AS last_event_at
+  FROM numbered GROUP BY actor_id, actor_login, nth)"""
+DRAINED = "(SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE"      # the final watermark
+
+PAIRS = """pairs AS (
+  SELECT p.repo_id, p.id AS push_id, p.created_at, s.id AS star_id, s.created_at AS star_at
+  FROM ev p JOIN ev s ON s.repo_id = p.repo_id AND s.created_at >= p.created_at
+    AND s.created_at <= p.created_at + INTERVAL 1 HOUR
+  WHERE p.type = 'PushEvent' AND s.type = 'WatchEvent')"""
+
+HOURLY = """h AS (
+  SELECT repo_id, repo_name, date_trunc('hour', created_at) AS hour, COUNT(*) AS event_count
+  FROM ev GROUP BY 1, 2, 3)"""
+
+
+def _rolled(grain: str, by_type: bool) -> str:
+    kind = "event_type" if by_type else "'(all)'"
+    return f"""SELECT '{grain}' AS grain, date_trunc('{grain}', created_at)::TIMESTAMP AS period,
+       {kind} AS event_type, language, COUNT(*) AS event_count
+FROM said GROUP BY 1, 2, 3, 4"""
+
+
+SQL.update({
+    "session_activity": f"{BASE},\n{SESSIONS}\nSELECT * FROM sess",
+    "stream_sessions": f"{BASE},\n{SESSIONS}\nSELECT * FROM sess WHERE window_end <= {DRAINED}",
+    "push_then_star": f"{BASE},\n{PAIRS}\nSELECT * FROM pairs",
+    "stream_push_then_star": f"""{BASE},
+{PAIRS}
+SELECT * FROM pairs
+UNION ALL
+SELECT repo_id, id, created_at, NULL, NULL FROM ev
+WHERE type = 'PushEvent' AND id NOT IN (SELECT push_id FROM pairs)
+  AND created_at + INTERVAL 1 HOUR < {DRAINED}""",
+    "asof_repository_counters": f"""{BASE},
+known AS (
+  SELECT repo_id, created_at, stars, forks, open_issues FROM enr
+  WHERE type IN ('IssuesEvent', 'PullRequestEvent') AND stars IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY repo_id, created_at ORDER BY id DESC) = 1)
+SELECT l.id, l.repo_id, l.created_at, k.stars, k.forks, k.open_issues,
+       k.created_at AS reported_at_as_of
+FROM (SELECT * FROM enr WHERE type = 'WatchEvent') l
+ASOF LEFT JOIN known k ON l.repo_id = k.repo_id AND l.created_at > k.created_at""",
+    "events_in_incidents": f"""{BASE},
+incidents AS (
+  SELECT id AS incident_id, created_at AS began_at,
+         created_at + (10 + repo_id % 7 * 50) * INTERVAL 1 MINUTE AS ended_at
+  FROM ev WHERE type = 'IssuesEvent' AND repo_id % 20 = 3)
+SELECT incident_id, id, type, repo_id, created_at
+FROM ev JOIN incidents ON created_at >= began_at AND created_at < ended_at""",
+    "user_distinct_repositories": f"""{BASE}
+SELECT actor_id AS user_id, actor_login AS username, COUNT(*) AS total_events,
+       COUNT(DISTINCT repo_id) AS distinct_repos FROM ev GROUP BY 1, 2""",
+    "user_sketched_repositories": f"""{BASE}
+SELECT actor_id AS user_id, actor_login AS username, COUNT(*) AS total_events,
+       TRUE AS within_error FROM ev GROUP BY 1, 2""",
+    "repository_trend": f"""{BASE},
+{HOURLY}
+SELECT h.repo_id, h.repo_name, h.hour::TIMESTAMP AS hour, h.event_count,
+       rank() OVER (PARTITION BY h.hour ORDER BY h.event_count DESC) AS rank,
+       h.event_count - coalesce(b.event_count, 0) AS change,
+       CAST(SUM(h.event_count) OVER (
+         PARTITION BY h.repo_id, h.repo_name ORDER BY h.hour
+         RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW) AS BIGINT) AS moving_24h
+FROM h LEFT JOIN h b ON b.repo_id = h.repo_id AND b.repo_name = h.repo_name
+  AND b.hour = h.hour - INTERVAL 1 HOUR""",
+    "type_language_rollup": f"""{BASE},
+said AS (SELECT created_at, type AS event_type,
+                unnest(list_concat(['(all)'], list_distinct(languages))) AS language FROM enr)
+""" + "\nUNION ALL\n".join(_rolled(g, t) for g in ("hour", "day", "month") for t in (True, False)),
+    "build_in_parts": f"""{METRICS}
+SELECT 'events' AS table_name, id AS entity, created_at AS at, 1::BIGINT AS n FROM ev
+UNION ALL SELECT 'repository_metrics', repo_name, window_start, event_count FROM rm
+UNION ALL SELECT 'event_type_distribution', event_type, window_start, event_count FROM et
+UNION ALL SELECT 'user_activity', username, window_start,
+                 event_count * 1000 + repos_contributed FROM ua
+UNION ALL SELECT 'language_trends', language, window_start, event_count FROM lt
+UNION ALL SELECT 'rejected_events', errors, TIMESTAMP '2024-01-01 00:00:00', COUNT(*)
+FROM (SELECT CASE event_id % {D}
+         WHEN 7 THEN 'repo.name' WHEN 13 THEN 'created_at' WHEN 33 THEN 'actor.id'
+         WHEN 41 THEN 'collected_at'
+         ELSE 'id,type,actor.id,actor.login,actor.url,actor.avatar_url,repo.id,repo.name,'
+              || 'repo.url,public,created_at,payload' END AS errors
+      FROM ev WHERE event_id % {D} IN (7, 13, 21, 33, 41)) bad GROUP BY errors""",
+    "compare_lakes": f"""{BASE},
+l AS (SELECT id, type, actor_id, repo_id, created_at, event_id FROM ev),
+r AS (SELECT * REPLACE (CASE WHEN event_id % 499 = 5 THEN 'GollumEvent' ELSE type END AS type)
+      FROM l WHERE event_id % 487 <> 3)
+SELECT id, type, actor_id, repo_id, created_at, 'left' AS side, 1::BIGINT AS copies
+FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) a
+UNION ALL
+SELECT id, type, actor_id, repo_id, created_at, 'right', 1
+FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l) b""",
+    "stream_repair": SQL["stream_repository_metrics_update"],
+})

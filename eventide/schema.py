@@ -102,6 +102,7 @@ CLEAN_EVENT = T.StructType([
     # rejected records travel in the same table: errors lists what is missing
     T.StructField("errors", T.StringType()),
     T.StructField("event_key", T.StringType()),
+    T.StructField("record_id", T.StringType()),       # of rejected records
 ])
 
 # --- served tables (the sink contract) --------------------------------------
@@ -143,9 +144,21 @@ LANGUAGE_TRENDS_TABLE = T.StructType(
     + [T.StructField("event_count", T.LongType())])
 
 REJECTED_EVENTS_TABLE = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("id", "type", "errors", "event_key")]
+    [T.StructField(c, T.StringType()) for c in ("id", "type", "errors", "event_key", "record_id")]
     + [T.StructField("created_at", T.TimestampType())])
 
+SESSION_ACTIVITY_TABLE = T.StructType(
+    [T.StructField("user_id", T.LongType()), T.StructField("username", T.StringType())]
+    + _W
+    + [T.StructField(c, T.LongType()) for c in ("event_count", "pushes", "stars", "forks",
+                                                "pull_requests", "issues")]
+    + [T.StructField("last_event_at", T.TimestampType())])
+
+PUSH_THEN_STAR_TABLE = T.StructType(
+    [T.StructField("repo_id", T.LongType()), T.StructField("push_id", T.StringType()),
+     T.StructField("created_at", T.TimestampType()), T.StructField("star_id", T.StringType()),
+     T.StructField("star_at", T.TimestampType())])
+
 TABLE_SCHEMAS = {
     "events": RAW_EVENTS,
     "repository_metrics": REPOSITORY_METRICS_TABLE,
@@ -153,6 +166,15 @@ TABLE_SCHEMAS = {
     "user_activity": USER_ACTIVITY_TABLE,
     "language_trends": LANGUAGE_TRENDS_TABLE,
     "rejected_events": REJECTED_EVENTS_TABLE,
+    "session_activity": SESSION_ACTIVITY_TABLE,
+    "push_then_star": PUSH_THEN_STAR_TABLE,
+    "dirty_windows": T.StructType(_W),
+}
+
+# Columns that the lake stores beside the contract's and reads hide: what a
+# rebuild of metric tables from the raw table needs.
+TABLE_EXTRA = {
+    "events": T.StructType([T.StructField("languages", T.ArrayType(T.StringType()))]),
 }
 
 # Unique key of each served table (the repository and user tables also key on
@@ -164,6 +186,9 @@ TABLE_KEYS = {
     "event_type_distribution": ("event_type", "window_start", "window_end"),
     "user_activity": ("user_id", "username", "window_start", "window_end"),
     "language_trends": ("language", "window_start", "window_end"),
+    "rejected_events": ("record_id",),
+    "session_activity": ("user_id", "username", "window_start"),
+    "push_then_star": ("push_id", "star_id"),
 }
 
 # Entity column each table is clustered on inside a date partition; min/max
@@ -174,4 +199,6 @@ TABLE_CLUSTER = {
     "event_type_distribution": "event_type",
     "user_activity": "user_id",
     "language_trends": "language",
+    "session_activity": "user_id",
+    "push_then_star": "repo_id",
 }

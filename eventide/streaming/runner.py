@@ -35,9 +35,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import stream_checkpoint
 from ..functions.parse import parse_events
 from ..operators import enrich as enrich_ops
-from ..operators import metrics, quality
+from ..operators import metrics, quality, sessions, temporal
 from ..schema import CLEAN_EVENT, KNOWN_EVENT_TYPES
 from . import sinks
+from .late import late_marker
 
 DEFAULT_WATERMARK = "10 minutes"
 EVENTS_VIEW = "activity_events"
@@ -95,6 +96,14 @@ TABLE_BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Further tables that a job serves where asked to; sessions and joined pairs are
+#: final when they are emitted, so they are appended in either mode.
+MORE_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "session_activity": sessions.session_activity,
+    "push_then_star": lambda ev: temporal.push_then_star(ev, how="left_outer"),
+}
+
+
 def clean_columns(ev: DataFrame, errors=None) -> DataFrame:
     """The clean-event columns the served tables read (``schema.CLEAN_EVENT``)."""
     return ev.select(
@@ -105,7 +114,8 @@ def clean_columns(ev: DataFrame, errors=None) -> DataFrame:
         (F.col("languages") if errors is None
          else F.lit(None).cast("array<string>")).alias("languages"),
         (F.lit(None).cast("string") if errors is None else errors).alias("errors"),
-        "event_key")
+        "event_key", (F.lit(None).cast("string") if errors is None
+                      else F.col("record_id")).alias("record_id"))
 
 
 def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
@@ -150,7 +160,7 @@ def rejected_stream(spark: SparkSession, clean_path: str, **options) -> DataFram
             .filter(F.col("errors").isNotNull())
             .select(F.coalesce("id", F.lit("unknown")).alias("id"),
                     F.coalesce("type", F.lit("unknown")).alias("type"),
-                    "errors", "event_key", F.col("processed_at").alias("created_at")))
+                    "errors", "event_key", "record_id", F.col("processed_at").alias("created_at")))
 
 
 def _enriched(spark: SparkSession, ev: DataFrame) -> DataFrame:
@@ -165,20 +175,22 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
             watermark: str = DEFAULT_WATERMARK, tables: list[str] | None = None,
             dedup: bool = True, with_rejected: bool = True, staged: bool = True,
             sink: str = "lake", sink_options: dict | None = None, mode: str = "append",
-            retention: str | None = None) -> list[StreamingQuery]:
+            retention: str | None = None, marks: bool = False) -> list[StreamingQuery]:
     """Start the ingest query, one query per served table, and ``rejected_events``.
 
     ``sink``: ``lake`` (tables under ``lake_root/<table>``), ``jdbc`` or ``json``
     with ``sink_options`` (see ``sinks.batch_writer``); ``tables`` may also name
-    ``enriched_events``, the enriched stream for publishing. ``mode="update"``
-    (lake sink) keeps open windows visible. Clean events lie in
+    ``enriched_events``, the enriched stream for publishing, ``session_activity`` and
+    ``push_then_star``. ``mode="update"`` (lake sink) keeps open windows visible.
+    ``marks`` (lake sink) has the raw query mark the windows of late events for
+    ``plans.repair``. Clean events lie in
     ``lake_root/_clean_events`` for ``retention``; checkpoints under
     ``checkpoint_root/<name>`` (default: the session's checkpoint folder). With a
     bounded trigger (``availableNow``) the ingest query is drained before the
     table queries start, so they see all of its output.
     """
-    if mode == "update" and sink != "lake":
-        raise ValueError("update mode needs the keyed upsert of the lake sink")
+    if (mode == "update" or marks) and sink != "lake":
+        raise ValueError("update mode and marks need the lake sink")
 
     def ckpt_for(name: str) -> str:
         return (os.path.join(checkpoint_root, name) if checkpoint_root
@@ -187,6 +199,8 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
     def start(df: DataFrame, name: str, out_mode: str = "append") -> None:
         writer = sinks.batch_writer(sink, name, ckpt_for(name), lake_root, out_mode,
                                     **(sink_options or {}))
+        if marks and name == "events":
+            writer = sinks.also(writer, late_marker(lake_root, ckpt_for(name), watermark))
         started.append(start_query(df, name, writer, ckpt_for(name), out_mode, trigger))
 
     started: list[StreamingQuery] = []
@@ -208,15 +222,18 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
         if name == "enriched_events":
             start(_enriched(spark, ev), name)
         elif name == "events":
-            start(metrics.raw_events(ev), name)      # keyed by id, nothing is late
+            # keyed by id, nothing is late; the lake keeps the languages, too
+            start((metrics.stored_events if sink == "lake" else metrics.raw_events)(ev), name)
+        elif name in MORE_TABLES:
+            start(MORE_TABLES[name](timed), name)
         else:
             start(TABLE_BUILDERS[name](timed), name, mode)
     if with_rejected:
         if staged:
             rejected = rejected_stream(spark, clean_path)
         else:
-            _, rejected = quality.validate(parse_events(records))
-            rejected = rejected.withColumn("created_at", F.current_timestamp())
+            rejected = quality.rejected_records(parse_events(records)).withColumn(
+                "created_at", F.current_timestamp())
         start(rejected, "rejected_events")
     return started
 

@@ -17,23 +17,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import lake
-from ..schema import TABLE_KEYS
+from ..schema import TABLE_EXTRA, TABLE_KEYS
 
 
-def arrays_to_text(df: DataFrame, sep: str = ",") -> DataFrame:
-    """Every array column -> its elements joined by ``sep`` (nulls skipped)."""
+def arrays_to_text(df: DataFrame, sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
+    """Every array column but those to ``keep`` -> its elements joined by ``sep``
+    (nulls skipped)."""
     return df.select(*[
         F.array_join(F.col(f.name), sep).alias(f.name)
-        if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
+        if isinstance(f.dataType, T.ArrayType) and f.name not in keep else F.col(f.name)
         for f in df.schema.fields])
 
 
-def shape_for_table(df: DataFrame) -> DataFrame:
-    """The column shape of a served table: flat window bounds, text arrays."""
+def shape_for_table(df: DataFrame, table: str | None = None) -> DataFrame:
+    """The column shape of a served table: flat window bounds, text arrays (what
+    the lake stores beside the contract stays as it is)."""
     if "window" in df.columns:
         df = df.withColumns({"window_start": F.col("window.start"),
                              "window_end": F.col("window.end")}).drop("window")
-    return arrays_to_text(df)
+    extra = [c for c in (TABLE_EXTRA[table].names if table in TABLE_EXTRA else [])
+             if c in df.columns]
+    return arrays_to_text(df, keep=extra)
 
 
 def to_keyed_json(df: DataFrame, key_col: str | None = "repo_name") -> DataFrame:
@@ -86,7 +90,19 @@ def lake_batch_writer(path: str, table: str | None = None, checkpoint: str | Non
         spark = batch_df.sparkSession
         owner = query_id(spark, checkpoint) if checkpoint else "direct"
         put = lake.upsert if mode == "update" else lake.append
-        put(shape_for_table(batch_df), path, table, f"{owner}-{batch_id}")
+        put(shape_for_table(batch_df, table), path, table, f"{owner}-{batch_id}")
+    return write
+
+
+def also(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Writers one after the other; a batch that fails in one is run again in all."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            for w in writers:
+                w(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
     return write
 
 
@@ -126,9 +142,9 @@ def jdbc_batch_writer(table: str, url: str, properties: dict[str, str],
 
     With ``key``, rows already present in the table (by key) are skipped, so a
     replayed batch inserts nothing twice. Only the slice of the table inside
-    the batch's time range is read back, split into parallel range queries. Write errors propagate and fail
-    the batch (it is retried), they are never swallowed. ``writer`` /
-    ``reader`` replace the JDBC write / read (tests).
+    the batch's time range is read back, split into parallel range queries. Write
+    errors propagate and fail the batch (it is retried), they are never swallowed.
+    ``writer`` / ``reader`` replace the JDBC write / read (tests).
     """
     def default_writer(df: DataFrame) -> None:
         df.write.jdbc(url=url, table=table, mode="append", properties=properties)
