@@ -3,9 +3,9 @@
 1. Tasks split whole texts into the tokenizer's words, in blocks of about
    ``BLOCK_CHARS`` characters. A block keeps its distinct words and, per text
    position, the number of the word.
-2. The blocks' distinct words meet in buckets of the word's hash. A bucket
+2. The blocks' distinct words meet in buckets of the word's checksum. A bucket
    holds every occurrence of its words, so each distinct word of the corpus is
-   encoded once; the ids travel back to the blocks that asked.
+   encoded once (again only where a bucket has over ``KNOWN_WORDS``); the ids travel back to the blocks that asked.
 3. A block's ids are joined to its positions: each document's id sequence.
 4. Decoding joins ids to their pieces (a table of the vocabulary's size,
    broadcast) and concatenates the bytes; byte sequences that are not UTF-8
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from .wordbytes import give_back
 
 BLOCK_CHARS = 8 << 20
 BUCKET_BYTES = 16 << 20      # input bytes per word bucket and per group of blocks
+WORD_BUCKETS = 4096          # at most: a block has a row per bucket, not per word
+KNOWN_WORDS = 1_000_000      # words of a bucket whose ids a task remembers
 
 _PACKED = "block long, bucket int, docs array<long>, sizes array<int>, data binary"
 
@@ -85,44 +88,41 @@ class _Block:
     def __init__(self, split: WordSplitter):
         self.split, self.docs, self.chars = split, [], 0
         self.sizes: list[np.ndarray] = []
-        self.hashes: list[np.ndarray] = []
-        self.words: dict[int, str] = {}
+        self.places: list[np.ndarray] = []      # word number by position
+        self.words: dict[str, int] = {}
 
     def add(self, ids: list, texts: list[str]) -> None:
-        for first, part in text_blocks(texts):
+        for _, part in text_blocks(texts):
             points, starts, at = self.split.split(part)
-            own = self.split.hashes(points, starts)
-            values, where = np.unique(own, return_index=True)
-            for h, k in zip(values.tolist(), where.tolist()):
-                if h not in self.words:
-                    self.words[h] = self.split.word(points, starts[k], starts[k + 1])
-            self.hashes.append(own)
+            index, words = self.split.distinct(points, starts)
+            known = self.words
+            own = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+            self.places.append(own[index])
             self.sizes.append(np.diff(at))
         self.docs += ids
         self.chars += sum(map(len, texts))
 
     def rows(self, block: int, buckets: int) -> list[tuple]:
-        flat = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
-        values, index, count = np.unique(flat, return_inverse=True, return_counts=True)
-        bucket = (values % np.uint64(buckets)).astype(np.int64)
+        flat = np.concatenate(self.places) if self.places else np.zeros(0, np.int64)
+        count = np.bincount(flat, minlength=len(self.words))
         # words are numbered by falling count, so that positions compress
-        number = np.empty(len(values), np.int64)
-        number[np.argsort(-count, kind="stable")] = np.arange(len(values))
-        text = [self.words[h] for h in values.tolist()]
-        order = sorted(range(len(text)), key=lambda k: (bucket[k], text[k]))
+        number = np.empty(len(count), np.int64)
+        number[np.argsort(-count, kind="stable")] = np.arange(len(count))
+        blobs = [w.encode() for w in self.words]
+        bucket = np.array([zlib.crc32(w) % buckets for w in blobs], np.int64)
+        order = sorted(range(len(blobs)), key=lambda k: (bucket[k], blobs[k]))
         out = []
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
         for b in range(buckets):
             if cuts[b] < cuts[b + 1]:
-                part = [text[k] for k in order[cuts[b]:cuts[b + 1]]]
-                blob = [w.encode() for w in part]
-                out.append((block, b, None, [len(w) for w in blob],
-                            pa.compress(b"".join(blob), codec="zstd", asbytes=True)))
-        width = _width(len(values))
+                part = [blobs[k] for k in order[cuts[b]:cuts[b + 1]]]
+                out.append((block, b, None, [len(w) for w in part],
+                            pa.compress(b"".join(part), codec="zstd", asbytes=True)))
+        width = _width(len(count))
         sizes = np.concatenate(self.sizes) if self.sizes else np.zeros(0, np.int64)
         out.append((block, -1, self.docs, sizes.tolist(), b"".join(
             np.uint32(len(x)).tobytes() + x for x in (
-                _planes(number[index], width),            # word number by position
+                _planes(number[flat], width),             # word number by position
                 _planes(number[order], width)))))         # word number by (bucket, word)
         return out
 
@@ -164,6 +164,8 @@ def _encode(path: str):
                     word = raw[at:at + size]
                     at += size
                     if word not in known:
+                        if len(known) == KNOWN_WORDS:      # memory first: some are encoded again
+                            known.clear()
                         known[word] = encode(word.decode())
                     ids += known[word]
                     counts.append(len(known[word]))
@@ -203,13 +205,14 @@ def _assemble(positions: pa.Table, found: pa.Table) -> pa.Table:
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every document; ``path`` names the tokenizer file."""
     n = buckets_for(docs, BUCKET_BYTES)
+    most = min(n, WORD_BUCKETS)
     packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
-                         ).mapInArrow(_split(path, n), _PACKED)
+                         ).mapInArrow(_split(path, most), _PACKED)
     # positions stay where they are written: the files are bucketed by block
     stored = bucketed(packed, "block", n, "bpe")
 
     words = stored.where(F.col("bucket") >= 0).select("block", "bucket", "sizes", "data")
-    found = (words.repartition(n, "bucket").sortWithinPartitions("bucket")
+    found = (words.repartition(most, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_encode(path), "block long, bucket int, counts binary, ids binary"))
     positions = stored.where(F.col("bucket") < 0).select("block", "docs", "sizes", "data")
     return (positions.groupBy("block").cogroup(found.repartition(n, "block").groupBy("block"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,13 +59,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where the session names none (tests), a fresh temporary folder becomes the
-    session's checkpoint folder; clusters always name one.
+    Where a local session names none (tests), a fresh temporary folder becomes
+    its checkpoint folder; a cluster must name one.
     """
     root = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
             or spark.sparkContext.getCheckpointDir())
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared path")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         root = spark.sparkContext.getCheckpointDir()
     return root
@@ -111,6 +114,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh(spark: SparkSession) -> None:
+    """Before a long stage: executors hand back the heap that earlier stages have
+    grown (a collection in each, by a task per core), as they share their memory
+    with Python workers. Only a matter of space: tasks anywhere will do."""
+    release(spark)
+    n = spark.sparkContext.defaultParallelism
+    (spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc")))
+     .write.format("noop").mode("overwrite").save())
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)

@@ -39,7 +39,8 @@ from .wordbytes import give_back
 
 WINDOW = 2048
 END_ID = 1
-KNOWN_WORDS = 100_000        # words whose ids a worker remembers
+KNOWN_WORDS = 100_000        # words whose ids a worker remembers, if they are
+KNOWN_CHARS = 64             # no longer than this
 
 _PIECES = ("doc_id long, start long, length int, ids_crc32 long, doc_tokens long, "
            "part int, place long")
@@ -50,21 +51,21 @@ class _Ids:
 
     def __init__(self, path: str):
         self.split, self.encode = splitter(path), encoder(path)
-        self.known: dict[int, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, running ends)."""
         points, starts, at = self.split.split(texts)
-        values, first, index = np.unique(
-            self.split.hashes(points, starts), return_index=True, return_inverse=True)
+        index, words = self.split.distinct(points, starts)
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         known, found = self.known, []
-        for h, k in zip(values.tolist(), first.tolist()):
-            ids = known.get(h)
+        for word in words:
+            ids = known.get(word)
             if ids is None:
-                ids = known[h] = np.array(self.encode(
-                    self.split.word(points, starts[k], starts[k + 1])), np.uint32).tobytes()
+                ids = np.array(self.encode(word), np.uint32).tobytes()
+                if len(word) <= KNOWN_CHARS:
+                    known[word] = ids
             found.append(ids)
         flat = np.frombuffer(b"".join(found), np.uint32)
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int64)

@@ -4,7 +4,8 @@
 leading space plus a run of letters, of numbers or of other characters; white
 space runs). Character classes come from the tokenizer itself, one question
 per new character. Texts with an apostrophe (contractions) or an added token
-are cut by the tokenizer. ``WordEncoder`` turns one word into ids.
+are cut by the tokenizer. Its distinct words are exact, whatever their hashes.
+``WordEncoder`` turns one word into ids.
 """
 
 from __future__ import annotations
@@ -142,6 +143,26 @@ class WordSplitter:
         a, b = starts[:-1], starts[1:]
         return mix((sums[b] - sums[a]) * self._inverse[a] + (b - a).astype(np.uint64))
 
+    def distinct(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """(each word's number among the distinct words, the distinct words).
+
+        Hashes propose, characters decide: every word is compared with the first
+        of its hash, and where two differ the block's words are numbered one by one."""
+        size = np.diff(starts)
+        if not len(size):
+            return np.zeros(0, np.int64), []
+        _, first, index = np.unique(self.hashes(points, starts), return_index=True,
+                                    return_inverse=True)
+        like = first[index]
+        if (size[like] == size).all():
+            spot = np.arange(len(points)) + np.repeat(starts[like] - starts[:-1], size)
+            if (points[spot] == points).all():
+                return index, [self.word(points, starts[k], starts[k + 1]) for k in first.tolist()]
+        numbers: dict[str, int] = {}
+        index = np.array([numbers.setdefault(self.word(points, a, b), len(numbers))
+                          for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], np.int64)
+        return index, list(numbers)
+
     @staticmethod
     def word(points: np.ndarray, a: int, b: int) -> str:
         return points[a:b].tobytes().decode("utf-32-le")

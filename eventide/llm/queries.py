@@ -194,10 +194,10 @@ SQL: dict[str, str] = {
                  unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
           FROM kinds WHERE kind <> 0),
         o AS (
-          SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
-                 row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) AS seen,
+          SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS seen,
                  rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS shown
-          FROM d),
+          FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i
+                FROM d)),
         f AS (
           SELECT *, left(role, 1) AS x,
                  CASE WHEN shown = '' THEN 'b' WHEN seen > 1 THEN 'd'

@@ -5,11 +5,16 @@ words, and a word's 64-bit hash is a difference of prefix sums of a polynomial
 over randomised byte values. Work per byte is a handful of array operations,
 whatever the words are. Batches are cut into blocks of about a megabyte (or
 one longer text), which bounds the temporary arrays.
+
+Sums modulo 2 ** 64 tell short words apart like random numbers, but long words
+can be built that share one (from 1024 bytes on by a fixed pattern), so words of
+more than ``LONG`` bytes get a cryptographic hash.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +27,7 @@ except (OSError, AttributeError):      # another C library
     _trim = None
 
 BLOCK_BYTES = 1 << 19
+LONG = 64
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -136,7 +142,14 @@ def hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.ndarra
     power, inverse = _power_tables(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_RANDOM[fold][text] * power, out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    out = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        out[k] = strong(fold[text[start[k]:end[k]]].tobytes())
+    return out
+
+
+def strong(word: bytes) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little"))
 
 
 def words(text: np.ndarray, offsets: np.ndarray, kinds: np.ndarray,

@@ -35,3 +35,10 @@ def changed(text: str, seed: int, n: int) -> str:
     for _ in range(n):
         w[r.randrange(len(w))] = f"z{r.randrange(10 ** 6)}"
     return " ".join(w)
+
+
+def colliding(n: int) -> tuple[str, str]:
+    """Two words of n letters that polynomial hashes modulo 2 ** 64 can't tell apart
+    (n a multiple of 1024): a Thue-Morse word and its complement."""
+    one = "".join("ab"[bin(k).count("1") & 1] for k in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))

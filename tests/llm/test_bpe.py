@@ -6,7 +6,7 @@ import struct
 
 import public_tokenizers
 import pytest
-from corpus_cases import docs, odd_rows, prose
+from corpus_cases import colliding, docs, odd_rows, prose
 from tokenizers import Tokenizer
 
 from eventide.llm import bpe, pretokens
@@ -66,3 +66,37 @@ def test_bytes_that_are_no_utf8_decode_to_the_replacement(spark, tokenizer):
 
 def test_empty_table(spark):
     assert bpe.digests(docs(spark, [(1, "x")]).limit(0), PATH).count() == 0
+
+
+def test_long_words_of_one_hash_stay_apart(spark, tokenizer):
+    split = pretokens.WordSplitter(PATH)
+    for n in (1024, 4096, 100_352):
+        one, two = colliding(n)
+        points, starts, _ = split.split([one, two, one])
+        h = split.hashes(points, starts)
+        assert h[0] == h[1]                       # the hash alone can't tell them
+        index, words = split.distinct(points, starts)
+        assert [words[k] for k in index] == [one, two, one]
+    rows = [(k, t) for k, t in enumerate(t for n in (1024, 4096, 100_352) for t in colliding(n))]
+    rows.append((9, "{} {} x {}".format(*colliding(2048), colliding(2048)[0])))
+    out = bpe.decode(bpe.encode(docs(spark, rows), PATH), PATH).collect()
+    assert {r.doc_id: (list(r.ids), r.text) for r in out} == {
+        i: (tokenizer.encode(t, add_special_tokens=False).ids, t) for i, t in rows}
+
+
+def test_few_word_buckets_and_short_memory(spark, tokenizer):
+    block = bpe._Block(pretokens.WordSplitter(PATH))
+    some = texts()[:60] + [prose(k, 300) for k in range(9)]
+    block.add(list(range(len(some))), some)
+    rows = block.rows(7, 3)
+    assert {r[1] for r in rows} == {-1, 0, 1, 2} and len(rows) == 4
+    said = [w for r in rows if r[1] >= 0 for w in _words_of(r)]
+    assert sorted(said) == sorted(w.encode() for w in block.words) and len(set(said)) == len(said)
+
+
+def _words_of(row):
+    import pyarrow as pa
+    raw, at = pa.decompress(row[4], sum(row[3]), codec="zstd", asbytes=True), 0
+    for size in row[3]:
+        yield raw[at:at + size]
+        at += size

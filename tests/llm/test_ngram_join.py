@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from corpus_cases import LOWER, WORD, changed, docs, odd_rows, prose
+from corpus_cases import LOWER, WORD, changed, colliding, docs, odd_rows, prose
 
 from eventide.llm import ngram_join as nj
 
@@ -112,3 +112,12 @@ def test_empty_table(spark):
     empty = docs(spark, [(1, "x")]).limit(0)
     assert nj.similar_groups(empty, 4, 85).count() == 0
     assert nj.one_per_group(empty).count() == 0
+
+
+def test_long_words_of_one_hash_stay_apart(spark):
+    rows = []
+    for k, n in enumerate((1024, 4096, 100_352)):
+        one, two = colliding(n)
+        rows += [(10 * k, one), (10 * k + 1, two), (10 * k + 2, one),
+                 (10 * k + 3, f"x y z {one} v w"), (10 * k + 4, f"x y z {two} v w")]
+    assert got(nj.similar_groups(docs(spark, rows), 4, 85)) == sorted(brute(rows, 4, 85), key=str)

@@ -7,7 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
-from corpus_cases import docs, odd_rows, prose
+from corpus_cases import colliding, docs, odd_rows, prose
 from tokenizers import Tokenizer
 
 from eventide.llm import packing
@@ -73,3 +73,15 @@ def test_pieces_are_whole_and_sequences_gapless(spark):
 
 def test_empty_table(spark):
     assert packing.pack(docs(spark, [(1, "x")]).limit(0), PATH).count() == 0
+
+
+def test_long_words_of_one_hash_stay_apart(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    rows = list(enumerate(t for n in (1024, 4096, 100_352) for t in colliding(n)))
+    want = set()
+    for i, t in rows:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [1]
+        want |= {(i, a, zlib.crc32(struct.pack(f"<{len(ids[a:a + 2048])}I", *ids[a:a + 2048])))
+                 for a in range(0, len(ids), 2048)}
+    out = packing.pack(docs(spark, rows).coalesce(1), PATH).collect()
+    assert {(r.doc_id, r.start, r.ids_crc32) for r in out} == want

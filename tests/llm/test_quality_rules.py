@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 from conftest import SF_SMALL
-from corpus_cases import WORD, docs, odd_rows, prose
+from corpus_cases import WORD, colliding, docs, odd_rows, prose
 
 from eventide.llm import quality_rules as qr
 from eventide.llm.common import table
@@ -107,3 +107,12 @@ def test_threshold_of_counts_matches_plain_values():
     tries = np.concatenate([[-np.inf], (value[1:] + value[:-1]) / 2])
     cost = [10 * (plain < x).mean() + (other >= x).mean() for x in tries]
     assert abs(qr.choose_threshold(value, good, bad) - min(floor, tries[np.argmin(cost)])) < 1e-9
+
+
+def test_long_words_of_one_hash_are_no_repetition(spark):
+    rows = []
+    for k, n in enumerate((1024, 4096, 100_352)):
+        one, two = colliding(n)
+        rows += [(10 * k, f"p q {one} p q {two} p q"), (10 * k + 1, f"p q {one} p q {one} p q")]
+    out = qr.quality(docs(spark, rows), labels(spark, [])).collect()
+    assert {r.doc_id: r.n_repeat_words for r in out} == {i: base(t)[4] for i, t in rows}
