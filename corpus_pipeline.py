@@ -14,30 +14,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import ngram_join, packing, quality_rules, toxicity
-from eventide.llm.common import prepare, table, written
+from eventide.llm.common import fresh, prepare, table, written
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
+    fresh(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
+    fresh(spark)
     return quality_rules.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8)."""
-    prepare(spark)
+    fresh(prepare(spark))
     return ngram_join.one_per_group(docs, size=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents in token sequences."""
-    prepare(spark)
+    fresh(prepare(spark))
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
