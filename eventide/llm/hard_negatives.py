@@ -29,25 +29,20 @@ no row; an empty table gives none; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK, QUERY_BLOCK, dealt, matrix, met, pack_any, slices_for, usable
 from .common import written
 from .wordbytes import give_back
 
-ANCHOR_BLOCK = 8192          # anchors that a task holds
 TILE = 512                   # anchors in one product
 ROW_BLOCK = 2048
 LEAF = 16                    # the recursion ends where a side is this short
 LEAST = np.iinfo(np.int64).min
 
-_BLOCK = ("block long, n int, dim int, bits int, ids binary, labels binary, vectors binary")
-
 
 # --- products ------------------------------------------------------------------
 
@@ -142,87 +137,13 @@ def best_cells(score: np.ndarray, ids: np.ndarray, allowed: np.ndarray, bar: np.
     return np.nonzero(allowed)
 
 
-# --- blocks --------------------------------------------------------------------
-
-def usable(df: DataFrame, id_col: str, vec_col: str, label: Column, scale: int) -> DataFrame:
-    """(vec_id, label, v) of the rows that take part; v = floor(scale * component)."""
-    ok = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
-                  & (F.abs(x.cast("double")) < float("inf")))
-    return (df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & ok)
-            .select(F.col(id_col).cast("long").alias("vec_id"),
-                    label.cast("long").alias("label"),
-                    F.transform(F.col(vec_col), lambda x: F.floor(
-                        F.lit(scale) * x.cast("double")).cast("long")).alias("v"))
-            .where(F.col("label").isNotNull()))
-
-
-def _block(key: int, rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-    rows = sorted(rows, key=lambda r: r[0])
-    dim = max(len(v) for _, _, v in rows)
-    mat = np.zeros((len(rows), dim), np.int64)
-    for r, (_, _, v) in enumerate(rows):
-        mat[r, :len(v)] = v
-    high = max(int(mat.max(initial=0)), -int(mat.min(initial=0)) - 1)
-    bits = 16 if high < 1 << 15 else 32 if high < 1 << 31 else 64
-    return pa.RecordBatch.from_pydict({
-        "block": pa.array([key], pa.int64()), "n": pa.array([len(rows)], pa.int32()),
-        "dim": pa.array([dim], pa.int32()), "bits": pa.array([bits], pa.int32()),
-        "ids": pa.array([np.array([r[0] for r in rows], np.int64).tobytes()], pa.binary()),
-        "labels": pa.array([np.array([r[1] for r in rows], np.int64).tobytes()], pa.binary()),
-        "vectors": pa.array([mat.astype(f"int{bits}").tobytes()], pa.binary())})
-
-
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-    ids, labels = batch.column("vec_id").to_pylist(), batch.column("label").to_pylist()
-    vecs = batch.column("v")
-    at, flat = vecs.offsets.to_numpy(), vecs.values.to_numpy()
-    return zip(ids, labels, (flat[a:b] for a, b in zip(at[:-1], at[1:])))
-
-
-def _pack_any(size: int):
-    """Blocks of the rows as they come, numbered by partition."""
-    def run(batches):
-        part, seq, held = TaskContext.get().partitionId(), 0, []
-        for batch in batches:
-            held += _rows(batch)
-            while len(held) >= size:
-                yield _block((part << 32) + seq, held[:size])
-                seq, held = seq + 1, held[size:]
-        if held:
-            yield _block((part << 32) + seq, held)
-    return run
-
-
-def _pack_dealt(size: int):
-    """Blocks of the anchors of one number; rows come sorted by it."""
-    def run(batches):
-        now, seq, held = None, 0, []
-        for batch in batches:
-            for number, row in zip(batch.column("number").to_pylist(), _rows(batch)):
-                if held and (number != now or len(held) == size):
-                    yield _block((now << 20) + seq, held)
-                    seq, held = seq + 1, []
-                if number != now:
-                    now, seq = number, 0
-                held.append(row)
-        if held:
-            yield _block((now << 20) + seq, held)
-    return run
-
-
-def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    vectors = np.frombuffer(row["vectors"], f"int{row['bits']}").reshape(row["n"], row["dim"])
-    return (np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64),
-            vectors.astype(np.int64))
-
-
 # --- passes --------------------------------------------------------------------
 
 class Positives:
     """First pass over one tile's anchors: the best rows of the anchor's label."""
 
     def __init__(self, row: dict, cut: slice, k: int):
-        ids, labels, self.mat = (x[cut] for x in _matrix(row))
+        ids, labels, self.mat = (x[cut] for x in matrix(row))
         self.ids, self.labels = ids[:, None], labels[:, None]
         self.heaps = Heaps(len(ids), k)
         self.key = (row["block"] << 20) + np.arange(cut.start, cut.start + len(ids))
@@ -243,7 +164,7 @@ class Negatives:
     """Second pass: for every positive, the best rows of other labels in its window."""
 
     def __init__(self, row: dict, cut: slice, k: int, low: int, high: int):
-        ids, labels, self.mat = (x[cut] for x in _matrix(row))
+        ids, labels, self.mat = (x[cut] for x in matrix(row))
         self.ids, self.labels = ids[:, None], labels[:, None]
         found = [p for p in row["positives"] or [] if cut.start <= p["at"] < cut.start + len(ids)]
         self.found = sorted(found, key=lambda p: (p["nth"], p["at"]))
@@ -297,7 +218,7 @@ def _tiles(make, names: list[str], tile: int):
                 if row["kind"] == 0:
                     held += [make(row, slice(a, a + tile)) for a in range(0, row["n"], tile)]
                     continue
-                ids, labels, mat = _matrix(row)
+                ids, labels, mat = matrix(row)
                 across = np.ascontiguousarray(mat.T)
                 for one in held:
                     dim = max(one.mat.shape[1], across.shape[0])
@@ -308,23 +229,11 @@ def _tiles(make, names: list[str], tile: int):
     return run
 
 
-def _met(anchors: DataFrame, rows: DataFrame, blocks: int, slices: int) -> DataFrame:
-    """Every row block beside every anchor block, sorted for ``_tiles``."""
-    anchors = (anchors.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-               .withColumn("kind", F.lit(0)))
-    rows = (rows.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int"))
-            .withColumn("kind", F.lit(1))
-            .withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-            .withColumn("number", F.col("number").cast("long")))
-    return (anchors.unionByName(rows, allowMissingColumns=True)
-            .repartition(max(1, blocks * slices), "number", "slice")
-            .sortWithinPartitions("number", "slice", "kind", "block"))
-
-
 def mine(embeddings: DataFrame, label: Column | None = None, every: int = 100, positives: int = 5,
          negatives: int = 10, low: int = 30, high: int = 90, id_col: str = "vec_id",
-         vec_col: str = "embedding", label_col: str = "label", scale: int = 256, anchor_block: int = ANCHOR_BLOCK,
-         row_block: int = ROW_BLOCK, tile: int = TILE) -> DataFrame:
+         vec_col: str = "embedding", label_col: str = "label", scale: int = 256,
+         anchor_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK,
+         tile: int = TILE) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
 
     Anchors are the ids divisible by ``every``; ``positives`` rows of the same
@@ -334,19 +243,13 @@ def mine(embeddings: DataFrame, label: Column | None = None, every: int = 100, p
     spark = embeddings.sparkSession
     vectors = usable(embeddings, id_col, vec_col,
                      F.col(label_col) if label is None else label, scale)
-    rows = written(vectors.mapInArrow(_pack_any(row_block), _BLOCK), "rows")
-    asked = vectors.where(F.col("vec_id") % every == 0).distinct()
-    n = asked.count()
-    blocks = max(1, -(-n // anchor_block))
-    # layout only: enough tasks where the anchors fill few blocks
-    slices = max(1, -(-3 * spark.sparkContext.defaultParallelism // blocks))
-    dealt = (asked.withColumn("number", F.pmod(F.xxhash64("vec_id", "label", "v"), F.lit(blocks)))
-             .repartition("number").sortWithinPartitions("number", "vec_id", "label", "v"))
-    anchors = written(dealt.mapInArrow(_pack_dealt(anchor_block), _BLOCK), "anchors").withColumn(
-        "number", F.shiftright("block", 20))
+    rows = written(vectors.mapInArrow(pack_any(row_block), BLOCK), "rows")
+    packed, blocks = dealt(vectors.where(F.col("vec_id") % every == 0).distinct(), anchor_block)
+    slices = slices_for(spark, blocks)
+    anchors = written(packed, "anchors").withColumn("number", F.shiftright("block", 20))
 
     def passed(asking: DataFrame, make, names: list[str]) -> DataFrame:
-        return _met(asking, rows, blocks, slices).mapInArrow(
+        return met(asking, rows, blocks, slices).mapInArrow(
             _tiles(make, names, tile), ", ".join(f"{c} long" for c in names))
 
     best = passed(anchors, lambda row, cut: Positives(row, cut, positives),

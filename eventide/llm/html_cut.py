@@ -10,10 +10,13 @@ labelling of the page, and the source side is its main text.
 The classifier is logistic: fixed priors for what the markup says (elements,
 roles, class and id words), plus weights of text features learnt here from a
 bounded sample of pages (``MAX_FIT`` smallest id hashes) whose markup marks
-blocks as article or as page furniture, shrunk towards ``PRIOR``. Elements and
-roles are a verdict; words of classes and ids are evidence, which adds up over
-nested elements and which prose can outweigh. A page is handled within one task;
-Spark spreads the pages.
+blocks as article or as page furniture, shrunk towards ``PRIOR``. Elements are a
+verdict; words of classes and ids are evidence, which adds up over nested
+elements and which prose can outweigh. Forms, dialogs and roles are a verdict
+unless the element holds most of the page's prose, as a form around a whole page
+does; then they say nothing. Containers of reader comments are a verdict where
+the page has an article, or prose, beside them. A page is handled within one
+task; Spark spreads the pages.
 
 Rules of the text: character references are decoded, white space (a line break
 element included) inside a block becomes one space, blocks are trimmed, empty
@@ -57,7 +60,8 @@ MUTE_TAGS = frozenset("""
     noscript template svg iframe object select button canvas audio video annotation
     annotation-xml""".split())
 CONTROL_TAGS = frozenset("button select option".split())
-FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+FURNITURE_TAGS = frozenset("nav footer aside".split())
+WRAPPER_TAGS = frozenset("form menu dialog fieldset".split())
 FURNITURE_ROLES = frozenset("""
     navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar
     toolbar note status""".split())
@@ -68,10 +72,11 @@ FURNITURE_WORDS = frozenset("""
     notification overlay pager pagination popup promo promoted promotion recommended related
     replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe
     subscription tags toolbar topbar widget widgets""".split())
+COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replies respond".split())
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
 # has-sidebar, no-sidebar, header-fixed: they say something of the page, not of the element
 BEFORE = frozenset("has have no not with without hide show is".split())
-AFTER = frozenset("fixed sticky none off on hidden disabled enabled".split())
+AFTER = frozenset("fixed sticky none off on hidden disabled enabled open closed".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -82,12 +87,14 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 FURNITURE, ARTICLE, MAYBE = -8.0, 5.0, 1.5     # log odds that the markup gives
+WRAPPER, TALK = "wrapper", "talk"              # verdicts that depend on the rest of the page
+PROSE_WORDS, BESIDE = 8, 0.1   # words of a block of prose; share of prose that is an article's
 # of a class or id word; at most, of nested ones; more where the page has its article elsewhere
 WORDS, MOST_WORDS, ELSEWHERE = -2.5, -6.0, -2.0
 
 
-def _class_words(value: str, inside_article: bool) -> float | None:
-    """Log odds that a class or id attribute gives."""
+def _class_words(value: str, inside_article: bool) -> float | str | None:
+    """Log odds that a class or id attribute gives, or that it names comments."""
     found = None
     for name in value.split():
         words = [x.lower() for x in _WORD.findall(name)]
@@ -98,7 +105,7 @@ def _class_words(value: str, inside_article: bool) -> float | None:
                 if not (words[k - 1:k] and words[k - 1] in BEFORE
                         or words[k + 1:] and words[k + 1] in AFTER
                         or word == "header" and inside_article):
-                    found = WORDS
+                    found = TALK if word in COMMENT_WORDS or found == TALK else WORDS
                 break
         else:
             if found is None and ARTICLE_WORDS.intersection(words):
@@ -106,11 +113,12 @@ def _class_words(value: str, inside_article: bool) -> float | None:
     return found
 
 
-def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
-    """Log odds that an element's own markup gives its blocks; None: says nothing."""
+def _markup(tag: str, attributes: str, inside_article: bool) -> float | str | None:
+    """Log odds that an element's own markup gives its blocks, ``WRAPPER`` or
+    ``TALK``; None: says nothing."""
     if tag in FURNITURE_TAGS or (tag == "header" and not inside_article):
         return FURNITURE
-    found = None
+    found = WRAPPER if tag in WRAPPER_TAGS else None
     if tag in ("article", "main"):
         found = ARTICLE
     if "=" in attributes or "hidden" in attributes:
@@ -120,13 +128,15 @@ def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
                 says = _class_words(value, inside_article)
                 if says == MAYBE and found is None:
                     found = MAYBE
+                elif says == TALK and tag not in ("main", "body", "html"):
+                    found = TALK
                 elif says == WORDS and tag not in ("article", "main", "body", "html") \
-                        and found != MAYBE:
+                        and found not in (MAYBE, TALK, WRAPPER):
                     found = WORDS
             elif name == "role":
                 if value.lower() in FURNITURE_ROLES:
-                    return FURNITURE
-                if value.lower() in ("main", "article"):
+                    found = WRAPPER
+                elif value.lower() in ("main", "article") and found != TALK:
                     found = ARTICLE
             elif ((name == "style" and _HIDDEN.search(value.lower()))
                   or (name == "aria-hidden" and value.lower() == "true")):
@@ -137,18 +147,44 @@ def _markup(tag: str, attributes: str, inside_article: bool) -> float | None:
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "prior", "parent", "inside")
+    __slots__ = ("text", "linked", "tag", "prior", "parent", "inside", "wrappers", "talk", "clear")
 
-    def __init__(self, text: str, linked: int, tag: str, prior: float, parent: int, inside: bool):
+    def __init__(self, text: str, linked: int, tag: str, prior: float, parent: int, inside: bool,
+                 wrappers: tuple[int, ...] = (), talk: bool = False):
         self.text, self.linked, self.tag, self.prior, self.parent = text, linked, tag, prior, parent
-        self.inside = inside
+        self.inside, self.wrappers, self.talk = inside, wrappers, talk
+        # its own elements' verdict, whatever the rest of the page holds
+        self.clear = prior in (FURNITURE, ARTICLE) and not wrappers and not talk
+
+    @property
+    def prose(self) -> int:
+        return len(self.text) - self.linked if self.text.count(" ") + 1 >= PROSE_WORDS else 0
+
+
+def judge(blocks: list[Block]) -> None:
+    """The verdicts that depend on where the page has its prose."""
+    open_blocks = [b for b in blocks if b.prior != FURNITURE]
+    total = sum(b.prose for b in open_blocks)
+    held: dict[int, int] = {}
+    for b in open_blocks:
+        for w in b.wrappers:
+            held[w] = held.get(w, 0) + b.prose
+    for b in open_blocks:
+        if any(2 * held[w] <= total for w in b.wrappers):
+            b.prior = FURNITURE
+    talk = [b for b in open_blocks if b.talk and b.prior != FURNITURE]
+    rest = [b for b in open_blocks if not b.talk and b.prior != FURNITURE]
+    if any(b.prior in (MAYBE, ARTICLE) and b.prose for b in rest) or (
+            sum(b.prose for b in rest) > BESIDE * sum(b.prose for b in talk)):
+        for b in talk:
+            b.prior = FURNITURE
 
 
 def page_blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, with what their markup says."""
     blocks: list[Block] = []
-    # open elements: tag, serial number, log odds in force
-    stack: list[tuple[str, int, float]] = [("", 0, 0.0)]
+    # open elements: tag, serial number, log odds in force, wrappers, among comments
+    stack: list[tuple[str, int, float, tuple[int, ...], bool]] = [("", 0, 0.0, (), False)]
     before: dict[int, tuple[int, list[str], int]] = {}     # state at the start of mute elements
     parts: list[str] = []
     linked = serial = links = articles = 0
@@ -165,12 +201,13 @@ def page_blocks(page: str) -> list[Block]:
             # paragraphs, headings and items hang on their container
             parent = stack[k - 1][1] if k and tag in _LEAVES else stack[k][1]
             prior = FURNITURE if tag in CONTROL_TAGS else stack[-1][2]
-            blocks.append(Block(text, min(linked, len(text)), tag, prior, parent, articles > 0))
+            blocks.append(Block(text, min(linked, len(text)), tag, prior, parent, articles > 0,
+                                *stack[-1][3:]))
         parts, linked = [], 0
 
     def close(k: int) -> None:
         nonlocal links, articles
-        for tag, _, _ in stack[k:]:
+        for tag, *_ in stack[k:]:
             links -= tag == "a"
             articles -= tag in ("article", "main")
         del stack[k:]
@@ -227,17 +264,22 @@ def page_blocks(page: str) -> list[Block]:
         if tag in MUTE_TAGS:
             before[serial] = len(blocks), parts[:], linked
         own = _markup(tag, attributes, articles > 0)
-        force = stack[-1][2]
-        if own == WORDS:
+        force, wrappers, talk = stack[-1][2:]
+        if own == WRAPPER:
+            wrappers = (*wrappers, serial)
+        elif own in (WORDS, TALK):
+            talk, own = talk or own == TALK, WORDS
             force = force if force == FURNITURE else max(min(force, 0.0) + own, MOST_WORDS)
         elif own == MAYBE and force < 0:
             force = force if force == FURNITURE else force + own
         elif own is not None:
             force = own
+            wrappers = () if own == ARTICLE else wrappers
         links += tag == "a"
         articles += tag in ("article", "main")
-        stack.append((tag, serial, force))
+        stack.append((tag, serial, force, wrappers, talk))
     flush()
+    judge(blocks)
     article = sum(len(b.text) for b in blocks if b.prior == ARTICLE)
     doubted = [b for b in blocks if FURNITURE < b.prior < 0]
     much = article > sum(len(b.text) for b in doubted if b.inside)
@@ -272,7 +314,7 @@ def _fit(batches):
     x, y = [], []
     for batch in batches:
         for page in batch.column(0).to_pylist():
-            blocks = [b for b in page_blocks(page or "") if b.prior in (FURNITURE, ARTICLE)]
+            blocks = [b for b in page_blocks(page or "") if b.clear]
             if blocks:
                 x.append(features(blocks))
                 y += [b.prior > 0 for b in blocks]

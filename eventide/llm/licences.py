@@ -1,13 +1,18 @@
 """Licence scan: positional rare-token index over licence templates.
 
 Document frequencies of the templates' words, counted over every whole text of
-the corpus, give their IDF. Each template is indexed by its highest-IDF words
-(``RARE_SHARE`` of its distinct words): word -> (template, position). A file's
-occurrences of indexed words vote for (template, file position - template
-position); an alignment whose agreeing words hold ``MIN_MASS`` of the
-template's indexed IDF mass (positions may slip by ``SLIP`` words) is a
-candidate, and counts when all mandatory key phrases of the template stand in
-the aligned stretch. No occurrence is capped or skipped.
+the corpus, give their IDF. A template is one or more parts, the stretches between
+what its users fill in. Each part is indexed by its highest-IDF words
+(``RARE_SHARE`` of its distinct words): word -> (part, position). A file's
+occurrences of indexed words vote for (part, file position - part position); an
+alignment whose agreeing words hold ``MIN_MASS`` of the part's indexed IDF mass
+(positions may slip by ``SLIP`` words) counts when the part's mandatory key
+phrases stand in the aligned stretch. A template's score is the greatest IDF mass
+of its parts aligned one behind the other, over the mass of all; it is found at
+``MIN_TEMPLATE`` (a cut notice still is) if every part with a key phrase is. A
+template that holds another's text whole stands for it (``licence_texts.EXTENDS``).
+No occurrence is capped or skipped; only the templates whose key phrases all stand
+somewhere in a file are voted for, as the others can't be found.
 
 Beside it, the base rule lists every place of three phrases. Words are runs of
 ASCII letters and digits (A-Z lower-cased) and non-ASCII characters.
@@ -19,6 +24,7 @@ and text columns are read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -28,55 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbytes as wb
+from .licence_texts import EXTENDS, TEMPLATES
 
-RARE_SHARE, MIN_MASS, SLIP = 0.6, 0.7, 2
+RARE_SHARE, MIN_MASS, SLIP, MIN_TEMPLATE = 0.6, 0.7, 2, 0.5
 
 # Phrases of the base rule and their labels.
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"),
                 ("general public license", "gpl"))
 
-# Public notice texts (label, text, mandatory key phrases).
-TEMPLATES = (
-    ("mit-reference", "Released under the MIT License.", ("mit license",)),
-    ("mit-text",
-     "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-     "software and associated documentation files (the Software), to deal in the Software "
-     "without restriction, including without limitation the rights to use, copy, modify, merge, "
-     "publish, distribute, sublicense, and/or sell copies of the Software",
-     ("permission is hereby granted free of charge",)),
-    ("apache-2.0-reference", "Licensed under the Apache License, Version 2.0.",
-     ("apache license version 2 0",)),
-    ("apache-2.0-notice",
-     "Unless required by applicable law or agreed to in writing, software distributed under the "
-     "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
-     "either express or implied. See the License for the specific language governing "
-     "permissions and limitations under the License.",
-     ("without warranties or conditions of any kind",)),
-    ("gpl-3.0-reference",
-     "This work is licensed under the GNU General Public License, version 3.",
-     ("gnu general public license version 3",)),
-    ("gpl-notice",
-     "This program is free software: you can redistribute it and/or modify it under the terms of "
-     "the GNU General Public License as published by the Free Software Foundation",
-     ("gnu general public license", "free software foundation")),
-    ("lgpl-notice",
-     "This library is free software; you can redistribute it and/or modify it under the terms of "
-     "the GNU Lesser General Public License as published by the Free Software Foundation",
-     ("gnu lesser general public license", "free software foundation")),
-    ("bsd-redistribution",
-     "Redistribution and use in source and binary forms, with or without modification, are "
-     "permitted provided that the following conditions are met",
-     ("redistribution and use in source and binary forms",)),
-    ("isc-text",
-     "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
-     "without fee is hereby granted, provided that the above copyright notice and this "
-     "permission notice appear in all copies.",
-     ("for any purpose with or without fee",)),
-    ("mpl-2.0-notice",
-     "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-     ("mozilla public license",)),
-)
-
 _KINDS = np.zeros(256, np.uint8)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _KINDS[_a:_b] = 1
@@ -104,40 +69,52 @@ def _places(w: wb.Words, phrase: np.ndarray) -> np.ndarray:
 
 
 def vocabulary(templates=TEMPLATES) -> np.ndarray:
-    return np.unique(np.concatenate([_hashed(t) for _, t, _ in templates]))
+    return np.unique(np.concatenate([_hashed(p) for _, parts, _ in templates for p in parts]))
 
 
 @dataclass
 class Index:
-    """Indexed words (sorted hashes), their IDF and postings; per template its
-    word count, indexed IDF mass, label and key phrases."""
+    """Indexed words (sorted hashes), their IDF and postings; per part its template,
+    word count, indexed IDF mass and key phrases; per template its parts."""
 
     hashes: np.ndarray
     idf: np.ndarray
     postings: list[list[tuple[int, int]]]
-    mass: list[float]
+    template: list[int]
     length: list[int]
-    label: list[str]
+    mass: list[float]
     keys: list[list[np.ndarray]]
+    label: list[str]
+    parts: list[list[int]]
 
 
 def build_index(idf: dict[int, float], templates=TEMPLATES) -> Index:
     postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    mass, length = [], []
-    for t, (_, text, _) in enumerate(templates):
-        seq = _hashed(text).tolist()
-        ranked = sorted(set(seq), key=lambda h: (-idf[h], seq.index(h)))
-        rare = set(ranked[:max(1, round(RARE_SHARE * len(ranked)))])
-        for at, h in enumerate(seq):
-            if h in rare:
-                postings[h].append((t, at))
-        mass.append(sum(idf[h] for h in seq if h in rare))
-        length.append(len(seq))
-    words = np.array(sorted(postings), np.uint64)
-    return Index(words, np.array([idf[h] for h in words.tolist()]),
-                 [postings[h] for h in words.tolist()], mass, length,
-                 [label for label, _, _ in templates],
-                 [[_hashed(k) for k in keys] for _, _, keys in templates])
+    out = Index(np.zeros(0), np.zeros(0), [], [], [], [], [], [], [])
+    for t, (label, parts, keys) in enumerate(templates):
+        wanted = [_hashed(k) for k in keys]
+        out.label.append(label)
+        out.parts.append([])
+        for part in parts:
+            words = _hashed(part)
+            seq, p = words.tolist(), len(out.template)
+            ranked = sorted(set(seq), key=lambda h: (-idf[h], seq.index(h)))
+            rare = set(ranked[:max(1, round(RARE_SHARE * len(ranked)))])
+            for at, h in enumerate(seq):
+                if h in rare:
+                    postings[h].append((p, at))
+            out.parts[t].append(p)
+            out.template.append(t)
+            out.length.append(len(seq))
+            out.mass.append(sum(idf[h] for h in seq if h in rare))
+            out.keys.append([k for k in wanted if _holds(words, k)])
+            wanted = [k for k in wanted if not _holds(words, k)]
+        if wanted:
+            raise ValueError(f"{label}: a key phrase stands in none of the parts")
+    out.hashes = np.array(sorted(postings), np.uint64)
+    out.idf = np.array([idf[h] for h in out.hashes.tolist()])
+    out.postings = [postings[h] for h in out.hashes.tolist()]
+    return out
 
 
 def _lookup(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +135,71 @@ def _aligned(votes: dict[int, float], mass: float) -> list[tuple[int, float]]:
     return found
 
 
+def in_order(found: list[list[tuple[int, int, float]]]) -> float:
+    """The greatest total weight of alignments (start, end, weight), at most one of
+    each part, of parts that follow one another (a few words may overlap)."""
+    ends: list[tuple[int, float]] = []         # ascending ends, greatest totals so far
+    best = 0.0
+    for alignments in found:
+        new = []
+        for start, end, weight in alignments:
+            k = bisect_right(ends, (start + 2 * SLIP, float("inf")))
+            new.append((end, weight + (ends[k - 1][1] if k else 0.0)))
+        top, merged = 0.0, []
+        for end, total in sorted([*ends, *new]):
+            top = max(top, total)
+            merged.append((end, top))
+        ends, best = merged, max(best, top)
+    return best
+
+
+def _template_scores(places: list[int], words: list[int], part_of: np.ndarray, first: int,
+                     wanted: set[int], index: Index) -> dict[int, float]:
+    """Scores of the wanted templates in a file whose indexed words stand at
+    ``places`` (from ``first``)."""
+    votes: dict[int, dict[int, float]] = defaultdict(lambda: defaultdict(float))
+    seen = set()
+    for place, x in zip(places, words):
+        for p, at in index.postings[x]:
+            if index.template[p] in wanted and (p, place - at, at) not in seen:
+                seen.add((p, place - at, at))
+                votes[p][place - at] += float(index.idf[x])
+    found: dict[int, list[tuple[int, int, float]]] = {}
+    for p, by in votes.items():
+        hits = []
+        for d, share in _aligned(by, index.mass[p]):
+            a = max(0, d - first - SLIP)
+            b = max(0, d - first + index.length[p] + SLIP)
+            if all(_holds(part_of[a:b], key) for key in index.keys[p]):
+                hits.append((d, d + index.length[p], share * index.mass[p]))
+        if hits:
+            found[p] = sorted(hits)
+    scores = {}
+    for t in wanted:
+        parts = index.parts[t]
+        if all(p in found for p in parts if index.keys[p]):
+            share = in_order([found.get(p, []) for p in parts]) / sum(index.mass[p] for p in parts)
+            if share >= MIN_TEMPLATE:
+                scores[t] = min(1.0, share)
+    return scores
+
+
+def _candidates(w: wb.Words, index: Index) -> list[set[int]]:
+    """Per row, the templates whose key phrases all stand in it."""
+    known: dict[bytes, np.ndarray] = {}
+    out: list[set[int]] = [set() for _ in range(w.rows)]
+    for t, parts in enumerate(index.parts):
+        rows = None
+        for key in (k for p in parts for k in index.keys[p]):
+            name = key.tobytes()
+            if name not in known:
+                known[name] = np.unique(np.searchsorted(w.first, _places(w, key), "right") - 1)
+            rows = known[name] if rows is None else np.intersect1d(rows, known[name])
+        for row in range(w.rows) if rows is None else rows.tolist():
+            out[row].add(t)
+    return out
+
+
 def scan_block(text: np.ndarray, offsets: np.ndarray, index: Index):
     """Rows (n_words, n_base, first, last, base labels, labels, score) of a block."""
     w = _words(text, offsets)
@@ -166,36 +208,22 @@ def scan_block(text: np.ndarray, offsets: np.ndarray, index: Index):
         at = _places(w, _hashed(phrase))
         for row, place in zip(np.searchsorted(w.first, at, "right") - 1, at):
             base[row].append((int(place - w.first[row]), label))
-    hit, word = _lookup(w.hash, index.hashes)
-    row_of = np.searchsorted(w.first, hit, "right") - 1
-    more: list[set[str]] = [set() for _ in range(w.rows)]
-    score = [0.0] * w.rows
-    cut = np.flatnonzero(np.diff(row_of)) + 1
-    for places, words, rows in zip(np.split(hit, cut), np.split(word, cut), np.split(row_of, cut)):
-        if not len(rows):
-            continue
-        votes: dict[int, dict[int, float]] = defaultdict(lambda: defaultdict(float))
-        seen = set()
-        for place, x in zip(places.tolist(), words.tolist()):
-            for t, at in index.postings[x]:
-                if (t, place - at, at) not in seen:
-                    seen.add((t, place - at, at))
-                    votes[t][place - at] += float(index.idf[x])
-        row = int(rows[0])
-        lo, hi = int(w.first[row]), int(w.first[row + 1])
-        for t, by in votes.items():
-            for d, share in _aligned(by, index.mass[t]):
-                a, b = max(lo, d - SLIP), min(hi, d + index.length[t] + SLIP)
-                part = w.hash[a:b]
-                if all(_holds(part, key) for key in index.keys[t]):
-                    more[row].add(index.label[t])
-                    score[row] = max(score[row], share)
+    wanted = _candidates(w, index)
     for row in range(w.rows):
+        lo, hi = int(w.first[row]), int(w.first[row + 1])
+        more: set[str] = set()
+        score = 0.0
+        if wanted[row]:
+            part = w.hash[lo:hi]
+            hit, word = _lookup(part, index.hashes)
+            scores = _template_scores((hit + lo).tolist(), word.tolist(), part, lo, wanted[row], index)
+            more = {index.label[t] for t in scores}
+            more -= {x for label in more for x in EXTENDS.get(label, ())}
+            score = max((s for t, s in scores.items() if index.label[t] in more), default=0.0)
         starts = [s for s, _ in base[row]]
         own = sorted({label for _, label in base[row]})
-        yield (int(w.first[row + 1] - w.first[row]), len(starts),
-               min(starts, default=None), max(starts, default=None), ",".join(own),
-               ",".join(sorted(more[row].union(own))), score[row])
+        yield (hi - lo, len(starts), min(starts, default=None), max(starts, default=None),
+               ",".join(own), ",".join(sorted(more.union(own))), score)
 
 
 def _holds(part: np.ndarray, key: np.ndarray) -> bool:

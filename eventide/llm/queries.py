@@ -102,6 +102,27 @@ SQL: dict[str, str] = {
           UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.root)
         SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.root) AS component_id
         FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s""",
+    "op3_balanced_shards": """
+        WITH steps AS (      -- CRC-32 of every byte value
+          SELECT list_transform(range(256), lambda b: list_reduce(
+            [b, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, e: xor(a >> 1, 3988292384 * (a & 1)))) AS tab),
+        d AS (
+          SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size,
+                 xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+                   regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                   lambda x: ('0x' || x)::BIGINT)),
+                   lambda a, e: xor(a >> 8, tab[(xor(a, e) & 255) + 1]))) AS text_crc32
+          FROM documents, steps),
+        placed AS (
+          SELECT *, row_number() OVER o AS nth, SUM(size) OVER () AS total,
+                 SUM(size) OVER (o ROWS UNBOUNDED PRECEDING) AS upto
+          FROM d WINDOW o AS (ORDER BY doc_id NULLS FIRST, text_crc32, size)),
+        cut AS (
+          SELECT *, least(39, (2 * upto - size) * 40 // (2 * total))::INTEGER AS shard FROM placed)
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY nth) - 1 AS slot,
+               NULL::INTEGER AS grown_shard
+        FROM cut""",
     "op6_reply_ordered": r"""
         WITH RECURSIVE m AS (
           SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS raw FROM conversations),
@@ -118,20 +139,35 @@ SQL: dict[str, str] = {
                      count(*) FILTER (WHERE level > 0) AS quoted_lines,
                      max(level) AS quote_levels
               FROM q GROUP BY ALL),
+        -- whole bodies, paragraphs, lines, and the sentences of both; chr(1) ends a sentence
+        parts AS (
+          SELECT conv_id, turn, body, regexp_split_to_array(body, '\n[ \t]*\n') AS paras,
+                 str_split(body, chr(10)) AS ls FROM b),
         units AS (
           SELECT DISTINCT conv_id, turn,
             md5(trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS hash,
             length(trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS size
-          FROM (SELECT conv_id, turn, unnest(list_concat([body],
-                  regexp_split_to_array(body, '\n[ \t]*\n'), str_split(body, chr(10)))) AS u
-                FROM b)),
+          FROM (SELECT conv_id, turn, unnest(list_concat([body], paras, ls, flatten(list_transform(
+                  list_concat(paras, ls), lambda x: str_split(regexp_replace(regexp_replace(x,
+                  '([.!?…]["'')\]”’]{0,2})[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'),
+                  '([。！？])', '\1' || chr(1), 'g'), chr(1)))))) AS u
+                FROM parts)),
         runs AS (
           SELECT *, pos - row_number() OVER (PARTITION BY conv_id, turn, key, level ORDER BY pos) AS run
           FROM q WHERE level > 0),
+        quoted AS (
+          SELECT conv_id, turn, key, level, run, string_agg(rest, chr(10) ORDER BY pos) AS whole,
+                 list(rest ORDER BY pos) AS ls FROM runs GROUP BY ALL),
+        split AS (
+          SELECT *, regexp_split_to_array(whole, '\n[ \t]*\n') AS paras FROM quoted),
         texts AS (
-          SELECT conv_id, turn, key, level, run, 0 AS priority,
-                 string_agg(rest, ' ' ORDER BY pos) AS t FROM runs GROUP BY ALL
-          UNION ALL SELECT conv_id, turn, key, level, run, 1, rest FROM runs),
+          SELECT conv_id, turn, key, level, run, 0 AS priority, whole AS t FROM split
+          UNION ALL SELECT conv_id, turn, key, level, run, 1, unnest(paras) FROM split
+          UNION ALL SELECT conv_id, turn, key, level, run, 2, unnest(list_concat(ls, flatten(
+            list_transform(list_concat(paras, ls), lambda x: str_split(regexp_replace(regexp_replace(x,
+                  '([.!?…]["'')\]”’]{0,2})[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'),
+                  '([。！？])', '\1' || chr(1), 'g'), chr(1))))))
+          FROM split),
         probes AS (
           SELECT conv_id, turn, key, level, run, priority,
             length(trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g'), ' ')) AS size,

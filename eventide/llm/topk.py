@@ -9,81 +9,37 @@ query's candidates pass the resolutions from coarse to fine, those whose bound
 falls below the query's k-th best score so far leave, and the survivors get
 exact integer scores. Nothing is approximate.
 
-Spark packs vectors into blocks, pairs every query block with every candidate
-block by an equi-join on (query block, slice), and merges the tasks' best
-lists by a top-k window per query. No task holds more than one block pair and
-the best lists of its query blocks.
+Spark packs vectors into blocks. Tasks hold blocks of queries, and the rows'
+blocks are shipped once per query block and stream past it (``blocks``); a top-k
+window per query merges the tasks' best lists. A task holds one query block, its
+lists and one tile. Blocks of rows are not pruned as a whole: on vectors without
+clusters no bound of a block is below any query's bar.
 
 Defined cases: a null vector, or one holding a null or non-finite component,
 takes no part; missing trailing components count as 0 and an empty vector as
 all zeros; a null id takes no part; a row is never a candidate of a query with
 its own id; a repeated row is a candidate of its own, repeated query rows ask
 once; where a query id stands on rows with different vectors, all of them ask
-and a candidate row counts with its best score; equal scores rank by id; an empty table gives no rows; other columns are
-not read.
+and a candidate row counts with its best score; equal scores rank by id; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK, QUERY_BLOCK, dealt, matrix, met, pack_any, slices_for, usable
 from .common import written
+from .wordbytes import give_back
 
-QUERY_BLOCK = 2048
-ROW_BLOCK = 4096
-SLICES = 32
+TILE = 1024                  # queries that meet a block of rows at a time
+ROW_BLOCK = 2048
 RESOLUTIONS = (4, 16)        # segments per vector, coarse to fine
 SEEDS = 16                   # candidates scored exactly to start a query's bar
 
-_BLOCK = "block long, n int, dim int, ids binary, vectors binary"
-
-
-def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * component) of every usable vector."""
-    ok = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
-                  & (F.abs(x.cast("double")) < float("inf")))
-    return (df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & ok)
-            .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(F.col(vec_col), lambda x: F.floor(
-                        F.lit(scale) * x.cast("double")).cast("long")).alias("v")))
-
-
-def _pack(size: int):
-    def run(batches):
-        part, seq, held, count = TaskContext.get().partitionId(), 0, [], 0
-
-        def block(rows):
-            nonlocal seq
-            ids = np.array([i for i, _ in rows], np.int64)
-            dim = max(len(v) for _, v in rows)
-            mat = np.zeros((len(rows), dim), np.int64)
-            for r, (_, v) in enumerate(rows):
-                mat[r, :len(v)] = v
-            seq += 1
-            return pa.RecordBatch.from_pydict({
-                "block": pa.array([(part << 32) + seq], pa.int64()),
-                "n": pa.array([len(rows)], pa.int32()), "dim": pa.array([dim], pa.int32()),
-                "ids": pa.array([ids.tobytes()], pa.binary()),
-                "vectors": pa.array([mat.tobytes()], pa.binary())})
-
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            vecs = batch.column(1)
-            at = vecs.offsets.to_numpy()
-            flat = vecs.values.to_numpy()
-            held += [(i, flat[a:b]) for i, a, b in zip(ids, at[:-1], at[1:])]
-            while len(held) >= size:
-                yield block(held[:size])
-                held = held[size:]
-        if held:
-            yield block(held)
-    return run
-
-
 def segment_stats(mat: np.ndarray, segments: int) -> np.ndarray:
     """Rows of sqrt(width) * (means, deviations), so bounds are dot products."""
     width = mat.shape[1] // segments
@@ -142,54 +98,48 @@ class BestOfBlock:
                 self._exact(q, ids, rows, left, safe, block)
 
 
-def _matrix(ids: bytes, vectors: bytes, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    return (np.frombuffer(ids, np.int64),
-            np.frombuffer(vectors, np.int64).reshape(n, dim))
-
-
 def _search(k: int):
+    """Queries of a (number, slice) come first, then the rows stream past them."""
     def run(batches):
-        held: dict[int, BestOfBlock] = {}
+        now, held = None, []
+
+        def out():
+            for best in held:
+                query = np.repeat(best.ids, [len(x[0]) for x in best.best])
+                if len(query):
+                    yield pa.RecordBatch.from_pydict({
+                        "query_id": pa.array(query, pa.int64()),
+                        **{name: pa.array(np.concatenate([x[c] for x in best.best]), pa.int64())
+                           for c, name in enumerate(("vec_id", "score", "row"))}})
+            give_back()
+
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
-                if row["block"] not in held:
-                    held[row["block"]] = BestOfBlock(
-                        *_matrix(row["ids"], row["vectors"], row["n"], row["dim"]), k)
-                held[row["block"]].offer(
-                    row["c_block"],
-                    *_matrix(row["c_ids"], row["c_vectors"], row["c_n"], row["c_dim"]))
-        for best in held.values():
-            query = np.repeat(best.ids, [len(x[0]) for x in best.best])
-            if len(query):
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(query, pa.int64()),
-                    **{name: pa.array(np.concatenate([x[c] for x in best.best]), pa.int64())
-                       for c, name in enumerate(("vec_id", "score", "row"))}})
+                if (row["number"], row["slice"]) != now:
+                    yield from out()
+                    now, held = (row["number"], row["slice"]), []
+                ids, _, mat = matrix(row)
+                if row["kind"] == 0:
+                    held += [BestOfBlock(ids[a:a + TILE], mat[a:a + TILE], k)
+                             for a in range(0, len(ids), TILE)]
+                else:
+                    for best in held:
+                        best.offer(row["block"], ids, mat)
+        yield from out()
     return run
 
 
 def exact_topk(embeddings: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
-               vec_col: str = "embedding", scale: int = 256) -> DataFrame:
+               vec_col: str = "embedding", scale: int = 256,
+               query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products."""
-    vectors = integer_vectors(embeddings, id_col, vec_col, scale)
-    rows = written(vectors.mapInArrow(_pack(ROW_BLOCK), _BLOCK), "rows")
-    asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
-    queries = written(asked.mapInArrow(_pack(QUERY_BLOCK), _BLOCK), "queries")
-
-    # every query block meets every candidate block; slices spread one query
-    # block's candidates over tasks
-    slice_of = (F.pmod(F.xxhash64("block"), F.lit(SLICES))).cast("int")
-    sliced = queries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    names = queries.select(F.col("block").alias("q_block"))
-    per_slice = names.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    offered = (rows.select(slice_of.alias("slice"), F.col("block").alias("c_block"),
-                           F.col("n").alias("c_n"),
-                           F.col("dim").alias("c_dim"), F.col("ids").alias("c_ids"),
-                           F.col("vectors").alias("c_vectors"))
-               .join(per_slice, "slice").withColumnRenamed("q_block", "block"))
-    pairs = offered.join(sliced, ["block", "slice"]).drop("slice")
-    found = (pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long, row long")
+    vectors = usable(embeddings, id_col, vec_col, F.lit(0), scale)
+    rows = written(vectors.mapInArrow(pack_any(ROW_BLOCK), BLOCK), "rows")
+    packed, blocks = dealt(vectors.where(F.col("vec_id") % every == 0).distinct(), query_block)
+    queries = written(packed, "queries").withColumn("number", F.shiftright("block", 20))
+    met_ = met(queries, rows, blocks, slices_for(embeddings.sparkSession, blocks))
+    found = (met_.mapInArrow(_search(k), "query_id long, vec_id long, score long, row long")
              .groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score")))
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -146,3 +146,39 @@ def test_embedded_elements_end_with_their_parent_and_formulas_stay():
     assert text("<article><p>As <svg><text>no</text></svg>is, two.</p></article>") == "As is, two."
     assert text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
                 " holds, always.</p></article>") == "So x=1 holds, always."
+
+
+def test_a_wrapper_around_the_page_says_nothing():
+    links = "".join(f'<li><a href="/{k}">link {k}</a></li>' for k in range(6))
+    story = "<h1>A headline of five words</h1>" + f"<p>{PARA}</p>" * 3
+    want = "\n".join(["A headline of five words"] + [PARA] * 3)
+    for wrapper in ("form", "fieldset", "dialog", "div role=status", "div role='form'",
+                    "section role=note", "div role=dialog"):
+        end = wrapper.split()[0]
+        page = (f"<body><{wrapper}><nav><ul>{links}</ul></nav><div>{story}</div><div><ul>{links}</ul>"
+                f"</div><footer><p>{PARA}</p></footer></{end}></body>")
+        assert text(page) == want, wrapper
+    # inside such a form, a smaller one is furniture still, and so is one beside the story
+    small = f"<div role=dialog><p>{PARA}</p></div>"
+    assert text(f"<form>{small}<div>{story}</div></form>") == want
+    for one in (small, f"<form><p>{PARA}</p></form>", f"<fieldset><p>{PARA}</p></fieldset>"):
+        assert text(f"<body><div>{story}</div>{one}</body>") == want, one
+    assert text("<form><p>User</p><input><p>Password</p><input><p>Log in to go on.</p></form>") == ""
+
+
+def test_comments_beside_prose_stay_out_without_article_or_main():
+    said = f"<p>{PARA}</p>" * 5
+    for name in ('class="comments"', 'id="comments"', 'class="comment-list"', 'id="disqus_thread"'):
+        for entry in ('<div class="entry">%s</div>', "<div>%s</div>", "<form><div>%s</div>"):
+            page = f"<body>{entry % f'<h1>Title</h1><p>{PARA}</p>'}<div {name}>{said}</div></body>"
+            assert text(page) == f"Title\n{PARA}", (name, entry)
+    # comments that are articles of their own
+    page = f"""<article><h1>Title</h1><p>{PARA}</p></article><ol class="commentlist"><li>
+      <article class="comment-body"><p>{PARA}</p><p>{PARA}</p></article></li></ol>"""
+    assert text(page) == f"Title\n{PARA}"
+    page = f"""<main><p>{PARA}</p><section class="comments"><article><p>{PARA}</p></article></section></main>"""
+    assert text(page) == PARA
+    # a page of nothing else keeps what prose outweighs; a page that only mentions them, all
+    assert text(f'<div class="comments"><p>{PARA} {PARA}</p><p>{PARA} {PARA}</p></div>') != ""
+    assert text(f'<div class="has-comments"><h1>Title</h1><p>{PARA}</p><p>{PARA}</p></div>') == \
+        f"Title\n{PARA}\n{PARA}"

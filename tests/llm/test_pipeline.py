@@ -7,8 +7,11 @@ import os
 import corpus_pipeline
 import duckdb
 import pytest
+import public_tokenizers
 from conftest import SF_SMALL
-from corpus_cases import docs, odd_rows
+from corpus_cases import changed, docs, odd_rows, prose
+from test_ngram_join import brute
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from eventide.llm import ngram_join, quality_rules, toxicity
@@ -34,7 +37,7 @@ def test_query_matches_its_sql(spark, name):
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_stages_keep_columns_and_decide_rows(spark):
@@ -57,7 +60,24 @@ def test_stages_keep_columns_and_decide_rows(spark):
 
 
 def test_stages_take_odd_and_empty_documents(spark, tmp_path):
-    table(spark, SF_SMALL, "labels").write.parquet(os.path.join(tmp_path, "labels.parquet"))
-    for d in (docs(spark, odd_rows()), docs(spark, odd_rows()).limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
-            assert stage(spark, d, str(tmp_path)).count() >= 0
+    lab = table(spark, SF_SMALL, "labels")
+    lab.write.parquet(os.path.join(tmp_path, "labels.parquet"))
+    rows = odd_rows() + [(20, prose(1, 80)), (21, prose(1, 80)), (22, changed(prose(1, 80), 3, 1)),
+                         (23, None), (None, None)]
+    tokens = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    sizes = [len(tokens.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
+    d = docs(spark, rows)
+    want = {
+        # none of these is toxic
+        "toxicity": [i for i, _ in rows],
+        # the others have too few words, or repeat them
+        "quality_rules": [20, 21, 22],
+        "near_duplicates": [c for c in {c for _, _, c in brute(rows, 5, 80) if c is not None}]
+                           + [i for i, _ in rows if i is None],
+        "packing": [i for (i, _), n in zip(rows, sizes) for _ in range(0, n, 2048)]}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, d, str(tmp_path))
+        assert sorted((r.doc_id for r in out.collect()), key=str) == sorted(want[name], key=str), name
+        empty = stage(spark, d.limit(0), str(tmp_path))
+        assert empty.count() == 0 and empty.columns == out.columns, name
+        assert name == "packing" or out.columns == d.columns

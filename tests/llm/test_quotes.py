@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from eventide.llm import quotes
+import duckdb
+
+from eventide.llm import queries, quotes
 
 CHAT = "conv_id long, turn long, role string, text string, answers int, key string, level int, body int"
 
@@ -9,8 +11,22 @@ def chat(spark, rows):
     return spark.createDataFrame([(*r, 5, "k", 1, 2) for r in rows], CHAT)
 
 
+COLUMNS = "conv_id, turn, role, body, quoted_lines, quote_levels, answers, thread_turn"
+
+
+def by_sql(rows):
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    return sorted(con.sql(f"SELECT {COLUMNS} FROM ({queries.SQL['op6_reply_ordered']})").fetchall(), key=str)
+
+
 def out(df):
-    return {(r.conv_id, r.turn): r for r in quotes.reply_ordered(df).collect()}
+    """Messages by place; the registered SQL must give the same rows."""
+    rows = quotes.reply_ordered(df).collect()
+    said = [tuple(r)[:4] for r in df.collect()]
+    assert sorted(map(tuple, rows), key=str) == by_sql(said)
+    return {(r.conv_id, r.turn): r for r in rows}
 
 
 def test_nested_quotes_link_to_their_messages(spark):
@@ -59,6 +75,8 @@ def test_odd_rows(spark):
             (1, 3, "b", "> x\nother"), (1, 4, "a", "> x\nlater"), (1, 5, "a", "é > not\n" * 5000)]
     got = quotes.reply_ordered(chat(spark, rows)).collect()
     assert len(got) == 9                                  # equal rows count once
+    keyed = [r for r in rows if None not in r[:2]]
+    assert sorted(map(tuple, quotes.reply_ordered(chat(spark, keyed)).collect()), key=str) == by_sql(keyed)
     answers = {(r.conv_id, r.turn, r.role): r.answers for r in got}
     assert answers[1, 4, "a"] == 3 and answers[1, 3, "b"] is None
     assert quotes.reply_ordered(chat(spark, rows).limit(0)).count() == 0

@@ -43,3 +43,18 @@ def test_one_text_holds_most_bytes_and_empty_table(spark):
     out = {r["doc_id"]: r["shard"] for r in sharding.balanced_shards(docs(spark, rows), 4).collect()}
     assert [out[k] for k in sorted(out)] == sorted(out.values())
     assert sharding.balanced_shards(docs(spark, rows).limit(0), 4).count() == 0
+
+
+def test_every_row_is_where_the_prefix_sums_say(spark):
+    rows = [(k * 7 % 300, prose(k, 3 + (k * 31) % 150)) for k in range(300)] + odd_rows() + odd_rows()
+    plain = sorted(((i is not None, i or 0, zlib.crc32(t), len(t) + 16)
+                    for i, t in ((i, (t or "").encode()) for i, t in rows)))
+    total, upto, want, seen = sum(r[3] for r in plain), 0, [], {}
+    for known, i, crc, size in plain:
+        shard = min(6, (2 * upto + size) * 7 // (2 * total))
+        upto += size
+        slot = seen[shard] = seen.get(shard, -1) + 1
+        want.append((i if known else None, size, crc, shard, slot))
+    got = sharding.balanced_shards(docs(spark, rows), 7).select(
+        "doc_id", "size", "text_crc32", "shard", "slot").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)

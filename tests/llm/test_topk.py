@@ -81,3 +81,12 @@ def test_all_vectors_of_a_query_id_ask(spark):
     want = [(0, n + 1, i, -s) for n, (s, i) in enumerate(best[:9])]
     assert got(topk.exact_topk(frame(spark, rows), 9, 1000)) == want
     assert got(topk.exact_topk(frame(spark, rows[::-1]), 9, 1000)) == want
+
+
+def test_many_query_blocks_and_no_broadcast(spark):
+    r = np.random.default_rng(9)
+    rows = [(k, [float(np.float32(x)) for x in r.normal(size=20)]) for k in range(400)]
+    out = topk.exact_topk(frame(spark, rows), 4, 2, query_block=16)
+    assert got(out) == brute(rows, 4, 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
