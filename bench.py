@@ -11,6 +11,12 @@ class loading), each query runs ``$BENCH_REPEAT`` times (default 3):
 ``queries`` holds the median, ``cold`` the first run (which also pays code
 generation and JIT for that plan shape).
 
+The given events table is one file with one row group, which Spark reads in one
+task. So the table is first copied, untimed, into as many files as there are
+cores (``BENCH_FILES`` changes that; 0 reads the given file), at every scale
+factor alike; the other tables are read where they are. ``BENCH_CORPUS=1`` also
+times the corpus operators, one run each.
+
 ``stream_all_tables`` (unless ``BENCH_STREAM=0``): the events, landed as
 files in time order (untimed), drained by the streaming job — ingest query
 plus the raw, four metric and rejected-event queries — with an
@@ -57,8 +63,21 @@ HEADLINE = [
 ]
 
 
+def dealt(spark, sf_dir: str, files: int) -> str:
+    """A folder with the events in ``files`` files (equal runs of rows by time) and
+    links to the other tables."""
+    import tempfile
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for name in os.listdir(sf_dir):
+        if name != "events.parquet":
+            os.symlink(os.path.join(sf_dir, name), os.path.join(out, name))
+    (table(spark, sf_dir, "events").repartitionByRange(files, "ts").sortWithinPartitions("ts")
+     .write.parquet(os.path.join(out, "events.parquet")))
+    return out
+
+
 def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    given = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = (builder(f"local[{cpus}]", shuffle_partitions=int(cpus))
@@ -66,6 +85,8 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
+    files = int(os.environ.get("BENCH_FILES", cpus))
+    sf_dir = dealt(spark, given, files) if files else given
     QUERIES["flow_check"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
@@ -80,6 +101,14 @@ def main() -> None:
         cold[name] = round(runs[0], 3)
         times[name] = round(statistics.median(runs), 3)
 
+    corpus = {}
+    if os.environ.get("BENCH_CORPUS", "0") != "0" and not only:
+        from eventide.llm.queries import QUERIES as operators
+        for name, query in operators.items():
+            t0 = time.perf_counter()
+            query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            corpus[name] = round(time.perf_counter() - t0, 3)
+
     stream = {}
     if os.environ.get("BENCH_STREAM", "1") != "0" and not only:
         root = os.path.join(checkpoint_root(spark), "eventide-bench", uuid.uuid4().hex)
@@ -96,7 +125,7 @@ def main() -> None:
         times["stream_all_tables"] = round(secs, 3)
         stream = {"stream_events": n, "stream_events_per_sec": round(n / secs, 1)}
 
-    m = re.search(r"sf([0-9.]+)", sf_dir)
+    m = re.search(r"sf([0-9.]+)", given)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
@@ -106,7 +135,9 @@ def main() -> None:
         "cold_total": round(sum(cold.values()), 3),
         "repeat": repeat,
         **stream,
-        "sf": float(m.group(1)) if m else sf_dir,
+        **({"corpus": corpus} if corpus else {}),
+        "files": files,
+        "sf": float(m.group(1)) if m else given,
         "cpus": int(cpus),
     }))
     spark.stop()

@@ -8,6 +8,7 @@
     python -m eventide stream ... --mode update --clean-retention 7d
     python -m eventide retain --lake /lake --tier "1 hour=30" --tier "1 day=90" --raw-days 7
     python -m eventide compact --lake /lake --before 2024-02-15
+    python -m eventide repair --lake /lake                 # after stream --mark-late
 
 The session comes from ``spark-submit`` (master, packages, memory); this
 module only sets the UTC session time zone and reads the checkpoint folder
@@ -29,7 +30,7 @@ from .functions.parse import parse_events
 from .functions.timefilters import days_before
 from .operators import maintenance, quality
 from .operators.metrics import METRIC_TABLES
-from .plans import pipeline, tables
+from .plans import pipeline, repair, tables
 from .sources.events import event_batch, event_stream
 from .streaming import runner
 
@@ -59,7 +60,7 @@ def cmd_stream(spark: SparkSession, args) -> None:
     qs = runner.run_all(spark, records, args.lake, args.checkpoints, trig,
                         watermark=args.watermark, tables=args.tables or None,
                         sink=args.sink, sink_options=_options(args.sink_option),
-                        mode=args.mode, retention=args.clean_retention)
+                        mode=args.mode, retention=args.clean_retention, marks=args.mark_late)
     runner.await_all(spark, qs, bounded=bool(args.available_now))
 
 
@@ -84,7 +85,8 @@ def cmd_retain(spark: SparkSession, args) -> None:
             rule, least = maintenance.tier_expired(tiers, as_of.isoformat()), min(tiers.values())
         else:
             least = args.raw_days
-            rule = F.col("created_at") < days_before(as_of.isoformat(), least)
+            time = "window_end" if name == "session_activity" else "created_at"
+            rule = F.col(time) < days_before(as_of.isoformat(), least)
         gone, part = lake.expire(spark, path, name, rule, as_of - dt.timedelta(days=least))
         print(f"{name}: {gone} folders deleted, {part} rewritten")
 
@@ -96,6 +98,12 @@ def cmd_compact(spark: SparkSession, args) -> None:
         print(f"{name}: {n} dates compacted")
 
 
+def cmd_repair(spark: SparkSession, args) -> None:
+    names = args.tables or [n for n in METRIC_TABLES
+                            if lake.exists(spark, os.path.join(args.lake, n))]
+    print(f"{repair.repair(spark, args.lake, names)} windows recomputed")
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="eventide")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -130,11 +138,16 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--lake", required=True)
     c.add_argument("--before", help="YYYY-MM-DD (default: today)")
     c.add_argument("--tables", nargs="*")
+    s.add_argument("--mark-late", action="store_true",
+                   help="mark the windows of late events for repair")
+    f = sub.add_parser("repair")
+    f.add_argument("--lake", required=True)
+    f.add_argument("--tables", nargs="*", help="default: all metric tables of the lake")
     args = ap.parse_args(argv)
 
     spark = ensure_session(SparkSession.builder.appName(f"eventide-{args.cmd}").getOrCreate())
     {"stream": cmd_stream, "build": cmd_build, "retain": cmd_retain,
-     "compact": cmd_compact}[args.cmd](spark, args)
+     "compact": cmd_compact, "repair": cmd_repair}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from .. import lake
 from ..config import scratch_dir
+from ..functions.parse import parse_events
 from ..functions.timefilters import days_before, hours_before, resolve_range, ts_lit
 from ..operators import (compare, distinct, maintenance, metrics, quality, sessions, temporal,
                          trends)
 from ..sources.adapter import landed_records
 from ..sources.events import event_stream, metric_table
 from ..sources.landing import land_in_time_order
-from ..streaming import runner, sinks
+from ..streaming import heavy, runner, sinks
 from . import panels, repair, reports, tables, views
 from .pipeline import (AS_OF, KEYED_APPEND_CUT, PANEL_FROM, PANEL_TO, RETENTION_AS_OF,
                        events, ntz, parsed, table)
@@ -496,6 +497,17 @@ def q_compare_lakes(spark, sf):
         metric_table(spark, built, "events"), F.col("window_date"), cols))
 
 
+def q_stream_enriched_events(spark, sf):
+    """The enriched stream as published: keyed JSON records, read back."""
+    root = scratch_dir(spark, "stream")
+    lake_root = _drain(spark, _land(spark, sf, root), root, ["enriched_events"], sink="json")
+    said = spark.read.parquet(os.path.join(lake_root, "_json", "enriched_events"))
+    value = F.from_json("value", "id string, type string, actor_id long, actor_login string, "
+                                 "repo_id long, created_at timestamp, languages array<string>")
+    return ntz(said.select("key", value.alias("v")).select("key", "v.*").withColumn(
+        "languages", F.array_join("languages", ",")))
+
+
 def q_stream_repair(spark, sf):
     """A stream whose records come up to three days late: windows that closed
     without them are marked and recomputed."""
@@ -511,10 +523,36 @@ def q_stream_repair(spark, sf):
     return _served(spark, lake_root, "repository_metrics")
 
 
+HEAVY_SHARE = 0.013
+
+
+def q_stream_heavy_hitters(spark, sf):
+    """Repositories with a share of a day's events, from bounded summaries of the
+    stream: whether every count lies within the summaries' bounds."""
+    heavy.needs(spark)
+    root = scratch_dir(spark, "stream")
+    records = event_stream(spark, "parquet", _land(spark, sf, root), maxFilesPerTrigger=1)
+    valid = quality.validate(parse_events(records))[0]
+    found, ckpt = os.path.join(root, "summaries"), os.path.join(root, "ckpt")
+    q = (heavy.summaries(valid.withWatermark("created_at", STREAM_WATERMARK)).writeStream
+         .outputMode("append").option("checkpointLocation", ckpt).format("parquet")
+         .option("path", found).trigger(availableNow=True).start())
+    q.awaitTermination()
+    stored = spark.read.schema(heavy.SUMMARY).parquet(found)
+    about = heavy.heavy(stored, HEAVY_SHARE)
+    exact = (_seen(spark, sf, "heavy").groupBy(
+        F.date_trunc("day", "created_at").alias("window_start"), F.col("repo.id").alias("repo_id"))
+        .agg(F.count(F.lit(1)).alias("event_count")))
+    return ntz(exact.join(about, ["window_start", "repo_id"]).where(
+        F.col("event_count") >= F.col("window_events") * HEAVY_SHARE).select(
+        "window_start", "repo_id", "event_count", "window_events",
+        F.col("event_count").between(F.col("at_least"), F.col("at_most")).alias("within_bounds")))
+
+
 QUERIES.update({f.__name__[2:]: f for f in (
     q_session_activity, q_push_then_star, q_asof_repository_counters, q_events_in_incidents,
     q_user_distinct_repositories, q_user_sketched_repositories, q_repository_trend,
     q_type_language_rollup, q_stream_sessions, q_stream_push_then_star, q_build_in_parts,
-    q_compare_lakes, q_stream_repair)})
+    q_compare_lakes, q_stream_enriched_events, q_stream_repair, q_stream_heavy_hitters)})
 
 FLAGSHIP = "top_repositories"

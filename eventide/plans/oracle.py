@@ -440,5 +440,16 @@ FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) a
 UNION ALL
 SELECT id, type, actor_id, repo_id, created_at, 'right', 1
 FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l) b""",
+    "stream_enriched_events": f"""{BASE}
+SELECT repo_name AS key, id, type, actor_id, actor_login, repo_id, created_at,
+       array_to_string(languages, ',') AS languages FROM enr""",
+    "stream_heavy_hitters": f"""{BASE},
+d AS (SELECT date_trunc('day', created_at)::TIMESTAMP AS window_start, repo_id,
+             COUNT(*) AS event_count FROM ev GROUP BY 1, 2),
+n AS (SELECT *, CAST(SUM(event_count) OVER (PARTITION BY window_start) AS BIGINT) AS window_events
+      FROM d)
+SELECT window_start, repo_id, event_count, window_events, TRUE AS within_bounds FROM n
+WHERE event_count >= window_events * 0.013
+  AND window_start + INTERVAL 1 DAY <= {DRAINED}""",
     "stream_repair": SQL["stream_repository_metrics_update"],
 })

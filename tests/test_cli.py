@@ -38,6 +38,24 @@ def test_stream_build_retain(spark, scratch):
     assert metric_table(spark, lake_s, "repository_metrics").count() == streamed_count
 
 
+def test_stream_with_marks_then_repair(spark, scratch, capsys):
+    from conftest import event
+    from test_repair import _files
+    land, root = os.path.join(scratch, "land"), os.path.join(scratch, "lake")
+    _files(land, [[event(id="1", created_at="2024-01-03T12:00:00Z")],
+                  [event(id="2", created_at="2024-01-02T10:00:00Z")]])
+    main(["stream", "--source", "text", "--path", land, "--option", "maxFilesPerTrigger=1", "--lake",
+          root, "--checkpoints", os.path.join(scratch, "ck"), "--available-now", "--mark-late",
+          "--tables", "events", "session_activity", "repository_metrics"])
+    main(["repair", "--lake", root])
+    main(["retain", "--lake", root, "--as-of", "2024-01-03", "--raw-days", "0",
+          "--tables", "session_activity"])
+    said = capsys.readouterr().out
+    assert "windows recomputed" in said and "session_activity: " in said
+    left = metric_table(spark, root, "repository_metrics")
+    assert left.agg({"event_count": "sum"}).collect()[0][0] == 4      # the late event's windows
+
+
 def built_after(spark, land, ts):
     from eventide.functions.parse import parse_events
     from eventide.operators import metrics
