@@ -441,7 +441,8 @@ UNION ALL
 SELECT id, type, actor_id, repo_id, created_at, 'right', 1
 FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l) b""",
     "stream_enriched_events": f"""{BASE}
-SELECT repo_name AS key, id, type, actor_id, actor_login, repo_id, created_at,
+SELECT repo_name AS key, id, type, actor_id, actor_login, repo_id,
+       date_trunc('milliseconds', created_at)::TIMESTAMP AS created_at,   -- as JSON text has it
        array_to_string(languages, ',') AS languages FROM enr""",
     "stream_heavy_hitters": f"""{BASE},
 d AS (SELECT date_trunc('day', created_at)::TIMESTAMP AS window_start, repo_id,
