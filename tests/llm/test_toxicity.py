@@ -84,3 +84,42 @@ def test_given_table_recall_on_held_out_rows(spark):
     n = {(r.toxic, r.predicted): r["count"] for r in out}
     assert n[1, 1] >= 0.8 * (n[1, 1] + n.get((1, 0), 0))
     assert n.get((0, 1), 0) <= 0.005 * n[0, 0]
+
+
+def test_weights_match_plain_ftrl():
+    """The published update, a coordinate at a time, in dictionaries."""
+    import math
+    rows, lab = planted(120)
+    texts, y = [t for _, t in rows], [x for _, _, x in lab]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "y": pa.array(y, pa.int32())})
+    got, = tox._train(16)(iter([batch]))
+    got = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+
+    own = []
+    for t in texts:
+        (_, text, offsets), = wb.blocks(pa.array([t]))
+        own.append(sorted(set(tox._features(text, offsets, 16)[1].tolist())))
+    often = {s for s in {s for d in own for s in d} if sum(s in d for d in own) >= tox.MIN_DOCS}
+    own = [[s for s in d if s in often] for d in own]
+    z, n = {-1: 0.0}, {-1: 0.0}
+
+    def weight(s):
+        l1, l2 = (0.0, 0.0) if s == -1 else (tox.L1, tox.L2)
+        zs = z.get(s, 0.0)
+        if s != -1 and abs(zs) <= l1:
+            return 0.0
+        return -(zs - math.copysign(l1, zs)) / ((tox.BETA + math.sqrt(n.get(s, 0.0))) / tox.ALPHA + l2)
+    last = 0.0
+    for epoch in range(tox.EPOCHS):
+        for d in np.random.Generator(np.random.PCG64(epoch)).permutation(len(own)):
+            w = {s: weight(s) for s in [-1, *own[d]]}
+            last = w[-1]
+            p = 1 / (1 + math.exp(-sum(w.values())))
+            g = p - y[d]
+            for s, ws in w.items():
+                sigma = (math.sqrt(n.get(s, 0.0) + g * g) - math.sqrt(n.get(s, 0.0))) / tox.ALPHA
+                z[s] = z.get(s, 0.0) + g - sigma * ws
+                n[s] = n.get(s, 0.0) + g * g
+    want = {s: weight(s) for s in often if weight(s)} | {-1: last}
+    assert set(got) == set(want) and len(want) < len(often) / 2        # sparse
+    assert all(abs(got[s] - x) < 1e-9 for s, x in want.items())
