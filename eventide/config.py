@@ -1,8 +1,8 @@
 """Session options the engine relies on.
 
-The cluster (or the test) owns the session. We only set options that change
-results: UTC session time, so event-time windows and the timestamp_ntz views
-of them are independent of the driver's local zone.
+The cluster (or the test) owns the session. We set UTC session time, so event-time
+windows and the timestamp_ntz views of them are independent of the driver's local
+zone, and one plan option that no cluster setting stands for.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 SESSION_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
+    # a hot user's sessions leave a streaming task merged, before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .metrics import event_window, flatten_window
+
 LG_K = 12
 # three standard errors of a sketch with 2 ** LG_K slots (1.04 / sqrt(2 ** LG_K) each);
 # below about 2 ** LG_K / 8 values the sketch holds the values' hashes themselves
@@ -20,16 +22,18 @@ SKETCH_ERROR = 3 * 1.04 / 2 ** (LG_K / 2)
 USER = ("user_id", "username")
 
 
-def user_repository_sketches(df: DataFrame) -> DataFrame:
-    """Per user and hour: events and a sketch of the repositories touched."""
-    return (df.groupBy(F.col("actor.id").alias("user_id"), F.col("actor.login").alias("username"),
-                       F.date_trunc("hour", "created_at").alias("window_start"))
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.hll_sketch_agg(F.col("repo.id"), LG_K).alias("repos")))
+def user_repository_sketches(df: DataFrame, size: str = "1 hour") -> DataFrame:
+    """Per user and window (one after the other): events and a sketch of the
+    repositories touched; batch or, with a watermark, stream."""
+    return flatten_window(
+        df.groupBy(F.col("actor.id").alias("user_id"), F.col("actor.login").alias("username"),
+                   event_window(size, size).alias("window"))
+        .agg(F.count(F.lit(1)).alias("event_count"),
+             F.hll_sketch_agg(F.col("repo.id"), LG_K).alias("repos")))
 
 
 def sketched_repositories(stored: DataFrame) -> DataFrame:
-    """Distinct repositories per user over all given hours, from their sketches."""
+    """Distinct repositories per user over all given windows, from their sketches."""
     return (stored.groupBy(*USER)
             .agg(F.sum("event_count").alias("total_events"),
                  F.hll_sketch_estimate(F.hll_union_agg("repos")).alias("distinct_repos")))

@@ -414,11 +414,13 @@ def q_user_distinct_repositories(spark, sf):
 
 
 def q_user_sketched_repositories(spark, sf):
-    """Hourly sketches stored, united at read: whether each user's estimate is
-    within the stated error of the exact number."""
-    ev = _stored(spark, events(spark, sf).select("actor", "repo", "created_at"), "sketches")
-    stored = _stored(spark, distinct.user_repository_sketches(ev), "sketches")
-    about = distinct.sketched_repositories(stored).withColumnRenamed("distinct_repos", "about")
+    """Hourly sketches built into a lake, united at read: whether each user's
+    estimate is within the stated error of the exact number."""
+    root = scratch_dir(spark, "sketches")
+    ev = events(spark, sf)
+    tables.build_tables(spark, ev, root, ["user_repositories"])
+    about = distinct.sketched_repositories(metric_table(spark, root, "user_repositories"))
+    about = about.withColumnRenamed("distinct_repos", "about")
     exact = distinct.exact_repositories(ev)
     return (about.drop("total_events").join(exact, list(distinct.USER)).select(
         *distinct.USER, "total_events", (F.abs(F.col("about") - F.col("distinct_repos"))

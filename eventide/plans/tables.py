@@ -27,11 +27,17 @@ from pyspark.sql import types as T
 from .. import lake
 from ..config import scratch_dir
 from ..functions.timefilters import window_width_is
-from ..operators import metrics
+from ..operators import distinct, metrics
 from ..schema import WINDOW_SIZE
 from ..streaming.sinks import shape_for_table
 
 BUILDERS = {"events": metrics.raw_events, **metrics.METRIC_TABLES}
+#: built where asked to
+MORE_BUILDERS = {"user_repositories": distinct.user_repository_sketches}
+
+
+def _builder(name: str):
+    return BUILDERS.get(name) or MORE_BUILDERS[name]
 
 
 def build_tables(spark: SparkSession, clean_events: DataFrame, lake_root: str,
@@ -55,7 +61,7 @@ def build_tables(spark: SparkSession, clean_events: DataFrame, lake_root: str,
     paths = {name: os.path.join(lake_root, name) for name in names}
     if replace:
         for name in names:
-            make = metrics.stored_events if name == "events" else BUILDERS[name]
+            make = metrics.stored_events if name == "events" else _builder(name)
             lake.replace_dates(shape_for_table(make(clean), name), paths[name], name, batch_id, dates)
     else:
         _merge(spark, clean, paths, batch_id, dates)
@@ -100,10 +106,10 @@ def rebuild_windows(spark: SparkSession, paths: dict[str, str], name: str, batch
         if name == "language_trends" and not raw.filter(F.col("languages").isNull()).isEmpty():
             raise ValueError("raw events without their languages: language_trends can't be "
                              "recomputed from them; build with replace")
-        rows = shape_for_table(BUILDERS[name](metrics.from_stored(raw)), name)
+        rows = shape_for_table(_builder(name)(metrics.from_stored(raw)), name)
         lake.replace_windows(rows, paths[name], name, batch_id, whole,
                              ~window_width_is("window_start", "window_end", WINDOW_SIZE))
     if rest and clean is not None:
-        rows = lake.dated(shape_for_table(BUILDERS[name](clean), name))
+        rows = lake.dated(shape_for_table(_builder(name)(clean), name))
         lake.append(rows.filter(F.col("window_date").isin(rest)).drop("window_date"), paths[name],
                     name, batch_id)

@@ -154,6 +154,11 @@ SESSION_ACTIVITY_TABLE = T.StructType(
                                                 "pull_requests", "issues")]
     + [T.StructField("last_event_at", T.TimestampType())])
 
+USER_REPOSITORIES_TABLE = T.StructType(
+    [T.StructField("user_id", T.LongType()), T.StructField("username", T.StringType())]
+    + _W
+    + [T.StructField("event_count", T.LongType()), T.StructField("repos", T.BinaryType())])
+
 PUSH_THEN_STAR_TABLE = T.StructType(
     [T.StructField("repo_id", T.LongType()), T.StructField("push_id", T.StringType()),
      T.StructField("created_at", T.TimestampType()), T.StructField("star_id", T.StringType()),
@@ -168,6 +173,7 @@ TABLE_SCHEMAS = {
     "rejected_events": REJECTED_EVENTS_TABLE,
     "session_activity": SESSION_ACTIVITY_TABLE,
     "push_then_star": PUSH_THEN_STAR_TABLE,
+    "user_repositories": USER_REPOSITORIES_TABLE,
     "dirty_windows": T.StructType(_W),
 }
 
@@ -189,6 +195,7 @@ TABLE_KEYS = {
     "rejected_events": ("record_id",),
     "session_activity": ("user_id", "username", "window_start"),
     "push_then_star": ("push_id", "star_id"),
+    "user_repositories": ("user_id", "username", "window_start", "window_end"),
 }
 
 # Entity column each table is clustered on inside a date partition; min/max
@@ -201,4 +208,5 @@ TABLE_CLUSTER = {
     "language_trends": "language",
     "session_activity": "user_id",
     "push_then_star": "repo_id",
+    "user_repositories": "user_id",
 }

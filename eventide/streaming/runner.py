@@ -35,7 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import stream_checkpoint
 from ..functions.parse import parse_events
 from ..operators import enrich as enrich_ops
-from ..operators import metrics, quality, sessions, temporal
+from ..operators import distinct, metrics, quality, sessions, temporal
 from ..schema import CLEAN_EVENT, KNOWN_EVENT_TYPES
 from . import sinks
 from .late import late_marker
@@ -96,11 +96,12 @@ TABLE_BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-#: Further tables that a job serves where asked to; sessions and joined pairs are
-#: final when they are emitted, so they are appended in either mode.
+#: Further tables that a job serves where asked to; they are final when they are
+#: emitted, so they are appended in either mode.
 MORE_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "session_activity": sessions.session_activity,
     "push_then_star": lambda ev: temporal.push_then_star(ev, how="left_outer"),
+    "user_repositories": distinct.user_repository_sketches,
 }
 
 
@@ -180,8 +181,7 @@ def run_all(spark: SparkSession, records: DataFrame, lake_root: str,
 
     ``sink``: ``lake`` (tables under ``lake_root/<table>``), ``jdbc`` or ``json``
     with ``sink_options`` (see ``sinks.batch_writer``); ``tables`` may also name
-    ``enriched_events``, the enriched stream for publishing, ``session_activity`` and
-    ``push_then_star``. ``mode="update"`` (lake sink) keeps open windows visible.
+    ``enriched_events``, the enriched stream for publishing, and ``MORE_TABLES``. ``mode="update"`` (lake sink) keeps open windows visible.
     ``marks`` (lake sink) has the raw query mark the windows of late events for
     ``plans.repair``. Clean events lie in
     ``lake_root/_clean_events`` for ``retention``; checkpoints under

@@ -96,7 +96,8 @@ def test_streamed_sessions_and_pairs(spark, scratch):
                [at(STAR_EVENT, "s3", "18:00:00")], [at(STAR_EVENT, "s4", "20:00:00")]]
     land = os.path.join(scratch, "land")
     _files(land, batches)
-    root = _drain(spark, land, scratch, ["session_activity", "push_then_star"], staged=False)
+    root = _drain(spark, land, scratch, ["session_activity", "push_then_star", "user_repositories"],
+                  staged=False)
     pairs = {(r.push_id, r.star_id) for r in _rows(spark, root, "push_then_star").collect()}
     assert pairs == {("p1", "s1"), ("p1", "s2"), ("p2", "s2"), ("p3", None)}
     assert _rows(spark, root, "push_then_star").count() == 4          # the late side once
@@ -107,6 +108,10 @@ def test_streamed_sessions_and_pairs(spark, scratch):
     assert closed.count() == 4
     assert got.exceptAll(closed).count() == 0 and closed.exceptAll(got).count() == 0
     assert temporal.push_then_star(ev).count() == 3
+    from eventide.operators import distinct
+    hours = metric_table(spark, root, "user_repositories")
+    assert hours.count() == 4 and {(r.user_id, r.distinct_repos) for r in distinct.sketched_repositories(
+        hours).collect()} == {(7001, 1), (8, 1)}
     # nothing new: a restart writes nothing twice
     _drain(spark, land, scratch, ["session_activity", "push_then_star"], staged=False)
     assert _rows(spark, root, "push_then_star").count() == 4
