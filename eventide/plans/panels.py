@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.timefilters import strictly_between, time_filter, ts_lit
 from . import reports
 
+BROADCAST_ROWS = 10_000
 TOP_SERIES = 10
 
 
@@ -33,12 +34,15 @@ def _dates(df: DataFrame, frm, to, lo_shift: str | None = None,
 def repository_activity(m: DataFrame, frm, to, as_of=None, k: int = TOP_SERIES) -> DataFrame:
     """(window_start as time, event_count) of the top-k repositories in range.
 
-    The IN-subquery is a left-semi join against a k-row top list, broadcast
-    because k bounds its size; no shuffle of the metric table.
+    The IN-subquery is a left-semi join against a k-row top list, broadcast where
+    k bounds its size (no shuffle of the metric table); longer lists are joined as
+    Spark sees fit.
     """
     top = reports.top_repositories(m, as_of).select("repo_id").limit(k)
+    if k <= BROADCAST_ROWS:
+        top = F.broadcast(top)
     return (_dates(m, frm, to).filter(time_filter("window_start", frm, to))
-             .join(F.broadcast(top), "repo_id", "left_semi")
+             .join(top, "repo_id", "left_semi")
              .select(F.col("window_start").alias("time"), "event_count")
              .orderBy("time", "event_count"))
 

@@ -6,6 +6,7 @@ import json
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
@@ -25,6 +26,10 @@ def spark():
     if not session.sparkContext.getConf().get("spark.checkpoint.dir", None):
         session.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     session.sparkContext.setLogLevel("ERROR")
+    # collect() shows instants in Python's zone; the JVM keeps the machine's, which
+    # must not matter
+    os.environ["TZ"] = "UTC"
+    time.tzset()
     yield session
     session.stop()
 

@@ -19,6 +19,7 @@ def _drain(spark, land, root, tables, **kw):
                         os.path.join(root, "lake"), os.path.join(root, "ck"),
                         trigger={"availableNow": True}, tables=tables, with_rejected=False, **kw)
     runner.await_all(spark, qs, bounded=True)
+    _drain.queries = {q.name: q for q in qs}
     return os.path.join(root, "lake")
 
 
@@ -98,6 +99,10 @@ def test_streamed_sessions_and_pairs(spark, scratch):
     _files(land, batches)
     root = _drain(spark, land, scratch, ["session_activity", "push_then_star", "user_repositories"],
                   staged=False)
+    # what is left in the join's state is younger than the interval and the delay
+    held = [op["numRowsTotal"] for op in _drain.queries["push_then_star"].lastProgress["stateOperators"]
+            if op["operatorName"] == "symmetricHashJoin"]
+    assert held and held[0] <= 2           # the star at 20:00, in its two slots
     pairs = {(r.push_id, r.star_id) for r in _rows(spark, root, "push_then_star").collect()}
     assert pairs == {("p1", "s1"), ("p1", "s2"), ("p2", "s2"), ("p3", None)}
     assert _rows(spark, root, "push_then_star").count() == 4          # the late side once
