@@ -94,7 +94,7 @@ class _Block:
     def add(self, ids: list, texts: list[str]) -> None:
         for _, part in text_blocks(texts):
             points, starts, at = self.split.split(part)
-            index, words = self.split.distinct(points, starts)
+            index, words = self.split.distinct(part, points, starts)
             known = self.words
             own = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
             self.places.append(own[index])

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -56,14 +57,14 @@ class _Ids:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, running ends)."""
         points, starts, at = self.split.split(texts)
-        index, words = self.split.distinct(points, starts)
+        index, words = self.split.distinct(texts, points, starts)
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         known, found = self.known, []
         for word in words:
             ids = known.get(word)
             if ids is None:
-                ids = np.array(self.encode(word), np.uint32).tobytes()
+                ids = array("I", self.encode(word)).tobytes()
                 if len(word) <= KNOWN_CHARS:
                     known[word] = ids
             found.append(ids)

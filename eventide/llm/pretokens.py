@@ -143,23 +143,28 @@ class WordSplitter:
         a, b = starts[:-1], starts[1:]
         return mix((sums[b] - sums[a]) * self._inverse[a] + (b - a).astype(np.uint64))
 
-    def distinct(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[str]]:
-        """(each word's number among the distinct words, the distinct words).
+    def distinct(self, texts: list[str], points: np.ndarray,
+                 starts: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """(each word's number among the distinct words, the distinct words) of texts
+        that ``split`` cut.
 
         Hashes propose, characters decide: every word is compared with the first
         of its hash, and where two differ the block's words are numbered one by one."""
         size = np.diff(starts)
         if not len(size):
             return np.zeros(0, np.int64), []
+        joined = "".join(texts)
         _, first, index = np.unique(self.hashes(points, starts), return_index=True,
                                     return_inverse=True)
         like = first[index]
         if (size[like] == size).all():
-            spot = np.arange(len(points)) + np.repeat(starts[like] - starts[:-1], size)
+            spot = np.repeat((starts[like] - starts[:-1]).astype(np.int32), size)
+            spot += np.arange(len(points), dtype=np.int32)
             if (points[spot] == points).all():
-                return index, [self.word(points, starts[k], starts[k + 1]) for k in first.tolist()]
+                return index, [joined[a:b] for a, b in zip(starts[first].tolist(),
+                                                           starts[first + 1].tolist())]
         numbers: dict[str, int] = {}
-        index = np.array([numbers.setdefault(self.word(points, a, b), len(numbers))
+        index = np.array([numbers.setdefault(joined[a:b], len(numbers))
                           for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], np.int64)
         return index, list(numbers)
 

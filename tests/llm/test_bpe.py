@@ -75,7 +75,7 @@ def test_long_words_of_one_hash_stay_apart(spark, tokenizer):
         points, starts, _ = split.split([one, two, one])
         h = split.hashes(points, starts)
         assert h[0] == h[1]                       # the hash alone can't tell them
-        index, words = split.distinct(points, starts)
+        index, words = split.distinct([one, two, one], points, starts)
         assert [words[k] for k in index] == [one, two, one]
     rows = [(k, t) for k, t in enumerate(t for n in (1024, 4096, 100_352) for t in colliding(n))]
     rows.append((9, "{} {} x {}".format(*colliding(2048), colliding(2048)[0])))
