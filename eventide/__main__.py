@@ -101,7 +101,8 @@ def cmd_compact(spark: SparkSession, args) -> None:
 def cmd_repair(spark: SparkSession, args) -> None:
     names = args.tables or [n for n in METRIC_TABLES
                             if lake.exists(spark, os.path.join(args.lake, n))]
-    print(f"{repair.repair(spark, args.lake, names)} windows recomputed")
+    n = repair.repair(spark, args.lake, names, args.watermark, args.ended)
+    print(f"{n} windows recomputed")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -143,6 +144,9 @@ def main(argv: list[str] | None = None) -> None:
     f = sub.add_parser("repair")
     f.add_argument("--lake", required=True)
     f.add_argument("--tables", nargs="*", help="default: all metric tables of the lake")
+    f.add_argument("--watermark", default=runner.DEFAULT_WATERMARK, help="the stream's delay")
+    f.add_argument("--ended", action="store_true",
+                   help="no stream writes any more: recompute open windows, too")
     args = ap.parse_args(argv)
 
     spark = ensure_session(SparkSession.builder.appName(f"eventide-{args.cmd}").getOrCreate())

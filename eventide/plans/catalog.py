@@ -521,7 +521,7 @@ def q_stream_repair(spark, sf):
                        STREAM_FILES)
     lake_root = _drain(spark, land, root, ["events", "repository_metrics"], mode="update",
                        staged=False, marks=True)
-    repair.repair(spark, lake_root, ["repository_metrics"])
+    repair.repair(spark, lake_root, ["repository_metrics"], ended=True)
     return _served(spark, lake_root, "repository_metrics")
 
 

@@ -57,6 +57,18 @@ def mark_late(batch_df: DataFrame, batch_id: int, lake_root: str, checkpoint: st
     lake.delete(spark, _note(lake_root, owner, batch_id - 2))   # a replay needs the last one
 
 
+def watermark_of(spark: SparkSession, lake_root: str, delay: str) -> int | None:
+    """The least of the marking queries' watermarks (microseconds)."""
+    folder = os.path.join(lake_root, DIRTY, "_high")
+    if not lake.exists(spark, folder):
+        return None
+    per_query = (spark.read.text(folder + "/*").select(        # two notes per query at most
+        F.regexp_extract(F.input_file_name(), r"/_high/(.*)-\d+/", 1).alias("query"),
+        F.col("value").cast("long").alias("high")).groupBy("query").agg(F.max("high").alias("high"))
+        .agg(F.min("high")).first()[0])
+    return None if per_query is None else per_query - width_micros(delay)
+
+
 def late_marker(lake_root: str, checkpoint: str, delay: str) -> Callable[[DataFrame, int], None]:
     """``mark_late`` as a ``foreachBatch`` function."""
     def write(batch_df: DataFrame, batch_id: int) -> None:

@@ -43,15 +43,16 @@ def test_repair_recomputes_marked_windows_only(spark, scratch, monkeypatch):
                [event(id="4", created_at="2024-01-02T10:05:00Z"),       # late
                 event(id="5", created_at="2024-01-03T12:25:00Z"),       # out of order, not late
                 event(id="2", created_at="2024-01-03T12:00:00Z")],      # late, a copy
-               [event(id="6", created_at="2024-01-04T08:00:00Z")]]
+               [event(id="6", created_at="2024-01-04T08:00:00Z")],
+               [event(id="7", created_at="2024-01-04T07:40:00Z")]]      # late; its windows are open
     land = os.path.join(scratch, "land")
     _files(land, batches)
     names = ["events", "repository_metrics", "event_type_distribution"]
     root = _drain(spark, land, scratch, names, mode="update", staged=False, marks=True)
     marked = sorted(str(r[0]) for r in repair.dirty_windows(spark, root).select(
         F.date_format("window_start", "dd HH:mm")).collect())
-    assert marked == ["02 09:15", "02 09:30", "02 09:45", "02 10:00",
-                      "03 11:15", "03 11:30", "03 11:45", "03 12:00"]
+    shut = ["02 09:15", "02 09:30", "02 09:45", "02 10:00", "03 11:15", "03 11:30", "03 11:45", "03 12:00"]
+    assert marked == shut + ["04 06:45", "04 07:00", "04 07:15", "04 07:30"]
     from eventide.operators import enrich, quality
     ev = enrich.enrich(quality.dedup(quality.validate(parsed(
         spark, [e for b in batches for e in b]))[0]))
@@ -72,9 +73,13 @@ def test_repair_recomputes_marked_windows_only(spark, scratch, monkeypatch):
     except RuntimeError:
         pass
     monkeypatch.setattr(lake, "upsert", upsert)
-    assert repair.dirty_windows(spark, root).count() == 8
-    assert repair.repair(spark, root, names[1:]) == 8
+    assert repair.dirty_windows(spark, root).count() == 12
+    # the watermark is at 07:50: of the last event's windows one is closed
+    assert repair.repair(spark, root, names[1:]) == 9
     assert repair.repair(spark, root, names[1:]) == 0
+    assert repair.dirty_windows(spark, root).count() == 3
+    assert repair.repair(spark, root, names[1:], ended=True) == 3
+    assert repair.dirty_windows(spark, root).count() == 0
     for name in names[1:]:
         got = _rows(spark, root, name)
         assert got.exceptAll(want[name]).count() == 0 and want[name].exceptAll(got).count() == 0, name
@@ -83,7 +88,7 @@ def test_repair_recomputes_marked_windows_only(spark, scratch, monkeypatch):
         spark, os.path.join(root, names[1]),
         sorted(r[0] for r in metric_table(spark, root, names[1]).select("window_date").distinct().collect()))
         if b.startswith("repair-")}
-    assert new == {"2024-01-02", "2024-01-03"}
+    assert new == {"2024-01-02", "2024-01-03", "2024-01-04"}
 
 
 def test_streamed_sessions_and_pairs(spark, scratch):
