@@ -29,7 +29,7 @@ from .schema import TABLE_CLUSTER, TABLE_EXTRA, TABLE_KEYS, TABLE_SCHEMAS
 
 LAYOUT = T.StructType([T.StructField("window_date", T.DateType()),
                        T.StructField("batch_id", T.StringType())])
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 500_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -98,15 +98,19 @@ def write(df: DataFrame, path: str, table: str | None, batch_id: str) -> None:
 
 
 def clustered(df: DataFrame, table: str | None, rows: int | None = None) -> DataFrame:
-    """Sorted runs of (date, entity) per task. ``rows`` known and few: one task,
-    no sampling pass; else range-partitioned, which also splits a large date."""
-    keys = ["window_date"] + [c for c in [TABLE_CLUSTER.get(table or "")] if c in df.columns]
+    """Sorted runs of (date, entity) per task, range-partitioned; the table's key
+    also splits a date or entity with many rows. With ``rows`` known, a task sorts
+    about ``ROWS_PER_FILE`` at most, and few rows need no sampling pass. Always
+    behind a shuffle: what computes ``df`` keeps its own tasks."""
+    keys = ["window_date"] + [c for c in ("batch_id", TABLE_CLUSTER.get(table or ""))
+                              if c in df.columns]
+    apart = keys + [c for c in TABLE_KEYS.get(table or "", ()) if c not in keys]
     if rows is None:
-        df = df.repartitionByRange(*keys)
+        df = df.repartitionByRange(*apart)
     elif rows <= ROWS_PER_FILE:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     else:
-        df = df.repartitionByRange(-(-rows // ROWS_PER_FILE), *keys)
+        df = df.repartitionByRange(-(-rows // ROWS_PER_FILE), *apart)
     return df.sortWithinPartitions(*keys)
 
 
