@@ -238,12 +238,13 @@ def expire(spark: SparkSession, path: str, table: str, expired: Column,
             .filter("gone > 0").collect())            # a row per old leaf
     whole = [(r.window_date, r.batch_id) for r in seen if r.gone == r.n]
     part = [(r.window_date, r.batch_id) for r in seen if r.gone < r.n]
+    left = sum(r.n - r.gone for r in seen)
     if part:
         staged = scratch_dir(spark, "retain")
         which = spark.createDataFrame(part, LAYOUT)
         old.filter(~expired).join(which, LAYOUT.names, "left_semi").write.parquet(staged)
         kept = spark.read.schema(old.schema).parquet(staged)
-        (kept.repartitionByRange("window_date", "batch_id").write.mode("overwrite")
+        (clustered(kept, table, left).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("window_date", "batch_id").parquet(path))
         delete(spark, staged)
