@@ -22,7 +22,7 @@ from ..operators import (compare, distinct, maintenance, metrics, quality, sessi
                          trends)
 from ..sources.adapter import landed_records
 from ..sources.events import event_stream, metric_table
-from ..sources.landing import land_in_time_order
+from ..sources.landing import land_in_time_order, landed_files
 from ..streaming import heavy, runner, sinks
 from . import panels, repair, reports, tables, views
 from .pipeline import (AS_OF, KEYED_APPEND_CUT, PANEL_FROM, PANEL_TO, RETENTION_AS_OF,
@@ -248,22 +248,43 @@ QUERIES.update({
 # --- end-to-end paths through written tables ----------------------------------
 
 STREAM_WATERMARK = "10 minutes"
-STREAM_FILES = 6
+STREAM_FILES = 6                       # time ranges: one micro-batch each
+ROWS_PER_LANDED_FILE = 100_000         # a file is written and parsed by one task
+
+
+def _land_records(spark, records: DataFrame, at: str, root: str) -> str:
+    """Records as files in the order of ``at``: ``STREAM_FILES``, or a multiple of
+    it where they are many."""
+    each = -(-records.count() // (STREAM_FILES * ROWS_PER_LANDED_FILE))
+    land = os.path.join(root, "landing")
+    land_in_time_order(spark, records, at, land, STREAM_FILES * max(1, each))
+    return land
 
 
 def _land(spark, sf, root: str, before: str | None = None) -> str:
     ev = table(spark, sf, "events")
     if before:
         ev = ev.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
-    land = os.path.join(root, "landing")
-    land_in_time_order(spark, landed_records(ev, keep=("ts",)), "ts", land, STREAM_FILES)
-    return land
+    return _land_records(spark, landed_records(ev, keep=("ts",)), "ts", root)
+
+
+def _land_late(spark, sf, root: str, **kw) -> str:
+    """Records in an order in which some come up to three days late."""
+    recs = landed_records(table(spark, sf, "events"), keep=("ts",), **kw)
+    late = F.make_dt_interval(days=F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
+    return _land_records(spark, recs.withColumn("sent", F.col("ts") + late), "sent", root)
+
+
+def _landing_stream(spark, land: str) -> DataFrame:
+    """The landed records, a time range per micro-batch."""
+    each = -(-len(landed_files(spark, land)) // STREAM_FILES)
+    return event_stream(spark, "parquet", land, maxFilesPerTrigger=max(1, each))
 
 
 def _drain(spark, land: str, root: str, tables_: list[str], **kw) -> str:
     lake_root = os.path.join(root, "lake")
-    qs = runner.run_all(spark, event_stream(spark, "parquet", land, maxFilesPerTrigger=1),
-                        lake_root, os.path.join(root, "ckpt"), trigger={"availableNow": True},
+    qs = runner.run_all(spark, _landing_stream(spark, land), lake_root,
+                        os.path.join(root, "ckpt"), trigger={"availableNow": True},
                         watermark=STREAM_WATERMARK, tables=tables_, with_rejected=False, **kw)
     runner.await_all(spark, qs, bounded=True)
     return lake_root
@@ -300,12 +321,7 @@ def q_stream_raw_events(spark, sf):
     """The raw table of a stream that holds replayed records and records up to
     three days late: every event once."""
     root = scratch_dir(spark, "stream")
-    recs = landed_records(table(spark, sf, "events"), replays=True, keep=("ts",))
-    late = F.make_dt_interval(days=F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
-    land = os.path.join(root, "landing")
-    land_in_time_order(spark, recs.withColumn("sent", F.col("ts") + late), "sent", land,
-                       STREAM_FILES)
-    lake_root = _drain(spark, land, root, ["events"])
+    lake_root = _drain(spark, _land_late(spark, sf, root, replays=True), root, ["events"])
     return _served(spark, lake_root, "events").select("id", "repo_id", "repo_name", "created_at")
 
 
@@ -514,13 +530,8 @@ def q_stream_repair(spark, sf):
     """A stream whose records come up to three days late: windows that closed
     without them are marked and recomputed."""
     root = scratch_dir(spark, "stream")
-    recs = landed_records(table(spark, sf, "events"), keep=("ts",))
-    late = F.make_dt_interval(days=F.pmod(F.xxhash64("value"), F.lit(4)).cast("int"))
-    land = os.path.join(root, "landing")
-    land_in_time_order(spark, recs.withColumn("sent", F.col("ts") + late), "sent", land,
-                       STREAM_FILES)
-    lake_root = _drain(spark, land, root, ["events", "repository_metrics"], mode="update",
-                       staged=False, marks=True)
+    lake_root = _drain(spark, _land_late(spark, sf, root), root,
+                       ["events", "repository_metrics"], mode="update", staged=False, marks=True)
     repair.repair(spark, lake_root, ["repository_metrics"], ended=True)
     return _served(spark, lake_root, "repository_metrics")
 
@@ -533,7 +544,7 @@ def q_stream_heavy_hitters(spark, sf):
     stream: whether every count lies within the summaries' bounds."""
     heavy.needs(spark)
     root = scratch_dir(spark, "stream")
-    records = event_stream(spark, "parquet", _land(spark, sf, root), maxFilesPerTrigger=1)
+    records = _landing_stream(spark, _land(spark, sf, root))
     valid = quality.validate(parse_events(records))[0]
     found, ckpt = os.path.join(root, "summaries"), os.path.join(root, "ckpt")
     q = (heavy.summaries(valid.withWatermark("created_at", STREAM_WATERMARK)).writeStream

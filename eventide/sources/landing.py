@@ -50,3 +50,10 @@ def land_in_time_order(spark: SparkSession, records: DataFrame, ts: str, path: s
         landed.append(dst.toString())
     fs.delete(src_root, True)
     return landed
+
+
+def landed_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a landing folder, by listing it."""
+    p, fs = _fs(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile()
+                  and not s.getPath().getName().startswith(("_", ".")))
