@@ -105,18 +105,18 @@ MORE_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def clean_columns(ev: DataFrame, errors=None) -> DataFrame:
-    """The clean-event columns the served tables read (``schema.CLEAN_EVENT``)."""
+def clean_columns(ev: DataFrame) -> DataFrame:
+    """The clean-event columns the served tables read (``schema.CLEAN_EVENT``), of
+    events with their list of ``errors``."""
+    rejected = F.size("errors") > 0
     return ev.select(
         "id", "type",
         F.struct(F.col("actor.id").alias("id"), F.col("actor.login").alias("login")).alias("actor"),
         F.struct(F.col("repo.id").alias("id"), F.col("repo.name").alias("name")).alias("repo"),
         "created_at", "collected_at", "processed_at", "public",
-        (F.col("languages") if errors is None
-         else F.lit(None).cast("array<string>")).alias("languages"),
-        (F.lit(None).cast("string") if errors is None else errors).alias("errors"),
-        "event_key", (F.lit(None).cast("string") if errors is None
-                      else F.col("record_id")).alias("record_id"))
+        F.when(~rejected, F.col("languages")).alias("languages"),
+        F.when(rejected, F.array_join("errors", ",")).alias("errors"),
+        "event_key", F.when(rejected, F.col("record_id")).alias("record_id"))
 
 
 def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
@@ -127,13 +127,12 @@ def start_ingest(records: DataFrame, clean_path: str, checkpoint: str,
     Rejected records (non-empty ``errors``) travel in the same table, so their
     report needs no second parse of the source. ``retention`` (e.g. ``"7d"``)
     drops old entries from the sink's log so expired files can be deleted."""
-    parsed = parse_events(records)
-    errors = quality.error_list()
-    ev = enrich_ops.enrich(parsed.filter(F.size(errors) == 0)).observe(
-        "event_quality", F.count(F.lit(1)).alias("events"),
-        F.count_if(~F.col("type").isin(*KNOWN_EVENT_TYPES)).alias("unknown_types"))
-    bad = parsed.filter(F.size(errors) > 0)
-    out = clean_columns(ev).unionByName(clean_columns(bad, F.array_join(errors, ",")))
+    # one scan and one parse: valid and rejected records are told apart by a column
+    ev = enrich_ops.enrich(parse_events(records).withColumn("errors", quality.error_list()))
+    valid = F.size("errors") == 0
+    out = clean_columns(ev.observe(
+        "event_quality", F.count_if(valid).alias("events"),
+        F.count_if(valid & ~F.col("type").isin(*KNOWN_EVENT_TYPES)).alias("unknown_types")))
     w = (out.writeStream.queryName("clean_events").outputMode("append")
          .format("parquet").option("path", clean_path)
          .option("checkpointLocation", checkpoint))
