@@ -160,23 +160,24 @@ def drop_leaves(spark: SparkSession, path: str, gone: list[tuple[dt.date, str]])
 def upsert(df: DataFrame, path: str, table: str, batch_id: str) -> None:
     """Rows replace those of the same key: the touched dates are written anew as
     one leaf, then their other leaves go. Run again after a failure, it finds
-    its own copy and older ones, which agree on every key the batch lacks."""
+    its own copy and older ones, which agree on every key the batch lacks.
+
+    Batch and stored rows meet in one shuffle by key, of as many tasks as their
+    rows need: a micro-batch is not planned adaptively."""
     spark = df.sparkSession
     batch = dated(df).persist()
     try:
-        dates = sorted(r[0] for r in batch.select("window_date").distinct().collect())
+        days = batch.groupBy("window_date").count().collect()        # a row per date
+        dates = sorted(r[0] for r in days)
         if not dates:
             return
-        out = batch
+        out, rows = batch, sum(r[1] for r in days)
         if exists(spark, path):
             key = list(TABLE_KEYS[table])
             stored = read(spark, path, table, True).filter(F.col("window_date").isin(dates))
-            own = (F.col("batch_id") == batch_id).desc()
-            rest = (absent(stored, batch, key)
-                    .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(own)))
-                    .filter("_n = 1").drop("_n", "batch_id"))
+            rows += stored.count()
             staged = scratch_dir(spark, "upsert")     # the leaf is read and replaced
-            batch.unionByName(rest).write.parquet(staged)
+            _replaced(batch, stored, key, batch_id, rows).write.parquet(staged)
             out = spark.read.schema(batch.schema).parquet(staged)
         old = leaves(spark, path, dates)
         write(clustered(out, table), path, table, batch_id)
@@ -187,6 +188,23 @@ def upsert(df: DataFrame, path: str, table: str, batch_id: str) -> None:
         batch.unpersist()
 
 
+def _replaced(batch: DataFrame, stored: DataFrame, key: list[str], batch_id: str,
+              rows: int) -> DataFrame:
+    """The batch, and one stored row (this batch's own copy first) of each key that
+    it lacks on the row's date. A task gets about ``ROWS_PER_FILE`` of ``rows``."""
+    spark = batch.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_FILE))
+    both = batch.withColumns({"_new": F.lit(1), "_own": F.lit(0)}).unionByName(
+        stored.withColumns({"_new": F.lit(0), "_own": (F.col("batch_id") == batch_id).cast("int")})
+        .drop("batch_id")).repartition(tasks, *key)
+    same_day = Window.partitionBy(*key, "window_date")
+    copies = Window.partitionBy(*key, "_new").orderBy(F.desc("_own"))
+    return (both.withColumn("_held", F.max("_new").over(same_day))
+            .filter("_new = 1 OR _held = 0")
+            .withColumn("_n", F.row_number().over(copies))
+            .filter("_new = 1 OR _n = 1").drop("_new", "_own", "_held", "_n"))
+
+
 def replace_windows(df: DataFrame, path: str, table: str, batch_id: str, dates: list[dt.date],
                     stays: Column | None = None) -> None:
     """Recomputed rows of whole window dates replace the table's; stored rows for

@@ -24,12 +24,21 @@ from ..streaming.runner import DEFAULT_WATERMARK
 from ..streaming.sinks import shape_for_table
 
 DAY = dt.timedelta(days=1)
+ROWS_PER_TASK = 100_000                # an event is a row of each window it lies in
 
 
 def dirty_windows(spark: SparkSession, lake_root: str) -> DataFrame:
     return lake.read(spark, os.path.join(lake_root, DIRTY), DIRTY)
 
 
+def _spread(raw: DataFrame) -> DataFrame:
+    """Stored events over as many tasks as their rows need: a task that aggregates
+    holds a row per entity and window, whatever the files' sizes."""
+    tasks = max(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-raw.count() // ROWS_PER_TASK))
+    return raw.repartition(tasks, "id")
+
+
 def repair(spark: SparkSession, lake_root: str, tables: list[str] | None = None,
            delay: str = DEFAULT_WATERMARK, ended: bool = False) -> int:
     """Recompute the marked windows of the metric tables; returns how many.
@@ -51,8 +60,8 @@ def repair(spark: SparkSession, lake_root: str, tables: list[str] | None = None,
         dates = sorted(r[0] for r in mine.select(F.to_date("window_start")).distinct().collect())
         if not dates:
             return 0
-        raw = lake.read(spark, os.path.join(lake_root, "events"), "events", extra=True).where(
-            F.col("window_date").isin(sorted({*dates, *(d + DAY for d in dates)})))
+        raw = _spread(lake.read(spark, os.path.join(lake_root, "events"), "events", extra=True)
+                      .where(F.col("window_date").isin(sorted({*dates, *(d + DAY for d in dates)}))))
         for name in tables or list(metrics.METRIC_TABLES):
             rows = shape_for_table(metrics.METRIC_TABLES[name](metrics.from_stored(raw)), name)
             fixed = rows.join(mine, ["window_start", "window_end"], "left_semi").select(*rows.columns)
